@@ -115,8 +115,71 @@ select conv_id, {md5_list(pad('ids', L, 0))} as ids_md5, {md5_list(pad('labels',
 from h"""
 
 
+def _encoded(src: str, key: str, L: int, text: str = "text") -> str:
+    """CTE body: (key, ids, labels) cut to L (unpadded) from a turns relation."""
+    ids, labels = turn_tokens(text=text)
+    return f"""
+  select {key}, list_slice(case when sys_first then ids else list_concat({DEFAULT_HEAD_IDS}, ids) end, 1, {L}) as ids,
+         list_slice(case when sys_first then labels
+                    else list_concat(list_transform({DEFAULT_HEAD_IDS}, lambda x: {M100}), labels) end, 1, {L}) as labels
+  from (select {key}, bool_or(turn = 0 and role = 'system') as sys_first,
+               flatten(list(ids order by turn)) as ids, flatten(list(labels order by turn)) as labels
+        from (select {key}, turn, role, {ids} as ids, {labels} as labels from {src}) group by {key})"""
+
+
+def sft_supervised_tokens() -> str:
+    return f"""
+with h as ({_encoded('conversations', 'conv_id', L_SFT)}),
+u as (select conv_id, unnest(range(len(labels))) as pos, unnest(labels) as token from h)
+select conv_id, cast(pos as bigint) as pos, cast(token as bigint) as token from u where token <> {M100}"""
+
+
+PAIRS_CTE = """
+a as (select conv_id, max(turn) filter (where role = 'assistant') as cut
+      from conversations group by conv_id having max(turn) filter (where role = 'assistant') is not null),
+r as (select conv_id, cut, row_number() over (order by conv_id) - 1 as pos, count(*) over () as n from a),
+lt as (select r.*, c.text as last_text from r join conversations c on c.conv_id = r.conv_id and c.turn = r.cut),
+nx as (select x.conv_id, x.cut, y.last_text as next_text from lt x join lt y on y.pos = (x.pos + 1) % x.n),
+msgs as (select c.conv_id, c.turn, c.role, c.text,
+                case when c.turn = nx.cut then nx.next_text else c.text end as rtext
+         from conversations c join nx on c.conv_id = nx.conv_id where c.turn <= nx.cut)"""
+
+
+def dpo_pairs() -> str:
+    return f"""
+with {PAIRS_CTE},
+g as (select conv_id, count(*) as n, bool_or(turn = 0 and role = 'system') as sys_first,
+             string_agg({rendered_turn()}, '' order by turn) as cb,
+             string_agg({rendered_turn(text='rtext')}, '' order by turn) as rb
+      from msgs group by conv_id)
+select conv_id as pair_id, cast(n as bigint) as n_messages,
+       md5(case when sys_first then '' else {DEFAULT_HEAD} end || cb) as chosen_md5,
+       md5(case when sys_first then '' else {DEFAULT_HEAD} end || rb) as rejected_md5
+from g"""
+
+
+def dpo_encode() -> str:
+    L = L_DPO
+    def side(name: str) -> str:
+        ids = pad(f"{name}.ids", L, 0)
+        mask = pad(f"list_transform({name}.labels, lambda x: case when x = {M100} then 0 else 1 end)", L, 0)
+        return (f"{md5_list(f'list_slice({ids}, 1, {L - 1})')} as x_{name}_md5, "
+                f"{md5_list(f'list_slice({ids}, 2, {L})')} as y_{name}_md5, "
+                f"{md5_list(f'list_slice({mask}, 2, {L})')} as mask_{name}_md5, "
+                f"cast(list_sum(list_slice({mask}, 2, {L})) as bigint) as n_mask_{name}")
+    return f"""
+with {PAIRS_CTE},
+chosen as ({_encoded('msgs', 'conv_id', L)}),
+rejected as ({_encoded('msgs', 'conv_id', L, text='rtext')})
+select chosen.conv_id as pair_id, {side('chosen')}, {side('rejected')}
+from chosen join rejected on chosen.conv_id = rejected.conv_id"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "sft_supervised_tokens": sft_supervised_tokens(),
+        "dpo_pairs": dpo_pairs(),
+        "dpo_encode": dpo_encode(),
         "pretrain_encode": pretrain_encode(),
         "chat_render": chat_render(),
         "sft_encode": sft_encode(),

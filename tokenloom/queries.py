@@ -66,3 +66,36 @@ def sft_encode(spark: SparkSession, base: str) -> DataFrame:
                       md5_ids(F.col("labels")).alias("labels_md5"),
                       _count_not(F.col("input_ids"), 0).alias("n_tokens"),
                       _count_not(F.col("labels"), -100).alias("n_supervised"))
+
+
+@register
+def sft_supervised_tokens(spark: SparkSession, base: str) -> DataFrame:
+    """B10 at token level: every supervised position of every conversation."""
+    recs = conv.chat_records(T.turns(spark, base))
+    out = enc.encode_sft(recs, id_col="conv_id", tools_col=None, max_length=L_SFT)
+    return (out.select("conv_id", F.posexplode("labels").alias("pos", "token"))
+            .where(F.col("token") != -100)
+            .select("conv_id", F.col("pos").cast("bigint").alias("pos"),
+                    F.col("token").cast("bigint").alias("token")))
+
+
+@register
+def dpo_pairs(spark: SparkSession, base: str) -> DataFrame:
+    """K2: preference pairs built from the conversations."""
+    pairs = conv.preference_pairs(T.turns(spark, base))
+    return pairs.select("pair_id", F.size("chosen").cast("bigint").alias("n_messages"),
+                        F.md5(render_chat(F.col("chosen"))).alias("chosen_md5"),
+                        F.md5(render_chat(F.col("rejected"))).alias("rejected_md5"))
+
+
+@register
+def dpo_encode(spark: SparkSession, base: str) -> DataFrame:
+    """Both sides encoded, masked and shifted."""
+    out = enc.encode_dpo(conv.preference_pairs(T.turns(spark, base)), max_length=L_DPO)
+    cols = [F.col("pair_id")]
+    for side in ("chosen", "rejected"):
+        for part in ("x", "y", "mask"):
+            cols.append(md5_ids(F.col(f"{part}_{side}")).alias(f"{part}_{side}_md5"))
+        cols.append(F.aggregate(f"mask_{side}", F.lit(0).cast("bigint"),
+                                lambda a, x: a + x).alias(f"n_mask_{side}"))
+    return out.select(*cols)
