@@ -175,8 +175,106 @@ select chosen.conv_id as pair_id, {side('chosen')}, {side('rejected')}
 from chosen join rejected on chosen.conv_id = rejected.conv_id"""
 
 
+PLAN_LR = 5e-4
+PLAN_ACCUMULATION = 4
+SAVE_INTERVAL = 20
+RESUME_SKIP = 7 * 2 // 3
+
+
+def _perm(epochs: int) -> str:
+    return f"""
+  select epoch, sample_id,
+         row_number() over (partition by epoch order by
+           md5(cast(42 + epoch as varchar) || ':' || cast(sample_id as varchar)), sample_id) - 1 as pos
+  from (select d.doc_id as sample_id, cast(x.epoch as integer) as epoch
+        from documents d cross join (select unnest(range({epochs})) as epoch) x)"""
+
+
+def epoch_plan() -> str:
+    return f"""
+with p as ({_perm(PLAN_EPOCHS)})
+select epoch, sample_id, cast(pos as bigint) as pos, cast(pos // {PLAN_BATCH} + 1 as bigint) as step,
+       cast(pos % {PLAN_BATCH} as integer) as slot from p"""
+
+
+def natural_order_plan() -> str:
+    return f"""
+with p as (select cast(0 as integer) as epoch, doc_id as sample_id, row_number() over (order by doc_id) - 1 as pos
+           from documents)
+select epoch, sample_id, cast(pos as bigint) as pos, cast(pos // {PLAN_BATCH} + 1 as bigint) as step,
+       cast(pos % {PLAN_BATCH} as integer) as slot from p"""
+
+
+def _sharded(epochs: int) -> str:
+    W, B = SHARD_WORLD, SHARD_BATCH
+    return f"""
+  select p.epoch, cast(q.qpos % {W} as integer) as rank, cast((q.qpos // {W}) // {B} + 1 as bigint) as step,
+         cast((q.qpos // {W}) % {B} as integer) as slot, cast(q.qpos as bigint) as pos, p.sample_id
+  from (select unnest(range(cast(ceil(n / {W}.0) * {W} as bigint))) as qpos, n
+        from (select count(*) as n from documents)) q
+  join ({_perm(epochs)}) p on p.pos = q.qpos % q.n"""
+
+
+def rank_shards() -> str:
+    return f"select * from ({_sharded(1)})"
+
+
+def resume_plan() -> str:
+    return f"""
+select epoch, rank, step, slot, sample_id from ({_sharded(PLAN_EPOCHS)})
+where epoch > 0 or step > {RESUME_SKIP}"""
+
+
+def resume_batch_counts() -> str:
+    W, B = SHARD_WORLD, SHARD_BATCH
+    return f"""
+with n as (select cast(ceil(count(*) / {W}.0) as bigint) as per_rank from documents),
+g as (select cast(e.epoch as integer) as epoch, cast(r.rank as integer) as rank,
+             case when e.epoch = 0 then {RESUME_SKIP} else 0 end as skip, n.per_rank
+      from n cross join (select unnest(range({PLAN_EPOCHS})) as epoch) e
+             cross join (select unnest(range({W})) as rank) r)
+select epoch, rank,
+       cast(greatest(0, cast(ceil(per_rank / {B}.0) as bigint) - skip) as bigint) as n_batches,
+       cast(greatest(0, per_rank - skip * {B}) as bigint) as n_samples
+from g"""
+
+
+def batch_fetch() -> str:
+    L = L_PRETRAIN
+    ntok = f"least(len({byte_ids(f'left(text, {L - 2})')}), {L - 2}) + 2"
+    return f"""
+with p as ({_perm(PLAN_EPOCHS)}),
+s as (select doc_id as sample_id, {ntok} as n_label_tokens from documents)
+select p.epoch, cast(p.pos // {PLAN_BATCH} + 1 as bigint) as step, cast(count(*) as bigint) as n_samples,
+       cast(sum(s.n_label_tokens) as bigint) as n_tokens, cast(sum(p.sample_id) as bigint) as id_sum
+from p join s on p.sample_id = s.sample_id
+group by 1, 2"""
+
+
+def step_calendar() -> str:
+    W, B, A = SHARD_WORLD, SHARD_BATCH, PLAN_ACCUMULATION
+    return f"""
+with m as ({_sharded(PLAN_EPOCHS)}),
+it as (select cast(ceil(ceil(count(*) / {W}.0) / {B}.0) as bigint) as iters from documents),
+c as (select epoch, step, count(*) as n_samples from m group by 1, 2)
+select epoch, step, cast(n_samples as bigint) as n_samples,
+       round(({PLAN_LR} / 10 + 0.5 * {PLAN_LR} * (1 + cos(pi() * (epoch * iters + step) / ({PLAN_EPOCHS} * iters)))) * 1e6, 6) as lr_e6,
+       (step % {LOG_INTERVAL} = 0 or step = iters - 1) as is_log,
+       (step % {SAVE_INTERVAL} = 0 or step = iters - 1) as is_save,
+       ((step + 1) % {A} = 0) as is_update,
+       cast(epoch * (((iters + 1) // {A}) - (1 // {A})) + ((step + 1) // {A}) - (1 // {A}) as bigint) as update_id
+from c cross join it"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "epoch_plan": epoch_plan(),
+        "natural_order_plan": natural_order_plan(),
+        "rank_shards": rank_shards(),
+        "resume_plan": resume_plan(),
+        "resume_batch_counts": resume_batch_counts(),
+        "batch_fetch": batch_fetch(),
+        "step_calendar": step_calendar(),
         "sft_supervised_tokens": sft_supervised_tokens(),
         "dpo_pairs": dpo_pairs(),
         "dpo_encode": dpo_encode(),

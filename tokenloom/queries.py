@@ -13,6 +13,8 @@ from .functions.chat import render_chat
 from .functions.util import md5_ids
 from .operators import conversations as conv
 from .operators import encode as enc
+from .plans import epochs as P
+from .plans import schedule as S
 from .sources import tables as T
 
 # Parameters shared with oracle_sql.py.
@@ -99,3 +101,87 @@ def dpo_encode(spark: SparkSession, base: str) -> DataFrame:
         cols.append(F.aggregate(f"mask_{side}", F.lit(0).cast("bigint"),
                                 lambda a, x: a + x).alias(f"n_mask_{side}"))
     return out.select(*cols)
+
+
+PLAN_LR = 5e-4
+PLAN_ACCUMULATION = 4
+SAVE_INTERVAL = 20
+RESUME_SAVED = (0, 7, 2)  # (epoch, step, world size) of the saved progress
+
+
+def _docs(spark: SparkSession, base: str) -> DataFrame:
+    return T.pretrain_records(spark, base).select("sample_id")
+
+
+@register
+def epoch_plan(spark: SparkSession, base: str) -> DataFrame:
+    """F1 + F4: seeded permutation per epoch, batches of 16, one rank."""
+    m = P.build_manifest(_docs(spark, base), PLAN_EPOCHS, 1, PLAN_BATCH)
+    return m.select("epoch", "sample_id", "pos", "step", "slot")
+
+
+@register
+def natural_order_plan(spark: SparkSession, base: str) -> DataFrame:
+    """natural (id) order, batches of 16."""
+    m = P.build_manifest(_docs(spark, base), 1, 1, PLAN_BATCH, shuffle=False)
+    return m.select("epoch", "sample_id", "pos", "step", "slot")
+
+
+def _sharded(spark: SparkSession, base: str, epochs: int) -> DataFrame:
+    return P.build_manifest(_docs(spark, base), epochs, SHARD_WORLD, SHARD_BATCH)
+
+
+@register
+def rank_shards(spark: SparkSession, base: str) -> DataFrame:
+    """three ranks with wrap padding, batches of 8 per rank."""
+    return _sharded(spark, base, 1).select("epoch", "rank", "step", "slot", "pos", "sample_id")
+
+
+def _resumed(spark: SparkSession, base: str) -> DataFrame:
+    epoch, step, saved_world = RESUME_SAVED
+    skip = P.rescaled_step(step, saved_world, SHARD_WORLD)
+    return P.resume(_sharded(spark, base, PLAN_EPOCHS), epoch, skip)
+
+
+@register
+def resume_plan(spark: SparkSession, base: str) -> DataFrame:
+    """E1 + F7: resume after step 7 saved with 2 ranks, now 3 ranks."""
+    return _resumed(spark, base).select("epoch", "rank", "step", "slot", "sample_id")
+
+
+@register
+def resume_batch_counts(spark: SparkSession, base: str) -> DataFrame:
+    """F5 measured on the resumed manifest: batches and samples per rank."""
+    return (_resumed(spark, base).groupBy("epoch", "rank")
+            .agg(F.countDistinct("step").cast("bigint").alias("n_batches"),
+                 F.count(F.lit(1)).cast("bigint").alias("n_samples")))
+
+
+@register
+def batch_fetch(spark: SparkSession, base: str) -> DataFrame:
+    """Planned slots joined to encoded pretrain samples, per batch."""
+    m = P.build_manifest(_docs(spark, base), PLAN_EPOCHS, 1, PLAN_BATCH)
+    encoded = enc.encode_pretrain(T.pretrain_records(spark, base), max_length=L_PRETRAIN)
+    sized = encoded.select("sample_id", _count_not(F.col("labels"), -100).alias("n_label_tokens"))
+    return (P.fetch_batches(m, sized).groupBy("epoch", "step")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"),
+                 F.sum("n_label_tokens").cast("bigint").alias("n_tokens"),
+                 F.sum("sample_id").cast("bigint").alias("id_sum")))
+
+
+@register
+def step_calendar(spark: SparkSession, base: str) -> DataFrame:
+    """Per step samples, lr, log/save/update flags, update number."""
+    docs = _docs(spark, base)
+    n = docs.count()
+    iters = F.lit(P.batches_per_rank(n, SHARD_WORLD, SHARD_BATCH))
+    m = P.build_manifest(docs, PLAN_EPOCHS, SHARD_WORLD, SHARD_BATCH, n=n)
+    cal = m.groupBy("epoch", "step").agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"))
+    e, s = F.col("epoch"), F.col("step")
+    return cal.select(
+        "epoch", "step", "n_samples",
+        F.round(S.step_lr(e, s, iters, PLAN_EPOCHS, PLAN_LR) * 1e6, 6).alias("lr_e6"),
+        S.is_log_step(s, iters, LOG_INTERVAL).alias("is_log"),
+        S.is_save_step(s, iters, SAVE_INTERVAL).alias("is_save"),
+        S.is_update_step(s, PLAN_ACCUMULATION).alias("is_update"),
+        S.update_number(e, s, iters, PLAN_ACCUMULATION).alias("update_id"))
