@@ -266,8 +266,83 @@ select epoch, step, cast(n_samples as bigint) as n_samples,
 from c cross join it"""
 
 
+CE_BATCH = 4
+BETA = 0.1
+
+TOKENS_CTE = """
+tk as (
+  select vec_id // 10 as seq_id, cast(vec_id % 10 as integer) as pos, label,
+         case when vec_id % 10 >= 3 and (vec_id // 10) % 7 <> 0 then 1 else 0 end as mask,
+         (vec_id // 10) // 2 as pair_id, case when (vec_id // 10) % 2 = 0 then 'chosen' else 'rejected' end as side,
+         list_transform(embedding, lambda x: cast(x as double)) as lg
+  from embeddings),
+mx as (select *, list_max(lg) as m1, list_max(list_transform(lg, lambda x: 0.5 * x)) as m2 from tk),
+sc as (
+  select seq_id, pos, label, mask, pair_id, side,
+         lg[label + 1] - m1 - ln(list_sum(list_transform(lg, lambda x: exp(x - m1)))) as logp,
+         0.5 * lg[label + 1] - m2 - ln(list_sum(list_transform(lg, lambda x: exp(0.5 * x - m2)))) as ref_logp
+  from mx)"""
+
+
+def token_logprob() -> str:
+    return f"with {TOKENS_CTE} select seq_id, pos, round(logp, 6) as logp, round(ref_logp, 6) as ref_logp from sc"
+
+
+def masked_cross_entropy() -> str:
+    return f"""
+with {TOKENS_CTE},
+sh as (select seq_id, mx.*, lead(label) over (partition by seq_id order by pos) as nl,
+              lead(mask) over (partition by seq_id order by pos) as nm from mx),
+v as (select seq_id // {CE_BATCH} as batch_id, (nl is not null and nm = 1) as valid,
+             lg[nl + 1] - m1 - ln(list_sum(list_transform(lg, lambda x: exp(x - m1)))) as logp from sh)
+select cast(batch_id as bigint) as batch_id, cast(sum(case when valid then 1 else 0 end) as bigint) as n_tokens,
+       round(avg(case when valid then -logp end), 6) as loss
+from v group by 1"""
+
+
+def sequence_logprob() -> str:
+    return f"""
+with {TOKENS_CTE}
+select seq_id, cast(sum(mask) as bigint) as n_mask,
+       round(sum(logp * mask) / greatest(sum(mask), 1e-8), 6) as policy_avg,
+       round(sum(ref_logp * mask) / greatest(sum(mask), 1e-8), 6) as ref_avg
+from sc group by seq_id"""
+
+
+MARGIN_CTE = """
+sq as (select seq_id, pair_id, side, sum(logp * mask) / greatest(sum(mask), 1e-8) as pol,
+              sum(ref_logp * mask) / greatest(sum(mask), 1e-8) as ref from sc group by 1, 2, 3),
+pr as (select c.pair_id, c.pol as pc, r.pol as prj, c.ref as rc, r.ref as rr,
+              (c.pol - r.pol) - (c.ref - r.ref) as logit
+       from sq c join sq r on c.pair_id = r.pair_id and c.side = 'chosen' and r.side = 'rejected'),
+mg as (select pair_id, logit, {b} * (pc - rc) as cr, {b} * (prj - rr) as rjr,
+              {b} * (pc - rc) - {b} * (prj - rr) as margin,
+              greatest(-{b} * logit, 0) + ln(1 + exp(-abs({b} * logit))) as pair_loss from pr)"""
+
+
+def reward_margin() -> str:
+    return f"""
+with {TOKENS_CTE}, {MARGIN_CTE.format(b=BETA)}
+select pair_id, round(logit, 6) as logit, round(cr, 6) as chosen_reward, round(rjr, 6) as rejected_reward,
+       round(margin, 6) as margin, round(pair_loss, 6) as pair_loss from mg"""
+
+
+def dpo_loss() -> str:
+    return f"""
+with {TOKENS_CTE}, {MARGIN_CTE.format(b=BETA)}
+select cast(count(*) as bigint) as n_pairs, round(avg(pair_loss), 6) as loss, round(avg(margin), 6) as mean_margin,
+       cast(sum(case when margin > 0 then 1 else 0 end) as bigint) as n_positive,
+       round(avg(case when margin > 0 then 1.0 else 0.0 end), 6) as accuracy
+from mg"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "token_logprob": token_logprob(),
+        "masked_cross_entropy": masked_cross_entropy(),
+        "sequence_logprob": sequence_logprob(),
+        "reward_margin": reward_margin(),
+        "dpo_loss": dpo_loss(),
         "epoch_plan": epoch_plan(),
         "natural_order_plan": natural_order_plan(),
         "rank_shards": rank_shards(),

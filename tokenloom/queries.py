@@ -13,6 +13,7 @@ from .functions.chat import render_chat
 from .functions.util import md5_ids
 from .operators import conversations as conv
 from .operators import encode as enc
+from .operators import scoring as SC
 from .plans import epochs as P
 from .plans import schedule as S
 from .sources import tables as T
@@ -185,3 +186,61 @@ def step_calendar(spark: SparkSession, base: str) -> DataFrame:
         S.is_save_step(s, iters, SAVE_INTERVAL).alias("is_save"),
         S.is_update_step(s, PLAN_ACCUMULATION).alias("is_update"),
         S.update_number(e, s, iters, PLAN_ACCUMULATION).alias("update_id"))
+
+
+CE_BATCH = 4
+
+
+def _scored(spark: SparkSession, base: str) -> DataFrame:
+    """Token rows with policy and reference log-probs computed in the scan."""
+    t = T.token_scores(spark, base)
+    t = SC.with_token_logprob(t, "logits", "label", "logp")
+    t = SC.with_token_logprob(t, "ref_logits", "label", "ref_logp")
+    return t.drop("logits", "ref_logits")
+
+
+@register
+def token_logprob(spark: SparkSession, base: str) -> DataFrame:
+    """H1 per token for both models."""
+    return _scored(spark, base).select(
+        "seq_id", "pos", F.round("logp", 6).alias("logp"), F.round("ref_logp", 6).alias("ref_logp"))
+
+
+@register
+def masked_cross_entropy(spark: SparkSession, base: str) -> DataFrame:
+    """B13 + H2 + E5: next-token cross-entropy per batch of 4 sequences."""
+    t = SC.shift_targets(T.token_scores(spark, base))
+    t = t.withColumn("batch_id", F.floor(F.col("seq_id") / CE_BATCH).cast("bigint"))
+    out = SC.masked_cross_entropy(t, ["batch_id"])
+    return out.select("batch_id", "n_tokens", F.round("loss", 6).alias("loss"))
+
+
+@register
+def sequence_logprob(spark: SparkSession, base: str) -> DataFrame:
+    """Length-normalised log-prob per sequence, both models."""
+    out = SC.sequence_logprob(_scored(spark, base), "seq_id", ["logp", "ref_logp"])
+    return out.select("seq_id", "n_mask", F.round("logp_avg", 6).alias("policy_avg"),
+                      F.round("ref_logp_avg", 6).alias("ref_avg"))
+
+
+def _margins(spark: SparkSession, base: str) -> DataFrame:
+    return SC.reward_margins(SC.pair_logratios(_scored(spark, base)))
+
+
+@register
+def reward_margin(spark: SparkSession, base: str) -> DataFrame:
+    """H5/H7: per pair preference logit, rewards and margin."""
+    return _margins(spark, base).select(
+        "pair_id", F.round("logit", 6).alias("logit"),
+        F.round("chosen_reward", 6).alias("chosen_reward"),
+        F.round("rejected_reward", 6).alias("rejected_reward"),
+        F.round("margin", 6).alias("margin"), F.round("pair_loss", 6).alias("pair_loss"))
+
+
+@register
+def dpo_loss(spark: SparkSession, base: str) -> DataFrame:
+    """H6: mean DPO loss (beta 0.1), mean margin and wins over all pairs."""
+    out = SC.dpo_summary(_margins(spark, base))
+    return out.select("n_pairs", F.round("loss", 6).alias("loss"),
+                      F.round("mean_margin", 6).alias("mean_margin"), "n_positive",
+                      F.round("accuracy", 6).alias("accuracy"))
