@@ -336,8 +336,112 @@ select cast(count(*) as bigint) as n_pairs, round(avg(pair_loss), 6) as loss, ro
 from mg"""
 
 
+MAXLEN = 32768
+LOG_LR = 5e-4
+
+
+def _token_count(expr: str) -> str:
+    """Tokens of a rendered text: bytes, with each special string as one."""
+    def occ(pat: str) -> str:
+        return f"((strlen({expr}) - strlen(replace({expr}, '{pat}', ''))) // {len(pat)})"
+    return f"(strlen({expr}) - 11 * {occ('<|im_start|>')} - 9 * {occ('<|im_end|>')})"
+
+
+def history_prompts() -> str:
+    gen = lit("<|im_start|>assistant\n")
+    return f"""
+with u as (select conv_id, turn as ut from conversations where role = 'user'),
+w as (select u.conv_id, u.ut, c.turn, c.role, c.text, c.turn = u.ut - least(u.ut, {HISTORY}) as is_first
+      from u join conversations c on c.conv_id = u.conv_id and c.turn between u.ut - {HISTORY} and u.ut),
+g as (select conv_id, ut, count(*) as n, bool_or(is_first and role = 'system') as sys_first,
+             string_agg({rendered_turn(first='is_first')}, '' order by turn) as body
+      from w group by 1, 2),
+p as (select conv_id, ut, n, (case when sys_first then '' else {DEFAULT_HEAD} end) || body || {gen} as s from g)
+select conv_id, ut as turn, cast(n as bigint) as n_messages,
+       cast(least({_token_count('s')}, {MAXLEN}) as bigint) as n_tokens, md5(s) as prompt_md5
+from p"""
+
+
+def pretrain_prompts() -> str:
+    ids = f"list_slice(list_concat([1], {byte_ids('text')}), 1, {MAXLEN})"
+    return f"""
+select item_id, cast(len({ids}) as bigint) as n_tokens, {md5_list(ids)} as ids_md5 from benchmark"""
+
+
+def bulk_reply() -> str:
+    return """
+select conv_id, turn + 1 as turn, 'assistant' as role, md5(text) as reply_md5, cast(strlen(text) as bigint) as n_bytes
+from conversations where role = 'user'"""
+
+
+STEPS_CTE = """
+st as (select user_id as run, ts, event_id, value as loss,
+              row_number() over (partition by user_id order by ts, event_id) as step,
+              count(*) over (partition by user_id) as iters,
+              min(ts) over (partition by user_id) as run_start
+       from events)"""
+
+
+def train_log_sample() -> str:
+    return f"""
+with {STEPS_CTE}
+select run, cast(step as bigint) as step, cast(iters as bigint) as iters, round(loss, 6) as loss,
+       round(loss, 6) as logits_loss,
+       round(({LOG_LR} / 10 + 0.5 * {LOG_LR} * (1 + cos(pi() * (0 * iters + step) / (1 * iters)))) * 1e6, 6) as lr_e6
+from st where step % {LOG_INTERVAL} = 0 or step = iters - 1"""
+
+
+def train_eta() -> str:
+    spent = "((epoch_us(ts) - epoch_us(run_start)) / 1e6)"
+    return f"""
+with {STEPS_CTE}
+select run, cast(step as bigint) as step, round({spent}, 6) as spent_sec,
+       cast(floor({spent} / (step + 1) * iters / 60) - floor({spent} / 60) as bigint) as eta_min
+from st where step % {LOG_INTERVAL} = 0 or step = iters - 1"""
+
+
+def latest_progress() -> str:
+    return f"""
+with {STEPS_CTE}
+select run, cast(0 as integer) as epoch, cast(step as bigint) as step, cast(1 + run % 4 as integer) as world_size,
+       cast(step * (1 + run % 4) // 2 as bigint) as resume_step
+from st where step = iters"""
+
+
+def _length_report(src: str, keys: str) -> str:
+    L = L_PRETRAIN
+    return f"""
+with t as (select {keys}, strlen(coalesce(text, 'None')) as n from {src}),
+r as (select {keys}, n, row_number() over (partition by {keys} order by n) as rk,
+             count(*) over (partition by {keys}) as cnt from t)
+select {keys}, cast(count(*) as bigint) as n_docs, cast(sum(n) as bigint) as total_tokens,
+       round(avg(n), 6) as avg_tokens, cast(max(n) as bigint) as max_tokens,
+       cast(min(case when rk >= ceil(0.5 * cnt) then n end) as bigint) as median_tokens,
+       cast(sum(case when n > {L - 2} then 1 else 0 end) as bigint) as n_truncated,
+       round(sum({L} - (least(n, {L - 2}) + 2)) / (count(*) * {L}), 6) as pad_share
+from r group by {keys}"""
+
+
+def length_report() -> str:
+    return _length_report("documents", "lang")
+
+
+def length_report_by_quality() -> str:
+    return _length_report("(select d.text, l.quality, l.toxic from documents d join labels l on d.doc_id = l.doc_id)",
+                          "quality, toxic")
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "history_prompts": history_prompts(),
+        "pretrain_prompts": pretrain_prompts(),
+        "bulk_reply": bulk_reply(),
+        "train_log_sample": train_log_sample(),
+        "train_eta": train_eta(),
+        "latest_progress": latest_progress(),
+        "length_report": length_report(),
+        "length_report_by_quality": length_report_by_quality(),
+        "stream_encode": pretrain_encode(),
         "token_logprob": token_logprob(),
         "masked_cross_entropy": masked_cross_entropy(),
         "sequence_logprob": sequence_logprob(),

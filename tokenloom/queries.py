@@ -13,6 +13,9 @@ from .functions.chat import render_chat
 from .functions.util import md5_ids
 from .operators import conversations as conv
 from .operators import encode as enc
+from .operators import logs as LG
+from .operators import prompts as PR
+from .operators import report as RP
 from .operators import scoring as SC
 from .plans import epochs as P
 from .plans import schedule as S
@@ -244,3 +247,111 @@ def dpo_loss(spark: SparkSession, base: str) -> DataFrame:
     return out.select("n_pairs", F.round("loss", 6).alias("loss"),
                       F.round("mean_margin", 6).alias("mean_margin"), "n_positive",
                       F.round("accuracy", 6).alias("accuracy"))
+
+
+@register
+def history_prompts(spark: SparkSession, base: str) -> DataFrame:
+    """I1 + J1 + J2: prompt with two history messages for every user turn."""
+    h = PR.history_messages(T.turns(spark, base), HISTORY)
+    prompt = PR.generation_prompt(F.col("messages"))
+    ids = PR.prompt_ids(prompt)
+    return h.select("conv_id", "turn", F.size("messages").cast("bigint").alias("n_messages"),
+                    F.size(ids).cast("bigint").alias("n_tokens"), F.md5(prompt).alias("prompt_md5"))
+
+
+@register
+def pretrain_prompts(spark: SparkSession, base: str) -> DataFrame:
+    """J1 (pretrain weights) + J2 over the benchmark items."""
+    b = T.table(spark, base, "benchmark")
+    ids = PR.prompt_ids(PR.pretrain_prompt(F.col("text")))
+    return b.select("item_id", F.size(ids).cast("bigint").alias("n_tokens"),
+                    md5_ids(ids).alias("ids_md5"))
+
+
+@register
+def bulk_reply(spark: SparkSession, base: str) -> DataFrame:
+    """History prompts through a stand-in predictor (echo of the
+    last user message), replies decoded and appended as assistant turns."""
+    turns = T.turns(spark, base)
+    h = PR.history_messages(turns, HISTORY)
+    prompts = h.select("conv_id", "turn",
+                       PR.prompt_ids(PR.generation_prompt(F.col("messages"))).alias("prompt_ids"))
+    out = PR.generate(prompts, PR.echo_predictor_factory)
+    replies = out.select("conv_id", "turn", PR.reply_text(F.col("prompt_ids"), F.col("output_ids")).alias("reply"))
+    appended = PR.append_replies(turns.where(F.lit(False)), replies)
+    return appended.select("conv_id", "turn", "role", F.md5("content").alias("reply_md5"),
+                           F.octet_length("content").cast("bigint").alias("n_bytes"))
+
+
+LOG_LR = 5e-4
+
+
+def _steps(spark: SparkSession, base: str) -> DataFrame:
+    return LG.number_steps(T.step_log(spark, base), tiebreak=["event_id"])
+
+
+@register
+def train_log_sample(spark: SparkSession, base: str) -> DataFrame:
+    """A6 + E2 + F9 + H8: the logged steps of each run with lr and loss parts."""
+    logged = LG.logged_steps(_steps(spark, base), LOG_INTERVAL, LOG_LR)
+    aux = F.lit(0.0)
+    return logged.select("run", "step", "iters", F.round("loss", 6).alias("loss"),
+                         F.round(SC.total_loss(F.col("loss") - aux, aux) - aux, 6).alias("logits_loss"),
+                         F.round(F.col("lr") * 1e6, 6).alias("lr_e6"))
+
+
+@register
+def train_eta(spark: SparkSession, base: str) -> DataFrame:
+    """Elapsed seconds and remaining-minutes estimate at logged steps."""
+    logged = LG.logged_steps(_steps(spark, base), LOG_INTERVAL, LOG_LR)
+    return logged.select("run", "step", F.round(LG.spent_seconds(), 6).alias("spent_sec"),
+                         LG.eta_minutes().alias("eta_min"))
+
+
+@register
+def latest_progress(spark: SparkSession, base: str) -> DataFrame:
+    """A7/A8 + F7: latest saved state per run; step rescaled to 2 ranks."""
+    steps = _steps(spark, base)
+    progress = steps.select("run", F.lit(0).alias("epoch"), "step",
+                            (F.lit(1) + F.col("run") % 4).cast("int").alias("world_size"))
+    latest = LG.latest_progress(progress)
+    return latest.select("run", "epoch", "step", "world_size",
+                         F.floor(F.col("step") * F.col("world_size") / 2).cast("bigint").alias("resume_step"))
+
+
+@register
+def length_report(spark: SparkSession, base: str) -> DataFrame:
+    """K3 per language at the pretrain length."""
+    d = T.table(spark, base, "documents")
+    out = RP.length_report(d, ["lang"], L_PRETRAIN)
+    return out.select("lang", "n_docs", "total_tokens", F.round("avg_tokens", 6).alias("avg_tokens"),
+                      "max_tokens", "median_tokens", "n_truncated", F.round("pad_share", 6).alias("pad_share"))
+
+
+@register
+def length_report_by_quality(spark: SparkSession, base: str) -> DataFrame:
+    """K3 sliced by the quality and toxicity labels of labelled documents."""
+    d = T.table(spark, base, "documents").join(T.table(spark, base, "labels"), "doc_id")
+    out = RP.length_report(d, ["quality", "toxic"], L_PRETRAIN)
+    return out.select("quality", "toxic", "n_docs", "total_tokens",
+                      F.round("avg_tokens", 6).alias("avg_tokens"), "max_tokens", "median_tokens",
+                      "n_truncated", F.round("pad_share", 6).alias("pad_share"))
+
+
+@register
+def stream_encode(spark: SparkSession, base: str) -> DataFrame:
+    """K4: C1 as a Structured Streaming job over the documents file; the
+    appended Parquet output is read back (must equal pretrain_encode)."""
+    from .session import shared_path
+    from .streaming.encode_stream import start_append, stream_files
+    schema = T.table(spark, base, "documents").schema
+    src = stream_files(spark, base, schema, fmt="parquet", glob="documents.parquet")
+    encoded = enc.encode_pretrain(src.select(F.col("doc_id").alias("sample_id"), "text"),
+                                  max_length=L_PRETRAIN)
+    sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")
+    q = start_append(encoded, sink, ckpt)
+    q.awaitTermination()
+    out = spark.read.parquet(sink)
+    return out.select("sample_id", md5_ids(F.col("input_ids")).alias("ids_md5"),
+                      md5_ids(F.col("labels")).alias("labels_md5"),
+                      _count_not(F.col("labels"), -100).alias("n_label_tokens"))
