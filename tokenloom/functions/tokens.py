@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import (BOS_ID, BYTE_OFFSET, ENDOFTEXT, EOS_ID, IGNORE_INDEX, IM_END, IM_START,
                      MAX_CHARS_PER_TOKEN, PAD_ID, SPECIAL_TOKENS)
-from .util import empty_int_array
+from .util import empty_int_array, let
 
 _ALT = "|".join(s[2:-2] for s in SPECIAL_TOKENS)  # endoftext|im_start|im_end
 # Zero-width split before and after every special string.
@@ -49,9 +49,9 @@ def token_prefix(text: Column, max_tokens: int) -> Column:
     a token covers at most 13 characters (``<|endoftext|>``).
     """
     k = int(max_tokens)
-    plain = F.instr(F.substring(text, 1, k + 1), "<|") == 0
-    return F.when(plain, F.substring(text, 1, k)).otherwise(
-        F.substring(text, 1, MAX_CHARS_PER_TOKEN * k))
+    return let(text, lambda t: F.when(F.instr(F.substring(t, 1, k + 1), "<|") == 0,
+                                      F.substring(t, 1, k))
+               .otherwise(F.substring(t, 1, MAX_CHARS_PER_TOKEN * k)))
 
 
 def encode_text(text: Column, max_tokens: int | None = None) -> Column:
@@ -60,16 +60,16 @@ def encode_text(text: Column, max_tokens: int | None = None) -> Column:
     Special strings inside the text become their ids, as an added-token
     tokenizer does; everything else is bytes.
     """
-    if max_tokens is not None:
-        text = token_prefix(text, max_tokens)
-    pieces = F.split(text, SPECIAL_SPLIT_REGEX)
-    with_specials = F.flatten(F.transform(
-        pieces, lambda p: F.when(_special_id(p).isNotNull(), F.array(_special_id(p)))
-        .otherwise(utf8_byte_ids(p))))
-    ids = F.when(F.instr(text, "<|") == 0, utf8_byte_ids(text)).otherwise(with_specials)
-    if max_tokens is not None:
-        ids = F.slice(ids, 1, int(max_tokens))
-    return ids
+    def body(t: Column) -> Column:
+        pieces = F.split(t, SPECIAL_SPLIT_REGEX)
+        with_specials = F.flatten(F.transform(
+            pieces, lambda p: F.when(_special_id(p).isNotNull(), F.array(_special_id(p)))
+            .otherwise(utf8_byte_ids(p))))
+        return F.when(F.instr(t, "<|") == 0, utf8_byte_ids(t)).otherwise(with_specials)
+
+    if max_tokens is None:
+        return let(text, body)
+    return F.slice(let(token_prefix(text, max_tokens), body), 1, int(max_tokens))
 
 
 def truncate(ids: Column, max_tokens: int) -> Column:
@@ -84,8 +84,8 @@ def wrap_bos_eos(ids: Column) -> Column:
 
 def pad_right(ids: Column, length: int, pad_id: int = PAD_ID) -> Column:
     """Right-pad to ``length`` (never cuts)."""
-    missing = F.greatest(F.lit(int(length)) - F.size(ids), F.lit(0))
-    return F.concat(ids, F.array_repeat(F.lit(pad_id), missing))
+    return let(ids, lambda a: F.concat(a, F.array_repeat(
+        F.lit(pad_id), F.greatest(F.lit(int(length)) - F.size(a), F.lit(0)))))
 
 
 def pretrain_labels(ids: Column) -> Column:

@@ -25,6 +25,8 @@ def build_session(master: str | None = None, app: str = "tokenloom",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # Small local inputs: keep enough partitions for CPU-heavy encoders.
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g")))

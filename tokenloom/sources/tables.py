@@ -17,9 +17,17 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+def fan_out(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (a few large row groups) before CPU-heavy narrow work. A scan of many
+    files already has enough partitions and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pretrain_records(spark: SparkSession, base: str) -> DataFrame:
     """documents -> pretrain records ``(sample_id, text)``."""
-    return table(spark, base, "documents").select(F.col("doc_id").alias("sample_id"), "text")
+    return fan_out(table(spark, base, "documents").select(F.col("doc_id").alias("sample_id"), "text"))
 
 
 def turns(spark: SparkSession, base: str) -> DataFrame:
