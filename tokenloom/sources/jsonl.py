@@ -28,27 +28,34 @@ PROGRESS_SCHEMA = "run STRING, epoch INT, step BIGINT, world_size INT, wandb_id
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return (spark.read.schema(schema)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .json(path))
+    df = (spark.read.schema(schema)
+          .option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_corrupt_record")
+          .json(path))
+    # The file split a row came from; used to spread exact copies.
+    split = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    return df.withColumn("_split", split)
 
 
-def with_sample_id(df: DataFrame, *content_cols: str) -> DataFrame:
+def with_sample_id(df: DataFrame, *content_cols: str, split_col: str = "_split",
+                   buckets: int = 1024) -> DataFrame:
     """Stable id when the input has none: content hash, then a number among
-    exact copies (interchangeable, so the numbering is stable in value).
-    The window only ever holds rows with one identical hash."""
-    from pyspark.sql import Window
+    exact copies. Copies are interchangeable, so the set of ids is stable.
+
+    Copies are numbered inside ``(hash, split bucket)`` and shifted by the
+    counts of earlier buckets, so even a text copied into a third of all
+    rows is numbered by many tasks; a bucket holds at most one file split.
+    """
+    from ..plans.ranking import rank_in_buckets
     h = F.xxhash64(*[F.to_json(F.struct(c)) for c in content_cols])
-    w = Window.partitionBy("_h").orderBy(F.lit(1))
-    return (df.withColumn("_h", h)
-            .withColumn("_dup", F.row_number().over(w) - 1)
-            .withColumn("sample_id", F.xxhash64("_h", "_dup"))
-            .drop("_h", "_dup"))
+    bucket = (F.pmod(F.col(split_col), F.lit(buckets)) if split_col in df.columns else F.lit(0))
+    keyed = df.withColumn("_h", h)
+    ranked = rank_in_buckets(keyed, ["_h"], bucket, [F.lit(1)], out_col="_dup")
+    return ranked.withColumn("sample_id", F.xxhash64("_h", "_dup")).drop("_h", "_dup")
 
 
 def read_pretrain(spark: SparkSession, path: str) -> DataFrame:
-    """A1: ``(text)`` records."""
+    """A1: ``(text, _corrupt_record, _split)`` records."""
     return _read(spark, path, PRETRAIN_SCHEMA)
 
 
@@ -69,7 +76,7 @@ def read_sft(spark: SparkSession, path: str) -> DataFrame:
         _normalise_messages(F.col("conversations")).alias("messages"),
         choose_tools(F.col("conversations"),
                      F.get(F.col("conversations"), 0)["functions"]).alias("tools"),
-        "_corrupt_record")
+        "_corrupt_record", "_split")
 
 
 def read_dpo(spark: SparkSession, path: str) -> DataFrame:
@@ -79,7 +86,7 @@ def read_dpo(spark: SparkSession, path: str) -> DataFrame:
         m["role"].alias("role"), m["content"].alias("content"),
         F.lit(None).cast(TOOL_CALL_TYPE).alias("tool_calls")))
     return raw.select(as_msgs(F.col("chosen")).alias("chosen"),
-                      as_msgs(F.col("rejected")).alias("rejected"), "_corrupt_record")
+                      as_msgs(F.col("rejected")).alias("rejected"), "_corrupt_record", "_split")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
