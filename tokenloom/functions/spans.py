@@ -61,13 +61,15 @@ def _in_any(spans: Column, i: Column) -> Column:
     return F.exists(spans, lambda sp: (i >= sp["lo"]) & (i < sp["hi"]))
 
 
-def span_labels(ids: Column, max_length: int) -> Column:
+def span_labels(ids: Column, max_length: int, start: list[int] = ASSISTANT_START_IDS,
+                end: list[int] = ASSISTANT_END_IDS) -> Column:
     """Ids inside assistant spans, -100 elsewhere."""
-    return let(ids, lambda a: let(assistant_spans(a, max_length), lambda sp: F.transform(
+    return let(ids, lambda a: let(assistant_spans(a, max_length, start, end), lambda sp: F.transform(
         a, lambda t, i: F.when(_in_any(sp, i), t).otherwise(F.lit(IGNORE_INDEX)))))
 
 
-def span_mask(ids: Column, max_length: int) -> Column:
+def span_mask(ids: Column, max_length: int, start: list[int] = ASSISTANT_START_IDS,
+              end: list[int] = ASSISTANT_END_IDS) -> Column:
     """1 inside assistant spans, 0 elsewhere."""
-    return let(ids, lambda a: let(assistant_spans(a, max_length), lambda sp: F.transform(
+    return let(ids, lambda a: let(assistant_spans(a, max_length, start, end), lambda sp: F.transform(
         a, lambda t, i: F.when(_in_any(sp, i), F.lit(1)).otherwise(F.lit(0)))))

@@ -15,13 +15,33 @@ from ..functions.spans import span_labels, span_mask
 from ..functions.tokens import (coerce_text, encode_text, pad_right, pretrain_labels,
                                 shift_inputs, shift_targets, wrap_bos_eos)
 from ..functions.util import let
+from ..fixed import ASSISTANT_END_IDS, ASSISTANT_END_TEXT, ASSISTANT_START_IDS, ASSISTANT_START_TEXT
+from .vocab import marker_ids, tokenize_column
+
+
+def _markers(tokenizer_factory) -> tuple[list[int], list[int]]:
+    if tokenizer_factory is None:
+        return ASSISTANT_START_IDS, ASSISTANT_END_IDS
+    return (marker_ids(tokenizer_factory, ASSISTANT_START_TEXT),
+            marker_ids(tokenizer_factory, ASSISTANT_END_TEXT))
+
+
+def _tokens(df: DataFrame, text: F.Column, limit: int, name: str,
+            tokenizer_factory) -> tuple[DataFrame, F.Column]:
+    """Native byte ids, or the user's vocabulary through Arrow batches."""
+    if tokenizer_factory is None:
+        return df, encode_text(text, limit)
+    src = df.withColumn(f"_txt_{name}", text)
+    out = tokenize_column(src, f"_txt_{name}", tokenizer_factory, f"_tok_{name}", limit)
+    return out.drop(f"_txt_{name}"), F.col(f"_tok_{name}")
 
 
 def encode_pretrain(df: DataFrame, text_col: str = "text", id_col: str = "sample_id",
-                    max_length: int = PRETRAIN_MAX_LENGTH) -> DataFrame:
+                    max_length: int = PRETRAIN_MAX_LENGTH, tokenizer_factory=None) -> DataFrame:
     """``(id, input_ids, labels)``, both of length ``max_length``."""
     L = int(max_length)
-    ids = pad_right(wrap_bos_eos(encode_text(coerce_text(F.col(text_col)), L - 2)), L)
+    df, toks = _tokens(df, coerce_text(F.col(text_col)), L - 2, "text", tokenizer_factory)
+    ids = pad_right(wrap_bos_eos(toks), L)
     pair = let(ids, lambda a: F.struct(a.alias("input_ids"), pretrain_labels(a).alias("labels")))
     return df.select(F.col(id_col), pair.alias("_s")).select(id_col, "_s.input_ids", "_s.labels")
 
@@ -32,26 +52,31 @@ def prompt_ids(prompt: F.Column, max_length: int) -> F.Column:
 
 
 def encode_sft(df: DataFrame, id_col: str = "sample_id", messages_col: str = "messages",
-               tools_col: str | None = "tools", max_length: int = SFT_MAX_LENGTH) -> DataFrame:
+               tools_col: str | None = "tools", max_length: int = SFT_MAX_LENGTH,
+               tokenizer_factory=None) -> DataFrame:
     """Render (with tools) -> ids -> span labels."""
     L = int(max_length)
     tools = F.col(tools_col) if tools_col else None
-    ids = prompt_ids(render_chat(F.col(messages_col), tools), L)
-    pair = let(ids, lambda a: F.struct(a.alias("input_ids"), span_labels(a, L).alias("labels")))
+    start, end = _markers(tokenizer_factory)
+    df, toks = _tokens(df, render_chat(F.col(messages_col), tools), L, "prompt", tokenizer_factory)
+    pair = let(pad_right(toks, L), lambda a: F.struct(
+        a.alias("input_ids"), span_labels(a, L, start, end).alias("labels")))
     return df.select(F.col(id_col), pair.alias("_s")).select(id_col, "_s.input_ids", "_s.labels")
 
 
 def encode_dpo(df: DataFrame, id_col: str = "pair_id", chosen_col: str = "chosen",
-               rejected_col: str = "rejected", max_length: int = DPO_MAX_LENGTH) -> DataFrame:
+               rejected_col: str = "rejected", max_length: int = DPO_MAX_LENGTH,
+               tokenizer_factory=None) -> DataFrame:
     """Both sides rendered without tools, masked, shifted to ``L - 1``."""
     L = int(max_length)
+    start, end = _markers(tokenizer_factory)
+    df, tc = _tokens(df, render_chat(F.col(chosen_col)), L, "chosen", tokenizer_factory)
+    df, tr = _tokens(df, render_chat(F.col(rejected_col)), L, "rejected", tokenizer_factory)
 
-    def side(col: str, name: str) -> F.Column:
-        ids = prompt_ids(render_chat(F.col(col)), L)
-        return let(ids, lambda a: let(span_mask(a, L), lambda m: F.struct(
+    def side(toks: F.Column, name: str) -> F.Column:
+        return let(pad_right(toks, L), lambda a: let(span_mask(a, L, start, end), lambda m: F.struct(
             shift_inputs(a, L).alias(f"x_{name}"), shift_targets(a, L).alias(f"y_{name}"),
             shift_targets(m, L).alias(f"mask_{name}"))))
 
-    return (df.select(F.col(id_col), side(chosen_col, "chosen").alias("_c"),
-                      side(rejected_col, "rejected").alias("_r"))
+    return (df.select(F.col(id_col), side(tc, "chosen").alias("_c"), side(tr, "rejected").alias("_r"))
             .select(id_col, "_c.*", "_r.*"))
