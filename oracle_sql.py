@@ -431,8 +431,35 @@ def length_report_by_quality() -> str:
                           "quality, toxic")
 
 
+def sft_length_report() -> str:
+    L = L_SFT
+    return f"""
+with h as ({_encoded('conversations', 'conv_id', 1000000)}),
+s as (select conv_id, len(ids) as n_tokens,
+             len(list_filter(list_slice(labels, 1, {L}), lambda x: x <> {M100})) as n_sup from h)
+select cast(count(*) as bigint) as n_samples, cast(sum(n_tokens) as bigint) as total_tokens,
+       cast(max(n_tokens) as bigint) as max_tokens,
+       cast(sum(case when n_tokens > {L} then 1 else 0 end) as bigint) as n_truncated,
+       cast(sum(case when n_sup = 0 then 1 else 0 end) as bigint) as n_no_supervised,
+       round(sum(n_sup) / sum(least(n_tokens, {L})), 6) as supervised_share
+from s"""
+
+
+def training_shards() -> str:
+    L = L_PRETRAIN
+    ntok = f"least(len({byte_ids(f'left(text, {L - 2})')}), {L - 2}) + 2"
+    return f"""
+with m as ({_sharded(1)}),
+s as (select doc_id as sample_id, {ntok} as n_label_tokens from documents)
+select m.epoch, m.rank, cast(count(*) as bigint) as n_samples, cast(count(distinct m.step) as bigint) as n_steps,
+       cast(sum(m.sample_id) as bigint) as id_sum, cast(sum(s.n_label_tokens) as bigint) as n_tokens
+from m join s on m.sample_id = s.sample_id group by 1, 2"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "sft_length_report": sft_length_report(),
+        "training_shards": training_shards(),
         "history_prompts": history_prompts(),
         "pretrain_prompts": pretrain_prompts(),
         "bulk_reply": bulk_reply(),

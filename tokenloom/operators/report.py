@@ -29,3 +29,24 @@ def length_report(records: DataFrame, group_cols: list[str], max_length: int,
         F.percentile_approx("n_tokens", 0.5, 1_000_000).cast("bigint").alias("median_tokens"),
         F.sum((F.col("n_tokens") > L - reserved).cast("bigint")).alias("n_truncated"),
         (F.sum(F.lit(L) - F.col("kept")) / (F.count(F.lit(1)) * F.lit(L))).alias("pad_share"))
+
+
+def sft_length_report(chat: DataFrame, max_length: int, messages_col: str = "messages",
+                      tools_col: str | None = None) -> DataFrame:
+    """K3 for chat samples: whole-conversation token counts, truncation, and
+    rows whose cut sample keeps no supervised token."""
+    from ..functions.chat import render_chat
+    from ..operators.encode import encode_sft
+    L = int(max_length)
+    tools = F.col(tools_col) if tools_col else None
+    sized = chat.withColumn("_n", token_count(render_chat(F.col(messages_col), tools)))
+    enc = encode_sft(sized, id_col="_n", messages_col=messages_col, tools_col=tools_col, max_length=L)
+    sup = F.size(F.filter("labels", lambda t: t != F.lit(-100)))
+    t = enc.select(F.col("_n").alias("n_tokens"), sup.alias("n_sup"))
+    return t.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_samples"),
+        F.sum("n_tokens").cast("bigint").alias("total_tokens"),
+        F.max("n_tokens").cast("bigint").alias("max_tokens"),
+        F.sum((F.col("n_tokens") > L).cast("bigint")).alias("n_truncated"),
+        F.sum((F.col("n_sup") == 0).cast("bigint")).alias("n_no_supervised"),
+        (F.sum("n_sup") / F.sum(F.least(F.col("n_tokens"), F.lit(L)))).alias("supervised_share"))

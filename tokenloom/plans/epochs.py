@@ -109,3 +109,23 @@ def batches_per_rank(n: int, world: int, batch_size: int, skip: int = 0) -> int:
 def fetch_batches(manifest: DataFrame, encoded: DataFrame, id_col: str = "sample_id") -> DataFrame:
     """Attach each planned slot's encoded sample (equi-join on id)."""
     return manifest.join(encoded, id_col)
+
+
+def write_training_shards(manifest: DataFrame, encoded: DataFrame, path: str,
+                          id_col: str = "sample_id", n_parts: int | None = None,
+                          max_records_per_file: int = 100_000) -> None:
+    """A5: encoded samples in delivery order, one folder per (epoch, rank).
+
+    Range partitioning on ``(epoch, rank, step)`` keeps file order equal to
+    step order and splits a rank's epoch over many tasks and files (no
+    single task per rank); rows inside a file are sorted by step and slot.
+    Reading a folder in file-name order replays the batches.
+    """
+    rows = fetch_batches(manifest, encoded, id_col)
+    keys = ["epoch", "rank", "step"]
+    # Default: the session's shuffle partitions (sized for the cluster).
+    ranged = rows.repartitionByRange(n_parts, *keys) if n_parts else rows.repartitionByRange(*keys)
+    (ranged
+     .sortWithinPartitions("epoch", "rank", "step", "slot")
+     .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy("epoch", "rank").parquet(path))

@@ -355,3 +355,29 @@ def stream_encode(spark: SparkSession, base: str) -> DataFrame:
     return out.select("sample_id", md5_ids(F.col("input_ids")).alias("ids_md5"),
                       md5_ids(F.col("labels")).alias("labels_md5"),
                       _count_not(F.col("labels"), -100).alias("n_label_tokens"))
+
+
+@register
+def sft_length_report(spark: SparkSession, base: str) -> DataFrame:
+    """K3 for the SFT samples at the SFT length."""
+    out = RP.sft_length_report(conv.chat_records(T.turns(spark, base)), L_SFT)
+    return out.select("n_samples", "total_tokens", "max_tokens", "n_truncated", "n_no_supervised",
+                      F.round("supervised_share", 6).alias("supervised_share"))
+
+
+@register
+def training_shards(spark: SparkSession, base: str) -> DataFrame:
+    """A5: encoded pretrain samples written per (epoch, rank) in step order
+    to the shared folder, read back and summarised per shard."""
+    from .session import shared_path
+    docs = T.pretrain_records(spark, base)
+    m = P.build_manifest(docs.select("sample_id"), 1, SHARD_WORLD, SHARD_BATCH)
+    encoded = enc.encode_pretrain(docs, max_length=L_PRETRAIN)
+    path = shared_path(spark, "training-shards")
+    P.write_training_shards(m, encoded, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("epoch", "rank").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_samples"),
+        F.countDistinct("step").cast("bigint").alias("n_steps"),
+        F.sum("sample_id").cast("bigint").alias("id_sum"),
+        F.sum(_count_not(F.col("labels"), -100)).cast("bigint").alias("n_tokens"))
