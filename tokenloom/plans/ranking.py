@@ -72,11 +72,23 @@ def buckets_for(n_rows: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
 def global_rank(df: DataFrame, order_col: str, tiebreak: list[str] | None = None,
                 out_col: str = "pos", n_rows: int | None = None,
                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """0-based rank over a numeric ``order_col`` using quantile buckets."""
+    """0-based rank over a numeric ``order_col`` using quantile buckets.
+
+    At least one bucket per core, more as the data grows, so the numbering
+    window never runs in a single task.
+    """
     n_rows = df.count() if n_rows is None else n_rows
-    nb = buckets_for(n_rows, rows_per_bucket)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    nb = max(buckets_for(n_rows, rows_per_bucket), min(cores, max(n_rows, 1)))
     bounds = quantile_bounds(df, order_col, nb)
     order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
+    if not bounds and nb > 1 and n_rows > 1:
+        # One distinct value: the tiebreak columns alone define the order.
+        if tiebreak:
+            return global_rank(df, tiebreak[0], tiebreak[1:], out_col, n_rows, rows_per_bucket)
+        # Complete tie: every numbering is a valid order.
+        tie_bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(nb))
+        return rank_in_buckets(df, [], tie_bucket, order, out_col=out_col, broadcast_offsets=True)
     return rank_in_buckets(df, [], bucket_from_bounds(F.col(order_col), bounds), order,
                            out_col=out_col, broadcast_offsets=True)
 
