@@ -345,7 +345,8 @@ def stream_encode(spark: SparkSession, base: str) -> DataFrame:
     from .session import shared_path
     from .streaming.encode_stream import start_append, stream_files
     schema = T.table(spark, base, "documents").schema
-    src = stream_files(spark, base, schema, fmt="parquet", glob="documents.parquet")
+    src = stream_files(spark, base, schema, fmt="parquet", glob="documents.parquet",
+                       spread=spark.sparkContext.defaultParallelism)
     encoded = enc.encode_pretrain(src.select(F.col("doc_id").alias("sample_id"), "text"),
                                   max_length=L_PRETRAIN)
     sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")

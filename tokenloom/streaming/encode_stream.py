@@ -12,13 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def stream_files(spark: SparkSession, path: str, schema, fmt: str = "json",
-                 glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                 glob: str | None = None, max_files_per_trigger: int | None = None,
+                 spread: int | None = None) -> DataFrame:
+    """File stream source. ``spread``: round-robin each micro-batch over that
+    many partitions (for few large files feeding CPU-heavy encoders)."""
     r = spark.readStream.schema(schema).format(fmt)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    df = r.load(path)
+    return df.repartition(spread) if spread else df
 
 
 def start_append(df: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
