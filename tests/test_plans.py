@@ -140,3 +140,14 @@ def test_update_number_closed_form():
             for (epoch, step), v in seen.items():
                 assert epoch * per_epoch + (step + 1) // a - 1 // a == v
     assert math.isclose(5e-4 / 10 + 0.5 * 5e-4 * (1 + math.cos(math.pi)), 5e-5)
+
+
+def test_grouped_rank_adaptive_hot_group(spark):
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    hot = ev.withColumn("g", F.when(F.col("user_id") < 100, F.lit(0)).otherwise(F.col("user_id")))
+    w = Window.partitionBy("g").orderBy("ts", "event_id")
+    exp = {(r.event_id, r.p) for r in hot.select("event_id", (F.row_number().over(w) - 1).alias("p")).collect()}
+    keyed = hot.withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    got = {(r.event_id, r.pos) for r in grouped_rank(keyed, ["g"], "us", ["event_id"], rows_per_bucket=500)
+           .select("event_id", "pos").collect()}
+    assert got == exp

@@ -16,7 +16,7 @@ from ..plans.schedule import is_log_step, step_lr
 
 
 def number_steps(log: DataFrame, run_col: str = "run", ts_col: str = "ts",
-                 tiebreak: list[str] | None = None, sub_buckets: int = 16) -> DataFrame:
+                 tiebreak: list[str] | None = None, sub_buckets: int | None = None) -> DataFrame:
     """1-based ``step`` per run in ``(ts, tiebreak)`` order, plus ``iters``."""
     keyed = log.withColumn("_us", F.unix_micros(F.col(ts_col).cast("timestamp")))
     ranked = grouped_rank(keyed, [run_col], "_us", tiebreak=tiebreak or [],

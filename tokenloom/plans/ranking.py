@@ -95,21 +95,32 @@ def global_rank(df: DataFrame, order_col: str, tiebreak: list[str] | None = None
 
 def grouped_rank(df: DataFrame, group_cols: list[str], order_col: str,
                  tiebreak: list[str] | None = None, out_col: str = "pos",
-                 sub_buckets: int = 16) -> DataFrame:
+                 sub_buckets: int | None = None,
+                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """0-based rank within groups over a numeric ``order_col``.
 
-    Each group is split into ``sub_buckets`` order-preserving slices at its
-    own approximate quantiles, so a hot group is numbered by many tasks.
+    Group sizes are measured first. Groups above ``rows_per_bucket`` rows
+    are split into order-preserving slices at their own approximate
+    quantiles (enough slices for the largest group), so a group holding a
+    third of the data is numbered by many tasks; smaller groups are numbered
+    by a plain per-group window. ``sub_buckets`` forces the slice count for
+    every group (tests).
     """
-    if sub_buckets <= 1:
-        bucket = F.lit(0)
-        src = df
-    else:
-        probs = [i / sub_buckets for i in range(1, sub_buckets)]
-        bounds = df.groupBy(*group_cols).agg(
-            F.percentile_approx(F.col(order_col), probs, 10000).alias("_bounds"))
-        src = df.join(bounds, on=group_cols, how="inner")
-        bucket = F.size(F.filter("_bounds", lambda x: x < F.col(order_col)))
     order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
-    out = rank_in_buckets(src, group_cols, bucket, order, out_col=out_col)
-    return out.drop("_bounds") if sub_buckets > 1 else out
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gn"))
+    if sub_buckets is None:
+        largest = sizes.agg(F.max("_gn")).first()[0] or 0
+        sub_buckets = int(min(256, max(1, math.ceil(largest / rows_per_bucket))))
+        hot = sizes.where(F.col("_gn") > rows_per_bucket)
+    else:
+        hot = sizes
+    if sub_buckets <= 1:
+        w = Window.partitionBy(*group_cols).orderBy(*order)
+        return df.withColumn(out_col, (F.row_number().over(w) - 1).cast("bigint"))
+    probs = [i / sub_buckets for i in range(1, sub_buckets)]
+    bounds = (df.join(hot.select(*group_cols), on=group_cols, how="left_semi")
+              .groupBy(*group_cols)
+              .agg(F.percentile_approx(F.col(order_col), probs, 10000).alias("_bounds")))
+    src = df.join(bounds, on=group_cols, how="left")
+    bucket = F.coalesce(F.size(F.filter("_bounds", lambda x: x < F.col(order_col))), F.lit(0))
+    return rank_in_buckets(src, group_cols, bucket, order, out_col=out_col).drop("_bounds")
