@@ -12,17 +12,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chat import messages_from_turns
-from ..plans.ranking import global_rank
+from ..plans.ranking import global_rank, grouped_running_total
 
+KNOWN_ROLES = ("user", "system", "assistant", "tool")
+# Fewest byte tokens any rendered user/system/assistant/tool message takes:
+# "<|im_start|>user\n<|im_end|>\n" = 1 + 5 + 1 + 1.
+MIN_MESSAGE_TOKENS = 8
 
-def chat_records(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """K1: ``(conv_id, turn, role, content)`` -> ``(conv_id, messages)``."""
+
+def within_budget(turns: DataFrame, max_tokens: int, id_col: str = "conv_id",
+                  min_message_tokens: int = MIN_MESSAGE_TOKENS) -> DataFrame:
+    """Drop the turns that start beyond ``max_tokens`` in every rendering.
+
+    A turn preceded by ``k`` known-role messages starts at token
+    ``>= k * min_message_tokens``; once that reaches the budget the turn and
+    everything after it are cut off, and removing this suffix only changes
+    text that lies past the cut. The count ``k`` is a distributed running
+    total, so a conversation of any length is split over many tasks and the
+    collected message array stays bounded by the budget.
+    Use ``min_message_tokens=1`` with a vocabulary whose tokens can cover a
+    whole marker line.
+    """
+    limit = -(-int(max_tokens) // int(min_message_tokens))
+    known = F.col("role").isin(*KNOWN_ROLES).cast("bigint")
+    counted = grouped_running_total(turns, [id_col], "turn", known, "_k", inclusive=False)
+    return counted.where(F.col("_k") < limit).drop("_k")
+
+
+def chat_records(turns: DataFrame, id_col: str = "conv_id", max_tokens: int | None = None) -> DataFrame:
+    """K1: ``(conv_id, turn, role, content)`` -> ``(conv_id, messages)``.
+
+    With ``max_tokens`` (encoders), turns past the token budget are dropped
+    before collecting; without it (rendering), the whole conversation is kept.
+    """
+    if max_tokens is not None:
+        turns = within_budget(turns, max_tokens, id_col)
     return (turns.groupBy(id_col)
             .agg(F.collect_list(F.struct("turn", "role", "content")).alias("_t"))
             .select(id_col, messages_from_turns(F.col("_t")).alias("messages")))
 
 
-def preference_pairs(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
+def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
+                     max_tokens: int | None = None) -> DataFrame:
     """K2: ``(pair_id, chosen, rejected)``.
 
     Conversations with an assistant turn are cut after their last assistant
@@ -41,8 +72,10 @@ def preference_pairs(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
     successor = ranked.select(((F.col("pos") - 1 + F.lit(n)) % F.lit(n)).alias("pos"),
                               F.col("last_text").alias("next_text"))
     pairs = ranked.join(successor, "pos").select(id_col, "cut_turn", "next_text")
-    kept = (turns.join(pairs, id_col)
-            .where(F.col("turn") <= F.col("cut_turn"))
+    kept = turns.join(pairs, id_col).where(F.col("turn") <= F.col("cut_turn"))
+    if max_tokens is not None:
+        kept = within_budget(kept, max_tokens, id_col)
+    kept = (kept
             .withColumn("rejected_content",
                         F.when(F.col("turn") == F.col("cut_turn"), F.col("next_text"))
                         .otherwise(F.col("content"))))

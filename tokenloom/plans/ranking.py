@@ -93,20 +93,15 @@ def global_rank(df: DataFrame, order_col: str, tiebreak: list[str] | None = None
                            out_col=out_col, broadcast_offsets=True)
 
 
-def grouped_rank(df: DataFrame, group_cols: list[str], order_col: str,
-                 tiebreak: list[str] | None = None, out_col: str = "pos",
-                 sub_buckets: int | None = None,
-                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """0-based rank within groups over a numeric ``order_col``.
+def _hot_group_buckets(df: DataFrame, group_cols: list[str], order_col: str,
+                       sub_buckets: int | None, rows_per_bucket: int) -> tuple[DataFrame, Column | None]:
+    """Order-preserving slice id per row; None when every group is small.
 
     Group sizes are measured first. Groups above ``rows_per_bucket`` rows
-    are split into order-preserving slices at their own approximate
-    quantiles (enough slices for the largest group), so a group holding a
-    third of the data is numbered by many tasks; smaller groups are numbered
-    by a plain per-group window. ``sub_buckets`` forces the slice count for
-    every group (tests).
+    are cut at their own approximate quantiles into enough slices for the
+    largest group; smaller groups stay whole (slice 0). ``sub_buckets``
+    forces the slice count for every group (tests).
     """
-    order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gn"))
     if sub_buckets is None:
         largest = sizes.agg(F.max("_gn")).first()[0] or 0
@@ -115,12 +110,48 @@ def grouped_rank(df: DataFrame, group_cols: list[str], order_col: str,
     else:
         hot = sizes
     if sub_buckets <= 1:
-        w = Window.partitionBy(*group_cols).orderBy(*order)
-        return df.withColumn(out_col, (F.row_number().over(w) - 1).cast("bigint"))
+        return df, None
     probs = [i / sub_buckets for i in range(1, sub_buckets)]
     bounds = (df.join(hot.select(*group_cols), on=group_cols, how="left_semi")
               .groupBy(*group_cols)
               .agg(F.percentile_approx(F.col(order_col), probs, 10000).alias("_bounds")))
     src = df.join(bounds, on=group_cols, how="left")
-    bucket = F.coalesce(F.size(F.filter("_bounds", lambda x: x < F.col(order_col))), F.lit(0))
+    return src, F.coalesce(F.size(F.filter("_bounds", lambda x: x < F.col(order_col))), F.lit(0))
+
+
+def grouped_rank(df: DataFrame, group_cols: list[str], order_col: str,
+                 tiebreak: list[str] | None = None, out_col: str = "pos",
+                 sub_buckets: int | None = None,
+                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """0-based rank within groups over a numeric ``order_col``; a group
+    holding a third of the data is numbered by many tasks."""
+    order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
+    src, bucket = _hot_group_buckets(df, group_cols, order_col, sub_buckets, rows_per_bucket)
+    if bucket is None:
+        w = Window.partitionBy(*group_cols).orderBy(*order)
+        return df.withColumn(out_col, (F.row_number().over(w) - 1).cast("bigint"))
     return rank_in_buckets(src, group_cols, bucket, order, out_col=out_col).drop("_bounds")
+
+
+def grouped_running_total(df: DataFrame, group_cols: list[str], order_col: str, value: Column,
+                          out_col: str, inclusive: bool = True, tiebreak: list[str] | None = None,
+                          sub_buckets: int | None = None,
+                          rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """Running sum of ``value`` within groups in ``order_col`` order, with the
+    same hot-group slicing as :func:`grouped_rank` (slice totals are
+    prefix-summed over a small table)."""
+    order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
+    frame_end = 0 if inclusive else -1
+    src, bucket = _hot_group_buckets(df, group_cols, order_col, sub_buckets, rows_per_bucket)
+    src = src.withColumn("_v", value)
+    if bucket is None:
+        w = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
+        return src.withColumn(out_col, F.coalesce(F.sum("_v").over(w), F.lit(0))).drop("_v")
+    b = src.withColumn("_bucket", bucket)
+    totals = b.groupBy(*group_cols, "_bucket").agg(F.sum("_v").alias("_t"))
+    before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*group_cols, "_bucket", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*group_cols, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
+    return (b.join(offsets, on=[*group_cols, "_bucket"])
+            .withColumn(out_col, F.col("_off") + F.coalesce(F.sum("_v").over(w), F.lit(0)))
+            .drop("_bucket", "_off", "_v", "_bounds"))

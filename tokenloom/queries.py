@@ -66,7 +66,7 @@ def chat_render(spark: SparkSession, base: str) -> DataFrame:
 @register
 def sft_encode(spark: SparkSession, base: str) -> DataFrame:
     """Conversations -> fixed-length ids and span labels."""
-    recs = conv.chat_records(T.turns(spark, base))
+    recs = conv.chat_records(T.turns(spark, base), max_tokens=L_SFT)
     out = enc.encode_sft(recs, id_col="conv_id", tools_col=None, max_length=L_SFT)
     return out.select("conv_id", md5_ids(F.col("input_ids")).alias("ids_md5"),
                       md5_ids(F.col("labels")).alias("labels_md5"),
@@ -77,7 +77,7 @@ def sft_encode(spark: SparkSession, base: str) -> DataFrame:
 @register
 def sft_supervised_tokens(spark: SparkSession, base: str) -> DataFrame:
     """B10 at token level: every supervised position of every conversation."""
-    recs = conv.chat_records(T.turns(spark, base))
+    recs = conv.chat_records(T.turns(spark, base), max_tokens=L_SFT)
     out = enc.encode_sft(recs, id_col="conv_id", tools_col=None, max_length=L_SFT)
     return (out.select("conv_id", F.posexplode("labels").alias("pos", "token"))
             .where(F.col("token") != -100)
@@ -97,7 +97,7 @@ def dpo_pairs(spark: SparkSession, base: str) -> DataFrame:
 @register
 def dpo_encode(spark: SparkSession, base: str) -> DataFrame:
     """Both sides encoded, masked and shifted."""
-    out = enc.encode_dpo(conv.preference_pairs(T.turns(spark, base)), max_length=L_DPO)
+    out = enc.encode_dpo(conv.preference_pairs(T.turns(spark, base), max_tokens=L_DPO), max_length=L_DPO)
     cols = [F.col("pair_id")]
     for side in ("chosen", "rejected"):
         for part in ("x", "y", "mask"):
