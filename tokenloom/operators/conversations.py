@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.chat import messages_from_turns
 from ..plans.ranking import global_rank, grouped_running_total
+from ..session import materialize
 
 KNOWN_ROLES = ("user", "system", "assistant", "tool")
 # Fewest byte tokens any rendered user/system/assistant/tool message takes:
@@ -67,6 +68,7 @@ def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
             .agg(F.max_by(F.struct("turn", "content"), "turn").alias("_last"))
             .select(id_col, F.col("_last.turn").alias("cut_turn"),
                     F.col("_last.content").alias("last_text")))
+    last = materialize(last)  # one row per conversation, read by three jobs
     n = last.count()
     ranked = global_rank(last, id_col, out_col="pos", n_rows=n)
     successor = ranked.select(((F.col("pos") - 1 + F.lit(n)) % F.lit(n)).alias("pos"),

@@ -102,7 +102,8 @@ def _hot_group_buckets(df: DataFrame, group_cols: list[str], order_col: str,
     largest group; smaller groups stay whole (slice 0). ``sub_buckets``
     forces the slice count for every group (tests).
     """
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gn"))
+    from ..session import materialize
+    sizes = materialize(df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gn")))
     if sub_buckets is None:
         largest = sizes.agg(F.max("_gn")).first()[0] or 0
         sub_buckets = int(min(256, max(1, math.ceil(largest / rows_per_bucket))))

@@ -60,3 +60,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder, unique per call."""
     import uuid
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage for a DataFrame that feeds several actions: a reliable
+    checkpoint written below ``spark.checkpoint.dir`` (shared storage on a
+    cluster), so lost executors re-read it instead of recomputing."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
