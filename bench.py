@@ -1,7 +1,8 @@
 """Headline benchmark: prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, default: all registered queries).
+BENCH_QUERIES (comma list, default: all registered queries),
+BENCH_EVENT_LOG (optional folder for Spark's event log).
 Each query result is fully materialised with a no-op write, so the
 measured time covers the whole plan without moving rows to the driver.
 """
@@ -25,7 +26,10 @@ HEADLINE = ["pretrain_encode", "sft_encode", "dpo_encode", "epoch_plan", "batch_
 def main() -> None:
     base = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(Q.REGISTRY)
-    spark = build_session(app="tokenloom-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times without the UI
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(app="tokenloom-bench", extra=extra)
     # Untimed warm-up on the smallest tables (JIT, class loading, Python workers).
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm):

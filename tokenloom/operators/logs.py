@@ -15,10 +15,24 @@ from ..plans.ranking import grouped_rank
 from ..plans.schedule import is_log_step, step_lr
 
 
+def micros_between(start: F.Column, end: F.Column) -> F.Column:
+    """Microseconds from ``start`` to ``end``; wall-clock arithmetic for
+    TIMESTAMP_NTZ, so the result never depends on the session time zone."""
+    return F.timestamp_diff("MICROSECOND", start, end)
+
+
+def epoch_micros(df: DataFrame, ts_col: str) -> F.Column:
+    """Monotone, zone-independent micros since 1970 of a timestamp column."""
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[ts_col].dataType, TimestampNTZType):
+        return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts_col))
+    return F.unix_micros(F.col(ts_col))
+
+
 def number_steps(log: DataFrame, run_col: str = "run", ts_col: str = "ts",
                  tiebreak: list[str] | None = None, sub_buckets: int | None = None) -> DataFrame:
     """1-based ``step`` per run in ``(ts, tiebreak)`` order, plus ``iters``."""
-    keyed = log.withColumn("_us", F.unix_micros(F.col(ts_col).cast("timestamp")))
+    keyed = log.withColumn("_us", epoch_micros(log, ts_col))
     ranked = grouped_rank(keyed, [run_col], "_us", tiebreak=tiebreak or [],
                           out_col="_pos", sub_buckets=sub_buckets)
     iters = log.groupBy(run_col).agg(F.count(F.lit(1)).cast("bigint").alias("iters"),
@@ -38,14 +52,12 @@ def logged_steps(steps: DataFrame, log_interval: int, lr: float, epochs: int = 1
 
 def eta_minutes(ts: str = "ts", start: str = "run_start") -> F.Column:
     """``spent/(step+1)*iters // 60 - spent // 60`` (minutes)."""
-    spent = (F.unix_micros(F.col(ts).cast("timestamp")) -
-             F.unix_micros(F.col(start).cast("timestamp"))) / F.lit(1e6)
+    spent = micros_between(F.col(start), F.col(ts)) / F.lit(1e6)
     return (F.floor(spent / (F.col("step") + 1) * F.col("iters") / 60) - F.floor(spent / 60)).cast("bigint")
 
 
 def spent_seconds(ts: str = "ts", start: str = "run_start") -> F.Column:
-    return (F.unix_micros(F.col(ts).cast("timestamp")) -
-            F.unix_micros(F.col(start).cast("timestamp"))) / F.lit(1e6)
+    return micros_between(F.col(start), F.col(ts)) / F.lit(1e6)
 
 
 def latest_progress(progress: DataFrame, run_col: str = "run",
