@@ -456,8 +456,34 @@ select m.epoch, m.rank, cast(count(*) as bigint) as n_samples, cast(count(distin
 from m join s on m.sample_id = s.sample_id group by 1, 2"""
 
 
+DPO_BATCH = 4
+
+
+def dpo_batch_loss() -> str:
+    return f"""
+with {TOKENS_CTE}, {MARGIN_CTE.format(b=BETA)}
+select cast(pair_id // {DPO_BATCH} as bigint) as batch_id, cast(count(*) as bigint) as n_pairs,
+       round(avg(pair_loss), 6) as loss, round(avg(margin), 6) as mean_margin,
+       cast(sum(case when margin > 0 then 1 else 0 end) as bigint) as n_positive
+from mg group by 1"""
+
+
+def update_batches() -> str:
+    W, B, A = SHARD_WORLD, SHARD_BATCH, PLAN_ACCUMULATION
+    return f"""
+with m as ({_sharded(PLAN_EPOCHS)}),
+it as (select cast(ceil(ceil(count(*) / {W}.0) / {B}.0) as bigint) as iters from documents),
+u as (select epoch, step,
+             cast(epoch * (((iters + 1) // {A}) - (1 // {A})) + ((step + 1) // {A}) - (1 // {A}) as bigint) as update_id
+      from m cross join it)
+select update_id, cast(count(*) as bigint) as n_samples, cast(count(distinct (epoch, step)) as bigint) as n_micro_steps
+from u group by 1"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "dpo_batch_loss": dpo_batch_loss(),
+        "update_batches": update_batches(),
         "sft_length_report": sft_length_report(),
         "training_shards": training_shards(),
         "history_prompts": history_prompts(),

@@ -382,3 +382,27 @@ def training_shards(spark: SparkSession, base: str) -> DataFrame:
         F.countDistinct("step").cast("bigint").alias("n_steps"),
         F.sum("sample_id").cast("bigint").alias("id_sum"),
         F.sum(_count_not(F.col("labels"), -100)).cast("bigint").alias("n_tokens"))
+
+
+DPO_BATCH = 4
+
+
+@register
+def dpo_batch_loss(spark: SparkSession, base: str) -> DataFrame:
+    """H6 as a trainer logs it: mean DPO loss per micro-batch of 4 pairs."""
+    m = _margins(spark, base).withColumn("batch_id", F.floor(F.col("pair_id") / DPO_BATCH).cast("bigint"))
+    out = SC.dpo_summary(m, ["batch_id"])
+    return out.select("batch_id", "n_pairs", F.round("loss", 6).alias("loss"),
+                      F.round("mean_margin", 6).alias("mean_margin"), "n_positive")
+
+
+@register
+def update_batches(spark: SparkSession, base: str) -> DataFrame:
+    """F8: samples per weight update (micro-batch x accumulation x ranks)."""
+    docs = _docs(spark, base)
+    n = docs.count()
+    iters = F.lit(P.batches_per_rank(n, SHARD_WORLD, SHARD_BATCH))
+    m = P.build_manifest(docs, PLAN_EPOCHS, SHARD_WORLD, SHARD_BATCH, n=n)
+    upd = m.withColumn("update_id", S.update_number(F.col("epoch"), F.col("step"), iters, PLAN_ACCUMULATION))
+    return upd.groupBy("update_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"),
+                                        F.countDistinct("epoch", "step").cast("bigint").alias("n_micro_steps"))

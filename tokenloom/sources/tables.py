@@ -18,11 +18,15 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def fan_out(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores
-    (a few large row groups) before CPU-heavy narrow work. A scan of many
-    files already has enough partitions and is left alone."""
+    """Spread a small scan before CPU-heavy narrow work.
+
+    File splits can hold no rows (one large row group per file), so a scan
+    reporting fewer than two splits per core is round-robined over
+    ``2 x cores`` partitions. A large scan has far more splits than cores
+    and is left alone, so this never adds a shuffle of big inputs.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
 
 
 def pretrain_records(spark: SparkSession, base: str) -> DataFrame:
