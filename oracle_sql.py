@@ -21,9 +21,8 @@ LOG_INTERVAL = 10
 
 def byte_ids(expr: str) -> str:
     """DuckDB list of byte ids (UTF-8 byte + 3) of a VARCHAR expression."""
-    h = f"hex({expr})"
-    return (f"list_transform(range(0, strlen({h}) // 2), "
-            f"lambda i: ('0x' || substr({h}, 2 * i + 1, 2))::INTEGER + 3)")
+    return (f"list_transform(regexp_extract_all(hex({expr}), '..'), "
+            f"lambda x: ('0x' || x)::INTEGER + 3)")
 
 
 def pad(expr: str, length: int, value: int) -> str:
@@ -37,7 +36,8 @@ def md5_list(expr: str) -> str:
 
 def pretrain_encode() -> str:
     L = L_PRETRAIN
-    core = f"list_concat([1], list_slice({byte_ids(f'left(coalesce(text, {chr(39)}None{chr(39)}), {L - 2})')}, 1, {L - 2}), [2])"
+    # whole text tokenized, then truncated (no character prefix)
+    core = f"list_concat([1], list_slice({byte_ids(f'coalesce(text, {chr(39)}None{chr(39)})')}, 1, {L - 2}), [2])"
     return f"""
 with c as (select doc_id as sample_id, {core} as core from documents)
 select sample_id,
@@ -241,7 +241,7 @@ from g"""
 
 def batch_fetch() -> str:
     L = L_PRETRAIN
-    ntok = f"least(len({byte_ids(f'left(text, {L - 2})')}), {L - 2}) + 2"
+    ntok = f"least(len({byte_ids('text')}), {L - 2}) + 2"
     return f"""
 with p as ({_perm(PLAN_EPOCHS)}),
 s as (select doc_id as sample_id, {ntok} as n_label_tokens from documents)
@@ -447,7 +447,7 @@ from s"""
 
 def training_shards() -> str:
     L = L_PRETRAIN
-    ntok = f"least(len({byte_ids(f'left(text, {L - 2})')}), {L - 2}) + 2"
+    ntok = f"least(len({byte_ids('text')}), {L - 2}) + 2"
     return f"""
 with m as ({_sharded(1)}),
 s as (select doc_id as sample_id, {ntok} as n_label_tokens from documents)
