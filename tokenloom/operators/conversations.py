@@ -40,21 +40,24 @@ def within_budget(turns: DataFrame, max_tokens: int, id_col: str = "conv_id",
     return counted.where(F.col("_k") < limit).drop("_k")
 
 
-def chat_records(turns: DataFrame, id_col: str = "conv_id", max_tokens: int | None = None) -> DataFrame:
+def chat_records(turns: DataFrame, id_col: str = "conv_id", max_tokens: int | None = None,
+                 min_message_tokens: int = MIN_MESSAGE_TOKENS) -> DataFrame:
     """K1: ``(conv_id, turn, role, content)`` -> ``(conv_id, messages)``.
 
     With ``max_tokens`` (encoders), turns past the token budget are dropped
     before collecting; without it (rendering), the whole conversation is kept.
+    With a user vocabulary pass its own lower bound (``1`` is always safe).
     """
     if max_tokens is not None:
-        turns = within_budget(turns, max_tokens, id_col)
+        turns = within_budget(turns, max_tokens, id_col, min_message_tokens)
     return (turns.groupBy(id_col)
             .agg(F.collect_list(F.struct("turn", "role", "content")).alias("_t"))
             .select(id_col, messages_from_turns(F.col("_t")).alias("messages")))
 
 
 def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
-                     max_tokens: int | None = None) -> DataFrame:
+                     max_tokens: int | None = None,
+                     min_message_tokens: int = MIN_MESSAGE_TOKENS) -> DataFrame:
     """K2: ``(pair_id, chosen, rejected)``.
 
     Conversations with an assistant turn are cut after their last assistant
@@ -76,7 +79,7 @@ def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
     pairs = ranked.join(successor, "pos").select(id_col, "cut_turn", "next_text")
     kept = turns.join(pairs, id_col).where(F.col("turn") <= F.col("cut_turn"))
     if max_tokens is not None:
-        kept = within_budget(kept, max_tokens, id_col)
+        kept = within_budget(kept, max_tokens, id_col, min_message_tokens)
     kept = (kept
             .withColumn("rejected_content",
                         F.when(F.col("turn") == F.col("cut_turn"), F.col("next_text"))
