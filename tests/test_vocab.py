@@ -1,7 +1,6 @@
 """B2 plug point: a Python tokenizer through Arrow batches gives the same
 samples as the native byte tokenizer."""
 
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from tokenloom.operators import conversations as conv

@@ -71,15 +71,16 @@ def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
             .agg(F.max_by(F.struct("turn", "content"), "turn").alias("_last"))
             .select(id_col, F.col("_last.turn").alias("cut_turn"),
                     F.col("_last.content").alias("last_text")))
-    last = materialize(last)  # one row per conversation, read by three jobs
-    n = last.count()
-    ranked = global_rank(last, id_col, out_col="pos", n_rows=n)
+    last = materialize(last)  # one row per conversation, read by two jobs
+    ranked, n = global_rank(last, id_col, out_col="pos", with_count=True)
     successor = ranked.select(((F.col("pos") - 1 + F.lit(n)) % F.lit(n)).alias("pos"),
                               F.col("last_text").alias("next_text"))
     pairs = ranked.join(successor, "pos").select(id_col, "cut_turn", "next_text")
-    kept = turns.join(pairs, id_col).where(F.col("turn") <= F.col("cut_turn"))
     if max_tokens is not None:
-        kept = within_budget(kept, max_tokens, id_col, min_message_tokens)
+        # A turn's budget count depends only on earlier turns, so pruning
+        # before the cut gives the same rows and avoids recomputing the join.
+        turns = within_budget(turns, max_tokens, id_col, min_message_tokens)
+    kept = turns.join(pairs, id_col).where(F.col("turn") <= F.col("cut_turn"))
     kept = (kept
             .withColumn("rejected_content",
                         F.when(F.col("turn") == F.col("cut_turn"), F.col("next_text"))

@@ -47,15 +47,6 @@ def rank_in_buckets(df: DataFrame, partition_cols: list[str], bucket: Column,
             .drop("_bucket", "_offset"))
 
 
-def quantile_bounds(df: DataFrame, value: str, n_buckets: int, rel_err: float = 1e-4) -> list:
-    """Driver-side list of ``n_buckets - 1`` bounds (size set by the caller,
-    not by the data)."""
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    return sorted(set(v for v in df.approxQuantile(value, probs, rel_err) if v is not None))
-
-
 def bucket_from_bounds(value: Column, bounds: list) -> Column:
     """Number of bounds strictly below ``value`` (monotone in ``value``)."""
     if not bounds:
@@ -69,28 +60,44 @@ def buckets_for(n_rows: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     return int(min(max_buckets, max(1, math.ceil(n_rows / rows_per_bucket))))
 
 
+def count_and_bounds(df: DataFrame, order_col: str, min_buckets: int,
+                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[int, list]:
+    """Row count and quantile bounds of ``order_col`` in one aggregate job
+    (a second job only when the data needs more than ``min_buckets``)."""
+    def probe(nb: int):
+        probs = [i / nb for i in range(1, nb)] or [0.5]
+        r = df.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("b")).first()
+        return r.n, (sorted(set(v for v in (r.b or []) if v is not None)) if nb > 1 else [])
+    nb = max(2, int(min_buckets))
+    n, bounds = probe(nb)
+    need = buckets_for(n, rows_per_bucket)
+    if need > nb:
+        _, bounds = probe(need)
+    return n, bounds
+
+
 def global_rank(df: DataFrame, order_col: str, tiebreak: list[str] | None = None,
-                out_col: str = "pos", n_rows: int | None = None,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                out_col: str = "pos", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                with_count: bool = False):
     """0-based rank over a numeric ``order_col`` using quantile buckets.
 
     At least one bucket per core, more as the data grows, so the numbering
-    window never runs in a single task.
+    window never runs in a single task. ``with_count`` also returns the
+    row count measured by the same job.
     """
-    n_rows = df.count() if n_rows is None else n_rows
     cores = df.sparkSession.sparkContext.defaultParallelism
-    nb = max(buckets_for(n_rows, rows_per_bucket), min(cores, max(n_rows, 1)))
-    bounds = quantile_bounds(df, order_col, nb)
+    n_rows, bounds = count_and_bounds(df, order_col, cores, rows_per_bucket)
     order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
-    if not bounds and nb > 1 and n_rows > 1:
-        # One distinct value: the tiebreak columns alone define the order.
-        if tiebreak:
-            return global_rank(df, tiebreak[0], tiebreak[1:], out_col, n_rows, rows_per_bucket)
-        # Complete tie: every numbering is a valid order.
-        tie_bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(nb))
-        return rank_in_buckets(df, [], tie_bucket, order, out_col=out_col, broadcast_offsets=True)
-    return rank_in_buckets(df, [], bucket_from_bounds(F.col(order_col), bounds), order,
-                           out_col=out_col, broadcast_offsets=True)
+    if not bounds and n_rows > 1:
+        if tiebreak:  # one distinct value: the tiebreak columns define the order
+            return global_rank(df, tiebreak[0], tiebreak[1:], out_col, rows_per_bucket, with_count)
+        # complete tie: every numbering is a valid order
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(cores, 1)))
+    else:
+        bucket = bucket_from_bounds(F.col(order_col), bounds)
+    out = rank_in_buckets(df, [], bucket, order, out_col=out_col, broadcast_offsets=True)
+    return (out, n_rows) if with_count else out
 
 
 def _hot_group_buckets(df: DataFrame, group_cols: list[str], order_col: str,
@@ -102,8 +109,7 @@ def _hot_group_buckets(df: DataFrame, group_cols: list[str], order_col: str,
     largest group; smaller groups stay whole (slice 0). ``sub_buckets``
     forces the slice count for every group (tests).
     """
-    from ..session import materialize
-    sizes = materialize(df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gn")))
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gn"))
     if sub_buckets is None:
         largest = sizes.agg(F.max("_gn")).first()[0] or 0
         sub_buckets = int(min(256, max(1, math.ceil(largest / rows_per_bucket))))
