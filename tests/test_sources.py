@@ -77,3 +77,24 @@ def test_stream_parity(spark, tmp_path):
     batch = encode_pretrain(spark.read.schema(schema).json(str(src)), id_col="id", max_length=24)
     exp = sorted((r.id, list(r.input_ids)) for r in batch.collect())
     assert got == exp and len(got) == 30
+
+
+def test_sft_stream_parity(spark, tmp_path):
+    from tokenloom.streaming.encode_stream import stream_chat_records
+    src = tmp_path / "chat"
+    os.makedirs(src)
+    for k in range(2):
+        _write(src / f"c{k}.jsonl", [
+            {"id": k * 10 + i, "conversations": [
+                {"role": "system", "content": "S", "functions": ['{"name": "f"}'] if i % 2 else None},
+                {"role": "user", "content": f"q{i}"},
+                {"role": "assistant", "content": "", "tool_calls": [{"name": "f", "arguments": "{}"}]},
+                {"role": "tool", "content": "r"},
+                {"role": "assistant", "content": "a" * i}]} for i in range(5)])
+    stream = stream_chat_records(spark, str(src), max_files_per_trigger=1)
+    q = start_append(encode_sft(stream, id_col="id", max_length=200), str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    got = sorted((r.id, list(r.input_ids), list(r.labels)) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    batch = J.sft_records(spark.read.schema("id LONG, " + J.SFT_SCHEMA).json(str(src)), keep=("id",))
+    exp = sorted((r.id, list(r.input_ids), list(r.labels)) for r in encode_sft(batch, id_col="id", max_length=200).collect())
+    assert got == exp and len(got) == 10

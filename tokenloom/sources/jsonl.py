@@ -71,22 +71,33 @@ def _normalise_messages(raw: F.Column) -> F.Column:
 
 def read_sft(spark: SparkSession, path: str) -> DataFrame:
     """A2: chat records -> ``(messages, tools, _corrupt_record)``."""
-    raw = _read(spark, path, SFT_SCHEMA)
+    return sft_records(_read(spark, path, SFT_SCHEMA))
+
+
+def sft_records(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Normalise raw chat records (batch or streaming); ``keep`` passes
+    columns through (e.g. an id)."""
+    extra = list(keep) + [c for c in ("_corrupt_record", "_split") if c in raw.columns]
     return raw.select(
         _normalise_messages(F.col("conversations")).alias("messages"),
         choose_tools(F.col("conversations"),
                      F.get(F.col("conversations"), 0)["functions"]).alias("tools"),
-        "_corrupt_record", "_split")
+        *extra)
 
 
 def read_dpo(spark: SparkSession, path: str) -> DataFrame:
     """A3: preference records -> ``(chosen, rejected)`` as message arrays."""
-    raw = _read(spark, path, DPO_SCHEMA)
+    return dpo_records(_read(spark, path, DPO_SCHEMA))
+
+
+def dpo_records(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Normalise raw preference records (batch or streaming)."""
+    extra = list(keep) + [c for c in ("_corrupt_record", "_split") if c in raw.columns]
     as_msgs = lambda c: F.transform(c, lambda m: F.struct(
         m["role"].alias("role"), m["content"].alias("content"),
         F.lit(None).cast(TOOL_CALL_TYPE).alias("tool_calls")))
     return raw.select(as_msgs(F.col("chosen")).alias("chosen"),
-                      as_msgs(F.col("rejected")).alias("rejected"), "_corrupt_record", "_split")
+                      as_msgs(F.col("rejected")).alias("rejected"), *extra)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",

@@ -31,3 +31,22 @@ def start_append(df: DataFrame, sink: str, checkpoint: str, available_now: bool
         .option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
+
+
+def stream_chat_records(spark: SparkSession, path: str, id_field: str = "id",
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """A2 as a stream: JSONL chat records with an id field, normalised like
+    the batch reader (tool-call unwrap, tool choice)."""
+    from ..sources.jsonl import SFT_SCHEMA, sft_records
+    schema = f"{id_field} LONG, " + SFT_SCHEMA.replace(", _corrupt_record STRING", "")
+    raw = stream_files(spark, path, schema, fmt="json", max_files_per_trigger=max_files_per_trigger)
+    return sft_records(raw, keep=(id_field,))
+
+
+def stream_preference_records(spark: SparkSession, path: str, id_field: str = "id",
+                              max_files_per_trigger: int | None = None) -> DataFrame:
+    """A3 as a stream."""
+    from ..sources.jsonl import DPO_SCHEMA, dpo_records
+    schema = f"{id_field} LONG, " + DPO_SCHEMA.replace(", _corrupt_record STRING", "")
+    raw = stream_files(spark, path, schema, fmt="json", max_files_per_trigger=max_files_per_trigger)
+    return dpo_records(raw, keep=(id_field,))
