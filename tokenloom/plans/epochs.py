@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..fixed import BASE_SEED
 from .ranking import global_rank, hex_prefix_bucket, rank_in_buckets
 
+MAX_BROADCAST_OFFSETS = 1_000_000  # rows of (epoch, bucket, offset)
+
 
 def permutation_key(sample_id: Column, epoch: Column, seed: int = BASE_SEED) -> Column:
     """F1 key: md5 of ``'<seed + epoch>:<sample_id>'``."""
@@ -37,9 +39,12 @@ def epoch_permutation(samples: DataFrame, epochs: int, seed: int = BASE_SEED,
     if not shuffle:
         return natural_order(ids, id_col)
     keyed = ids.withColumn("_key", permutation_key(F.col(id_col), F.col("epoch"), seed))
+    # Explicit broadcast only under a proven bound (~16 MB); above it AQE
+    # decides from the run-time size.
+    bounded = int(epochs) * 16 ** int(hex_digits) <= MAX_BROADCAST_OFFSETS
     out = rank_in_buckets(keyed, ["epoch"], hex_prefix_bucket(F.col("_key"), hex_digits),
                           [F.col("_key"), F.col(id_col)], out_col="pos",
-                          broadcast_offsets=True)
+                          broadcast_offsets=True if bounded else None)
     return out.drop("_key")
 
 
