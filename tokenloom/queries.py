@@ -294,9 +294,10 @@ def _steps(spark: SparkSession, base: str) -> DataFrame:
 def train_log_sample(spark: SparkSession, base: str) -> DataFrame:
     """A6 + E2 + F9 + H8: the logged steps of each run with lr and loss parts."""
     logged = LG.logged_steps(_steps(spark, base), LOG_INTERVAL, LOG_LR)
-    aux = F.lit(0.0)
-    return logged.select("run", "step", "iters", F.round("loss", 6).alias("loss"),
-                         F.round(SC.total_loss(F.col("loss") - aux, aux) - aux, 6).alias("logits_loss"),
+    aux = F.lit(0.0)  # the step log has no auxiliary loss
+    total = SC.total_loss(F.col("loss"), aux)  # H8: logged loss = task + aux
+    return logged.select("run", "step", "iters", F.round(total, 6).alias("loss"),
+                         F.round(total - aux, 6).alias("logits_loss"),
                          F.round(F.col("lr") * 1e6, 6).alias("lr_e6"))
 
 
