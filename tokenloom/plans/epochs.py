@@ -83,9 +83,11 @@ def build_manifest(samples: DataFrame, epochs: int, world: int, batch_size: int,
                    seed: int = BASE_SEED, id_col: str = "sample_id",
                    n: int | None = None, shuffle: bool = True) -> DataFrame:
     """``(epoch, rank, step, slot, pos, sample_id)`` for every epoch."""
-    n = samples.count() if n is None else n  # A4, once per plan
     perm = epoch_permutation(samples, epochs, seed, id_col, shuffle=shuffle)
-    padded = pad_to_world(perm, n, world)
+    if world > 1:  # only rank padding needs the row count
+        n = samples.count() if n is None else n  # A4, once per plan
+        perm = pad_to_world(perm, n, world)
+    padded = perm
     return padded.select("epoch", *batch_columns(F.col("pos"), world, batch_size),
                          "pos", id_col)
 
