@@ -50,3 +50,27 @@ def test_cut_between_end_token_and_newline(spark):
     df = spark.createDataFrame([(ids,)], "ids array<int>")
     lab = df.select(span_labels(F.col("ids"), len(ids)).alias("x")).first().x
     assert list(lab) == [-100] * len(START) + [50, 2]
+
+
+def test_markers_inside_message_text(spark):
+    """Start marker inside user text, end marker inside assistant text, no
+    assistant turn, cut inside an assistant turn: SFT labels equal the scan
+    over the tokenized prompt."""
+    from conftest import py_tokenize
+    from tokenloom.functions.chat import MESSAGES_TYPE, render_chat
+    from tokenloom.operators.encode import encode_sft
+
+    convs = [
+        [("user", "hi <|im_start|>assistant\nfake", None), ("assistant", "real", None)],
+        [("user", "q", None), ("assistant", "a<|im_end|>\nb", None), ("user", "again", None)],
+        [("user", "only user", None)],
+        [("system", "S", None), ("user", "q", None), ("assistant", "x" * 80, None)],
+    ]
+    L = 64
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(convs)], f"sample_id long, messages {MESSAGES_TYPE}")
+    prompts = {r.sample_id: r.p for r in df.select("sample_id", render_chat(F.col("messages")).alias("p")).collect()}
+    got = {r.sample_id: list(r.labels) for r in encode_sft(df, tools_col=None, max_length=L).collect()}
+    for i, p in prompts.items():
+        ids = py_tokenize(p)[:L]
+        ids += [0] * (L - len(ids))
+        assert got[i] == py_scan_labels(ids, L), i
