@@ -26,3 +26,25 @@ def md5_ids(ids: Column) -> Column:
 
 def empty_int_array() -> Column:
     return F.array().cast("array<int>")
+
+
+_INSTANCES: dict = {}
+
+
+def worker_instance(factory):
+    """Build ``factory()`` once per Python worker process.
+
+    Tasks receive a fresh copy of the factory, so the cache key is a digest
+    of its pickled form rather than its identity; Python workers are reused
+    across tasks, so a model or tokenizer is loaded once per worker.
+    """
+    import hashlib
+
+    from pyspark import cloudpickle
+    try:
+        key = hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
+    except Exception:  # noqa: BLE001 - unpicklable here: fall back to identity
+        key = str(id(factory))
+    if key not in _INSTANCES:
+        _INSTANCES[key] = factory()
+    return _INSTANCES[key]

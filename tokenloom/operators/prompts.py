@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..fixed import BYTE_OFFSET, IM_START, MODEL_MAX_LENGTH
 from ..functions.chat import messages_from_turns, render_chat
 from ..functions.tokens import encode_text, strip_specials
+from ..functions.util import worker_instance
 
 
 def history_messages(turns: DataFrame, history: int, id_col: str = "conv_id") -> DataFrame:
@@ -58,17 +59,6 @@ def prompt_ids(prompt: Column, max_length: int = MODEL_MAX_LENGTH) -> Column:
     return encode_text(prompt, int(max_length))
 
 
-_PREDICTORS: dict = {}
-
-
-def _predictor(factory: Callable):
-    """Build once per Python worker (workers are reused across tasks)."""
-    key = id(factory)
-    if key not in _PREDICTORS:
-        _PREDICTORS[key] = factory()
-    return _PREDICTORS[key]
-
-
 def generate(prompts: DataFrame, predictor_factory: Callable, ids_col: str = "prompt_ids",
              out_col: str = "output_ids") -> DataFrame:
     """Run the user's predictor over Arrow batches.
@@ -80,7 +70,7 @@ def generate(prompts: DataFrame, predictor_factory: Callable, ids_col: str = "pr
     schema = StructType(list(prompts.schema.fields)).add(out_col, ArrayType(IntegerType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = _predictor(predictor_factory)
+        predict = worker_instance(predictor_factory)
         for pdf in batches:
             pdf[out_col] = predict([list(x) for x in pdf[ids_col]])
             yield pdf

@@ -18,15 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from ..fixed import BYTE_OFFSET, SPECIAL_TOKENS
-
-_CACHE: dict = {}
-
-
-def _tokenizer(factory: Callable):
-    key = id(factory)
-    if key not in _CACHE:
-        _CACHE[key] = factory()
-    return _CACHE[key]
+from ..functions.util import worker_instance
 
 
 def tokenize_column(df: DataFrame, text_col: str, tokenizer_factory: Callable,
@@ -36,7 +28,7 @@ def tokenize_column(df: DataFrame, text_col: str, tokenizer_factory: Callable,
     limit = int(max_tokens) if max_tokens is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(tokenizer_factory)
+        tok = worker_instance(tokenizer_factory)
         for b in batches:
             texts = ["" if t is None else t for t in b.column(text_col).to_pylist()]
             ids = tok.encode_batch(texts) if texts else []
