@@ -54,3 +54,17 @@ def test_echo_generation_and_decode(turns):
 def test_decode_multibyte(spark):
     df = spark.createDataFrame([([b + 3 for b in "日本😀".encode()],)], "ids array<int>")
     assert df.select(PR.decode_bytes(F.col("ids")).alias("t")).first().t == "日本😀"
+
+
+def test_predictor_built_once_per_worker(spark, tmp_path):
+    log = str(tmp_path / "calls.txt")
+
+    def factory():  # a closure: pickled by value into every task
+        with open(log, "a") as f:
+            f.write("x\n")
+        return lambda batch: [list(x) + [2] for x in batch]
+
+    df = spark.range(64).repartition(16).select(F.array(F.col("id").cast("int")).alias("prompt_ids"))
+    assert PR.generate(df, factory).count() == 64
+    calls = len(open(log).read().splitlines())
+    assert 1 <= calls < 16  # one per Python worker, not one per task
