@@ -55,3 +55,17 @@ def test_running_total_matches_window(spark):
         got = {(r.conv_id, r.turn, r.k) for r in grouped_running_total(
             turns, ["conv_id"], "turn", known, "k", inclusive=False, sub_buckets=sub).collect()}
         assert got == exp
+
+
+def test_conversation_token_counts_equal_whole_render(spark):
+    from tokenloom.functions.chat import render_chat
+    from tokenloom.functions.tokens import token_count
+    from tokenloom.operators.report import chat_length_report, conversation_token_counts, sft_length_report
+    turns = _turns(spark, n_convs=8, max_turns=40, seed=13)
+    exp = {r.conv_id: r.n for r in conv.chat_records(turns).select(
+        "conv_id", token_count(render_chat(F.col("messages"))).alias("n")).collect()}
+    got = {r.conv_id: r.n_tokens for r in conversation_token_counts(turns).collect()}
+    assert got == exp
+    a = sft_length_report(turns, 64).first()
+    b = chat_length_report(conv.chat_records(turns), 64).first()
+    assert a == b

@@ -45,28 +45,33 @@ def _tool_calls(content: Column, calls: Column) -> Column:
     return F.coalesce(F.array_join(F.transform(calls, one), ""), _lit(""))
 
 
-def _message(m: Column, i: Column, msgs: Column) -> Column:
-    role = m["role"]
-    content = F.coalesce(m["content"], _lit(""))  # D10
-    n = F.size(msgs)
+def render_message(role: Column, content: Column, tool_calls: Column, is_first: Column,
+                   prev_is_tool: Column, next_is_tool: Column) -> Column:
+    """One message given its neighbours' roles."""
+    content = F.coalesce(content, _lit(""))  # D10
     plain = F.concat(_lit(IM_START), role, _lit("\n"), content, _lit(IM_END + "\n"))  # D5
     assistant = F.concat(_lit(IM_START + "assistant\n"), content,
-                         _tool_calls(content, m["tool_calls"]), _lit(IM_END + "\n"))  # D6
-    prev_tool = (i > 0) & _is(F.get(msgs, i - 1)["role"], "tool")
-    next_tool = (i < n - 1) & _is(F.get(msgs, i + 1)["role"], "tool")
-    tool = F.concat(F.when(prev_tool, _lit("")).otherwise(_lit(IM_START + "user")),
+                         _tool_calls(content, tool_calls), _lit(IM_END + "\n"))  # D6
+    tool = F.concat(F.when(prev_is_tool, _lit("")).otherwise(_lit(IM_START + "user")),
                     _lit(TOOL_RESPONSE_OPEN), content, _lit(TOOL_RESPONSE_CLOSE),
-                    F.when(next_tool, _lit("")).otherwise(_lit(IM_END + "\n")))  # D7
-    return (F.when(_is(role, "user") | (_is(role, "system") & (i > 0)), plain)
+                    F.when(next_is_tool, _lit("")).otherwise(_lit(IM_END + "\n")))  # D7
+    return (F.when(_is(role, "user") | (_is(role, "system") & ~is_first), plain)
             .when(_is(role, "assistant"), assistant)
             .when(_is(role, "tool"), tool)
             .otherwise(_lit("")))  # D9
 
 
-def _head(msgs: Column, tools: Column | None) -> Column:
-    first = F.get(msgs, 0)
-    first_is_system = _is(first["role"], "system")
-    first_content = F.coalesce(first["content"], _lit(""))
+def _message(m: Column, i: Column, msgs: Column) -> Column:
+    n = F.size(msgs)
+    prev_tool = (i > 0) & _is(F.get(msgs, i - 1)["role"], "tool")
+    next_tool = (i < n - 1) & _is(F.get(msgs, i + 1)["role"], "tool")
+    return render_message(m["role"], m["content"], m["tool_calls"], i == 0, prev_tool, next_tool)
+
+
+def render_head(first_role: Column, first_content: Column, tools: Column | None = None) -> Column:
+    """The system head from the first message (and tools)."""
+    first_is_system = _is(first_role, "system")
+    first_content = F.coalesce(first_content, _lit(""))
     plain = F.when(first_is_system,
                    F.concat(_lit(IM_START + "system\n"), first_content, _lit(IM_END + "\n"))
                    ).otherwise(_lit(IM_START + "system\n" + DEFAULT_SYSTEM + IM_END + "\n"))  # D3
@@ -82,6 +87,11 @@ def _head(msgs: Column, tools: Column | None) -> Column:
     return F.when(has_tools, with_tools).otherwise(plain)
 
 
+def _head(msgs: Column, tools: Column | None) -> Column:
+    first = F.get(msgs, 0)
+    return render_head(first["role"], first["content"], tools)
+
+
 def generation_tail(add_generation_prompt: bool = False,
                     enable_thinking: bool | None = None) -> str:
     """D8 (constant for a job)."""

@@ -31,18 +31,47 @@ def length_report(records: DataFrame, group_cols: list[str], max_length: int,
         (F.sum(F.lit(L) - F.col("kept")) / (F.count(F.lit(1)) * F.lit(L))).alias("pad_share"))
 
 
-def sft_length_report(chat: DataFrame, max_length: int, messages_col: str = "messages",
-                      tools_col: str | None = None) -> DataFrame:
-    """K3 for chat samples: whole-conversation token counts, truncation, and
-    rows whose cut sample keeps no supervised token."""
-    from ..functions.chat import render_chat
+def conversation_token_counts(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """Token count of every whole rendered conversation, without assembling it.
+
+    Each turn is rendered on its own row (head on the first, tool-block
+    edges from the neighbours' roles, found by equi-joins on position) and
+    the counts are summed per conversation. Byte-token counts add up across
+    messages because every rendered message is self-contained and no
+    special string can form across a message boundary.
+    """
+    from ..functions.chat import TOOL_CALL_TYPE, render_head, render_message
+    from ..plans.ranking import grouped_rank
+    ranked = grouped_rank(turns, [id_col], "turn", out_col="_i")
+    roles = ranked.select(id_col, "_i", "role")
+    prev = roles.select(id_col, (F.col("_i") + 1).alias("_i"), F.col("role").alias("_prev"))
+    nxt = roles.select(id_col, (F.col("_i") - 1).alias("_i"), F.col("role").alias("_next"))
+    rows = ranked.join(prev, [id_col, "_i"], "left").join(nxt, [id_col, "_i"], "left")
+    first = F.col("_i") == 0
+    is_tool = lambda c: F.coalesce(F.col(c) == F.lit("tool"), F.lit(False))
+    piece = F.concat(
+        F.when(first, render_head(F.col("role"), F.col("content"))).otherwise(F.lit("")),
+        render_message(F.col("role"), F.col("content"), F.lit(None).cast(TOOL_CALL_TYPE),
+                       first, is_tool("_prev"), is_tool("_next")))
+    return rows.groupBy(id_col).agg(F.sum(token_count(piece)).cast("bigint").alias("n_tokens"),
+                                    F.count(F.lit(1)).cast("bigint").alias("n_messages"))
+
+
+def sft_length_report(turns: DataFrame, max_length: int, id_col: str = "conv_id") -> DataFrame:
+    """K3 for chat samples kept as a turns table: whole-conversation token
+    counts (no conversation is collected), truncation, and samples whose cut
+    keeps no supervised token (encoded from budget-pruned records)."""
+    from ..operators.conversations import chat_records
     from ..operators.encode import encode_sft
     L = int(max_length)
-    tools = F.col(tools_col) if tools_col else None
-    sized = chat.withColumn("_n", token_count(render_chat(F.col(messages_col), tools)))
-    enc = encode_sft(sized, id_col="_n", messages_col=messages_col, tools_col=tools_col, max_length=L)
-    sup = F.size(F.filter("labels", lambda t: t != F.lit(-100)))
-    t = enc.select(F.col("_n").alias("n_tokens"), sup.alias("n_sup"))
+    counts = conversation_token_counts(turns, id_col)
+    enc = encode_sft(chat_records(turns, id_col, max_tokens=L), id_col=id_col, tools_col=None, max_length=L)
+    sup = enc.select(id_col, F.size(F.filter("labels", lambda t: t != F.lit(-100))).alias("n_sup"))
+    t = counts.join(sup, id_col)
+    return _sft_summary(t, L)
+
+
+def _sft_summary(t: DataFrame, L: int) -> DataFrame:
     return t.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_samples"),
         F.sum("n_tokens").cast("bigint").alias("total_tokens"),
@@ -50,3 +79,18 @@ def sft_length_report(chat: DataFrame, max_length: int, messages_col: str = "mes
         F.sum((F.col("n_tokens") > L).cast("bigint")).alias("n_truncated"),
         F.sum((F.col("n_sup") == 0).cast("bigint")).alias("n_no_supervised"),
         (F.sum("n_sup") / F.sum(F.least(F.col("n_tokens"), F.lit(L)))).alias("supervised_share"))
+
+
+def chat_length_report(chat: DataFrame, max_length: int, messages_col: str = "messages",
+                       tools_col: str | None = None) -> DataFrame:
+    """K3 for chat records that already hold their message array (JSONL):
+    whole-conversation token counts, truncation, unsupervised samples."""
+    from ..functions.chat import render_chat
+    from ..operators.encode import encode_sft
+    L = int(max_length)
+    tools = F.col(tools_col) if tools_col else None
+    sized = chat.withColumn("_n", token_count(render_chat(F.col(messages_col), tools)))
+    enc = encode_sft(sized, id_col="_n", messages_col=messages_col, tools_col=tools_col, max_length=L)
+    sup = F.size(F.filter("labels", lambda t: t != F.lit(-100)))
+    t = enc.select(F.col("_n").alias("n_tokens"), sup.alias("n_sup"))
+    return _sft_summary(t, L)

@@ -362,7 +362,7 @@ def stream_encode(spark: SparkSession, base: str) -> DataFrame:
 @register
 def sft_length_report(spark: SparkSession, base: str) -> DataFrame:
     """K3 for the SFT samples at the SFT length."""
-    out = RP.sft_length_report(conv.chat_records(T.turns(spark, base)), L_SFT)
+    out = RP.sft_length_report(T.turns(spark, base), L_SFT)
     return out.select("n_samples", "total_tokens", "max_tokens", "n_truncated", "n_no_supervised",
                       F.round("supervised_share", 6).alias("supervised_share"))
 
