@@ -57,17 +57,17 @@ def natural_order(ids: DataFrame, id_col: str = "sample_id") -> DataFrame:
 
 def pad_to_world(perm: DataFrame, n: int, world: int) -> DataFrame:
     """F6 padding: positions ``n .. ceil(n/world)*world - 1`` repeat the
-    sample at ``pos mod n`` (a head of fewer than ``world`` rows)."""
+    sample at ``pos mod n``. Done in the same pass: each of the first
+    ``extra`` rows also takes the positions ``pos + n, pos + 2n, ...``
+    (a generator, no union that would recompute the permutation)."""
     total = math.ceil(n / world) * world if n else 0
     extra = total - n
     if extra <= 0:
         return perm
-    head = (perm.where(F.col("pos") < F.lit(min(extra, n)))
-            .withColumn("_j", F.explode(F.sequence(
-                F.lit(1), F.floor((F.lit(total - 1) - F.col("pos")) / F.lit(n)).cast("int"))))
-            .withColumn("pos", F.col("pos") + F.col("_j") * F.lit(n))
-            .drop("_j"))
-    return perm.unionByName(head)
+    positions = F.when(F.col("pos") < F.lit(extra),
+                       F.sequence(F.col("pos"), F.lit(total - 1).cast("bigint"), F.lit(n).cast("bigint"))
+                       ).otherwise(F.array(F.col("pos")))
+    return perm.withColumn("pos", F.explode(positions))
 
 
 def batch_columns(pos: Column, world: int, batch_size: int) -> list[Column]:

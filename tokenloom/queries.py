@@ -114,7 +114,8 @@ RESUME_SAVED = (0, 7, 2)  # (epoch, step, world size) of the saved progress
 
 
 def _docs(spark: SparkSession, base: str) -> DataFrame:
-    return T.pretrain_records(spark, base).select("sample_id")
+    """Sample ids only: planning is not CPU-heavy, so no fan-out."""
+    return T.table(spark, base, "documents").select(F.col("doc_id").alias("sample_id"))
 
 
 @register
