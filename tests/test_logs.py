@@ -49,3 +49,12 @@ def test_training_shards_in_step_order(spark, tmp_path):
         for f in sorted(x for x in os.listdir(folder) if x.endswith(".parquet")):
             steps += [(r.step, r.slot) for r in spark.read.parquet(os.path.join(folder, f)).collect()]
         assert steps == sorted(steps) and len(steps) == 25
+
+
+def test_eta_since_restart(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, t0, t0 + dt.timedelta(seconds=600), 15, 100)]
+    df = spark.createDataFrame(rows, "run long, run_start timestamp_ntz, ts timestamp_ntz, step long, iters long")
+    r = df.select(LG.eta_minutes().alias("a"), LG.eta_minutes_since_restart(F.lit(10)).alias("b")).first()
+    assert r.a == math.floor(600 / 16 * 100 / 60) - 10
+    assert r.b == math.floor(600 / 5 * 85 / 60)

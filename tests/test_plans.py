@@ -151,3 +151,17 @@ def test_grouped_rank_adaptive_hot_group(spark):
     got = {(r.event_id, r.pos) for r in grouped_rank(keyed, ["g"], "us", ["event_id"], rows_per_bucket=500)
            .select("event_id", "pos").collect()}
     assert got == exp
+
+
+def test_resume_exact_has_no_repeats_or_gaps(spark):
+    ids = spark.range(100).withColumnRenamed("id", "sample_id")
+    perm = P.epoch_permutation(ids, 1)
+    saved_world, bs, step = 2, 4, 5
+    consumed = P.consumed_samples(step, bs, saved_world)
+    old = P.build_manifest(ids, 1, saved_world, bs, n=100)
+    done = {r.sample_id for r in old.where(f"step <= {step}").collect()}
+    rest = P.resume_exact(perm, consumed, 3, bs).collect()
+    left = [r.sample_id for r in rest]
+    assert len(done) == consumed and len(left) == 100 - consumed
+    assert done.isdisjoint(left) and done | set(left) == set(range(100))
+    assert {r.rank for r in rest} == {0, 1, 2}

@@ -52,3 +52,12 @@ def test_dpo_loss_at_zero_logit_is_ln2(spark):
     df = spark.createDataFrame(rows, "pair_id long, side string, logp double, ref_logp double, mask int")
     s = SC.dpo_summary(SC.reward_margins(SC.pair_logratios(df))).first()
     assert abs(s.loss - math.log(2)) < 1e-12 and s.mean_margin == 0.0
+
+
+def test_unnormalised_sequence_logprob(spark):
+    rows = [(0, "chosen", -1.0, -1.0, 1), (0, "chosen", -3.0, -1.0, 1), (0, "rejected", -2.0, -2.0, 1)]
+    df = spark.createDataFrame(rows, "pair_id long, side string, logp double, ref_logp double, mask int")
+    p = SC.pair_logratios(df, normalize=False).first()
+    assert p.policy_chosen == -4.0 and p.ref_chosen == -2.0 and p.logit == (-4.0 + 2.0) - (-2.0 + 2.0)
+    seq = SC.sequence_logprob(df.withColumn("seq", F.lit(1)), "seq", ["logp"], normalize=False).first()
+    assert seq.logp_avg == -6.0

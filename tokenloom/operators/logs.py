@@ -51,11 +51,22 @@ def logged_steps(steps: DataFrame, log_interval: int, lr: float, epochs: int = 1
 
 
 def eta_minutes(ts: str = "ts", start: str = "run_start") -> F.Column:
-    """``spent/(step+1)*iters // 60 - spent // 60`` (minutes)."""
+    """``spent/(step+1)*iters // 60 - spent // 60`` (minutes), as the
+    trainer computes it (after a resume it divides the time since the
+    restart by the absolute step)."""
     spent = micros_between(F.col(start), F.col(ts)) / F.lit(1e6)
     return (F.floor(spent / (F.col("step") + 1) * F.col("iters") / 60) - F.floor(spent / 60)).cast("bigint")
 
 
+def eta_minutes_since_restart(start_step: F.Column, ts: str = "ts", start: str = "run_start") -> F.Column:
+    """I2, run-relative variant: rate measured over the steps done since the
+    restart (``step - start_step``), applied to the steps still to go."""
+    spent = micros_between(F.col(start), F.col(ts)) / F.lit(1e6)
+    done = F.col("step") - start_step
+    left = F.col("iters") - F.col("step")
+    return F.floor(spent / F.greatest(done, F.lit(1)) * left / 60).cast("bigint")
+
+
 def spent_seconds(ts: str = "ts", start: str = "run_start") -> F.Column:
     return micros_between(F.col(start), F.col(ts)) / F.lit(1e6)
 

@@ -55,11 +55,12 @@ def masked_cross_entropy(tokens: DataFrame, group_cols: list[str],
 
 
 def sequence_logprob(scored: DataFrame, seq_col: str, logp_cols: list[str],
-                     mask_col: str = "mask") -> DataFrame:
+                     mask_col: str = "mask", normalize: bool = True) -> DataFrame:
     """H3 + H4 (+G2): per sequence ``sum(logp*mask) / max(sum(mask), 1e-8)``
-    for each model's log-prob column (policy and reference side by side)."""
+    for each model's log-prob column (policy and reference side by side).
+    ``normalize=False`` gives the plain sum (the paper's sequence log-prob)."""
     m = F.col(mask_col)
-    denom = F.greatest(F.sum(m).cast("double"), F.lit(MIN_TOKENS))
+    denom = (F.greatest(F.sum(m).cast("double"), F.lit(MIN_TOKENS)) if normalize else F.lit(1.0))
     aggs = [F.sum(m).cast("bigint").alias("n_mask")]
     aggs += [(F.sum(F.col(c) * m) / denom).alias(f"{c}_avg") for c in logp_cols]
     return scored.groupBy(seq_col).agg(*aggs)
@@ -67,7 +68,7 @@ def sequence_logprob(scored: DataFrame, seq_col: str, logp_cols: list[str],
 
 def pair_logratios(scored: DataFrame, pair_col: str = "pair_id", side_col: str = "side",
                    policy_col: str = "logp", ref_col: str = "ref_logp",
-                   mask_col: str = "mask") -> DataFrame:
+                   mask_col: str = "mask", normalize: bool = True) -> DataFrame:
     """G1/G3 + H4/H5 in one aggregate per pair.
 
     Per side: length-normalised policy and reference log-probs; then
@@ -78,6 +79,8 @@ def pair_logratios(scored: DataFrame, pair_col: str = "pair_id", side_col: str =
     def avg_of(col: str, side: str) -> Column:
         on = F.col(side_col) == F.lit(side)
         num = F.sum(F.when(on, F.col(col) * m).otherwise(F.lit(0.0)))
+        if not normalize:  # sum over tokens instead of the per-token mean
+            return num
         den = F.greatest(F.sum(F.when(on, m).otherwise(F.lit(0))).cast("double"), F.lit(MIN_TOKENS))
         return num / den
 

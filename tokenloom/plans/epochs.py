@@ -107,6 +107,23 @@ def resume(manifest: DataFrame, start_epoch: int, skip_steps: int) -> DataFrame:
                           ((F.col("epoch") == start_epoch) & (F.col("step") > skip_steps)))
 
 
+def resume_exact(perm: DataFrame, consumed: int, world: int, batch_size: int) -> DataFrame:
+    """F7 alternative without repeats: drop exactly the ``consumed`` samples
+    of the interrupted epoch (``saved_step * batch * saved_world``; ranks take
+    positions round-robin, so they are the first ``consumed`` positions) and
+    re-shard the rest for the new world size. Input: one epoch of
+    ``(epoch, sample_id, pos)``; output: a manifest of the remainder."""
+    rest = perm.where(F.col("pos") >= F.lit(int(consumed))) \
+        .withColumn("pos", F.col("pos") - F.lit(int(consumed)))
+    return rest.select("epoch", *batch_columns(F.col("pos"), world, batch_size), "pos", *[
+        c for c in perm.columns if c not in ("epoch", "pos")])
+
+
+def consumed_samples(saved_step: int, batch_size: int, saved_world: int) -> int:
+    """Samples of the epoch already trained on when progress was saved."""
+    return int(saved_step) * int(batch_size) * int(saved_world)
+
+
 def batches_per_rank(n: int, world: int, batch_size: int, skip: int = 0) -> int:
     """``max(0, ceil(per_rank / bs) - skip)``."""
     per_rank = math.ceil(n / world) if n else 0
