@@ -98,3 +98,16 @@ def test_sft_stream_parity(spark, tmp_path):
     batch = J.sft_records(spark.read.schema("id LONG, " + J.SFT_SCHEMA).json(str(src)), keep=("id",))
     exp = sorted((r.id, list(r.input_ids), list(r.labels)) for r in encode_sft(batch, id_col="id", max_length=200).collect())
     assert got == exp and len(got) == 10
+
+
+def test_hot_copies_numbered_across_splits(spark, tmp_path):
+    src = tmp_path / "many"
+    os.makedirs(src)
+    for k in range(4):  # one text copied 60 times in every file
+        _write(src / f"p{k}.jsonl", [{"text": "hot"}] * 60 + [{"text": f"cold {k} {i}"} for i in range(5)])
+    df = J.read_pretrain(spark, str(src))
+    ids = [r.sample_id for r in J.with_sample_id(df.where(F.col("_corrupt_record").isNull()), "text").collect()]
+    assert len(ids) == 260 and len(set(ids)) == 260
+    again = {r.sample_id for r in J.with_sample_id(J.read_pretrain(spark, str(src))
+                                                    .where(F.col("_corrupt_record").isNull()), "text").collect()}
+    assert again == set(ids)
