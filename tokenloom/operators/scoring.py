@@ -8,7 +8,7 @@ aggregate per pair, not a self-join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import DPO_BETA, IGNORE_INDEX
@@ -28,16 +28,16 @@ def shift_targets(tokens: DataFrame, seq_col: str = "seq_id", pos_col: str = "po
     """B13 + H2 labels: the prediction at ``pos`` is scored against the
     label at ``pos + 1``; a masked or missing next token gets -100 (E5).
 
-    The window is per sequence (bounded by the sequence length); the
-    logits column travels once with it, and H1 runs right after, so no
-    later stage sees the array.
+    Each row is joined with its successor's narrow ``(label, mask)`` on
+    ``(seq, pos)``: the shuffle is spread by position, so even a very long
+    sequence is split over many tasks, and the logits rows move once.
     """
-    w = Window.partitionBy(seq_col).orderBy(pos_col)
-    nxt_label = F.lead(F.col(label_col)).over(w)
-    nxt_mask = F.lead(F.col(mask_col)).over(w)
-    target = F.when(nxt_label.isNotNull() & (F.coalesce(nxt_mask, F.lit(0)) == 1), nxt_label) \
-        .otherwise(F.lit(IGNORE_INDEX))
-    return tokens.withColumn("target", target.cast("int"))
+    nxt = tokens.select(F.col(seq_col), (F.col(pos_col) - 1).alias(pos_col),
+                        F.col(label_col).alias("_next_label"), F.col(mask_col).alias("_next_mask"))
+    joined = tokens.join(nxt, on=[seq_col, pos_col], how="left")
+    target = F.when(F.col("_next_label").isNotNull() & (F.coalesce(F.col("_next_mask"), F.lit(0)) == 1),
+                    F.col("_next_label")).otherwise(F.lit(IGNORE_INDEX))
+    return joined.withColumn("target", target.cast("int")).drop("_next_label", "_next_mask")
 
 
 def masked_cross_entropy(tokens: DataFrame, group_cols: list[str],
