@@ -1,7 +1,8 @@
 """Whole-sample encoders C1-C3: narrow projections, no shuffle.
 
-Each encoder is one ``select`` that runs in the scan stage; encoding once
-and writing Parquet replaces the per-access encoding of every epoch.
+Each encoder is one ``select`` that runs in the scan stage (with a user
+vocabulary, one Arrow ``mapInArrow`` step before it); encoding once and
+writing Parquet replaces the per-access encoding of every epoch.
 """
 
 from __future__ import annotations
