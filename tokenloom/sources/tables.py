@@ -17,16 +17,21 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+SMALL_SCAN_SPLITS = 64  # below this a scan is small enough to spread cheaply
+
+
 def fan_out(df: DataFrame) -> DataFrame:
     """Spread a small scan before CPU-heavy narrow work.
 
-    File splits can hold no rows (one large row group per file), so a scan
-    reporting fewer than two splits per core is round-robined over
-    ``2 x cores`` partitions. A large scan has far more splits than cores
-    and is left alone, so this never adds a shuffle of big inputs.
+    File splits can hold no rows (one large row group per file), so the
+    split count says little about how many tasks get data. A scan reporting
+    fewer than ``max(2 x cores, 64)`` splits (at most a few GB) is
+    round-robined over ``2 x cores`` partitions. A large scan has more
+    splits than that and is left alone, so big inputs get no extra shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
+    small = df.rdd.getNumPartitions() < max(2 * cores, SMALL_SCAN_SPLITS)
+    return df.repartition(2 * cores) if small else df
 
 
 def pretrain_records(spark: SparkSession, base: str) -> DataFrame:
