@@ -165,3 +165,12 @@ def test_resume_exact_has_no_repeats_or_gaps(spark):
     assert len(done) == consumed and len(left) == 100 - consumed
     assert done.isdisjoint(left) and done | set(left) == set(range(100))
     assert {r.rank for r in rest} == {0, 1, 2}
+
+
+def test_global_rank_many_buckets_uses_binary_search(spark):
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    w = Window.orderBy("value", "event_id")
+    exp = {(r.event_id, r.p) for r in ev.select("event_id", (F.row_number().over(w) - 1).alias("p")).collect()}
+    got = {(r.event_id, r.pos) for r in global_rank(ev, "value", ["event_id"], rows_per_bucket=50)
+           .select("event_id", "pos").collect()}
+    assert got == exp

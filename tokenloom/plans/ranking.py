@@ -55,6 +55,22 @@ def bucket_from_bounds(value: Column, bounds: list) -> Column:
     return F.size(F.filter(arr, lambda x: x < value.cast("double")))
 
 
+def with_bucket(df: DataFrame, value_col: str, bounds: list, out_col: str) -> DataFrame:
+    """Add an order-preserving bucket id for sorted ``bounds``.
+
+    Few bounds: a comparison count in the expression. Many bounds: Spark ML's
+    ``Bucketizer`` (binary search in the JVM), so the cost per row stays
+    logarithmic. Both are monotone in the value and keep ties together.
+    """
+    if len(bounds) <= 64:
+        return df.withColumn(out_col, bucket_from_bounds(F.col(value_col), bounds))
+    from pyspark.ml.feature import Bucketizer
+    splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
+    tmp = df.withColumn("_bv", F.col(value_col).cast("double"))
+    out = Bucketizer(splits=splits, inputCol="_bv", outputCol=out_col, handleInvalid="keep").transform(tmp)
+    return out.withColumn(out_col, F.col(out_col).cast("int")).drop("_bv")
+
+
 def buckets_for(n_rows: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                 max_buckets: int = 4096) -> int:
     return int(min(max_buckets, max(1, math.ceil(n_rows / rows_per_bucket))))
@@ -95,8 +111,10 @@ def global_rank(df: DataFrame, order_col: str, tiebreak: list[str] | None = None
         # complete tie: every numbering is a valid order
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(cores, 1)))
     else:
-        bucket = bucket_from_bounds(F.col(order_col), bounds)
+        df = with_bucket(df, order_col, bounds, "_qb")
+        bucket = F.col("_qb")
     out = rank_in_buckets(df, [], bucket, order, out_col=out_col, broadcast_offsets=True)
+    out = out.drop("_qb") if "_qb" in out.columns else out
     return (out, n_rows) if with_count else out
 
 
