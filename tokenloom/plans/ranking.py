@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
+MAX_GROUP_SLICES = 64
 
 
 def hex_prefix_bucket(key: Column, digits: int = 4) -> Column:
@@ -130,7 +131,9 @@ def _hot_group_buckets(df: DataFrame, group_cols: list[str], order_col: str,
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gn"))
     if sub_buckets is None:
         largest = sizes.agg(F.max("_gn")).first()[0] or 0
-        sub_buckets = int(min(256, max(1, math.ceil(largest / rows_per_bucket))))
+        # At most 64 slices: a row scans at most 63 bounds; past 64 budgets a
+        # slice simply holds more rows (windows spill to disk).
+        sub_buckets = int(min(MAX_GROUP_SLICES, max(1, math.ceil(largest / rows_per_bucket))))
         hot = sizes.where(F.col("_gn") > rows_per_bucket)
     else:
         hot = sizes
