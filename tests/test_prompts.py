@@ -68,3 +68,22 @@ def test_predictor_built_once_per_worker(spark, tmp_path):
     assert PR.generate(df, factory).count() == 64
     calls = len(open(log).read().splitlines())
     assert 1 <= calls < 16  # one per Python worker, not one per task
+
+
+def test_history_blocks_match_window(spark):
+    import random
+
+    from pyspark.sql import Window
+    rnd = random.Random(21)
+    rows = [(c, t, rnd.choice(["user", "assistant", "system", "tool"]), f"m{c}-{t}")
+            for c in range(5) for t in range(rnd.randint(1, 40))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string")
+    for h in (0, 1, 3, 7, 50):
+        w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-h, 0)
+        exp = {(r.conv_id, r.turn): [m.content for m in sorted(r.w, key=lambda x: x.turn)]
+               for r in df.select("conv_id", "turn", "role",
+                                  F.collect_list(F.struct("turn", "content")).over(w).alias("w"))
+               .where("role = 'user'").collect()}
+        got = {(r.conv_id, r.turn): [m.content for m in r.messages]
+               for r in PR.history_messages(df, h).collect()}
+        assert got == exp, h

@@ -1,10 +1,10 @@
 """Prompt building and bulk generation.
 
 I1 gives each user turn the ``history`` messages before it. Instead of a
-window over a whole conversation, every turn is copied to the ``history``
-turns that can see it and grouped by ``(conv_id, target turn)``; a group
-holds at most ``history + 1`` rows, so a very long conversation is spread
-over many tasks.
+window over a whole conversation, turns are grouped in blocks of
+``history`` turns (each turn also joins the next block), so a group holds
+at most ``2 x history`` rows and a very long conversation is spread over
+many tasks.
 
 J3 is the only Python step: a user-supplied predictor runs in
 ``mapInPandas`` on Arrow batches and is built once per Python worker.
@@ -29,15 +29,25 @@ def history_messages(turns: DataFrame, history: int, id_col: str = "conv_id") ->
 
     ``messages`` = the ``history`` turns before it (fewer at the start; 0 =
     none) followed by the user message itself.
+
+    Turns are cut into blocks of ``B = max(history, 1)`` turns; each turn is
+    sent to its own block and the next one, so a group holds at most ``2B``
+    rows and every user turn finds its whole window in its own block's
+    group. The shuffle carries each turn twice, whatever the history length,
+    and a long conversation is spread over many groups.
     """
     h = max(int(history), 0)
-    spread = (turns.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(h))))
-              .withColumn("_target", F.col("turn") + F.col("_k")))
-    grouped = (spread.groupBy(id_col, "_target")
+    block_size = max(h, 1)
+    blk = F.floor(F.col("turn") / F.lit(block_size)).cast("bigint")
+    spread = turns.withColumn("_b", F.explode(F.array(blk, blk + 1)))
+    grouped = (spread.groupBy(id_col, "_b")
                .agg(F.collect_list(F.struct("turn", "role", "content")).alias("_t")))
-    is_user_turn = F.exists("_t", lambda x: (x["turn"] == F.col("_target")) & (x["role"] == "user"))
-    return grouped.where(is_user_turn).select(
-        id_col, F.col("_target").alias("turn"), messages_from_turns(F.col("_t")).alias("messages"))
+    own = lambda x: (F.floor(x["turn"] / F.lit(block_size)) == F.col("_b")) & (x["role"] == "user")
+    targets = grouped.select(id_col, "_t", F.explode(F.filter("_t", own)).alias("_u"))
+    window = F.filter("_t", lambda x: (x["turn"] >= F.col("_u.turn") - F.lit(h)) &
+                      (x["turn"] <= F.col("_u.turn")))
+    return targets.select(id_col, F.col("_u.turn").alias("turn"),
+                          messages_from_turns(window).alias("messages"))
 
 
 def generation_prompt(messages: Column, mode: str = "chat") -> Column:
