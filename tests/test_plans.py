@@ -174,3 +174,13 @@ def test_global_rank_many_buckets_uses_binary_search(spark):
     got = {(r.event_id, r.pos) for r in global_rank(ev, "value", ["event_id"], rows_per_bucket=50)
            .select("event_id", "pos").collect()}
     assert got == exp
+
+
+def test_fan_out_only_for_small_scans(spark):
+    from tokenloom.sources.tables import SMALL_SCAN_SPLITS, fan_out
+    cores = spark.sparkContext.defaultParallelism
+    small = fan_out(spark.range(0, 100, numPartitions=2))
+    assert small.rdd.getNumPartitions() == 2 * cores
+    many = max(2 * cores, SMALL_SCAN_SPLITS) + 5
+    big = spark.range(0, 1000, numPartitions=many)
+    assert fan_out(big) is big
