@@ -66,6 +66,21 @@ def plan_epochs(spark: SparkSession, encoded: str, dst: str, epochs: int, world_
     return spark.read.parquet(dst)
 
 
+READER_BATCH_CONF = "spark.sql.parquet.columnarReaderBatchSize"
+
+
 def deliver(spark: SparkSession, manifest: str, encoded: str, dst: str,
-            id_col: str = "sample_id") -> None:
-    P.write_training_shards(spark.read.parquet(manifest), spark.read.parquet(encoded), dst, id_col)
+            id_col: str = "sample_id", reader_batch_rows: int | None = 512) -> None:
+    """A5. Encoded rows are wide (several arrays of ``max_length`` ints), so
+    the Parquet reader batch is lowered for this job and restored after."""
+    old = spark.conf.get(READER_BATCH_CONF, None)
+    if reader_batch_rows:
+        spark.conf.set(READER_BATCH_CONF, str(int(reader_batch_rows)))
+    try:
+        P.write_training_shards(spark.read.parquet(manifest), spark.read.parquet(encoded), dst, id_col)
+    finally:
+        if reader_batch_rows:
+            if old is None:
+                spark.conf.unset(READER_BATCH_CONF)
+            else:
+                spark.conf.set(READER_BATCH_CONF, old)
