@@ -2,7 +2,8 @@
 
 Confirmed toxic texts are the positives; all other texts of the fold, whatever
 their labels, are unlabelled. A linear model over the hashed distinct words
-of a text and their beginnings minimises the class-prior-corrected risk
+of a text and their beginnings (those that a test finds more often in the
+positives) minimises the class-prior-corrected risk
 
     prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))
 
@@ -32,9 +33,10 @@ from .common import fold_column, text_or_empty
 from .quality_knn import labelled_sample, with_scores
 
 #: Bounds on the texts that are fitted, and on the distinct words of each.
-MAX_POSITIVE, MAX_UNLABELLED = 1500, 4500
+MAX_POSITIVE, MAX_UNLABELLED = 2000, 6000
 BUCKETS = 1 << 18
-LEAST_TEXTS = 8  # a word must occur in so many fitted texts
+LEAST_TEXTS = 4  # a word must occur in so many fitted texts
+LEAST_DEVIATIONS = 4.5  # of a word's share in positives from that in others
 PREFIXES = (4, 5, 6)  # bytes
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
@@ -80,20 +82,30 @@ class _Rows:
         return np.append(np.bincount(self.col, d[self.row], minlength=size), d.sum())
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 200,
-             rate: float = 0.05, l2: float = 1e-3) -> PuModel:
-    """Full-batch Adam on the non-negative risk. ``positive`` and
-    ``unlabelled`` are word buckets of texts."""
+def telling_words(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    """Buckets that positives hold more often than unlabelled texts, by a
+    two-sample test of their shares."""
+    p, u = (np.bincount(np.concatenate(x), minlength=BUCKETS) for x in (positive, unlabelled))
+    n_p, n_u = len(positive), len(unlabelled)
+    share = (p + u) / (n_p + n_u)
+    deviation = np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u)) + 1e-12
+    return np.flatnonzero((p + u >= LEAST_TEXTS) & ((p / n_p - u / n_u) / deviation > LEAST_DEVIATIONS))
+
+
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300,
+             rate: float = 0.05, shrink: float = 0.3) -> PuModel:
+    """Full-batch Adam on the non-negative risk over the telling words.
+    ``positive`` and ``unlabelled`` are word buckets of texts; the squared
+    weights' penalty is ``shrink`` by the number of positives."""
     prior = min(max(prior, 1e-6), 1 - 1e-6)
     bias = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return PuModel(np.zeros(BUCKETS), bias)
-    seen = np.bincount(np.concatenate([*positive, *unlabelled]), minlength=BUCKETS)
-    chosen = np.flatnonzero(seen >= LEAST_TEXTS)
+    chosen = telling_words(positive, unlabelled)
     place = np.full(BUCKETS, -1)
     place[chosen] = np.arange(len(chosen))
     p, u = (_Rows([r[r >= 0] for r in (place[x] for x in rows)]) for rows in (positive, unlabelled))
-    size = len(chosen)
+    size, l2 = len(chosen), shrink / len(positive)
     theta = np.zeros(size + 1)
     theta[-1] = bias
     m, v = np.zeros(size + 1), np.zeros(size + 1)
