@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bottomk_dedup, bpe_chunks, decontaminate, fingerprints, html_extract, quality_knn, token_frames,
-               toxicity_nnpu, url_filter)
+from . import (bottomk_dedup, bpe_chunks, decontaminate, fingerprints, html_extract, lm_scoring, quality_knn,
+               token_frames, toxicity_nnpu, url_filter)
 from .common import fold_column, read_table
 
 #: Folder of the public tokenizers' files; None: as the package names it.
@@ -38,6 +38,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(read_table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.learn_and_score(read_table(spark, sf_dir, "documents"), fold=5, held_out=1)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.token_digests(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -81,6 +85,7 @@ def op9_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_fingerprints": op2_fingerprints,
+    "op3_lm_scores": op3_lm_scores,
     "op4_token_files": op4_token_files,
     "op5_decontamination": op5_decontamination,
     "op6_main_text": op6_main_text,
