@@ -350,9 +350,10 @@ def _token_count(expr: str) -> str:
 def history_prompts() -> str:
     gen = lit("<|im_start|>assistant\n")
     return f"""
-with u as (select conv_id, turn as ut from conversations where role = 'user'),
-w as (select u.conv_id, u.ut, c.turn, c.role, c.text, c.turn = u.ut - least(u.ut, {HISTORY}) as is_first
-      from u join conversations c on c.conv_id = u.conv_id and c.turn between u.ut - {HISTORY} and u.ut),
+with p0 as (select *, row_number() over (partition by conv_id order by turn) - 1 as i from conversations),
+u as (select conv_id, turn as ut, i as ui from p0 where role = 'user'),
+w as (select u.conv_id, u.ut, c.turn, c.role, c.text, c.i = u.ui - least(u.ui, {HISTORY}) as is_first
+      from u join p0 c on c.conv_id = u.conv_id and c.i between u.ui - {HISTORY} and u.ui),
 g as (select conv_id, ut, count(*) as n, bool_or(is_first and role = 'system') as sys_first,
              string_agg({rendered_turn(first='is_first')}, '' order by turn) as body
       from w group by 1, 2),
@@ -370,7 +371,10 @@ select item_id, cast(len({ids}) as bigint) as n_tokens, {md5_list(ids)} as ids_m
 
 def bulk_reply() -> str:
     return """
-select conv_id, turn + 1 as turn, 'assistant' as role, md5(text) as reply_md5, cast(strlen(text) as bigint) as n_bytes
+select conv_id, 2 * turn as turn, role, md5(text) as reply_md5, cast(strlen(text) as bigint) as n_bytes
+from conversations
+union all
+select conv_id, 2 * turn + 1, 'assistant', md5(text), cast(strlen(text) as bigint)
 from conversations where role = 'user'"""
 
 
@@ -469,14 +473,14 @@ from mg group by 1"""
 
 
 def update_batches() -> str:
-    W, B, A = SHARD_WORLD, SHARD_BATCH, PLAN_ACCUMULATION
+    A = PLAN_ACCUMULATION
     return f"""
 with m as ({_sharded(PLAN_EPOCHS)}),
-it as (select cast(ceil(ceil(count(*) / {W}.0) / {B}.0) as bigint) as iters from documents),
-u as (select epoch, step,
-             cast(epoch * (((iters + 1) // {A}) - (1 // {A})) + ((step + 1) // {A}) - (1 // {A}) as bigint) as update_id
-      from m cross join it)
-select update_id, cast(count(*) as bigint) as n_samples, cast(count(distinct (epoch, step)) as bigint) as n_micro_steps
+s as (select epoch, step, count(*) as n, (step + 1) % {A} = 0 as flag from m group by 1, 2),
+u as (select *, 1 + coalesce(sum(cast(flag as int)) over (order by epoch, step
+      rows between unbounded preceding and 1 preceding), 0) as update_id from s)
+select cast(update_id as bigint) as update_id, cast(sum(n) as bigint) as n_samples, count(*) as n_micro_steps,
+       bool_or(flag) as complete
 from u group by 1"""
 
 

@@ -41,21 +41,11 @@ END = py_tokenize("<|im_end|>\n")
 
 
 def py_scan_labels(ids: list[int], max_length: int) -> list[int]:
-    """Left-to-right scan: start marker opens, first complete end marker
-    closes (inclusive), capped at max_length."""
-    labels = [-100] * len(ids)
-    i = 0
-    while i < len(ids):
-        if ids[i:i + len(START)] == START:
-            start = i + len(START)
-            end = start
-            while end < len(ids):
-                if ids[end:end + len(END)] == END:
-                    break
-                end += 1
-            for j in range(start, min(end + len(END), max_length)):
-                labels[j] = ids[j]
-            i = end + len(END) if end < len(ids) else len(ids)
-        else:
-            i += 1
-    return labels
+    """Supervised spans by a regular expression over the ids as characters:
+    what follows a start marker, up to and with the next end marker."""
+    import re
+    chars = "".join(map(chr, ids))
+    start, end = ("".join(map(chr, x)) for x in (START, END))
+    spans = re.compile(f"{re.escape(start)}(.*?(?:{re.escape(end)}|\\Z))", re.S)
+    keep = {i for m in spans.finditer(chars) for i in range(*m.span(1)) if i < max_length}
+    return [t if i in keep else -100 for i, t in enumerate(ids)]

@@ -11,21 +11,8 @@ from tokenloom.plans.ranking import global_rank, grouped_rank
 
 
 def py_skip_batches(indices, bs, skip):
-    """Reference semantics: skip `skip` full batches; the final partial
-    batch is kept only if that many full batches were skipped."""
-    out, batch, skipped = [], [], 0
-    for idx in indices:
-        batch.append(idx)
-        if len(batch) == bs:
-            if skipped < skip:
-                skipped += 1
-                batch = []
-                continue
-            out.append(batch)
-            batch = []
-    if batch and skipped >= skip:
-        out.append(batch)
-    return out
+    """Chunks of ``bs`` by slicing, without the first ``skip``."""
+    return [indices[i:i + bs] for i in range(0, len(indices), bs)][skip:]
 
 
 def test_step_filter_equals_skip_sampler_arithmetic():
@@ -176,11 +163,39 @@ def test_global_rank_many_buckets_uses_binary_search(spark):
     assert got == exp
 
 
-def test_fan_out_only_for_small_scans(spark):
-    from tokenloom.sources.tables import SMALL_SCAN_SPLITS, fan_out
-    cores = spark.sparkContext.defaultParallelism
-    small = fan_out(spark.range(0, 100, numPartitions=2))
-    assert small.rdd.getNumPartitions() == 2 * cores
-    many = max(2 * cores, SMALL_SCAN_SPLITS) + 5
-    big = spark.range(0, 1000, numPartitions=many)
-    assert fan_out(big) is big
+def test_ranges_treat_nulls_alike_at_any_count(spark):
+    rows = [(None,)] * 3 + [(i % 97,) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int")
+    for per in (3000, 20):
+        got = sorted((r.pos, r.k) for r in global_rank(df, "k", rows_per_bucket=per).collect())
+        assert [p for p, _ in got] == list(range(2003))
+        assert [k for _, k in got] == sorted((k for k, in rows), key=lambda k: (k is not None, k or 0))
+
+
+def test_natural_order_of_strings_and_repeated_ids(spark):
+    ids = spark.createDataFrame([("b",), ("a",), ("a",), (None,), ("é",)], "sample_id string")
+    got = P.epoch_permutation(ids, 2, shuffle=False).collect()
+    for e in (0, 1):
+        assert [r.sample_id for r in sorted((r for r in got if r.epoch == e), key=lambda r: r.pos)] == [
+            None, "a", "a", "b", "é"]
+        assert sorted(r.pos for r in got if r.epoch == e) == [0, 1, 2, 3, 4]
+
+
+def test_step_sizes_are_those_of_the_manifest(spark):
+    for n, world, batch in ((0, 2, 3), (1, 3, 8), (17, 2, 4), (24, 3, 8)):
+        ids = spark.range(n).withColumnRenamed("id", "sample_id")
+        m = P.build_manifest(ids, 2, world, batch, n=n).groupBy("epoch", "step").count().collect()
+        s = P.step_sizes(spark, n, 2, world, batch).collect()
+        assert sorted(map(tuple, m)) == sorted(map(tuple, s))
+
+
+def test_first_update_has_three_micro_steps(spark):
+    from tokenloom.plans import schedule as S
+    steps = P.step_sizes(spark, 24 * 42, 2, 3, 8)
+    got = steps.select("epoch", "step", S.update_group(F.col("epoch"), F.col("step"), F.lit(42), 4).alias("u")).collect()
+    done, want = 0, []
+    for e, s in sorted((r.epoch, r.step) for r in got):
+        want.append((e, s, done + 1))
+        done += (s + 1) % 4 == 0
+    assert sorted((r.epoch, r.step, r.u) for r in got) == want
+    assert sum(u == 1 for _, _, u in want) == 3 and sum(u == 2 for _, _, u in want) == 4

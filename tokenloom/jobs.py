@@ -4,7 +4,8 @@ Each job is what a trainer's data side does for one stage, expressed as
 Spark reads, projections, a plan and writes:
 
 * ``prepare_pretrain`` / ``prepare_sft`` / ``prepare_dpo``: A1-A3 -> C1-C3 ->
-  Parquet, one row per sample, encoded once (not on every epoch);
+  Parquet, one row per sample, encoded once (not on every epoch). Malformed
+  lines fail the job, or are written to ``rejects``;
 * ``plan_epochs``: F1-F7 manifest for given epochs, ranks and batch size,
   optionally resumed from saved progress (E1), written partitioned by epoch;
 * ``deliver``: A5, encoded samples joined to the plan and written per
@@ -14,7 +15,6 @@ Spark reads, projections, a plan and writes:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .fixed import BASE_SEED, DPO_MAX_LENGTH, PRETRAIN_MAX_LENGTH, SFT_MAX_LENGTH
 from .operators.encode import encode_dpo, encode_pretrain, encode_sft
@@ -22,30 +22,26 @@ from .plans import epochs as P
 from .sources import jsonl as J
 
 
-def _clean(df: DataFrame) -> DataFrame:
-    """Drop malformed lines (kept in ``_corrupt_record`` by the reader)."""
-    return df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-
-
 def prepare_pretrain(spark: SparkSession, src: str, dst: str,
-                     max_length: int = PRETRAIN_MAX_LENGTH, tokenizer_factory=None) -> DataFrame:
-    recs = J.with_sample_id(_clean(J.read_pretrain(spark, src)), "text")
+                     max_length: int = PRETRAIN_MAX_LENGTH, tokenizer_factory=None,
+                     rejects: str | None = None) -> DataFrame:
+    recs = J.with_sample_id(J.checked(J.read_pretrain(spark, src), rejects), "text")
     out = encode_pretrain(recs, max_length=max_length, tokenizer_factory=tokenizer_factory)
     J.write_parquet(out, dst)
     return spark.read.parquet(dst)
 
 
 def prepare_sft(spark: SparkSession, src: str, dst: str, max_length: int = SFT_MAX_LENGTH,
-                tokenizer_factory=None) -> DataFrame:
-    recs = J.with_sample_id(_clean(J.read_sft(spark, src)), "messages", "tools")
+                tokenizer_factory=None, rejects: str | None = None) -> DataFrame:
+    recs = J.with_sample_id(J.checked(J.read_sft(spark, src), rejects), "messages", "tools")
     out = encode_sft(recs, max_length=max_length, tokenizer_factory=tokenizer_factory)
     J.write_parquet(out, dst)
     return spark.read.parquet(dst)
 
 
 def prepare_dpo(spark: SparkSession, src: str, dst: str, max_length: int = DPO_MAX_LENGTH,
-                tokenizer_factory=None) -> DataFrame:
-    recs = (J.with_sample_id(_clean(J.read_dpo(spark, src)), "chosen", "rejected")
+                tokenizer_factory=None, rejects: str | None = None) -> DataFrame:
+    recs = (J.with_sample_id(J.checked(J.read_dpo(spark, src), rejects), "chosen", "rejected")
             .withColumnRenamed("sample_id", "pair_id"))
     out = encode_dpo(recs, max_length=max_length, tokenizer_factory=tokenizer_factory)
     J.write_parquet(out, dst)

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions.chat import messages_from_turns
 from ..plans.ranking import global_rank, grouped_running_total
-from ..session import materialize
 
 KNOWN_ROLES = ("user", "system", "assistant", "tool")
-# Fewest byte tokens any rendered user/system/assistant/tool message takes:
+# Fewest tokens that any rendered user/system/assistant/tool message takes:
+# one with any vocabulary; with the byte tokenizer
 # "<|im_start|>user\n<|im_end|>\n" = 1 + 5 + 1 + 1.
-MIN_MESSAGE_TOKENS = 8
+MIN_MESSAGE_TOKENS = 1
+BYTE_MESSAGE_TOKENS = 8
 
 
 def within_budget(turns: DataFrame, max_tokens: int, id_col: str = "conv_id",
@@ -31,8 +32,9 @@ def within_budget(turns: DataFrame, max_tokens: int, id_col: str = "conv_id",
     text that lies past the cut. The count ``k`` is a distributed running
     total, so a conversation of any length is split over many tasks and the
     collected message array stays bounded by the budget.
-    Use ``min_message_tokens=1`` with a vocabulary whose tokens can cover a
-    whole marker line.
+    The default holds for every vocabulary; a larger bound drops more rows
+    early and is only right if the tokenizer in use guarantees it
+    (``BYTE_MESSAGE_TOKENS`` for the byte tokenizer).
     """
     limit = -(-int(max_tokens) // int(min_message_tokens))
     known = F.col("role").isin(*KNOWN_ROLES).cast("bigint")
@@ -46,7 +48,6 @@ def chat_records(turns: DataFrame, id_col: str = "conv_id", max_tokens: int | No
 
     With ``max_tokens`` (encoders), turns past the token budget are dropped
     before collecting; without it (rendering), the whole conversation is kept.
-    With a user vocabulary pass its own lower bound (``1`` is always safe).
     """
     if max_tokens is not None:
         turns = within_budget(turns, max_tokens, id_col, min_message_tokens)
@@ -71,24 +72,23 @@ def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
             .agg(F.max_by(F.struct("turn", "content"), "turn").alias("_last"))
             .select(id_col, F.col("_last.turn").alias("cut_turn"),
                     F.col("_last.content").alias("last_text")))
-    last = materialize(last)  # one row per conversation, read by two jobs
-    ranked, n = global_rank(last, id_col, out_col="pos", with_count=True)
-    successor = ranked.select(((F.col("pos") - 1 + F.lit(n)) % F.lit(n)).alias("pos"),
-                              F.col("last_text").alias("next_text"))
-    pairs = ranked.join(successor, "pos").select(id_col, "cut_turn", "next_text")
+    # Only ids are ranked; the successor's text is fetched once, by its id.
+    ranked, n = global_rank(last.select(id_col, "cut_turn"), id_col, out_col="pos", with_count=True)
+    successor = ranked.select(((F.col("pos") - 1 + F.lit(n)) % F.lit(max(n, 1))).alias("pos"),
+                              F.col(id_col).alias("_next"))
+    pairs = (ranked.join(successor, "pos")
+             .join(last.select(F.col(id_col).alias("_next"), F.col("last_text").alias("next_text")), "_next")
+             .select(id_col, "cut_turn", "next_text"))
     if max_tokens is not None:
         # A turn's budget count depends only on earlier turns, so pruning
         # before the cut gives the same rows and avoids recomputing the join.
         turns = within_budget(turns, max_tokens, id_col, min_message_tokens)
-    kept = turns.join(pairs, id_col).where(F.col("turn") <= F.col("cut_turn"))
-    kept = (kept
-            .withColumn("rejected_content",
-                        F.when(F.col("turn") == F.col("cut_turn"), F.col("next_text"))
-                        .otherwise(F.col("content"))))
-    return (kept.groupBy(id_col)
-            .agg(F.collect_list(F.struct("turn", "role", "content")).alias("_c"),
-                 F.collect_list(F.struct("turn", "role",
-                                         F.col("rejected_content").alias("content"))).alias("_r"))
+    entries = turns.groupBy(id_col).agg(F.collect_list(F.struct("turn", "role", "content")).alias("_t"))
+    kept = F.filter("_t", lambda x: x["turn"] <= F.col("cut_turn"))
+    swapped = F.transform("_c", lambda x: F.struct(
+        x["turn"].alias("turn"), x["role"].alias("role"),
+        F.when(x["turn"] == F.col("cut_turn"), F.col("next_text")).otherwise(x["content"]).alias("content")))
+    return (entries.join(pairs, id_col).withColumn("_c", kept)
             .select(F.col(id_col).alias("pair_id"),
                     messages_from_turns(F.col("_c")).alias("chosen"),
-                    messages_from_turns(F.col("_r")).alias("rejected")))
+                    messages_from_turns(swapped).alias("rejected")))

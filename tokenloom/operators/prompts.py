@@ -22,6 +22,7 @@ from ..fixed import BYTE_OFFSET, IM_START, MODEL_MAX_LENGTH
 from ..functions.chat import messages_from_turns, render_chat
 from ..functions.tokens import encode_text, strip_specials
 from ..functions.util import worker_instance
+from ..plans.ranking import grouped_rank
 
 
 def history_messages(turns: DataFrame, history: int, id_col: str = "conv_id") -> DataFrame:
@@ -30,7 +31,10 @@ def history_messages(turns: DataFrame, history: int, id_col: str = "conv_id") ->
     ``messages`` = the ``history`` turns before it (fewer at the start; 0 =
     none) followed by the user message itself.
 
-    Turns are cut into blocks of ``B = max(history, 1)`` turns; each turn is
+    "Before" goes by position in the conversation, so gaps in the turn
+    numbers make no difference (equal numbers are ordered by role and text).
+
+    Turns are cut into blocks of ``B = max(history, 1)`` positions; each is
     sent to its own block and the next one, so a group holds at most ``2B``
     rows and every user turn finds its whole window in its own block's
     group. The shuffle carries each turn twice, whatever the history length,
@@ -38,14 +42,15 @@ def history_messages(turns: DataFrame, history: int, id_col: str = "conv_id") ->
     """
     h = max(int(history), 0)
     block_size = max(h, 1)
-    blk = F.floor(F.col("turn") / F.lit(block_size)).cast("bigint")
-    spread = turns.withColumn("_b", F.explode(F.array(blk, blk + 1)))
+    placed = grouped_rank(turns, [id_col], "turn", tiebreak=["role", "content"], out_col="_p")
+    blk = F.floor(F.col("_p") / F.lit(block_size)).cast("bigint")
+    spread = placed.withColumn("_b", F.explode(F.array(blk, blk + 1)))
+    # The position comes first, so sorting goes by it.
     grouped = (spread.groupBy(id_col, "_b")
-               .agg(F.collect_list(F.struct("turn", "role", "content")).alias("_t")))
-    own = lambda x: (F.floor(x["turn"] / F.lit(block_size)) == F.col("_b")) & (x["role"] == "user")
+               .agg(F.collect_list(F.struct("_p", "role", "content", "turn")).alias("_t")))
+    own = lambda x: (F.floor(x["_p"] / F.lit(block_size)) == F.col("_b")) & (x["role"] == "user")
     targets = grouped.select(id_col, "_t", F.explode(F.filter("_t", own)).alias("_u"))
-    window = F.filter("_t", lambda x: (x["turn"] >= F.col("_u.turn") - F.lit(h)) &
-                      (x["turn"] <= F.col("_u.turn")))
+    window = F.filter("_t", lambda x: (x["_p"] >= F.col("_u._p") - F.lit(h)) & (x["_p"] <= F.col("_u._p")))
     return targets.select(id_col, F.col("_u.turn").alias("turn"),
                           messages_from_turns(window).alias("messages"))
 
@@ -89,22 +94,33 @@ def generate(prompts: DataFrame, predictor_factory: Callable, ids_col: str = "pr
 
 
 def decode_bytes(ids: Column) -> Column:
-    """Byte ids -> text (invalid UTF-8 becomes U+FFFD)."""
-    hexed = F.array_join(F.transform(ids, lambda t: F.lpad(F.hex(t - F.lit(BYTE_OFFSET)), 2, "0")), "")
+    """Byte ids -> text (invalid UTF-8 becomes U+FFFD); other ids fail."""
+    def as_hex(t: Column) -> Column:
+        byte = t - F.lit(BYTE_OFFSET)
+        return F.when((byte >= 0) & (byte < 256), F.lpad(F.hex(byte), 2, "0")).otherwise(
+            F.raise_error(F.concat(F.lit("not an id of the byte tokenizer: "), t.cast("string"))).cast("string"))
+
+    hexed = F.array_join(F.transform(ids, as_hex), "")
     return F.decode(F.unhex(hexed), "UTF-8")
 
 
-def reply_text(prompt_ids_col: Column, output_ids: Column) -> Column:
-    """Drop the prompt part and special ids, decode the rest."""
-    new = F.slice(output_ids, F.size(prompt_ids_col) + 1, F.lit(MODEL_MAX_LENGTH * 4))
-    return decode_bytes(strip_specials(new))
+def reply_text(prompt_ids_col: Column, output_ids: Column,
+               decode: Callable[[Column], Column] = decode_bytes) -> Column:
+    """Drop the prompt part and special ids, decode the rest. ``decode``
+    turns an id array into text; the default is the byte tokenizer's."""
+    new = F.slice(output_ids, F.size(prompt_ids_col) + 1, F.greatest(F.size(output_ids), F.lit(1)))
+    return decode(strip_specials(new))
 
 
 def append_replies(turns: DataFrame, replies: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """Reply rows ``(conv_id, turn + 1, 'assistant', text)`` added to turns."""
-    new = replies.select(id_col, (F.col("turn") + 1).alias("turn"),
+    """``turns`` with each reply as an assistant turn right behind the
+    turn that it answers. Turn numbers are doubled, so a reply to turn ``t``
+    is ``2 t + 1`` and collides with no other turn, also in mid-conversation;
+    replies to the same turn would."""
+    old = turns.select(id_col, (F.col("turn") * 2).alias("turn"), "role", "content")
+    new = replies.select(id_col, (F.col("turn") * 2 + 1).alias("turn"),
                          F.lit("assistant").alias("role"), F.col("reply").alias("content"))
-    return turns.unionByName(new)
+    return old.unionByName(new)
 
 
 def echo_predictor_factory():

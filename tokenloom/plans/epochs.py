@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import BASE_SEED
@@ -34,11 +34,10 @@ def epoch_permutation(samples: DataFrame, epochs: int, seed: int = BASE_SEED,
     partitioning: the order is ``(md5 key, sample_id)``. Offsets are a table
     of at most ``epochs x 16**hex_digits`` rows, so broadcasting it is bounded.
     """
-    ids = samples.select(F.col(id_col)).withColumn(
-        "epoch", F.explode(F.sequence(F.lit(0), F.lit(int(epochs) - 1))))
+    each_epoch = F.explode(F.sequence(F.lit(0), F.lit(int(epochs) - 1)))
     if not shuffle:
-        return natural_order(ids, id_col)
-    keyed = ids.withColumn("_key", permutation_key(F.col(id_col), F.col("epoch"), seed))
+        return natural_order(samples.select(id_col), id_col).withColumn("epoch", each_epoch)
+    keyed = samples.select(id_col).withColumn("epoch", each_epoch).withColumn("_key", permutation_key(F.col(id_col), F.col("epoch"), seed))
     # Explicit broadcast only under a proven bound (~16 MB); above it AQE
     # decides from the run-time size.
     bounded = int(epochs) * 16 ** int(hex_digits) <= MAX_BROADCAST_OFFSETS
@@ -49,10 +48,9 @@ def epoch_permutation(samples: DataFrame, epochs: int, seed: int = BASE_SEED,
 
 
 def natural_order(ids: DataFrame, id_col: str = "sample_id") -> DataFrame:
-    """position = rank of ``sample_id`` (same for every epoch)."""
-    one = ids.select(id_col).distinct()
-    ranked = global_rank(one, id_col, out_col="pos")
-    return ids.join(ranked, id_col)
+    """position = rank of ``sample_id`` (same for every epoch). Each row
+    has a position of its own, repeated and null ids (first) too."""
+    return global_rank(ids, id_col, out_col="pos")
 
 
 def pad_to_world(perm: DataFrame, n: int, world: int) -> DataFrame:
@@ -92,6 +90,19 @@ def build_manifest(samples: DataFrame, epochs: int, world: int, batch_size: int,
                          "pos", id_col)
 
 
+def step_sizes(spark: SparkSession, n: int, epochs: int, world: int, batch_size: int) -> DataFrame:
+    """``(epoch, step, n_samples)`` over all ranks, by arithmetic alone: each
+    rank has ``ceil(n / world)`` samples, and only its last batch is short."""
+    per_rank = math.ceil(n / world) if n else 0
+    iters = math.ceil(per_rank / batch_size)
+    at = F.col("id")
+    step = (at % F.lit(max(iters, 1)) + 1).cast("bigint")
+    return spark.range(int(epochs) * iters).select(
+        F.floor(at / F.lit(max(iters, 1))).cast("int").alias("epoch"), step.alias("step"),
+        (F.least(F.lit(batch_size).cast("bigint"), F.lit(per_rank) - (step - 1) * F.lit(batch_size))
+         * F.lit(world)).cast("bigint").alias("n_samples"))
+
+
 def rescaled_step(saved_step: int, saved_world: int, current_world: int) -> int:
     """``step * saved // current`` when the world size changed."""
     if saved_world == current_world:

@@ -4,8 +4,8 @@
 ``partition by g`` runs a hot group in one task. Here the order key is
 first mapped to an order-preserving bucket, rows are numbered inside
 ``(group, bucket)`` and shifted by the prefix sum of the bucket counts.
-The counts table has at most ``groups x buckets`` rows, so the prefix sum
-and its join stay small however large the input is.
+The counts table has at most ``groups x buckets`` rows; for few groups the
+prefix sum and its join are small however large the input is.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ROWS_PER_BUCKET = 1_000_000
-MAX_GROUP_SLICES = 64
+DEFAULT_ROWS_PER_BUCKET = 4_000_000
+BOUND_SAMPLE = 16  # sampled rows per bucket for its bounds
 
 
 def hex_prefix_bucket(key: Column, digits: int = 4) -> Column:
@@ -42,83 +42,75 @@ def rank_in_buckets(df: DataFrame, partition_cols: list[str], bucket: Column,
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     if broadcast_offsets:
         offsets = F.broadcast(offsets)
-    joined = b.join(offsets, on=[*pcols, "_bucket"], how="inner")
+    joined = join_on(b, offsets, [*pcols, "_bucket"])
     w = Window.partitionBy(*pcols, "_bucket").orderBy(*order_cols)
     return (joined.withColumn(out_col, (F.col("_offset") + F.row_number().over(w) - 1).cast("bigint"))
             .drop("_bucket", "_offset"))
 
 
 def bucket_from_bounds(value: Column, bounds: list) -> Column:
-    """Number of bounds strictly below ``value`` (monotone in ``value``)."""
-    if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(x)) for x in bounds])
-    return F.size(F.filter(arr, lambda x: x < value.cast("double")))
+    """Number of sorted ``bounds`` strictly below ``value``, for any orderable
+    type; null goes to bucket 0, as nulls sort first. A balanced tree of
+    comparisons: a row costs the logarithm of the number of bounds."""
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(value > F.lit(bounds[mid]), tree(mid + 1, high)).otherwise(tree(low, mid))
 
+    return tree(0, len(bounds))
 
-def with_bucket(df: DataFrame, value_col: str, bounds: list, out_col: str) -> DataFrame:
-    """Add an order-preserving bucket id for sorted ``bounds``.
 
-    Few bounds: a comparison count in the expression. Many bounds: Spark ML's
-    ``Bucketizer`` (binary search in the JVM), so the cost per row stays
-    logarithmic. Both are monotone in the value and keep ties together.
-    """
-    if len(bounds) <= 64:
-        return df.withColumn(out_col, bucket_from_bounds(F.col(value_col), bounds))
-    from pyspark.ml.feature import Bucketizer
-    splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
-    tmp = df.withColumn("_bv", F.col(value_col).cast("double"))
-    out = Bucketizer(splits=splits, inputCol="_bv", outputCol=out_col, handleInvalid="keep").transform(tmp)
-    return out.withColumn(out_col, F.col(out_col).cast("int")).drop("_bv")
-
-
-def buckets_for(n_rows: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                max_buckets: int = 4096) -> int:
-    return int(min(max_buckets, max(1, math.ceil(n_rows / rows_per_bucket))))
-
-
-def count_and_bounds(df: DataFrame, order_col: str, min_buckets: int,
-                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[int, list]:
-    """Row count and quantile bounds of ``order_col`` in one aggregate job
-    (a second job only when the data needs more than ``min_buckets``)."""
-    def probe(nb: int):
-        probs = [i / nb for i in range(1, nb)] or [0.5]
-        r = df.agg(F.count(F.lit(1)).alias("n"),
-                   F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("b")).first()
-        return r.n, (sorted(set(v for v in (r.b or []) if v is not None)) if nb > 1 else [])
-    nb = max(2, int(min_buckets))
-    n, bounds = probe(nb)
-    need = buckets_for(n, rows_per_bucket)
-    if need > nb:
-        _, bounds = probe(need)
-    return n, bounds
+def buckets_for(n_rows: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> int:
+    return max(1, math.ceil(n_rows / rows_per_bucket))
+
+
+def sample_bounds(df: DataFrame, order_col: str, n_buckets: int) -> list:
+    """About ``n_buckets - 1`` distinct, sorted values that cut the rows into
+    even ranges, in the column's own type. They come from
+    ``BOUND_SAMPLE * n_buckets`` rows picked by hash, which is all that reaches
+    the driver; another pick changes the balance, never a rank."""
+    keys = df.select(F.col(order_col).alias("_k")).where(F.col("_k").isNotNull())
+    picked = (keys.orderBy(F.xxhash64("_k", F.monotonically_increasing_id())).limit(BOUND_SAMPLE * n_buckets)
+              .orderBy("_k").collect())
+    return list(dict.fromkeys(picked[len(picked) * i // n_buckets]["_k"] for i in range(1, n_buckets)
+                              )) if picked else []
 
 
 def global_rank(df: DataFrame, order_col: str, tiebreak: list[str] | None = None,
                 out_col: str = "pos", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                 with_count: bool = False):
-    """0-based rank over a numeric ``order_col`` using quantile buckets.
+    """0-based rank over ``order_col`` (any orderable type, nulls first).
 
-    At least one bucket per core, more as the data grows, so the numbering
-    window never runs in a single task. ``with_count`` also returns the
-    row count measured by the same job.
+    Rows are cut into ranges of the key, at least one per core and more as
+    the data grows, so the numbering window never runs in a single task.
+    ``with_count`` also returns the row count.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    n_rows, bounds = count_and_bounds(df, order_col, cores, rows_per_bucket)
+    n_rows = df.count()
+    bounds = sample_bounds(df, order_col, max(2, cores, buckets_for(n_rows, rows_per_bucket)))
     order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
-    if not bounds and n_rows > 1:
+    if len(bounds) <= 1 and n_rows > 1 and df.select(order_col).distinct().limit(2).count() <= 1:
         if tiebreak:  # one distinct value: the tiebreak columns define the order
             return global_rank(df, tiebreak[0], tiebreak[1:], out_col, rows_per_bucket, with_count)
         # complete tie: every numbering is a valid order
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(cores, 1)))
     else:
-        df = with_bucket(df, order_col, bounds, "_qb")
-        bucket = F.col("_qb")
-    out = rank_in_buckets(df, [], bucket, order, out_col=out_col, broadcast_offsets=True)
-    out = out.drop("_qb") if "_qb" in out.columns else out
+        bucket = bucket_from_bounds(F.col(order_col), bounds)
+    out = rank_in_buckets(df, [], bucket, order, out_col=out_col)
     return (out, n_rows) if with_count else out
 
 
+def join_on(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys are equal; the columns of ``left`` and the
+    other columns of ``right``."""
+    other = right.select(*[F.col(c).alias(f"__{c}") if c in cols else F.col(c) for c in right.columns])
+    on = F.lit(True)
+    for c in cols:
+        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return left.join(other, on, how).drop(*[f"__{c}" for c in cols])
+
+
 def _hot_group_buckets(df: DataFrame, group_cols: list[str], order_col: str,
                        sub_buckets: int | None, rows_per_bucket: int) -> tuple[DataFrame, Column | None]:
     """Order-preserving slice id per row; None when every group is small.
@@ -131,19 +123,17 @@ def _hot_group_buckets(df: DataFrame, group_cols: list[str], order_col: str,
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gn"))
     if sub_buckets is None:
         largest = sizes.agg(F.max("_gn")).first()[0] or 0
-        # At most 64 slices: a row scans at most 63 bounds; past 64 budgets a
-        # slice simply holds more rows (windows spill to disk).
-        sub_buckets = int(min(MAX_GROUP_SLICES, max(1, math.ceil(largest / rows_per_bucket))))
+        sub_buckets = buckets_for(largest, rows_per_bucket)
         hot = sizes.where(F.col("_gn") > rows_per_bucket)
     else:
         hot = sizes
     if sub_buckets <= 1:
         return df, None
     probs = [i / sub_buckets for i in range(1, sub_buckets)]
-    bounds = (df.join(hot.select(*group_cols), on=group_cols, how="left_semi")
+    bounds = (join_on(df, hot.select(*group_cols), group_cols, "left_semi")
               .groupBy(*group_cols)
               .agg(F.percentile_approx(F.col(order_col), probs, 10000).alias("_bounds")))
-    src = df.join(bounds, on=group_cols, how="left")
+    src = join_on(df, bounds, group_cols, "left")
     return src, F.coalesce(F.size(F.filter("_bounds", lambda x: x < F.col(order_col))), F.lit(0))
 
 
@@ -180,6 +170,6 @@ def grouped_running_total(df: DataFrame, group_cols: list[str], order_col: str,
     before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group_cols, "_bucket", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
     w = Window.partitionBy(*group_cols, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
-    return (b.join(offsets, on=[*group_cols, "_bucket"])
+    return (join_on(b, offsets, [*group_cols, "_bucket"])
             .withColumn(out_col, F.col("_off") + F.coalesce(F.sum("_v").over(w), F.lit(0)))
             .drop("_bucket", "_off", "_v", "_bounds"))

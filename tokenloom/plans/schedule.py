@@ -36,6 +36,15 @@ def is_update_step(step: Column, accumulation: int) -> Column:
     return ((step + 1) % F.lit(accumulation)) == 0
 
 
+def update_group(epoch: Column, step: Column, iters: Column, accumulation: int) -> Column:
+    """F8: the weight update (1-based) that a micro-step's gradient goes into:
+    one more than the updates strictly before the step. Micro-steps after an
+    epoch's last update go into the first one of the next epoch."""
+    a, base = F.lit(accumulation), F.lit(1 // accumulation)
+    per_epoch = F.floor((iters + 1) / a) - base
+    return (epoch * per_epoch + F.floor(step / a) - base + 1).cast("bigint")
+
+
 def update_number(epoch: Column, step: Column, iters: Column, accumulation: int) -> Column:
     """F8: how many weight updates happened up to and including this step.
 

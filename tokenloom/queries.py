@@ -66,7 +66,8 @@ def chat_render(spark: SparkSession, base: str) -> DataFrame:
 @register
 def sft_encode(spark: SparkSession, base: str) -> DataFrame:
     """Conversations -> fixed-length ids and span labels."""
-    recs = conv.chat_records(T.turns(spark, base), max_tokens=L_SFT)
+    recs = conv.chat_records(T.turns(spark, base), max_tokens=L_SFT,
+                             min_message_tokens=conv.BYTE_MESSAGE_TOKENS)
     out = enc.encode_sft(recs, id_col="conv_id", tools_col=None, max_length=L_SFT)
     return out.select("conv_id", md5_ids(F.col("input_ids")).alias("ids_md5"),
                       md5_ids(F.col("labels")).alias("labels_md5"),
@@ -77,7 +78,8 @@ def sft_encode(spark: SparkSession, base: str) -> DataFrame:
 @register
 def sft_supervised_tokens(spark: SparkSession, base: str) -> DataFrame:
     """B10 at token level: every supervised position of every conversation."""
-    recs = conv.chat_records(T.turns(spark, base), max_tokens=L_SFT)
+    recs = conv.chat_records(T.turns(spark, base), max_tokens=L_SFT,
+                             min_message_tokens=conv.BYTE_MESSAGE_TOKENS)
     out = enc.encode_sft(recs, id_col="conv_id", tools_col=None, max_length=L_SFT)
     return (out.select("conv_id", F.posexplode("labels").alias("pos", "token"))
             .where(F.col("token") != -100)
@@ -97,7 +99,8 @@ def dpo_pairs(spark: SparkSession, base: str) -> DataFrame:
 @register
 def dpo_encode(spark: SparkSession, base: str) -> DataFrame:
     """Both sides encoded, masked and shifted."""
-    out = enc.encode_dpo(conv.preference_pairs(T.turns(spark, base), max_tokens=L_DPO), max_length=L_DPO)
+    out = enc.encode_dpo(conv.preference_pairs(T.turns(spark, base), max_tokens=L_DPO,
+                                               min_message_tokens=conv.BYTE_MESSAGE_TOKENS), max_length=L_DPO)
     cols = [F.col("pair_id")]
     for side in ("chosen", "rejected"):
         for part in ("x", "y", "mask"):
@@ -177,11 +180,9 @@ def batch_fetch(spark: SparkSession, base: str) -> DataFrame:
 @register
 def step_calendar(spark: SparkSession, base: str) -> DataFrame:
     """Per step samples, lr, log/save/update flags, update number."""
-    docs = _docs(spark, base)
-    n = docs.count()
+    n = _docs(spark, base).count()
     iters = F.lit(P.batches_per_rank(n, SHARD_WORLD, SHARD_BATCH))
-    m = P.build_manifest(docs, PLAN_EPOCHS, SHARD_WORLD, SHARD_BATCH, n=n)
-    cal = m.groupBy("epoch", "step").agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"))
+    cal = P.step_sizes(spark, n, PLAN_EPOCHS, SHARD_WORLD, SHARD_BATCH)
     e, s = F.col("epoch"), F.col("step")
     return cal.select(
         "epoch", "step", "n_samples",
@@ -272,14 +273,14 @@ def pretrain_prompts(spark: SparkSession, base: str) -> DataFrame:
 @register
 def bulk_reply(spark: SparkSession, base: str) -> DataFrame:
     """History prompts through a stand-in predictor (echo of the
-    last user message), replies decoded and appended as assistant turns."""
+    last user message), replies decoded and put behind their user turns."""
     turns = T.turns(spark, base)
     h = PR.history_messages(turns, HISTORY)
     prompts = h.select("conv_id", "turn",
                        PR.prompt_ids(PR.generation_prompt(F.col("messages"))).alias("prompt_ids"))
     out = PR.generate(prompts, PR.echo_predictor_factory)
     replies = out.select("conv_id", "turn", PR.reply_text(F.col("prompt_ids"), F.col("output_ids")).alias("reply"))
-    appended = PR.append_replies(turns.where(F.lit(False)), replies)
+    appended = PR.append_replies(turns, replies)
     return appended.select("conv_id", "turn", "role", F.md5("content").alias("reply_md5"),
                            F.octet_length("content").cast("bigint").alias("n_bytes"))
 
@@ -347,8 +348,7 @@ def stream_encode(spark: SparkSession, base: str) -> DataFrame:
     from .session import shared_path
     from .streaming.encode_stream import start_append, stream_files
     schema = T.table(spark, base, "documents").schema
-    src = stream_files(spark, base, schema, fmt="parquet", glob="documents.parquet",
-                       spread=spark.sparkContext.defaultParallelism)
+    src = stream_files(spark, base, schema, fmt="parquet", glob="documents.parquet", max_files_per_trigger=64)
     encoded = enc.encode_pretrain(src.select(F.col("doc_id").alias("sample_id"), "text"),
                                   max_length=L_PRETRAIN)
     sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")
@@ -400,11 +400,12 @@ def dpo_batch_loss(spark: SparkSession, base: str) -> DataFrame:
 
 @register
 def update_batches(spark: SparkSession, base: str) -> DataFrame:
-    """F8: samples per weight update (micro-batch x accumulation x ranks)."""
-    docs = _docs(spark, base)
-    n = docs.count()
-    iters = F.lit(P.batches_per_rank(n, SHARD_WORLD, SHARD_BATCH))
-    m = P.build_manifest(docs, PLAN_EPOCHS, SHARD_WORLD, SHARD_BATCH, n=n)
-    upd = m.withColumn("update_id", S.update_number(F.col("epoch"), F.col("step"), iters, PLAN_ACCUMULATION))
-    return upd.groupBy("update_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"),
-                                        F.countDistinct("epoch", "step").cast("bigint").alias("n_micro_steps"))
+    """F8: samples per weight update (micro-batch x accumulation x ranks).
+    ``complete`` is false for micro-steps after the last update."""
+    n = _docs(spark, base).count()
+    iters = P.batches_per_rank(n, SHARD_WORLD, SHARD_BATCH)
+    steps = P.step_sizes(spark, n, PLAN_EPOCHS, SHARD_WORLD, SHARD_BATCH)
+    upd = steps.withColumn("update_id", S.update_group(F.col("epoch"), F.col("step"), F.lit(iters), PLAN_ACCUMULATION))
+    done = F.max(S.is_update_step(F.col("step"), PLAN_ACCUMULATION))
+    return upd.groupBy("update_id").agg(F.sum("n_samples").alias("n_samples"),
+                                        F.count(F.lit(1)).alias("n_micro_steps"), done.alias("complete"))

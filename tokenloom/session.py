@@ -41,14 +41,17 @@ def build_session(master: str | None = None, app: str = "tokenloom",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is. Only
-    when it is unset (local runs, tests) a scratch folder is created.
+    On a cluster the setting names shared storage and is used as is; without
+    it this raises. Only a local run without the setting (tests) gets a
+    scratch folder.
     """
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
         current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tokenloom-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if not sc.getCheckpointDir():
@@ -60,11 +63,3 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder, unique per call."""
     import uuid
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def materialize(df):
-    """Cut lineage for a DataFrame that feeds several actions: a reliable
-    checkpoint written below ``spark.checkpoint.dir`` (shared storage on a
-    cluster), so lost executors re-read it instead of recomputing."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

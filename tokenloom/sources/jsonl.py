@@ -16,11 +16,11 @@ PRETRAIN_SCHEMA = "text STRING, _corrupt_record STRING"
 
 _RAW_CALL = ("struct<name:string,arguments:string,"
              "function:struct<name:string,arguments:string>>")
-_RAW_MESSAGE = (f"struct<role:string,content:string,functions:array<string>,"
+# Content keeps its JSON type: only a string is rendered.
+_RAW_MESSAGE = (f"struct<role:string,content:variant,functions:array<string>,"
                 f"tool_calls:array<{_RAW_CALL}>>")
 SFT_SCHEMA = f"conversations ARRAY<{_RAW_MESSAGE}>, _corrupt_record STRING"
-_PREF_MESSAGE = "struct<role:string,content:string>"
-DPO_SCHEMA = (f"chosen ARRAY<{_PREF_MESSAGE}>, rejected ARRAY<{_PREF_MESSAGE}>, "
+DPO_SCHEMA = (f"chosen ARRAY<{_RAW_MESSAGE}>, rejected ARRAY<{_RAW_MESSAGE}>, "
               "_corrupt_record STRING")
 
 # Scalar part of the resume state and the train-log record.
@@ -60,9 +60,13 @@ def read_pretrain(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _normalise_messages(raw: F.Column) -> F.Column:
-    """Unwrap ``function`` in tool calls; keep arguments as JSON text."""
+    """Unwrap ``function`` in tool calls; keep arguments as JSON text. Content
+    that isn't a string becomes null, which renders as nothing (D10)."""
+    def text(content: F.Column) -> F.Column:
+        return F.when(F.schema_of_variant(content) == "STRING", F.try_variant_get(content, "$", "string"))
+
     return F.transform(raw, lambda m: F.struct(
-        m["role"].alias("role"), m["content"].alias("content"),
+        m["role"].alias("role"), text(m["content"]).alias("content"),
         F.transform(m["tool_calls"], lambda c: F.struct(
             F.coalesce(c["function"]["name"], c["name"]).alias("name"),
             F.coalesce(c["function"]["arguments"], c["arguments"]).alias("arguments"))
@@ -93,16 +97,27 @@ def read_dpo(spark: SparkSession, path: str) -> DataFrame:
 def dpo_records(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Normalise raw preference records (batch or streaming)."""
     extra = list(keep) + [c for c in ("_corrupt_record", "_split") if c in raw.columns]
-    as_msgs = lambda c: F.transform(c, lambda m: F.struct(
-        m["role"].alias("role"), m["content"].alias("content"),
-        F.lit(None).cast(TOOL_CALL_TYPE).alias("tool_calls")))
-    return raw.select(as_msgs(F.col("chosen")).alias("chosen"),
-                      as_msgs(F.col("rejected")).alias("rejected"), *extra)
+    return raw.select(_normalise_messages(F.col("chosen")).alias("chosen"),
+                      _normalise_messages(F.col("rejected")).alias("rejected"), *extra)
+
+
+def checked(df: DataFrame, rejects: str | None = None) -> DataFrame:
+    """Records without malformed ones. By default one malformed line fails the
+    job; with ``rejects``, such lines are written there as text, and the
+    number of them is ``spark.read.text(rejects).count()``."""
+    corrupt = F.col("_corrupt_record")
+    if rejects:
+        df.where(corrupt.isNotNull()).select(corrupt.alias("value")).write.mode("overwrite").text(rejects)
+        return df.where(corrupt.isNull()).drop("_corrupt_record")
+    failed = F.raise_error(F.concat(F.lit("malformed record: "), F.substring(corrupt, 1, 200)))
+    return df.where(F.when(corrupt.isNull(), True).otherwise(failed.cast("boolean"))).drop("_corrupt_record")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> None:
-    """A5/A6/A7 sinks; the commit protocol makes the replace atomic."""
+    """A5/A6 sinks. Overwriting removes the old output before the new one is
+    there, so saved state (A7) is appended as a new version instead and read
+    by ``operators.logs.latest_progress``."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

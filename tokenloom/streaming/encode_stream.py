@@ -2,7 +2,7 @@
 
 C1-C3 are projections, so the streaming plan is the batch plan over each
 micro-batch; output is appended to Parquet with a checkpoint, which makes
-the sink exactly-once across restarts.
+the sink exactly-once across restarts. A malformed record stops the stream.
 """
 
 from __future__ import annotations
@@ -37,16 +37,16 @@ def stream_chat_records(spark: SparkSession, path: str, id_field: str = "id",
                         max_files_per_trigger: int | None = None) -> DataFrame:
     """A2 as a stream: JSONL chat records with an id field, normalised like
     the batch reader (tool-call unwrap, tool choice)."""
-    from ..sources.jsonl import SFT_SCHEMA, sft_records
-    schema = f"{id_field} LONG, " + SFT_SCHEMA.replace(", _corrupt_record STRING", "")
-    raw = stream_files(spark, path, schema, fmt="json", max_files_per_trigger=max_files_per_trigger)
-    return sft_records(raw, keep=(id_field,))
+    from ..sources.jsonl import SFT_SCHEMA, checked, sft_records
+    raw = stream_files(spark, path, f"{id_field} LONG, {SFT_SCHEMA}", fmt="json",
+                       max_files_per_trigger=max_files_per_trigger)
+    return checked(sft_records(raw, keep=(id_field,)))
 
 
 def stream_preference_records(spark: SparkSession, path: str, id_field: str = "id",
                               max_files_per_trigger: int | None = None) -> DataFrame:
     """A3 as a stream."""
-    from ..sources.jsonl import DPO_SCHEMA, dpo_records
-    schema = f"{id_field} LONG, " + DPO_SCHEMA.replace(", _corrupt_record STRING", "")
-    raw = stream_files(spark, path, schema, fmt="json", max_files_per_trigger=max_files_per_trigger)
-    return dpo_records(raw, keep=(id_field,))
+    from ..sources.jsonl import DPO_SCHEMA, checked, dpo_records
+    raw = stream_files(spark, path, f"{id_field} LONG, {DPO_SCHEMA}", fmt="json",
+                       max_files_per_trigger=max_files_per_trigger)
+    return checked(dpo_records(raw, keep=(id_field,)))
