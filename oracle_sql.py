@@ -8,6 +8,8 @@ contains ``<|`` and there are no tool messages (FIXTURES.md).
 
 from __future__ import annotations
 
+from tokenloom import fixed as FX
+
 L_PRETRAIN = 512
 L_SFT = 512
 L_DPO = 512
@@ -484,8 +486,77 @@ select cast(update_id as bigint) as update_id, cast(sum(n) as bigint) as n_sampl
 from u group by 1"""
 
 
+def stack_sides() -> str:
+    L = L_DPO
+    def side(name: str) -> str:
+        ids = f"list_slice({pad('ids', L, 0)}, 2, {L})"
+        mask = f"list_slice({pad(f'list_transform(labels, lambda x: case when x = {M100} then 0 else 1 end)', L, 0)}, 2, {L})"
+        return f"select conv_id, '{name}' as side, {ids} as y, {mask} as mask from {name}"
+    return f"""
+with {PAIRS_CTE},
+chosen as ({_encoded('msgs', 'conv_id', L)}),
+rejected as ({_encoded('msgs', 'conv_id', L, text='rtext')}),
+s as ({side('chosen')} union all {side('rejected')})
+select conv_id as pair_id, side, cast(len(y) as bigint) as n_rows, cast(list_sum(mask) as bigint) as n_mask,
+       cast(list_sum(list_transform(range(1, len(y) + 1), lambda i: i * mask[i] * y[i])) as bigint) as weighted
+from s"""
+
+
+def _counted(sql: str, cols: str) -> str:
+    return f"select {cols}, count(*) as n_rows from ({sql}) group by all"
+
+
+def chat_tools() -> str:
+    calls = "".join([f" || {lit(FX.TOOL_CALL_OPEN)} || 'lookup' || {lit(FX.TOOL_CALL_ARGS)} || '{{\"turn\": ' || turn || '}}' || "
+                     f"{lit(FX.TOOL_CALL_CLOSE)}" + (f" || {lit(chr(10))}" if i == 0 else "") for i in (0, 1)])
+    plain = f"{lit('<|im_start|>')} || role || {lit(chr(10))} || body || {lit('<|im_end|>' + chr(10))}"
+    return f"""
+with a as (select conv_id, turn, case when (conv_id + turn) % 11 = 0 then 'observer'
+      when role = 'user' and (conv_id + turn) % 5 < 2 then 'tool'
+      when role = 'assistant' and (conv_id + turn) % 13 = 0 then 'tool' else role end as role,
+      case when (conv_id + turn) % 7 <> 0 then coalesce(text, '') else '' end as body from conversations),
+n as (select *, row_number() over w = 1 as is_first, coalesce(lag(role) over w = 'tool', false) as prev_tool,
+      coalesce(lead(role) over w = 'tool', false) as next_tool from a window w as (partition by conv_id order by turn)),
+r as (select conv_id, turn, is_first and conv_id % 3 = 2 as leads, role, body, case
+      when role = 'user' or (role = 'system' and not (is_first and conv_id % 3 = 2)) then {plain}
+      when role = 'assistant' then {lit('<|im_start|>assistant' + chr(10))} || body || case when turn % 4 = 1
+           then case when body <> '' then {lit(chr(10))} else '' end{calls} else '' end || {lit('<|im_end|>' + chr(10))}
+      when role = 'tool' then case when prev_tool then '' else {lit('<|im_start|>user')} end || {lit(FX.TOOL_RESPONSE_OPEN)}
+           || body || {lit(FX.TOOL_RESPONSE_CLOSE)} || case when next_tool then '' else {lit('<|im_end|>' + chr(10))} end
+      else '' end as block from n),
+h as (select conv_id, string_agg(block, '' order by turn) as blocks,
+      max(case when leads and role = 'system' then body end) as own_system from r group by 1),
+t as (select conv_id, case
+      when conv_id % 3 = 0 then {lit('<|im_start|>system' + chr(10))} || 'Be brief.' || {lit(chr(10) * 2)}
+           || {lit(FX.TOOLS_PREAMBLE)} || {lit(chr(10))} || '{{"name": "lookup"}}' || {lit(FX.TOOLS_POSTAMBLE)}
+      when conv_id % 3 = 1 then {lit('<|im_start|>system' + chr(10))} || 'Be brief.' || {lit('<|im_end|>' + chr(10))}
+      when own_system is not null then {lit('<|im_start|>system' + chr(10))} || own_system ||
+           {lit(chr(10) * 2)} || {lit(FX.TOOLS_PREAMBLE)} || {lit(chr(10))} || '{{"name": "lookup"}}'
+           || {lit(FX.TOOLS_POSTAMBLE)}
+      else {DEFAULT_HEAD} end || blocks || {lit(FX.GENERATION_PROMPT + FX.EMPTY_THINK)} as s from h)
+select conv_id, cast(strlen(s) as bigint) as n_bytes, md5(s) as render_md5 from t"""
+
+
+def train_log_roundtrip() -> str:
+    return f"""
+with {STEPS_CTE},
+l as (select run, step, loss + step / 1000.0 as loss, step / 1000.0 as aux from st
+      where step % {LOG_INTERVAL} = 0 or step = iters - 1)
+select run, count(*) as n_records, round(sum(loss), 4) as loss_sum, round(sum(loss - aux), 4) as task_sum,
+       cast(max(step) as bigint) as last_step, cast(2 as integer) as world_size
+from l group by run"""
+
+
 def all_sql() -> dict[str, str]:
+    dpo_cols = ", ".join(f"{p}_{s}_md5" for s in ("chosen", "rejected") for p in ("x", "y", "mask"))
     return {
+        "score_align": sequence_logprob(),
+        "stack_sides": stack_sides(),
+        "jsonl_pretrain": _counted(pretrain_encode(), "ids_md5, labels_md5"),
+        "jsonl_sft": _counted(sft_encode(), "ids_md5, labels_md5"),
+        "jsonl_dpo": _counted(dpo_encode(), dpo_cols),
+        "chat_tools": chat_tools(),
+        "train_log_roundtrip": train_log_roundtrip(),
         "dpo_batch_loss": dpo_batch_loss(),
         "update_batches": update_batches(),
         "sft_length_report": sft_length_report(),

@@ -66,6 +66,24 @@ def sequence_logprob(scored: DataFrame, seq_col: str, logp_cols: list[str],
     return scored.groupBy(seq_col).agg(*aggs)
 
 
+def align_scores(policy: DataFrame, reference: DataFrame, keys: list[str]) -> DataFrame:
+    """The scores of two models side by side. Both sides are reduced per
+    sequence before the join, so it moves a few numbers for each."""
+    return policy.join(reference, keys)
+
+
+def stack_sides(encoded: DataFrame, id_col: str = "pair_id") -> DataFrame:
+    """Chosen and rejected samples (C3) as token rows
+    ``(pair_id, side, pos, x, y, mask)``; no shuffle."""
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.arrays_zip(
+        *[F.col(f"{part}_{side}").alias(part) for part in ("x", "y", "mask")]).alias("rows"))
+        for side in ("chosen", "rejected")])
+    stacked = encoded.select(id_col, F.explode(sides).alias("_s"))
+    return (stacked.select(id_col, "_s.side", F.posexplode("_s.rows").alias("pos", "_r"))
+            .select(id_col, "side", "pos", F.col("_r")["x"].alias("x"), F.col("_r")["y"].alias("y"),
+                    F.col("_r")["mask"].alias("mask")))
+
+
 def pair_logratios(scored: DataFrame, pair_col: str = "pair_id", side_col: str = "side",
                    policy_col: str = "logp", ref_col: str = "ref_logp",
                    mask_col: str = "mask", normalize: bool = True) -> DataFrame:

@@ -409,3 +409,139 @@ def update_batches(spark: SparkSession, base: str) -> DataFrame:
     done = F.max(S.is_update_step(F.col("step"), PLAN_ACCUMULATION))
     return upd.groupBy("update_id").agg(F.sum("n_samples").alias("n_samples"),
                                         F.count(F.lit(1)).alias("n_micro_steps"), done.alias("complete"))
+
+
+@register
+def score_align(spark: SparkSession, base: str) -> DataFrame:
+    """Policy and reference scored as two tables, reduced per sequence,
+    then joined."""
+    t = T.token_scores(spark, base)
+    policy = SC.sequence_logprob(SC.with_token_logprob(t, "logits"), "seq_id", ["logp"])
+    ref = SC.sequence_logprob(SC.with_token_logprob(t, "ref_logits", out_col="ref_logp"), "seq_id", ["ref_logp"])
+    out = SC.align_scores(policy, ref.drop("n_mask"), ["seq_id"])
+    return out.select("seq_id", "n_mask", F.round("logp_avg", 6).alias("policy_avg"),
+                      F.round("ref_logp_avg", 6).alias("ref_avg"))
+
+
+@register
+def stack_sides(spark: SparkSession, base: str) -> DataFrame:
+    """C3 output stacked to token rows of both sides, summed per side."""
+    encoded = enc.encode_dpo(conv.preference_pairs(T.turns(spark, base), max_tokens=L_DPO,
+                                                   min_message_tokens=conv.BYTE_MESSAGE_TOKENS), max_length=L_DPO)
+    rows = SC.stack_sides(encoded)
+    weight = F.col("mask") * F.col("y").cast("bigint") * (F.col("pos") + 1)
+    return rows.groupBy("pair_id", "side").agg(F.count(F.lit(1)).alias("n_rows"),
+                                               F.sum("mask").cast("bigint").alias("n_mask"),
+                                               F.sum(weight).alias("weighted"))
+
+
+def _through_jsonl(spark: SparkSession, records: DataFrame, name: str) -> str:
+    """Write records as JSON lines below the shared folder."""
+    from .session import shared_path
+    path = shared_path(spark, name)
+    records.write.json(path)
+    return path
+
+
+def _counted(encoded: DataFrame, *cols: F.Column) -> DataFrame:
+    """Samples without ids: equal ones are counted."""
+    out = encoded.select(*cols)
+    return out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register
+def jsonl_pretrain(spark: SparkSession, base: str) -> DataFrame:
+    """A1 -> C1: documents as JSON lines, read by the pretrain reader."""
+    from .sources import jsonl as J
+    path = _through_jsonl(spark, T.table(spark, base, "documents").select("text"), "jsonl-pretrain")
+    recs = J.with_sample_id(J.checked(J.read_pretrain(spark, path)), "text")
+    out = enc.encode_pretrain(recs, max_length=L_PRETRAIN)
+    return _counted(out, md5_ids(F.col("input_ids")).alias("ids_md5"), md5_ids(F.col("labels")).alias("labels_md5"))
+
+
+def _plain_messages(messages: F.Column) -> F.Column:
+    return F.transform(messages, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+
+
+@register
+def jsonl_sft(spark: SparkSession, base: str) -> DataFrame:
+    """A2 -> C2: conversations as JSON lines, read by the chat reader."""
+    from .sources import jsonl as J
+    recs = conv.chat_records(T.turns(spark, base))
+    path = _through_jsonl(spark, recs.select(_plain_messages(F.col("messages")).alias("conversations")), "jsonl-sft")
+    back = J.with_sample_id(J.checked(J.read_sft(spark, path)), "messages", "tools")
+    out = enc.encode_sft(back, max_length=L_SFT)
+    return _counted(out, md5_ids(F.col("input_ids")).alias("ids_md5"), md5_ids(F.col("labels")).alias("labels_md5"))
+
+
+@register
+def jsonl_dpo(spark: SparkSession, base: str) -> DataFrame:
+    """A3 -> C3: preference pairs as JSON lines, read by the pair reader."""
+    from .sources import jsonl as J
+    pairs = conv.preference_pairs(T.turns(spark, base))
+    path = _through_jsonl(spark, pairs.select(*[_plain_messages(F.col(c)).alias(c) for c in ("chosen", "rejected")]),
+                          "jsonl-dpo")
+    back = J.with_sample_id(J.checked(J.read_dpo(spark, path)), "chosen", "rejected")
+    out = enc.encode_dpo(back.withColumnRenamed("sample_id", "pair_id"), max_length=L_DPO)
+    return _counted(out, *[md5_ids(F.col(f"{part}_{side}")).alias(f"{part}_{side}_md5")
+                           for side in ("chosen", "rejected") for part in ("x", "y", "mask")])
+
+
+CHAT_TOOL = '{"name": "lookup"}'
+CHAT_SYSTEM = "Be brief."
+
+
+def _tool_turns(spark: SparkSession, base: str) -> DataFrame:
+    """Turns with tool calls, tool replies, an unknown role and absent content
+    by fixed rules on conversation and turn."""
+    k = F.col("conv_id") + F.col("turn")
+    role = (F.when(k % 11 == 0, "observer").when((F.col("role") == "user") & (k % 5 < 2), "tool")
+            .when((F.col("role") == "assistant") & (k % 13 == 0), "tool").otherwise(F.col("role")))
+    t = T.turns(spark, base).withColumn("role", role).withColumn("content", F.when(k % 7 != 0, F.col("content")))
+    call = F.struct(F.lit("lookup").alias("name"),
+                    F.concat(F.lit('{"turn": '), F.col("turn").cast("string"), F.lit("}")).alias("arguments"))
+    calls = F.when((F.col("role") == "assistant") & (F.col("turn") % 4 == 1), F.array(call, call))
+    return t.withColumn("tool_calls", calls)
+
+
+@register
+def chat_tools(spark: SparkSession, base: str) -> DataFrame:
+    """Tools, tool calls, runs of tool replies, unknown roles,
+    absent content and the tail without thinking."""
+    from .functions.chat import MESSAGES_TYPE, choose_tools
+    entries = F.array_sort(F.collect_list(F.struct("turn", "role", "content", "tool_calls")))
+    recs = _tool_turns(spark, base).groupBy("conv_id").agg(entries.alias("_t"))
+    own = F.transform("_t", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"),
+                                               x["tool_calls"].alias("tool_calls"))).cast(MESSAGES_TYPE)
+    system = F.array(F.struct(F.lit("system").alias("role"), F.lit(CHAT_SYSTEM).alias("content"),
+                              F.lit(None).alias("tool_calls"))).cast(MESSAGES_TYPE)
+    kind = F.col("conv_id") % 3
+    messages = F.when(kind < 2, F.concat(system, own)).otherwise(own)
+    # Tools are listed for all; only a leading system message makes them count.
+    functions = F.when(kind != 1, F.array(F.lit(CHAT_TOOL))).otherwise(F.array().cast("array<string>"))
+    recs = recs.select("conv_id", messages.alias("messages"), functions.alias("functions"))
+    recs = recs.withColumn("tools", choose_tools(F.col("messages"), F.col("functions")))
+    text = render_chat(F.col("messages"), F.col("tools"), add_generation_prompt=True, enable_thinking=False)
+    return recs.select("conv_id", F.octet_length(text).cast("bigint").alias("n_bytes"), F.md5(text).alias("render_md5"))
+
+
+@register
+def train_log_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Log records with an auxiliary loss and saved states are
+    appended as versions below the shared folder; the records and the latest
+    state of each run are read back."""
+    from .session import shared_path
+    home = shared_path(spark, "train-log")
+    logged = LG.logged_steps(_steps(spark, base), LOG_INTERVAL, LOG_LR)
+    aux = F.col("step") / F.lit(1000.0)
+    records = logged.select("run", "step", SC.total_loss(F.col("loss"), aux, PLAN_ACCUMULATION).alias("loss"),
+                            aux.alias("aux_loss"))
+    for part in (0, 1):  # a later append adds to the log
+        LG.append_log(records.where(F.col("step") % 20 == part * LOG_INTERVAL), f"{home}/log")
+    LG.append_log(records.where(F.col("step") % LOG_INTERVAL != 0), f"{home}/log")
+    LG.append_log(records.select("run", F.lit(0).alias("epoch"), "step", F.lit(2).alias("world_size")), f"{home}/state")
+    back = spark.read.parquet(f"{home}/log").groupBy("run").agg(
+        F.count(F.lit(1)).alias("n_records"), F.round(F.sum("loss"), 4).alias("loss_sum"),
+        F.round(F.sum(F.col("loss") - F.col("aux_loss")), 4).alias("task_sum"))
+    state = LG.latest_progress(spark.read.parquet(f"{home}/state"))
+    return back.join(state.select("run", F.col("step").alias("last_step"), "world_size"), "run")
