@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chat import messages_from_turns
-from ..plans.ranking import global_rank, grouped_running_total
+from ..plans.ranking import grouped_running_total, with_successor
 
 KNOWN_ROLES = ("user", "system", "assistant", "tool")
 # Fewest tokens that any rendered user/system/assistant/tool message takes:
@@ -64,21 +64,16 @@ def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
     Conversations with an assistant turn are cut after their last assistant
     turn; ``rejected`` swaps that turn's text for the one of the next such
     conversation in id order (the last wraps to the first). The successor is
-    found by a distributed rank and an equi-join on ``pos + 1``, never by a
-    window over all conversations.
+    found by a window per range of ids, never by a window over all
+    conversations. Each conversation is collected once.
     """
     last = (turns.where(F.col("role") == "assistant")
             .groupBy(id_col)
             .agg(F.max_by(F.struct("turn", "content"), "turn").alias("_last"))
             .select(id_col, F.col("_last.turn").alias("cut_turn"),
                     F.col("_last.content").alias("last_text")))
-    # Only ids are ranked; the successor's text is fetched once, by its id.
-    ranked, n = global_rank(last.select(id_col, "cut_turn"), id_col, out_col="pos", with_count=True)
-    successor = ranked.select(((F.col("pos") - 1 + F.lit(n)) % F.lit(max(n, 1))).alias("pos"),
-                              F.col(id_col).alias("_next"))
-    pairs = (ranked.join(successor, "pos")
-             .join(last.select(F.col(id_col).alias("_next"), F.col("last_text").alias("next_text")), "_next")
-             .select(id_col, "cut_turn", "next_text"))
+    pairs = with_successor(last, id_col, ["last_text"]).select(
+        id_col, "cut_turn", F.col("next_last_text").alias("next_text"))
     if max_tokens is not None:
         # A turn's budget count depends only on earlier turns, so pruning
         # before the cut gives the same rows and avoids recomputing the join.
