@@ -7,11 +7,13 @@ state holds one counter per distinct length.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tokens import coerce_text, token_count
 
+BLOCK = 1024  # turns of a conversation that one window group holds
+
 
 def length_report(records: DataFrame, group_cols: list[str], max_length: int,
                   text_col: str = "text", reserved: int = 2) -> DataFrame:
@@ -36,18 +38,22 @@ def conversation_token_counts(turns: DataFrame, id_col: str = "conv_id") -> Data
     """Token count of every whole rendered conversation, without assembling it.
 
     Each turn is rendered on its own row (head on the first, tool-block
-    edges from the neighbours' roles, found by equi-joins on position) and
-    the counts are summed per conversation. Byte-token counts add up across
+    edges from the neighbours' roles, found in blocks of positions) and the
+    counts are summed per conversation. Byte-token counts add up across
     messages because every rendered message is self-contained and no
     special string can form across a message boundary.
     """
     from ..functions.chat import TOOL_CALL_TYPE, render_head, render_message
     from ..plans.ranking import grouped_rank
     ranked = grouped_rank(turns, [id_col], "turn", out_col="_i")
-    roles = ranked.select(id_col, "_i", "role")
-    prev = roles.select(id_col, (F.col("_i") + 1).alias("_i"), F.col("role").alias("_prev"))
-    nxt = roles.select(id_col, (F.col("_i") - 1).alias("_i"), F.col("role").alias("_next"))
-    rows = ranked.join(prev, [id_col, "_i"], "left").join(nxt, [id_col, "_i"], "left")
+    # Blocks of positions; the rows at a block's ends are also sent to the
+    # block beyond, so a window per block sees every neighbour.
+    i, block = F.col("_i"), F.floor(F.col("_i") / F.lit(BLOCK))
+    spread = ranked.withColumn("_b", F.explode(F.array_compact(F.array(
+        block, F.when(i % BLOCK == 0, block - 1), F.when(i % BLOCK == BLOCK - 1, block + 1)))))
+    w = Window.partitionBy(id_col, "_b").orderBy("_i")
+    rows = (spread.withColumns({"_prev": F.lag("role").over(w), "_next": F.lead("role").over(w)})
+            .where(block == F.col("_b")))
     first = F.col("_i") == 0
     is_tool = lambda c: F.coalesce(F.col(c) == F.lit("tool"), F.lit(False))
     piece = F.concat(
