@@ -87,3 +87,27 @@ def test_history_blocks_match_window(spark):
         got = {(r.conv_id, r.turn): [m.content for m in r.messages]
                for r in PR.history_messages(df, h).collect()}
         assert got == exp, h
+
+
+def test_history_goes_by_position(spark):
+    t = spark.createDataFrame([(1, 0, "user", "a"), (1, 5, "assistant", "b"), (1, 10, "user", "c")],
+                              "conv_id long, turn long, role string, content string")
+    got = {r.turn: [m.content for m in r.messages] for r in PR.history_messages(t, 2).collect()}
+    assert got == {0: ["a"], 10: ["a", "b", "c"]}
+
+
+def test_replies_in_mid_conversation_keep_turns_unique(spark, turns):
+    rep = spark.createDataFrame([(1, 1, "new"), (1, 5, "last")], "conv_id long, turn long, reply string")
+    rows = PR.append_replies(turns, rep).where("conv_id = 1").orderBy("turn").collect()
+    assert len({r.turn for r in rows}) == len(rows) == 8
+    assert [r.content for r in rows] == ["S", "u1", "new", "a1", "u2", "a2", "u3", "last"]
+
+
+def test_long_reply_is_whole_and_other_ids_fail(spark):
+    n = PR.MODEL_MAX_LENGTH * 4 + 77
+    df = spark.range(1).select(F.array(F.lit(1)).alias("p"), F.concat(F.array(F.lit(1)), F.array_repeat(
+        F.lit(ord("x") + 3), n)).alias("o"))
+    assert df.select(F.length(PR.reply_text(F.col("p"), F.col("o"))).alias("n")).first().n == n
+    bad = spark.range(1).select(PR.decode_bytes(F.array(F.lit(300), F.lit(6399))).alias("t"))
+    with pytest.raises(Exception, match="byte tokenizer"):
+        bad.collect()

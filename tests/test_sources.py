@@ -111,3 +111,40 @@ def test_hot_copies_numbered_across_splits(spark, tmp_path):
     again = {r.sample_id for r in J.with_sample_id(J.read_pretrain(spark, str(src))
                                                     .where(F.col("_corrupt_record").isNull()), "text").collect()}
     assert again == set(ids)
+
+
+def test_content_that_is_no_string_is_blank(spark, tmp_path):
+    p = tmp_path / "c.jsonl"
+    _write(p, [{"conversations": [{"role": "user", "content": c}]} for c in (42, ["a"], {"k": 1}, None, True, "42")])
+    got = sorted(r.c or "" for r in J.checked(J.read_sft(spark, str(p))).select(F.col("messages")[0]["content"].alias("c")).collect())
+    assert got == ["", "", "", "", "", "42"]
+
+
+def test_preference_tool_calls_are_rendered(spark, tmp_path):
+    p = tmp_path / "d.jsonl"
+    call = {"role": "assistant", "content": "", "tool_calls": [{"function": {"name": "f", "arguments": "{}"}}]}
+    _write(p, [{"chosen": [{"role": "user", "content": "q"}, call], "rejected": [{"role": "user", "content": "q"}]}])
+    text = J.checked(J.read_dpo(spark, str(p))).select(render_chat(F.col("chosen")).alias("t")).first().t
+    assert "<tool_call>" in text and "f" in text
+
+
+def test_malformed_lines_fail_or_are_kept_aside(spark, tmp_path):
+    import pytest
+    p = tmp_path / "m.jsonl"
+    _write(p, [{"text": "a"}, "{broken", {"text": "b"}])
+    with pytest.raises(Exception, match="malformed record"):
+        J.checked(J.read_pretrain(spark, str(p))).collect()
+    left = J.checked(J.read_pretrain(spark, str(p)), rejects=str(tmp_path / "rejects"))
+    assert sorted(r.text for r in left.collect()) == ["a", "b"]
+    assert [r.value for r in spark.read.text(str(tmp_path / "rejects")).collect()] == ["{broken"]
+
+
+def test_malformed_record_stops_the_stream(spark, tmp_path):
+    import pytest
+    from tokenloom.streaming.encode_stream import stream_chat_records
+    src = tmp_path / "in"
+    src.mkdir()
+    _write(src / "a.jsonl", [{"id": 1, "conversations": [{"role": "user", "content": "q"}]}, "{broken"])
+    q = start_append(stream_chat_records(spark, str(src)).select("id"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    with pytest.raises(Exception, match="malformed record"):
+        q.awaitTermination()

@@ -30,3 +30,21 @@ def test_plug_equals_native_sft_and_dpo(spark):
     c = encode_dpo(pairs, max_length=200)
     d = encode_dpo(pairs, max_length=200, tokenizer_factory=ByteTokenizer)
     assert _rows(c, "pair_id") == _rows(d, "pair_id")
+
+
+def test_budget_holds_for_a_word_vocabulary(spark):
+    class WordTokenizer:
+        """Few ids a message: one for each marker line, word and gap."""
+
+        def encode_batch(self, texts):
+            import re
+            parts = re.compile(r"<\|im_start\|>\w+\n|<\|im_end\|>\n|\S+|\s+")
+            return [[sum(p.encode()) % 5000 + 3 for p in parts.findall(t)] for t in texts]
+
+    turns = spark.createDataFrame([(1, i, "user" if i % 2 == 0 else "assistant", "w") for i in range(60)],
+                                  "conv_id long, turn long, role string, content string")
+    whole = encode_sft(conv.chat_records(turns), id_col="conv_id", tools_col=None, max_length=96,
+                       tokenizer_factory=WordTokenizer)
+    cut = encode_sft(conv.chat_records(turns, max_tokens=96), id_col="conv_id", tools_col=None, max_length=96,
+                     tokenizer_factory=WordTokenizer)
+    assert _rows(whole, "conv_id") == _rows(cut, "conv_id")

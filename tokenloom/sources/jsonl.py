@@ -39,19 +39,20 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def with_sample_id(df: DataFrame, *content_cols: str, split_col: str = "_split",
                    buckets: int = 1024) -> DataFrame:
-    """Stable id when the input has none: content hash, then a number among
-    exact copies. Copies are interchangeable, so the set of ids is stable.
+    """Stable id when the input has none: the content's 128-bit digest, then a
+    number among exact copies. Copies are interchangeable, so the set of ids
+    is stable.
 
     Copies are numbered inside ``(hash, split bucket)`` and shifted by the
     counts of earlier buckets, so even a text copied into a third of all
     rows is numbered by many tasks; a bucket holds at most one file split.
     """
     from ..plans.ranking import rank_in_buckets
-    h = F.xxhash64(*[F.to_json(F.struct(c)) for c in content_cols])
+    h = F.md5(F.to_json(F.struct(*content_cols), {"ignoreNullFields": "false"}))
     bucket = (F.pmod(F.col(split_col), F.lit(buckets)) if split_col in df.columns else F.lit(0))
     keyed = df.withColumn("_h", h)
     ranked = rank_in_buckets(keyed, ["_h"], bucket, [F.lit(1)], out_col="_dup")
-    return ranked.withColumn("sample_id", F.xxhash64("_h", "_dup")).drop("_h", "_dup")
+    return ranked.withColumn("sample_id", F.concat_ws("-", "_h", "_dup")).drop("_h", "_dup")
 
 
 def read_pretrain(spark: SparkSession, path: str) -> DataFrame:
@@ -107,7 +108,10 @@ def checked(df: DataFrame, rejects: str | None = None) -> DataFrame:
     number of them is ``spark.read.text(rejects).count()``."""
     corrupt = F.col("_corrupt_record")
     if rejects:
-        df.where(corrupt.isNotNull()).select(corrupt.alias("value")).write.mode("overwrite").text(rejects)
+        # The reader wants a column besides the corrupt one: nothing of it is added.
+        fields = F.to_json(F.struct(*[c for c in df.columns if c not in ("_corrupt_record", "_split")]))
+        line = F.concat(corrupt, F.substring(F.coalesce(fields, F.lit("")), 1, 0))
+        df.where(corrupt.isNotNull()).select(line.alias("value")).write.mode("overwrite").text(rejects)
         return df.where(corrupt.isNull()).drop("_corrupt_record")
     failed = F.raise_error(F.concat(F.lit("malformed record: "), F.substring(corrupt, 1, 200)))
     return df.where(F.when(corrupt.isNull(), True).otherwise(failed.cast("boolean"))).drop("_corrupt_record")
