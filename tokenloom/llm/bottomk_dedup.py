@@ -14,8 +14,8 @@
 No list gives all its pairs. First each node is verified against one member
 of its lists (the one that it shares most lists with); later rounds take more
 members of each list, but only for pairs that aren't in one component yet, so
-a large group of copies costs one pair a member, while every pair that could
-join two components is tried. There is no cap on lists, pairs or groups.
+a large group of copies costs some pairs a member, while every pair that
+could join two components is tried. There is no cap on lists, pairs or groups.
 
 For sets of at most ``SKETCH`` values the lists find every link; for larger
 ones a pair at the threshold is missed with a probability of about 1e-7.
@@ -44,9 +44,13 @@ from .common import mix64, text_or_empty
 SKETCH = 128
 ESTIMATE = 64  # values of a sketch that are kept for estimates
 ESTIMATE_SLACK = 0.3  # six standard deviations at ESTIMATE values
-RARITY_BITS = 20
+RARITY_BITS = 22
+HEADS = 16  # members of a list that a round tries with all others of it
+#: The rest of the pairs is tried at once when there are so many for each row
+#: of the lists at most.
+PAIRS_A_ROW = 16
 #: Most rows of a table (16 bytes each) that is broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 300_000
 
 
 # -- sets ---------------------------------------------------------------------
@@ -55,7 +59,7 @@ class WordHashes(dict):
     """Word to its 64-bit hash, remembered for the words met last."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
@@ -75,6 +79,17 @@ def shingle_set(text: bytes, size: int, hashes: dict) -> np.ndarray:
     return np.unique(mix64(out).view(np.int64))
 
 
+def set_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Some hundred rows and their texts' sets at a time; the text is the last
+    column."""
+    hashes = WordHashes()
+    for b in batches:
+        for at in range(0, b.num_rows, 256):
+            part = b.slice(at, 256)
+            yield part, [shingle_set(t, size, hashes) for t in part.column(part.num_columns - 1)
+                         .cast(pa.binary()).to_pylist()]
+
+
 def cell_of(values: np.ndarray) -> np.ndarray:
     """Cell of each value in the table of counts."""
     return (mix64(values) >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
@@ -97,17 +112,16 @@ def choose_keys(values: np.ndarray, rarity: np.ndarray, similarity: float) -> np
     return sketch[order[:keys_needed(len(values), similarity)]]
 
 
-def shingle_rarity(docs: DataFrame, size: int) -> np.ndarray:
-    """Logarithmic counts of all shingles in 2**RARITY_BITS hashed cells. Each
-    task sends one compressed table; cells are added up by ranges."""
+def value_rarity(docs: DataFrame, size: int) -> np.ndarray:
+    """Logarithmic counts of all retained values in 2**RARITY_BITS hashed
+    cells. Each task sends one compressed table; cells are added up by ranges."""
     ranges, cells = 64, 1 << RARITY_BITS
     width = cells // ranges
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHashes(), np.zeros(cells, np.int64)
-        for b in batches:
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                np.add.at(total, cell_of(shingle_set(t, size, hashes)), 1)
+        total = np.zeros(cells, np.int32)
+        for _, sets in set_batches(batches, size):
+            np.add.at(total, cell_of(np.concatenate([s[:SKETCH] for s in sets])), 1)
         pack = zstandard.ZstdCompressor(level=1).compress
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(ranges), pa.int32()),
@@ -120,8 +134,8 @@ def shingle_rarity(docs: DataFrame, size: int) -> np.ndarray:
         for b in batches:
             part = b.column(0)[0].as_py()
             for c in b.column(1).to_pylist():
-                total += np.frombuffer(unpack(c), np.int64)
-        level = np.log2(total + 1.0).astype(np.uint8)
+                total += np.frombuffer(unpack(c), np.int32)
+        level = (4 * np.log2(total + 1.0)).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([level.tobytes()])],
                                          names=["part", "levels"])
 
@@ -135,22 +149,18 @@ def shingle_rarity(docs: DataFrame, size: int) -> np.ndarray:
 
 def sketch_rows(docs: DataFrame, size: int, similarity: float) -> DataFrame:
     """(doc_id, text_hash, digest, n, sketch, keys) of every row."""
-    rarity = docs.sparkSession.sparkContext.broadcast(shingle_rarity(docs, size))
+    rarity = docs.sparkSession.sparkContext.broadcast(value_rarity(docs, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                sets = [shingle_set(t, size, hashes) for t in part.column(2).cast(pa.binary()).to_pylist()]
-                longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1),
-                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                     pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([s[:ESTIMATE] for s in sets], longs),
-                     pa.array([choose_keys(s, rarity.value, similarity) for s in sets], longs)],
-                    names=["doc_id", "text_hash", "digest", "n", "sketch", "keys"])
+        longs = pa.list_(pa.int64())
+        for part, sets in set_batches(batches, size):
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1),
+                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([s[:ESTIMATE] for s in sets], longs),
+                 pa.array([choose_keys(s, rarity.value, similarity) for s in sets], longs)],
+                names=["doc_id", "text_hash", "digest", "n", "sketch", "keys"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"),
                         text_or_empty().alias("text"))
@@ -184,8 +194,7 @@ def small_or_not(df: DataFrame) -> DataFrame:
 def connect(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) of every node with an edge; the root is the smallest node
     of its component. Alternating large-star and small-star steps."""
-    stars = scratch.keep(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                         .where("a <> b").distinct())
+    stars = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     state = None
     while True:
         both = stars.select("a", "b").unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -213,49 +222,53 @@ def estimate(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.greatest(F.size(union), F.lit(1))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """Those pairs (a, b) whose full sets are similar enough; the sketches
-    filter them before."""
-    part = round(100 * similarity)
-    pairs = scratch.keep(pairs)
-    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    sized = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * part)
-    near = estimate(F.col("s_a"), F.col("s_b")) >= similarity - ESTIMATE_SLACK
-    hopeful = scratch.keep(left.join(small_or_not(pairs), "a").join(right, "b").where(sized & near)
-                           .select("a", "b"))
-    first = sets.select(F.col("node").alias("a"), F.col("values").alias("v_a")).join(small_or_not(hopeful), "a")
-    heads = small_or_not(hopeful.select(F.col("b")).distinct())
-    second = sets.select(F.col("node").alias("b"), F.col("values").alias("v_b")).join(heads, "b")
-    both = F.size(F.array_intersect("v_a", "v_b"))
-    return (first.join(second, "b").withColumn("both", both)
-            .where(F.col("both") * 100 >= (F.size("v_a") + F.size("v_b") - F.col("both")) * part)
-            .select("a", "b"))
-
-
-def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, values) of the wanted (doc_id, digest, node), computed again
-    from the texts; other texts don't leave the scan if ``wanted`` is small."""
-    ids = small_or_not(wanted.select(F.col("doc_id").alias("__id")).distinct())
+def full_sets(docs: DataFrame, wanted: DataFrame, most: int, size: int) -> DataFrame:
+    """(node, values) of the wanted (doc_id, digest, node), ``most`` rows at
+    most, computed again from the texts; other texts don't leave the scan if
+    the wanted rows are few enough for a broadcast."""
+    hint = F.broadcast if most <= MAX_BROADCAST_ROWS else (lambda df: df)
+    ids = hint(wanted.select(F.col("doc_id").alias("__id")).distinct())
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
             .join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                sets = [shingle_set(t, size, hashes) for t in part.column(1).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                     pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "digest", "values"])
+        for part, sets in set_batches(batches, size):
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                 pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "digest", "values"])
 
     found = rows.mapInArrow(run, "doc_id long, digest binary, values array<long>")
-    return (found.join(small_or_not(wanted.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "node")),
+    return (found.join(hint(wanted.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "node")),
                        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")))
             .select("node", "values"))
 
 
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: float, repeats: bool,
+             scratch: Scratch) -> DataFrame:
+    """Those pairs (a, b) whose full sets are similar enough. The sketches
+    filter them before, so that few sets are needed. ``repeats``: whether a
+    node's row may be there several times."""
+    part = round(100 * similarity)
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    sized = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * part)
+    near = estimate(F.col("s_a"), F.col("s_b")) >= similarity - ESTIMATE_SLACK
+    hopeful = scratch.keep(left.join(pairs, "a").join(right, "b").where(sized & near).select("a", "b"))
+    found = hopeful.count()
+    if not found:
+        return hopeful
+    either = hopeful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = full_sets(docs, nodes.select("node", "doc_id", "digest").join(either, "node"), 2 * found, size)
+    sets = scratch.keep(sets.dropDuplicates(["node"]) if repeats else sets)
+    first = sets.select(F.col("node").alias("a"), F.col("values").alias("v_a")).join(hopeful, "a")
+    heads = hopeful.select("b").distinct()
+    second = sets.select(F.col("node").alias("b"), F.col("values").alias("v_b")).join(heads, "b")
+    both = F.size(F.array_intersect("v_a", "v_b"))
+    return scratch.keep(first.join(second, "b").withColumn("both", both)
+                        .where(F.col("both") * 100 >= (F.size("v_a") + F.size("v_b") - F.col("both")) * part)
+                        .select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) of every row;
     ``text_hash`` is the xxhash64 of the text."""
@@ -277,42 +290,48 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     listed = scratch.keep(members.select("node").distinct())
     chosen = scratch.keep(nodes.join(small_or_not(listed), "node", "left_semi")
                           .select("node", "doc_id", "digest", "n", "sketch"))
-    sets = full_sets(docs, chosen.select("doc_id", "digest", "node"), shingle)
-    again = (filled.join(small_or_not(nodes_of.where("copies > 1").select("digest")), "digest", "left_semi")
-             .groupBy("digest", "doc_id").count().where("count > 1"))
-    if not again.isEmpty():  # rows that are there twice give a set twice
-        sets = sets.dropDuplicates(["node"])
-    sets = scratch.keep(sets)
+    repeats = not (filled.join(small_or_not(nodes_of.where("copies > 1").select("digest")), "digest", "left_semi")
+                   .groupBy("digest", "doc_id").count().where("count > 1").isEmpty())
+    check = (chosen, docs, shingle, similarity, repeats, scratch)
 
     # Each node against the leader that it shares most lists with.
     best = (members.where("node <> leader").groupBy("node", "leader").count()
             .groupBy("node").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("b")))
-    links = verified(best.select(F.col("node").alias("a"), "b"), chosen, sets, similarity, scratch)
+    links = verified(best.select(F.col("node").alias("a"), "b"), *check)
     stars = connect(links, scratch)
+    rows_in_lists = members.count()
     led: list[DataFrame] = []  # (key, node): members that all others of a list have been tried with
-    heads_a_round = 4
     while True:
-        labelled = scratch.keep(members.select("key", "node").join(stars, "node", "left")
-                                .select("key", "node", F.coalesce("root", "node").alias("root")))
+        labelled = (members.select("key", "node").join(stars, "node", "left")
+                    .select("key", "node", F.coalesce("root", "node").alias("root")))
         open_ = labelled
         for known in led:
             open_ = open_.join(known, ["key", "node"], "left_anti")
-        picks = [F.min(F.when(F.pmod(F.xxhash64("node", F.lit(len(led))), F.lit(heads_a_round)) == s, F.col("node")))
-                 for s in range(heads_a_round)]
-        mixed = (open_.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                          F.array(*picks).alias("picks"))
-                 .where("low <> high").select("key", F.explode(F.array_compact("picks")).alias("node")))
-        heads = scratch.keep(mixed)
-        if heads.isEmpty():
+        picks = [F.min(F.when(F.pmod(F.xxhash64("node", F.lit(len(led))), F.lit(HEADS)) == s, F.col("node")))
+                 for s in range(HEADS)]
+        mixed = scratch.keep(open_.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                                      F.count(F.lit(1)).alias("open"), F.array(*picks).alias("picks"))
+                             .where("low <> high")
+                             .join(labelled.groupBy("key").agg(F.count(F.lit(1)).alias("all")), "key"))
+        left = mixed.agg(F.sum(F.col("open") * F.col("all"))).first()[0]
+        if not left:
             break
+        last = left <= PAIRS_A_ROW * rows_in_lists  # all that is left is in proportion to the lists
+        if last:
+            heads = open_.join(mixed.select("key"), "key", "left_semi").select("key", "node")
+        else:
+            heads = mixed.select("key", F.explode(F.array_compact("picks")).alias("node"))
+        heads = scratch.keep(heads)
         led.append(heads)
         of = heads.select("key", F.col("node").alias("b")).join(stars.withColumnRenamed("node", "b"), "b", "left")
         pairs = (labelled.join(of.select("key", "b", F.coalesce("root", "b").alias("root_b")), "key")
                  .where("root <> root_b")
                  .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
-        more = verified(pairs, chosen, sets, similarity, scratch)
-        stars = connect(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), scratch)
-        heads_a_round = min(64, 4 * heads_a_round)
+        more = verified(pairs, *check)
+        if more.count():
+            stars = connect(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), scratch)
+        if last:
+            break
 
     grouped = nodes_of.join(stars, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     placed = scratch.keep(rows.select("doc_id", "text_hash", "digest", "n", "row").join(grouped, "digest", "left")
