@@ -12,10 +12,11 @@
    filter pairs; exact Jaccard similarities over the full sets verify them.
 
 No list gives all its pairs. First each node is verified against one member
-of its lists (the one that it shares most lists with); later rounds take more
-members of each list, but only for pairs that aren't in one component yet, so
-a large group of copies costs some pairs a member, while every pair that
-could join two components is tried. There is no cap on lists, pairs or groups.
+of its lists (the one that it shares most lists with); later rounds try the
+pairs of further members, but only those that aren't in one component yet and
+share as many lists as linked sets of their sizes must, so a large group of
+copies costs some pairs a member, while every pair that could join two
+components is tried. There is no cap on lists, pairs or groups.
 
 For sets of at most ``SKETCH`` values the lists find every link; for larger
 ones a pair at the threshold is missed with a probability of about 1e-7.
@@ -45,7 +46,7 @@ SKETCH = 128
 ESTIMATE = 64  # values of a sketch that are kept for estimates
 ESTIMATE_SLACK = 0.3  # six standard deviations at ESTIMATE values
 RARITY_BITS = 22
-HEADS = 16  # members of a list that a round tries with all others of it
+SLOTS = 64  # nodes are dealt to so many slots, which lead one after the other
 #: The rest of the pairs is tried at once when there are so many for each row
 #: of the lists at most.
 PAIRS_A_ROW = 16
@@ -222,6 +223,26 @@ def estimate(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.greatest(F.size(union), F.lit(1))
 
 
+def least_shared(n_a: Column, n_b: Column, similarity: float) -> Column:
+    """How many lists two linked sets of these sizes share at least.
+
+    They have ``both`` values in common, so in any order of values the t-th
+    common one is among the first ``t + n - both`` of each set. With whole
+    sets as sketches that is exact; two larger ones have a binomial part of
+    their sketches in common, here less 5.2 standard deviations.
+    """
+    both = F.ceil((n_a + n_b) * (similarity / (1 + similarity)) - 1e-9)
+
+    def exact(n: Column) -> Column:
+        return both - F.ceil(n * similarity - 1e-9) + 1
+
+    part = F.least(both / F.greatest(n_a, n_b), F.lit(1.0))
+    common = part * SKETCH - F.sqrt(part * (1 - part) * SKETCH) * 5.2
+    sampled = F.floor(common - (SKETCH - keys_needed(SKETCH + 1, similarity)))
+    return (F.when((n_a <= SKETCH) & (n_b <= SKETCH), F.least(exact(n_a), exact(n_b)))
+            .when((n_a > SKETCH) & (n_b > SKETCH), sampled).otherwise(1))
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, most: int, size: int) -> DataFrame:
     """(node, values) of the wanted (doc_id, digest, node), ``most`` rows at
     most, computed again from the texts; other texts don't leave the scan if
@@ -245,13 +266,15 @@ def full_sets(docs: DataFrame, wanted: DataFrame, most: int, size: int) -> DataF
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: float, repeats: bool,
              scratch: Scratch) -> DataFrame:
-    """Those pairs (a, b) whose full sets are similar enough. The sketches
-    filter them before, so that few sets are needed. ``repeats``: whether a
-    node's row may be there several times."""
+    """Those pairs (a, b, shared) whose full sets are similar enough. Sizes,
+    the number of shared lists (null: not counted) and the sketches filter
+    them before, so that few sets are needed. ``repeats``: whether a node's
+    row may be there several times."""
     part = round(100 * similarity)
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     sized = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * part)
+    sized = sized & (F.coalesce("shared", F.lit(SKETCH)) >= least_shared(F.col("n_a"), F.col("n_b"), similarity))
     near = estimate(F.col("s_a"), F.col("s_b")) >= similarity - ESTIMATE_SLACK
     hopeful = scratch.keep(left.join(pairs, "a").join(right, "b").where(sized & near).select("a", "b"))
     found = hopeful.count()
@@ -297,40 +320,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     # Each node against the leader that it shares most lists with.
     best = (members.where("node <> leader").groupBy("node", "leader").count()
             .groupBy("node").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("b")))
-    links = verified(best.select(F.col("node").alias("a"), "b"), *check)
+    links = verified(best.select(F.col("node").alias("a"), "b", F.lit(None).cast("long").alias("shared")), *check)
     stars = connect(links, scratch)
     rows_in_lists = members.count()
-    led: list[DataFrame] = []  # (key, node): members that all others of a list have been tried with
-    while True:
-        labelled = (members.select("key", "node").join(stars, "node", "left")
-                    .select("key", "node", F.coalesce("root", "node").alias("root")))
-        open_ = labelled
-        for known in led:
-            open_ = open_.join(known, ["key", "node"], "left_anti")
-        picks = [F.min(F.when(F.pmod(F.xxhash64("node", F.lit(len(led))), F.lit(HEADS)) == s, F.col("node")))
-                 for s in range(HEADS)]
-        mixed = scratch.keep(open_.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                                      F.count(F.lit(1)).alias("open"), F.array(*picks).alias("picks"))
-                             .where("low <> high")
-                             .join(labelled.groupBy("key").agg(F.count(F.lit(1)).alias("all")), "key"))
-        left = mixed.agg(F.sum(F.col("open") * F.col("all"))).first()[0]
+    # Later, nodes lead in all their lists at once, some slots a round.
+    slotted = members.select("key", "node", F.pmod(F.xxhash64("node"), F.lit(SLOTS)).alias("slot"))
+    low = 0
+    for high in (1, 5, 21, SLOTS):
+        labelled = (slotted.where(F.col("slot") >= low).join(stars, "node", "left")
+                    .select("key", "node", "slot", F.coalesce("root", "node").alias("root")))
+        mixed = scratch.keep(labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
+                                                         F.count(F.lit(1)).alias("open"))
+                             .where("least <> most"))
+        left = mixed.agg(F.sum(F.col("open") * F.col("open"))).first()[0]
         if not left:
             break
-        last = left <= PAIRS_A_ROW * rows_in_lists  # all that is left is in proportion to the lists
-        if last:
-            heads = open_.join(mixed.select("key"), "key", "left_semi").select("key", "node")
-        else:
-            heads = mixed.select("key", F.explode(F.array_compact("picks")).alias("node"))
-        heads = scratch.keep(heads)
-        led.append(heads)
-        of = heads.select("key", F.col("node").alias("b")).join(stars.withColumnRenamed("node", "b"), "b", "left")
-        pairs = (labelled.join(of.select("key", "b", F.coalesce("root", "b").alias("root_b")), "key")
-                 .where("root <> root_b")
-                 .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
+        if left <= PAIRS_A_ROW * rows_in_lists:
+            high = SLOTS  # all that is left is in proportion to the lists
+        within = labelled.join(mixed.select("key"), "key")
+        heads = within.where(F.col("slot") < high).select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
+        pairs = (within.join(heads, "key")
+                 .where((F.col("root") != F.col("root_b")) & ((F.col("slot") >= high) | (F.col("node") > F.col("b"))))
+                 .groupBy(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
+                 .agg(F.count(F.lit(1)).alias("shared")))
         more = verified(pairs, *check)
         if more.count():
             stars = connect(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), scratch)
-        if last:
+        low = high
+        if low == SLOTS:
             break
 
     grouped = nodes_of.join(stars, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))

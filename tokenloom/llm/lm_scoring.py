@@ -254,8 +254,10 @@ def replies_in_order(rows: dict[int, bytes], shard: np.ndarray) -> np.ndarray:
     return out
 
 
-def count_shard(key_kind) -> object:
-    """A shard's answer: each entry's training count over all chunks."""
+def count_shard(with_ranks: bool):
+    """A shard's answer: each entry's training count over all chunks and, if
+    asked for, its rank among the known keys; then one row with the number of
+    known keys and their sum."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, keys, counts, number = [], [], [], 0
         for b in batches:
@@ -263,18 +265,17 @@ def count_shard(key_kind) -> object:
             for chunk, payload in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 k, c = unframe(payload)
                 chunks.append(chunk)
-                keys.append(unpack(k, key_kind))
+                keys.append(unpack(k, np.uint64))
                 counts.append(unpack(c))
         if not chunks:
             return
         all_keys, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, np.concatenate(counts), minlength=len(all_keys)).astype(np.int64)
         ends = np.cumsum([len(k) for k in keys])
-        # Words' ids are their ranks among the known ones; other keys need none.
         rank = np.cumsum(total > 0) * (total > 0)
         for chunk, k, end in zip(chunks, keys, ends):
             at = place[end - len(k):end]
-            yield batch([(chunk, number, frame([pack(total[at]), pack(rank[at])]))], _REPLY)
+            yield batch([(chunk, number, frame([pack(total[at])] + [pack(rank[at])] * with_ranks))], _REPLY)
         yield batch([("", number, frame([pack(np.array([int((total > 0).sum()), int(total.sum())]))]))], _REPLY)
 
     return run
@@ -324,7 +325,7 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
                 yield from requests(name, shard_of_words(c.code), [(c.code, True), (counts, False)])
 
     (manifest.select("chunk").repartition(tasks).mapInArrow(ask_words, _REQUEST)
-     .groupBy("shard").applyInArrow(count_shard(np.uint64), _REPLY).write.parquet(f"{home}/words"))
+     .groupBy("shard").applyInArrow(count_shard(True), _REPLY).write.parquet(f"{home}/words"))
     replies = spark.read.schema(_REPLY).parquet(f"{home}/words")
     known = {r["shard"]: unpack(unframe(bytes(r["payload"]))[0]) for r in replies.where("chunk = ''").collect()}
     sizes = np.zeros(shards, np.int64)  # one number a shard
@@ -414,14 +415,14 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
         yield from requests(name, c.pair_shard, [(c.pairs[c.asked], True), (c.learned[c.asked], False)])
 
     (replies.where("chunk <> ''").groupBy("chunk").applyInArrow(ask_pairs, _REQUEST)
-     .groupBy("shard").applyInArrow(count_shard(np.uint64), _REPLY).where("chunk <> ''").write.parquet(f"{home}/pairs"))
+     .groupBy("shard").applyInArrow(count_shard(False), _REPLY).where("chunk <> ''").write.parquet(f"{home}/pairs"))
 
     # Triples.
     def ask_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, got = grouped(batches)
         c = Counted(Folder(files), name, None).with_pairs(got)
         yield from requests(name, c.t_shard, [
-            (c.t_uv, False), (c.w[c.t_at], False), (c.t_learned, False), (c.context2[c.t_at], False),
+            (c.t_uv, True), (c.w[c.t_at], False), (c.t_learned, False), (c.context2[c.t_at], False),
             (quantise(c.p2[c.t_at]) >> 5, False)])
 
     def trie_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
