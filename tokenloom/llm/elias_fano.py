@@ -156,9 +156,12 @@ class Trie:
         """Node of each context (u, v), or -1."""
         u, v = np.asarray(u, np.int64), np.asarray(v, np.int64)
         words = self.s["words"]
-        at = words.successor(u.astype(np.uint64), np.zeros(len(u), np.int64), np.full(len(u), words.n))
+        distinct, place = np.unique(u, return_inverse=True)
+        at = words.successor(distinct.astype(np.uint64), np.zeros(len(distinct), np.int64),
+                             np.full(len(distinct), words.n))
         known = at < words.n
-        known[known] = words.at(at[known]) == u[known].astype(np.uint64)
+        known[known] = words.at(at[known]) == distinct[known].astype(np.uint64)
+        at, known = at[place], known[place]
         out = np.full(len(u), -1, np.int64)
         if known.any():
             p = self.s["pointers1"]
@@ -169,7 +172,11 @@ class Trie:
     def look_up(self, u, v, w) -> tuple[np.ndarray, np.ndarray]:
         """(back-off code of the context, probability code of the triple); 0
         stands for an unknown one."""
-        node = self.pair(u, v)
+        u, v = np.asarray(u, np.int64), np.asarray(v, np.int64)
+        # Each run of equal contexts is searched for once.
+        new = np.ones(len(u), bool)
+        new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+        node = self.pair(u[new], v[new])[np.cumsum(new) - 1]
         backoff, found = np.zeros(len(node), np.uint16), np.zeros(len(node), np.uint16)
         known = node >= 0
         if known.any():

@@ -426,23 +426,25 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
             (quantise(c.p2[c.t_at]) >> 5, False)])
 
     def trie_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, entries, number = [], [], 0
+        chunks, entries, sizes, number = [], [], [], 0
         for b in batches:
             number = b.column(0)[0].as_py()
             for chunk, payload in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 chunks.append(chunk)
                 a, w, n, context, p2 = unframe(payload)
                 entries.append((unpack(a, np.uint64), unpack(w), unpack(n), unpack(context), unpack(p2)))
+                sizes.append(len(entries[-1][0]))
         if not chunks:
             return
         uv, w, n, context, p2 = (np.concatenate(x) for x in zip(*entries))
         order = np.lexsort((w, uv))
         uv, w, n, context, p2 = (x[order] for x in (uv, w, n, context, p2))
+        del entries
         new = np.ones(len(uv), bool)
         new[1:] = (uv[1:] != uv[:-1]) | (w[1:] != w[:-1])
-        first = np.flatnonzero(new)
-        total = np.add.reduceat(n, first) if len(first) else n
-        first, total = first[total > 0], total[total > 0]
+        asked = np.flatnonzero(new)  # the distinct entries, sorted
+        total = np.add.reduceat(n, asked) if len(asked) else n
+        first, total = asked[total > 0], total[total > 0]
         k3 = kappa(K3, context[first])
         lower = 10.0 ** log10_of((p2[first] << 5) + 16)
         p3 = (total + k3 * lower) / (context[first] + k3)
@@ -452,9 +454,11 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
         folder.write(name, Trie.build(uv[first] >> np.uint64(32), uv[first] & np.uint64(0xFFFFFFFF), w[first],
                                       quantise(backoff), quantise(p3)).to_bytes())
         trie = Trie.open(folder.view(name))
-        for chunk, (uv, w, _, _, _) in zip(chunks, entries):
-            _, code = trie.look_up(uv >> np.uint64(32), uv & np.uint64(0xFFFFFFFF), w)
-            yield batch([(chunk, number, pack(code))], _REPLY)
+        _, found = trie.look_up(uv[asked] >> np.uint64(32), uv[asked] & np.uint64(0xFFFFFFFF), w[asked])
+        code = np.empty(len(order), np.uint16)
+        code[order] = found[np.cumsum(new) - 1]
+        for chunk, part in zip(chunks, np.split(code, np.cumsum(sizes)[:-1])):
+            yield batch([(chunk, number, pack(part))], _REPLY)
 
     (spark.read.schema(_REPLY).parquet(f"{home}/pairs").groupBy("chunk").applyInArrow(ask_triples, _REQUEST)
      .groupBy("shard").applyInArrow(trie_shard, _REPLY).write.parquet(f"{home}/triples"))
