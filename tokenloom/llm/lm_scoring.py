@@ -53,6 +53,7 @@ LEAST_CONTEXT = 2
 K2, K3, POWER = 3.0, 2.0, 0.9
 #: Probabilities are kept as -log10 in steps of 1 / STEPS, up to 16.
 STEPS = 4095
+P2_BITS = 5  # low bits that are left out of P2 on its way to a shard
 _START, _END = b" s", b" e"  # keys of the marks; no word holds a space
 
 
@@ -234,14 +235,34 @@ def batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
                                       names=[n for n, _ in fields])
 
 
-def requests(chunk: str, shard: np.ndarray, columns: list[tuple[np.ndarray, bool]]) -> Iterator[pa.RecordBatch]:
-    """One row for each shard that a chunk has entries for (at least one);
-    ``columns``: (values, whether they are sorted within a shard)."""
+def pack_counts(key: np.ndarray, count: np.ndarray) -> bytes:
+    """Sorted keys and their counts."""
+    return frame([pack(key, delta=True), pack(count)])
+
+
+def pack_triples(uv, w, learned, context, p2) -> bytes:
+    """Entries sorted by (uv, w); what belongs to a context is there once."""
+    new = np.ones(len(uv), bool)
+    new[1:] = uv[1:] != uv[:-1]
+    run = np.diff(np.append(np.flatnonzero(new), len(uv)))
+    return frame([pack(uv[new], delta=True), pack(run), pack(context[new]), pack(w), pack(learned), pack(p2)])
+
+
+def unpack_triples(data: bytes) -> tuple[np.ndarray, ...]:
+    uv, run, context, w, learned, p2 = unframe(data)
+    run = unpack(run)
+    return (np.repeat(unpack(uv, np.uint64), run), unpack(w), unpack(learned), np.repeat(unpack(context), run),
+            unpack(p2))
+
+
+def requests(chunk: str, shard: np.ndarray, columns: list[np.ndarray], pack_part=pack_counts) -> Iterator[pa.RecordBatch]:
+    """One row for each shard that a chunk has entries for (at least one).
+    Entries keep their order within a shard."""
     order = np.argsort(shard, kind="stable")
     cuts = np.flatnonzero(np.diff(shard[order])) + 1
     for part in np.split(order, cuts) if len(order) else [order]:
         number = int(shard[part[0]]) if len(part) else 0
-        yield batch([(number, chunk, frame([pack(c[part], delta=d) for c, d in columns]))], _REQUEST)
+        yield batch([(number, chunk, pack_part(*[c[part] for c in columns]))], _REQUEST)
 
 
 def replies_in_order(rows: dict[int, bytes], shard: np.ndarray) -> np.ndarray:
@@ -322,7 +343,7 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
             for name in b.column(0).to_pylist():
                 c = Chunk(folder, name)
                 counts = np.bincount(c.w, c.learned, minlength=len(c.code)).astype(np.int64)
-                yield from requests(name, shard_of_words(c.code), [(c.code, True), (counts, False)])
+                yield from requests(name, shard_of_words(c.code), [c.code, counts])
 
     (manifest.select("chunk").repartition(tasks).mapInArrow(ask_words, _REQUEST)
      .groupBy("shard").applyInArrow(count_shard(True), _REPLY).write.parquet(f"{home}/words"))
@@ -412,7 +433,7 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
     def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, got = grouped(batches)
         c = Counted(Folder(files), name, got)
-        yield from requests(name, c.pair_shard, [(c.pairs[c.asked], True), (c.learned[c.asked], False)])
+        yield from requests(name, c.pair_shard, [c.pairs[c.asked], c.learned[c.asked]])
 
     (replies.where("chunk <> ''").groupBy("chunk").applyInArrow(ask_pairs, _REQUEST)
      .groupBy("shard").applyInArrow(count_shard(False), _REPLY).where("chunk <> ''").write.parquet(f"{home}/pairs"))
@@ -421,9 +442,8 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
     def ask_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, got = grouped(batches)
         c = Counted(Folder(files), name, None).with_pairs(got)
-        yield from requests(name, c.t_shard, [
-            (c.t_uv, True), (c.w[c.t_at], False), (c.t_learned, False), (c.context2[c.t_at], False),
-            (quantise(c.p2[c.t_at]) >> 5, False)])
+        yield from requests(name, c.t_shard, [c.t_uv, c.w[c.t_at], c.t_learned, c.context2[c.t_at],
+                                              quantise(c.p2[c.t_at]) >> P2_BITS], pack_triples)
 
     def trie_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, entries, sizes, number = [], [], [], 0
@@ -431,8 +451,7 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
             number = b.column(0)[0].as_py()
             for chunk, payload in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 chunks.append(chunk)
-                a, w, n, context, p2 = unframe(payload)
-                entries.append((unpack(a, np.uint64), unpack(w), unpack(n), unpack(context), unpack(p2)))
+                entries.append(unpack_triples(payload))
                 sizes.append(len(entries[-1][0]))
         if not chunks:
             return
@@ -446,7 +465,7 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
         total = np.add.reduceat(n, asked) if len(asked) else n
         first, total = asked[total > 0], total[total > 0]
         k3 = kappa(K3, context[first])
-        lower = 10.0 ** log10_of((p2[first] << 5) + 16)
+        lower = 10.0 ** log10_of((p2[first] << P2_BITS) + (1 << P2_BITS) // 2)
         p3 = (total + k3 * lower) / (context[first] + k3)
         backoff = k3 / (context[first] + k3)
         folder = Folder(model_dir)
