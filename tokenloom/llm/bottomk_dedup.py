@@ -49,7 +49,7 @@ RARITY_BITS = 22
 SLOTS = 64  # nodes are dealt to so many slots, which lead one after the other
 #: The rest of the pairs is tried at once when there are so many for each row
 #: of the lists at most.
-PAIRS_A_ROW = 16
+PAIRS_A_ROW = 2
 #: Most rows of a table (16 bytes each) that is broadcast.
 MAX_BROADCAST_ROWS = 300_000
 
@@ -228,8 +228,8 @@ def least_shared(n_a: Column, n_b: Column, similarity: float) -> Column:
 
     They have ``both`` values in common, so in any order of values the t-th
     common one is among the first ``t + n - both`` of each set. With whole
-    sets as sketches that is exact; two larger ones have a binomial part of
-    their sketches in common, here less 5.2 standard deviations.
+    sets as sketches that is exact; two larger ones have a hypergeometric part
+    of their sketches in common, here less 5.2 standard deviations.
     """
     both = F.ceil((n_a + n_b) * (similarity / (1 + similarity)) - 1e-9)
 
@@ -237,7 +237,8 @@ def least_shared(n_a: Column, n_b: Column, similarity: float) -> Column:
         return both - F.ceil(n * similarity - 1e-9) + 1
 
     part = F.least(both / F.greatest(n_a, n_b), F.lit(1.0))
-    common = part * SKETCH - F.sqrt(part * (1 - part) * SKETCH) * 5.2
+    rest = F.greatest(F.lit(0.0), 1 - F.lit(float(SKETCH)) / F.greatest(n_a, n_b))  # drawn without replacement
+    common = part * SKETCH - F.sqrt(part * (1 - part) * SKETCH * rest) * 5.2
     sampled = F.floor(common - (SKETCH - keys_needed(SKETCH + 1, similarity)))
     return (F.when((n_a <= SKETCH) & (n_b <= SKETCH), F.least(exact(n_a), exact(n_b)))
             .when((n_a > SKETCH) & (n_b > SKETCH), sampled).otherwise(1))
@@ -305,11 +306,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     nodes = (filled.join(small_or_not(scratch.keep(copies)), "row", "left_anti")
              .select(F.col("row").alias("node"), "doc_id", "digest", "n", "sketch", "keys"))
 
-    # Inverted lists of two nodes or more; the smallest node leads a list.
+    # Inverted lists of two nodes or more. The node that is in most lists leads
+    # a list: an original shares more of its values than its edited copies.
     lists = nodes.select("node", F.explode("keys").alias("key"))
-    shared = (lists.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members"))
-              .where("members > 1").select("key", "leader"))
+    shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
     members = scratch.keep(lists.join(shared, "key"))
+    degree = members.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    leaders = (members.join(degree, "node").groupBy("key")
+               .agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("leader")))
     listed = scratch.keep(members.select("node").distinct())
     chosen = scratch.keep(nodes.join(small_or_not(listed), "node", "left_semi")
                           .select("node", "doc_id", "digest", "n", "sketch"))
@@ -318,7 +322,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     check = (chosen, docs, shingle, similarity, repeats, scratch)
 
     # Each node against the leader that it shares most lists with.
-    best = (members.where("node <> leader").groupBy("node", "leader").count()
+    best = (members.join(leaders, "key").where("node <> leader").groupBy("node", "leader").count()
             .groupBy("node").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("b")))
     links = verified(best.select(F.col("node").alias("a"), "b", F.lit(None).cast("long").alias("shared")), *check)
     stars = connect(links, scratch)
