@@ -81,6 +81,41 @@ def test_sets_and_keys():
     assert len(K.choose_keys(values, rarity, 0.8)) == K.keys_needed(400, 0.8) < K.SKETCH
 
 
+def pairs_about_the_sketch():
+    """Pairs at the threshold, one of whose sets may be larger than a sketch:
+    a text and the same one with words behind it, and one with other words."""
+    rows = []
+    for n in range(120, 166):
+        for k, m in enumerate(sorted({n + 1, int(n / 0.82), int(n / 0.8)})):
+            words = [f"s{n}x{k}x{i}" for i in range(m + 1)]
+            rows += [(len(rows), " ".join(words[:n + 1]), 1), (len(rows) + 1, " ".join(words), 1)]
+            both = -(-8 * (n + m) // 18)
+            other = words[:both + 1] + [f"o{n}x{k}x{i}" for i in range(m - both)]
+            rows.append((len(rows), " ".join(other), 1))
+    return rows
+
+
+def test_sets_about_the_size_of_a_sketch(spark):
+    rows = pairs_about_the_sketch()
+    got = K.near_duplicates(docs_frame(spark, rows), 2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 2)
+
+
+def test_keys_of_a_whole_set_and_a_sketch():
+    r = np.random.default_rng(3)
+    rarity = np.zeros(1 << K.RARITY_BITS, np.uint8)
+    for n in range(103, K.SKETCH + 1):
+        larger = int(n / 0.8 + 1e-9)
+        for m in {larger, (larger + K.SKETCH + 1) // 2} - set(range(K.SKETCH + 1)):
+            for _ in range(20):
+                values = r.integers(-2**62, 2**62, m)
+                a, b = np.sort(values[:n]), np.sort(values)
+                rarity[:] = 4
+                rarity[K.cell_of(np.setdiff1d(a, b[:K.SKETCH]))] = 0  # what only the smaller set retains is rarer
+                assert len(np.intersect1d(K.choose_keys(a, rarity, 0.8), K.choose_keys(b, rarity, 0.8)))
+        assert K.keys_needed(n, 0.8) <= K.keys_needed(K.SKETCH + 1, 0.8)
+
+
 def test_keep_one(spark):
     docs = docs_frame(spark)
     kept = K.keep_one(docs, 2).collect()

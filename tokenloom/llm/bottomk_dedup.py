@@ -18,8 +18,9 @@ share as many lists as linked sets of their sizes must, so a large group of
 copies costs some pairs a member, while every pair that could join two
 components is tried. There is no cap on lists, pairs or groups.
 
-For sets of at most ``SKETCH`` values the lists find every link; for larger
-ones a pair at the threshold is missed with a probability of about 1e-7.
+For two sets of at most ``SKETCH`` values the lists find every link; if one or
+both are larger, a pair at the threshold is missed with a probability of about
+1e-7.
 
 Cases: null and empty texts have an empty set and are linked with nothing;
 a text with fewer words than a shingle has one shingle, its whole sequence.
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -96,10 +98,31 @@ def cell_of(values: np.ndarray) -> np.ndarray:
     return (mix64(values) >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
 
+def least_drawn(n: int, marked: int, drawn: int, miss: float = 1e-7) -> int:
+    """So many of ``marked`` of ``n`` values are among ``drawn`` ones at least,
+    drawn without replacement, but for a probability of ``miss``."""
+    ways, total = 0, math.comb(n, drawn)
+    for k in range(max(0, marked + drawn - n), min(marked, drawn) + 1):
+        ways += math.comb(marked, k) * math.comb(n - marked, drawn - k)
+        if ways > miss * total:
+            return k
+    return min(marked, drawn)
+
+
+@cache
 def keys_needed(n: int, similarity: float) -> int:
-    """How many of the first values two linked sets must share one of."""
+    """How many of the first values two linked sets must share one of.
+
+    A set that is a whole sketch may be linked with a larger one, of whose
+    values only ``SKETCH`` are retained: what they have in common may be among
+    those that aren't.
+    """
     if n <= SKETCH:
-        return n - math.ceil(similarity * n - 1e-9) + 1
+        keys = n - math.ceil(similarity * n - 1e-9) + 1
+        for larger in range(SKETCH + 1, math.floor(n / similarity + 1e-9) + 1):
+            both = math.ceil((n + larger) * similarity / (1 + similarity) - 1e-9)
+            keys = max(keys, n - least_drawn(larger, both, SKETCH) + 1)
+        return keys
     miss = 1 - similarity
     return min(SKETCH, math.ceil(SKETCH * miss + 5.2 * math.sqrt(SKETCH * miss * similarity)) + 1)
 
