@@ -125,6 +125,21 @@ def test_keep_one(spark):
             1 for r in brute(ROWS, 2) if r[0] == 9 and r[2] == 9]) else []))
 
 
+def test_keep_one_of_each_component(spark):
+    far = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdefg"]
+    rows = [(None, t, 1) for t in far[:4]]  # null ids, unlike texts
+    rows += [(None, far[0], 2), (None, far[1] + " end", 3)]  # a repeated row and a near copy without ids
+    rows += [(50, far[4], 4), (50, far[5], 5), (50, far[5], 6)]  # one id, unlike texts
+    rows += [(None, far[6], 7), (60, far[6] + " end", 8)]  # an id goes before none
+    rows += [(None, "", 9), (None, None, 10), (70, "", 11), (70, " ", 12), (70, "", 13)]  # linked with nothing
+    kept = [(r.doc_id, r.text) for r in K.keep_one(docs_frame(spark, rows), 2).collect()]
+    near = [t for i, t in kept if i is None and t and t.startswith("b0 ")]
+    assert len(near) == 1 and near[0] in (far[1], far[1] + " end")
+    want = [(None, t) for t in (far[0], near[0], far[2], far[3], "", None)]
+    want += [(50, far[4]), (50, far[5]), (60, far[6] + " end"), (70, ""), (70, " "), (70, "")]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+
+
 def test_empty(spark):
     assert K.near_duplicates(empty_docs(spark), 2).count() == 0
     assert K.keep_one(empty_docs(spark)).count() == 0

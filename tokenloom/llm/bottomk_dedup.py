@@ -316,10 +316,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, sim
                         .select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, kept) of every row;
-    ``text_hash`` is the xxhash64 of the text."""
-    scratch = Scratch(docs.sparkSession)
+def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """(doc_id, text_hash, n, row, root) of every row; a component's rows have
+    one root, and a row without shingles is a component of its own."""
     rows = scratch.keep(sketch_rows(docs, shingle, similarity).withColumn("row", F.monotonically_increasing_id()))
     filled = rows.where("n > 0")
     # One node for each distinct set, named after one of its rows.
@@ -378,9 +377,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
             break
 
     grouped = nodes_of.join(stars, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
-    placed = scratch.keep(rows.select("doc_id", "text_hash", "digest", "n", "row").join(grouped, "digest", "left")
-                          .select("doc_id", "text_hash", "n", "row",
-                                  F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("row")).alias("root")))
+    return scratch.keep(rows.select("doc_id", "text_hash", "digest", "n", "row").join(grouped, "digest", "left")
+                        .select("doc_id", "text_hash", "n", "row",
+                                F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("row")).alias("root")))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row;
+    ``text_hash`` is the xxhash64 of the text."""
+    placed = components(docs, shingle, similarity, Scratch(docs.sparkSession))
     smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return (placed.join(smallest, "root")
             .select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id",
@@ -388,11 +393,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One row of each component: the one with the smallest doc_id."""
-    found = near_duplicates(docs, shingle, similarity)
-    kept = Scratch(docs.sparkSession).keep(found.where("kept").select(F.col("doc_id").alias("__id"),
-                                                                      F.col("text_hash").alias("__hash")))
-    repeats = kept.groupBy("__id").count().where("count > 1").isEmpty()
-    out = docs.join(small_or_not(kept.distinct()), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-                    & (F.xxhash64(text_or_empty()) == F.col("__hash")), "left_semi")
-    return out if repeats else out.dropDuplicates(["doc_id"])
+    """One row of each component: the one with the smallest doc_id (nulls
+    last), then the smallest hash of its text."""
+    scratch = Scratch(docs.sparkSession)
+    placed = components(docs, shingle, similarity, scratch)
+    first = F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "text_hash")
+    # Rows of one id and text are in one component, but those without shingles,
+    # each of which is one.
+    kept = (placed.where("n > 0").groupBy("root").agg(F.min(first).alias("f"))
+            .select(F.col("f.doc_id").alias("__id"), F.col("f.text_hash").alias("__hash")))
+    alike = (placed.where("n > 0").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+             .count().where("count > 1").select("__id", "__hash", F.lit(True).alias("__repeated")))
+    same = F.col("k.__id").eqNullSafe(F.col("r.__id")) & (F.col("k.__hash") == F.col("r.__hash"))
+    bare = (placed.where("n = 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+            .withColumn("__repeated", F.lit(False)))
+    kept = scratch.keep(kept.alias("k").join(alike.alias("r"), same, "left")
+                        .select("k.__id", "k.__hash", F.coalesce("__repeated", F.lit(False)).alias("__repeated"))
+                        .unionAll(bare))
+
+    def chosen(some: DataFrame) -> DataFrame:
+        return docs.join(small_or_not(some), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+                         & (F.xxhash64(text_or_empty()) == F.col("__hash")), "left_semi")
+
+    once, repeated = kept.where("not __repeated"), kept.where("__repeated")
+    if repeated.isEmpty():
+        return chosen(once)
+    return chosen(once).unionAll(chosen(repeated).dropDuplicates(["doc_id", "text"]))
