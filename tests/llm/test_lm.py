@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 from cases import ROWS, docs_frame, empty_docs
-from tokenloom.llm import elias_fano as E, lm_scoring as L
+from tokenloom.llm import elias_fano as E, lm_scoring as L, queries as Q
 
 
 def test_elias_fano():
@@ -82,6 +82,17 @@ def test_against_a_plain_model(spark, sizes):
         assert g[6] == pytest.approx(w[6], abs=1e-3 * w[2])
 
 
+def test_query_uses_contexts_seen_once(spark, tmp_path):
+    rows = [(i, " ".join(f"w{(7 * i + k * k) % 50}" for k in range(30)), 1) for i in range(40)]
+    docs_frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = Q.op3_lm_scores(spark, str(tmp_path)).collect()
+    want = {r[0]: r for r in model(rows, least=1)[0]}
+    cut = {r[0]: r for r in model(rows)[0]}
+    assert len(got) == len(rows) and any(abs(want[i][6] - cut[i][6]) > 0.1 for i in want)
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id][6], abs=1e-3 * want[r.doc_id][2])
+
+
 def test_probabilities_add_up():
     rows = [(i, "a b c a b d a b c", 1) for i in range(9)]
     _, p, c = model(rows)

@@ -7,8 +7,8 @@ documents:
     P2(w|v)    = (c(vw) + k2 P1(w)) / (c(v) + k2),     k2 = 3 c(v) ** 0.9
     P3(w|u,v)  = (c(uvw) + k3 P2(w|v)) / (c(uv) + k3), k3 = 2 c(uv) ** 0.9
 
-with P3 = P2 for contexts (u, v) seen less than ``LEAST_CONTEXT`` times and
-P2 = P1 for an unseen v; so each context's probabilities add up to one (all
+with P3 = P2 for contexts (u, v) seen less than ``least_context`` times (1 in
+the registered query: all that were seen count) and P2 = P1 for an unseen v; so each context's probabilities add up to one (all
 unknown words counting as one). A text starts after two start marks and ends
 with the end token.
 
@@ -49,7 +49,7 @@ from .elias_fano import Trie
 
 CHUNK_TOKENS = 1 << 20
 SHARD_ENTRIES = 1 << 21
-LEAST_CONTEXT = 2
+LEAST_CONTEXT = 2  # the default of ``least_context``; 1 leaves no context out
 K2, K3, POWER = 3.0, 2.0, 0.9
 #: Probabilities are kept as -log10 in steps of 1 / STEPS, up to 16.
 STEPS = 4095
@@ -303,9 +303,12 @@ def count_shard(with_ranks: bool):
 
 
 def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tokens: int = CHUNK_TOKENS,
-                    shard_entries: int = SHARD_ENTRIES, model_dir: str | None = None) -> DataFrame:
+                    shard_entries: int = SHARD_ENTRIES, model_dir: str | None = None,
+                    least_context: int = LEAST_CONTEXT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     of every document; the tries stay below ``model_dir`` as shard files."""
+    if least_context < 1:
+        raise ValueError("an unseen context has no counts")
     spark = docs.sparkSession
     home = shared_path(spark, "lm")
     model_dir = model_dir or f"{home}/model"
@@ -407,7 +410,7 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
             self.context2 = np.zeros(len(pair), np.int64)
             self.context2[1:] = pair[:-1]
             self.context2[c.first] = 0
-            used = (self.context2 >= LEAST_CONTEXT) & (self.w > 0)
+            used = (self.context2 >= least_context) & (self.w > 0)
             self.used = np.flatnonzero(used)
             uv = self.place[self.used - 1]
             self.t_keys, self.t_place, self.t_learned = distinct(
@@ -492,7 +495,7 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
         p = np.log10(x.p2)
         code = replies_in_order(got, x.t_shard)[x.t_place]
         # Contexts that count, but without this word, back off.
-        in_context = x.context2 >= LEAST_CONTEXT
+        in_context = x.context2 >= least_context
         k3 = kappa(K3, x.context2[in_context])
         p[in_context] += np.log10(k3 / (x.context2[in_context] + k3))
         p[x.used[code > 0]] = log10_of(code[code > 0])

@@ -39,7 +39,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.learn_and_score(read_table(spark, sf_dir, "documents"), fold=5, held_out=1)
+    return lm_scoring.learn_and_score(read_table(spark, sf_dir, "documents"), fold=5, held_out=1, least_context=1)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
