@@ -24,6 +24,35 @@ def test_other_containers(outer):
     assert got == [f"Paragraph {i} has a good many words, as texts have." for i in range(6)] + ["End."]
 
 
+WORDS = "has a good many words, as the paragraphs of texts have."
+MENU = "<ul><li><a>Home</a></li><li><a>News</a></li></ul><div><a>Log in</a> <a>Help</a></div>"
+
+
+def test_heading_and_lead_outside_the_body_div():
+    body = "".join(f"<p>Paragraph {i} {WORDS}</p>" for i in range(12))
+    page = (f"<body>{MENU}<div class=post><h1>Title</h1><p>A short lead.</p><div class=body>{body}</div>"
+            "<p>The close.</p></div><div class=sidebar><p>Popular</p></div><footer>x</footer>")
+    want = ["Title", "A short lead.", *[f"Paragraph {i} {WORDS}" for i in range(12)], "The close."]
+    assert H.main_text(page).split("\n") == want
+
+
+@pytest.mark.parametrize("huge", range(3))
+def test_one_huge_section(huge):
+    texts = [[f"Section {i} {WORDS}", f"More of {i}."] for i in range(3)]
+    texts[huge][0] = "word " * 5000 + "end"
+    parts = "".join(f"<section><h2>Part {i}</h2><p>{a}</p><p>{b}</p></section>" for i, (a, b) in enumerate(texts))
+    page = f"<body>{MENU}<div class=post>{parts}</div><footer>x</footer>"
+    assert H.main_text(page).split("\n") == [x for i, t in enumerate(texts) for x in (f"Part {i}", *t)]
+
+
+@pytest.mark.parametrize("outer", ["<div>{}</div>", "<main><h1>Both</h1>{}</main>"])
+def test_several_articles(outer):
+    texts = [[f"Text {i} {k} {WORDS}" for k in range(n)] for i, n in enumerate((6, 4))]
+    articles = "".join(f"<article>{''.join(f'<p>{x}</p>' for x in t)}</article>" for t in texts)
+    page = f"<body>{MENU}{outer.format(articles)}<footer>x</footer>"
+    assert H.main_text(page).split("\n") == ["Both"] * ("h1" in outer) + texts[0] + texts[1]
+
+
 def test_small_feeds_make_no_difference(monkeypatch):
     whole = H.main_text(PAGE)
     monkeypatch.setattr(H, "FEED", 7)

@@ -4,9 +4,12 @@ The standard library's parser streams events; each block element becomes a
 line with its text and its number of tags. The text-to-tag ratios of the
 lines are smoothed by a Gaussian and split by a two-means threshold; the
 lines above it show where the content is. The region is the smallest element
-that holds nearly all of their text (an ``article`` or ``main`` if there is
-one), and all its lines are returned but those in menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments.
+that holds nearly all of their text (the ``article`` elements or ``main`` if
+there are any), widened to the element that also holds the headings, the
+paragraphs and the other lines above the threshold outside it, but those that
+are mostly links. All its lines are returned but those in menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles and reader comments,
+and lines outside the first region that are mostly links.
 
 Cases: null and empty html, and pages without text, give the empty text;
 truncated pages and unclosed elements are read to their end; extra columns
@@ -37,6 +40,7 @@ BOILERPLATE = frozenset("nav footer aside form dialog menu".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol "
                    "p pre section summary table tbody td tfoot th thead tr ul caption".split())
+TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
                   "toolbar status".split())
@@ -191,13 +195,25 @@ def two_means_threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def content_region(lines: list[Line], names: list[str]) -> int:
-    """The element that holds the content."""
+def mostly_links(x: Line) -> bool:
+    return 2 * x.linked >= len(x.text)
+
+
+def common_element(paths: list[tuple[int, ...]]) -> int:
+    """The deepest element of all paths. Elements are numbered in page order,
+    so it has the largest number."""
+    return max(set(paths[0]).intersection(*paths[1:]), default=0)
+
+
+def content_region(lines: list[Line], names: list[str]) -> tuple[int, int]:
+    """The element where the content was found and the one, the same or around
+    it, that holds all the content."""
     ratio = np.array([0.0 if x.dropped else len(x.text) * (1 - min(1.0, x.linked / len(x.text))) / max(1, x.tags)
                       for x in lines])
     smooth = gaussian_smooth(ratio)
     cut = two_means_threshold(smooth)
-    seeds = [(x, len(x.text)) for x, s, r in zip(lines, smooth, ratio) if not x.dropped and (s >= cut or r >= cut)]
+    above = [(x, not x.dropped and (s >= cut or r >= cut)) for x, s, r in zip(lines, smooth, ratio)]
+    seeds = [(x, len(x.text)) for x, seed in above if seed]
     if not seeds:
         seeds = [(x, len(x.text)) for x in lines if not x.dropped]
     weight: dict[int, int] = {}
@@ -205,15 +221,28 @@ def content_region(lines: list[Line], names: list[str]) -> int:
         for e in set(x.path):
             weight[e] = weight.get(e, 0) + n
     total = weight.get(0, 0)
+    counted = [x for x, seed in above if not x.dropped and not mostly_links(x)
+               and (seed or names[x.path[-1]] in TEXT_BLOCKS)]
     for tag in ("article", "main"):
-        named = [e for e in weight if names[e] == tag]
-        if named:
-            best = max(named, key=lambda e: (weight[e], -e))
-            if weight[best] >= 0.5 * total:
-                return best
-    # Elements are numbered in page order, so the largest number is the deepest.
-    return max([e for e, w in weight.items() if w >= REGION_SHARE * total
+        # The outermost ones; what they hold counts together.
+        inside = [(x, next((e for e in x.path if names[e] == tag), None)) for x in lines]
+        named = {e for x, e in inside if e is not None and not x.dropped}
+        if named and sum(weight.get(e, 0) for e in named) >= 0.5 * total:
+            texts = set(counted)
+            held = {e for x, e in inside if e is not None and x in texts} or named
+            core = common_element([x.path[:x.path.index(e) + 1] for x, e in inside if e in held])
+            around = [e for e in lines_path(lines, core) if names[e] == "main"]
+            widened = [x.path for x in counted if around and around[0] in x.path]
+            return core, common_element([lines_path(lines, core), *widened])
+    core = max([e for e, w in weight.items() if w >= REGION_SHARE * total
                 and names[e] not in ("p", "li", "ul", "ol", "td", "tr")], default=0)
+    return core, common_element([lines_path(lines, core), *[x.path for x in counted]])
+
+
+def lines_path(lines: list[Line], element: int) -> tuple[int, ...]:
+    """The elements from the page to this one."""
+    path = next(x.path for x in lines if element in x.path)
+    return path[:path.index(element) + 1]
 
 
 def main_text(html: str | None) -> str:
@@ -227,11 +256,17 @@ def main_text(html: str | None) -> str:
     lines = page.lines
     if not any([not x.dropped for x in lines]):
         return ""
-    region = content_region(lines, page.names)
-    semantic = page.names[region] in ("article", "main")
-    # A list whose items are links alone is a menu, but within an article.
-    return "\n".join([x.text for x in lines if not x.dropped and region in x.path
-                      and (semantic or not (x.linked >= len(x.text) > 0 and page.names[x.path[-1]] in ("li", "ul", "ol")))])
+    core, region = content_region(lines, page.names)
+
+    def is_menu(x: Line) -> bool:
+        """A list whose items are links alone is a menu, but within an article."""
+        if any([page.names[e] in ("article", "main") for e in x.path]):
+            return False
+        if core not in x.path:
+            return mostly_links(x)
+        return x.linked >= len(x.text) > 0 and page.names[x.path[-1]] in ("li", "ul", "ol")
+
+    return "\n".join([x.text for x in lines if not x.dropped and region in x.path and not is_menu(x)])
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
