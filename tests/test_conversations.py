@@ -45,6 +45,17 @@ def test_budget_pruning_keeps_dpo_samples(spark):
     assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
 
 
+def test_pairs_keep_the_null_conversation(spark):
+    turns = spark.createDataFrame([(i, k, role, f"{role} {i}") for i in (None, 3, 8)
+                                   for k, role in enumerate(("user", "assistant"))],
+                                  "conv_id long, turn int, role string, content string")
+    for most in (None, 400):
+        got = {r.pair_id: (r.chosen[1].content, r.rejected[1].content)
+               for r in conv.preference_pairs(turns, max_tokens=most).collect()}
+        said = {i: f"assistant {i}" for i in (None, 3, 8)}
+        assert got == {None: (said[None], said[3]), 3: (said[3], said[8]), 8: (said[8], said[None])}
+
+
 def test_running_total_matches_window(spark):
     turns = _turns(spark, n_convs=3, max_turns=400, seed=9)
     known = F.col("role").isin(*conv.KNOWN_ROLES).cast("bigint")

@@ -65,25 +65,27 @@ def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
     turn; ``rejected`` swaps that turn's text for the one of the next such
     conversation in id order (the last wraps to the first). The successor is
     found by a window per range of ids, never by a window over all
-    conversations. Each conversation is collected once.
+    conversations. Each conversation is collected once. The turns of a null id
+    are one conversation, which is the first in id order.
     """
+    turns = turns.withColumn("_id", F.struct(id_col))  # equal for null ids, too
     last = (turns.where(F.col("role") == "assistant")
-            .groupBy(id_col)
+            .groupBy("_id")
             .agg(F.max_by(F.struct("turn", "content"), "turn").alias("_last"))
-            .select(id_col, F.col("_last.turn").alias("cut_turn"),
+            .select(F.col("_id")[id_col].alias(id_col), F.col("_last.turn").alias("cut_turn"),
                     F.col("_last.content").alias("last_text")))
     pairs = with_successor(last, id_col, ["last_text"]).select(
-        id_col, "cut_turn", F.col("next_last_text").alias("next_text"))
+        F.struct(id_col).alias("_id"), "cut_turn", F.col("next_last_text").alias("next_text"))
     if max_tokens is not None:
         # A turn's budget count depends only on earlier turns, so pruning
         # before the cut gives the same rows and avoids recomputing the join.
-        turns = within_budget(turns, max_tokens, id_col, min_message_tokens)
-    entries = turns.groupBy(id_col).agg(F.collect_list(F.struct("turn", "role", "content")).alias("_t"))
+        turns = within_budget(turns, max_tokens, "_id", min_message_tokens)
+    entries = turns.groupBy("_id").agg(F.collect_list(F.struct("turn", "role", "content")).alias("_t"))
     kept = F.filter("_t", lambda x: x["turn"] <= F.col("cut_turn"))
     swapped = F.transform("_c", lambda x: F.struct(
         x["turn"].alias("turn"), x["role"].alias("role"),
         F.when(x["turn"] == F.col("cut_turn"), F.col("next_text")).otherwise(x["content"]).alias("content")))
-    return (entries.join(pairs, id_col).withColumn("_c", kept)
-            .select(F.col(id_col).alias("pair_id"),
+    return (entries.join(pairs, "_id").withColumn("_c", kept)
+            .select(F.col("_id")[id_col].alias("pair_id"),
                     messages_from_turns(F.col("_c")).alias("chosen"),
                     messages_from_turns(swapped).alias("rejected")))

@@ -102,8 +102,8 @@ def global_rank(df: DataFrame, order_col: str, tiebreak: list[str] | None = None
 
 
 def with_successor(df: DataFrame, order_col: str, value_cols: list[str], prefix: str = "next_") -> DataFrame:
-    """Add the values of the next row in ``order_col`` order (unique, not
-    null); the last row is followed by the first.
+    """Add the values of the next row in ``order_col`` order (unique, a
+    null first); the last row is followed by the first.
 
     Rows are cut into ranges; the head of each range is also sent to the range
     before, so one window per range finds every successor in one shuffle. Only
@@ -112,11 +112,13 @@ def with_successor(df: DataFrame, order_col: str, value_cols: list[str], prefix:
     cores = df.sparkSession.sparkContext.defaultParallelism
     bounds = sample_bounds(df, order_col, max(2, cores, buckets_for(df.count())))
     own = bucket_from_bounds(F.col(order_col), bounds)
-    heads = sorted(map(tuple, df.groupBy(own.alias("_b")).agg(F.min(order_col)).collect()))
+    heads = sorted((b, h[0]) for b, h in df.groupBy(own.alias("_b")).agg(F.min(F.struct(order_col))).collect())
     if not heads:
         return df.withColumns({prefix + c: F.col(c) for c in value_cols})
     before = F.create_map(*[F.lit(x) for i, (b, _) in enumerate(heads) for x in (b, heads[i - 1][0])])
-    is_head = F.col(order_col).isin([h for _, h in heads])
+    is_head = F.col(order_col).isin([h for _, h in heads if h is not None])
+    if heads[0][1] is None:
+        is_head = F.col(order_col).isNull() | is_head
     placed = df.withColumn("_own", own).select("*", F.posexplode(
         F.when(is_head, F.array("_own", before[F.col("_own")])).otherwise(F.array("_own"))).alias("_edge", "_b"))
     w = Window.partitionBy("_b").orderBy("_edge", order_col)
