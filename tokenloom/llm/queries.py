@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bottomk_dedup, bpe_chunks, decontaminate, fingerprints, html_extract, lm_scoring, quality_knn,
-               token_frames, toxicity_nnpu, url_filter)
+from . import (bottomk_dedup, bpe_chunks, conversation_repair, decontaminate, fingerprints, html_extract,
+               license_templates, lm_scoring, merkle, quality_knn, token_frames, toxicity_nnpu, url_filter)
 from .common import fold_column, read_table
 
 #: Folder of the public tokenizers' files; None: as the package names it.
@@ -93,7 +93,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity_nnpu": op8_toxicity_nnpu,
     "op9_bpe_chunks": op9_bpe_chunks,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_license_scan": license_templates.op11_license_scan,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 #: DuckDB statements of those queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL,
+                              "op12_merkle_manifest": merkle.ORACLE_SQL}
