@@ -253,6 +253,15 @@ from p join s on p.sample_id = s.sample_id
 group by 1, 2"""
 
 
+def batch_fetch_repeated() -> str:
+    return f"""
+with d as (select case when doc_id % 5 <> 0 then cast(doc_id // 3 as varchar) else 'none' end as sample, n_chars
+           from documents)
+select cast(e.epoch as integer) as epoch, sample, count(*) as n_slots, count(*) as n_positions,
+       count(*) as n_samples, cast(sum(n_chars) as bigint) as n_chars
+from d cross join (select unnest(range({PLAN_EPOCHS})) as epoch) e group by 1, 2"""
+
+
 def step_calendar() -> str:
     W, B, A = SHARD_WORLD, SHARD_BATCH, PLAN_ACCUMULATION
     return f"""
@@ -581,6 +590,8 @@ def all_sql() -> dict[str, str]:
         "resume_plan": resume_plan(),
         "resume_batch_counts": resume_batch_counts(),
         "batch_fetch": batch_fetch(),
+        "batch_fetch_repeated": batch_fetch_repeated(),
+        "sliced_logprob": token_logprob(),
         "step_calendar": step_calendar(),
         "sft_supervised_tokens": sft_supervised_tokens(),
         "dpo_pairs": dpo_pairs(),

@@ -80,3 +80,10 @@ def test_conversation_token_counts_equal_whole_render(spark):
     a = sft_length_report(turns, 64).first()
     b = chat_length_report(conv.chat_records(turns), 64).first()
     assert a == b
+
+
+def test_length_report_counts_the_conversation_without_id(spark):
+    from tokenloom.operators.report import sft_length_report
+    rows = [(None, 0, "user", "hi"), (None, 1, "assistant", "yes"), (3, 0, "user", "a"), (3, 1, "assistant", "b")]
+    out = sft_length_report(spark.createDataFrame(rows, "conv_id long, turn long, role string, content string"), 512).first()
+    assert out.n_samples == 2 and out.n_no_supervised == 0

@@ -58,3 +58,13 @@ def test_eta_since_restart(spark):
     r = df.select(LG.eta_minutes().alias("a"), LG.eta_minutes_since_restart(F.lit(10)).alias("b")).first()
     assert r.a == math.floor(600 / 16 * 100 / 60) - 10
     assert r.b == math.floor(600 / 5 * 85 / 60)
+
+
+def test_a_null_run_is_a_run(spark):
+    rows = [(None, dt.datetime(2024, 1, 1, 0, i), i, 1.0 + i) for i in range(3)] + [(4, dt.datetime(2024, 1, 1), 9, 5.0)]
+    log = spark.createDataFrame(rows, "run long, ts timestamp_ntz, event_id long, loss double")
+    steps = LG.number_steps(log, tiebreak=["event_id"])
+    assert sorted((str(r.run), r.step, r.iters) for r in steps.collect()) == [
+        ("4", 1, 1), ("None", 1, 3), ("None", 2, 3), ("None", 3, 3)]
+    latest = {r.run: r.step for r in LG.latest_progress(steps.select("run", F.lit(0).alias("epoch"), "step")).collect()}
+    assert latest == {None: 3, 4: 1}

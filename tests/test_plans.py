@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from tokenloom.plans import epochs as P
-from tokenloom.plans.ranking import global_rank, grouped_rank
+from tokenloom.plans.ranges import RANGE, group_positions, positions, sorted_ranges, with_successor
+from tokenloom.plans.ranking import grouped_rank
 
 
 def py_skip_batches(indices, bs, skip):
@@ -107,9 +108,11 @@ def test_global_and_grouped_rank_equal_window(spark):
     assert got == exp
     w2 = Window.orderBy("value", "event_id")
     exp2 = {(r.event_id, r.p) for r in ev.select("event_id", (F.row_number().over(w2) - 1).alias("p")).collect()}
-    got2 = {(r.event_id, r.pos) for r in global_rank(ev, "value", ["event_id"], rows_per_bucket=700)
-            .select("event_id", "pos").collect()}
+    got2 = {(r.event_id, r.pos) for r in positions(ev, ["value", "event_id"]).select("event_id", "pos").collect()}
     assert got2 == exp2
+    got3 = {(r.event_id, r.pos) for r in group_positions(hot, ["g"], ["value", "event_id"])
+            .select("event_id", "pos").collect()}
+    assert got3 == exp
 
 
 def test_update_number_closed_form():
@@ -154,22 +157,49 @@ def test_resume_exact_has_no_repeats_or_gaps(spark):
     assert {r.rank for r in rest} == {0, 1, 2}
 
 
-def test_global_rank_many_buckets_uses_binary_search(spark):
-    ev = spark.read.parquet(f"{SF01}/events.parquet")
-    w = Window.orderBy("value", "event_id")
-    exp = {(r.event_id, r.p) for r in ev.select("event_id", (F.row_number().over(w) - 1).alias("p")).collect()}
-    got = {(r.event_id, r.pos) for r in global_rank(ev, "value", ["event_id"], rows_per_bucket=50)
-           .select("event_id", "pos").collect()}
-    assert got == exp
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_ranges_treat_nulls_alike_at_any_count(spark):
-    rows = [(None,)] * 3 + [(i % 97,) for i in range(2000)]
-    df = spark.createDataFrame(rows, "k int")
-    for per in (3000, 20):
-        got = sorted((r.pos, r.k) for r in global_rank(df, "k", rows_per_bucket=per).collect())
-        assert [p for p, _ in got] == list(range(2003))
-        assert [k for _, k in got] == sorted((k for k, in rows), key=lambda k: (k is not None, k or 0))
+def test_positions_in_many_ranges_plan_in_constant_size(spark):
+    ids = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("k"))
+    few = positions(ids, ["k"], unique=True)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        many = positions(ids, ["k"], unique=True)
+        assert [r.pos for r in many.orderBy("k").collect()] == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert _plan(many).count("\n") == _plan(few).count("\n")
+
+
+def test_equal_and_null_keys_are_spread_over_ranges(spark):
+    rows = [(None,)] * 1000 + [(5,)] * 1000 + [(i % 997,) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int").repartition(3)
+    sizes = [r["count"] for r in sorted_ranges(df, ["k"], n_ranges=20).groupBy(RANGE).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 600  # a third alone would be 1,000
+    got = sorted((r.pos, r.k) for r in positions(df, ["k"]).collect())
+    assert [p for p, _ in got] == list(range(3000))
+    assert [k for _, k in got] == sorted((k for k, in rows), key=lambda k: (k is not None, k or 0))
+    by_key = {}
+    for r in group_positions(df, ["k"]).collect():
+        by_key.setdefault(r.k, []).append(r.pos)
+    assert all(sorted(v) == list(range(len(v))) for v in by_key.values()) and len(by_key[None]) == 1000
+
+
+def test_group_positions_over_two_columns_and_no_rows(spark):
+    df = spark.createDataFrame([(1, None, 3), (1, None, 1), (1, "a", 2), (None, "a", 9)], "x int, y string, o int")
+    got = {(r.x, r.y, r.o): r.p for r in group_positions(df, ["x", "y"], ["o"], out_col="p").collect()}
+    assert got == {(1, None, 3): 1, (1, None, 1): 0, (1, "a", 2): 0, (None, "a", 9): 0}
+    assert positions(df.limit(0), ["x"]).count() == 0 and group_positions(df.limit(0), ["x"]).count() == 0
+
+
+def test_successor_over_ranges(spark):
+    for n in (0, 1, 2, 50):
+        df = spark.range(n).select((F.col("id") * 3).alias("k"), (F.col("id") + 100).alias("v"))
+        got = {r.k: r.next_v for r in with_successor(df, "k", ["v"]).collect()}
+        assert got == {3 * i: (i + 1) % n + 100 for i in range(n)}
 
 
 def test_natural_order_of_strings_and_repeated_ids(spark):
@@ -199,3 +229,72 @@ def test_first_update_has_three_micro_steps(spark):
         done += (s + 1) % 4 == 0
     assert sorted((r.epoch, r.step, r.u) for r in got) == want
     assert sum(u == 1 for _, _, u in want) == 3 and sum(u == 2 for _, _, u in want) == 4
+
+
+def _encoded(spark, ids, kind="long"):
+    return spark.createDataFrame([(k, f"content {i}") for i, k in enumerate(ids)], f"sample_id {kind}, content string")
+
+
+def test_one_sample_a_slot_for_any_ids(spark):
+    for ids in ([1, 1, 2, None], [None, None, None], [5], [1, 2, 3, 4, 5], [7] * 20 + [None] * 20 + list(range(20))):
+        enc = _encoded(spark, ids)
+        for world in (1, 3):
+            m = P.build_manifest(enc.select("sample_id"), 2, world, 2)
+            rows = P.fetch_batches(m, enc).collect()
+            padded = math.ceil(len(ids) / world) * world
+            for epoch in (0, 1):
+                got = [r for r in rows if r.epoch == epoch]
+                assert len(got) == padded
+                # each sample once but for the wrap padding, which repeats the first ones
+                by_pos = {r.pos: r.content for r in got}
+                assert sorted(by_pos[p] for p in range(len(ids))) == sorted(r.content for r in enc.collect())
+                assert all(by_pos[p] == by_pos[p % len(ids)] for p in by_pos)
+
+
+def test_copies_left_after_a_resume_are_those_not_delivered(spark):
+    enc = _encoded(spark, [1, 1, 1, 1, None, None])
+    m = P.build_manifest(enc.select("sample_id"), 1, 1, 2)
+    first = {r.content for r in P.fetch_batches(m.where("step <= 1"), enc).collect()}
+    rest = {r.content for r in P.fetch_batches(P.resume(m, 0, 1), enc).collect()}
+    assert len(first) == 2 and len(rest) == 4 and first.isdisjoint(rest)
+
+
+def test_plan_without_copies_is_refused_for_repeated_ids(spark):
+    import pytest
+    enc = _encoded(spark, [1, 1])
+    m = P.build_manifest(enc.select("sample_id"), 1, 1, 2).drop("copy")
+    with pytest.raises(ValueError, match="no column copy"):
+        P.fetch_batches(m, enc)
+
+
+def test_copies_of_an_id_are_shuffled(spark):
+    enc = _encoded(spark, [None] * 300)
+    m = P.build_manifest(enc.select("sample_id"), 2, 1, 4)
+    order = {e: [r.copy for r in m.where(F.col("epoch") == e).orderBy("pos").collect()] for e in (0, 1)}
+    assert sorted(order[0]) == sorted(order[1]) == list(range(300)) and order[0] != order[1] != list(range(300))
+
+
+def test_delivery_follows_the_plan(spark, tmp_path):
+    import glob
+    enc = _encoded(spark, [*range(90), 3, None])
+    m = P.build_manifest(enc.select("sample_id"), 2, 3, 4)
+    parts, n = P.delivery_parts(m, 8)
+    assert n >= 6 and parts.count() == 6
+    P.write_training_shards(m, enc, str(tmp_path / "out"), n_parts=8)
+    want = {}
+    for r in P.fetch_batches(m, enc).collect():
+        want.setdefault((r.epoch, r.rank), []).append((r.step, r.slot, r.content))
+    for (epoch, rank), rows in want.items():
+        files = sorted(glob.glob(str(tmp_path / f"out/epoch={epoch}/rank={rank}/*.parquet")))
+        assert len(files) > 1
+        got = [(r.step, r.slot, r.content) for f in files for r in spark.read.parquet(f).collect()]
+        assert got == sorted(rows)
+
+
+def test_delivery_samples_no_bounds_and_joins_once(spark):
+    enc = _encoded(spark, range(50)).hint("merge")
+    m = P.build_manifest(enc.select("sample_id"), 1, 2, 4)
+    parts, n = P.delivery_parts(m, 4)
+    rows = P.fetch_batches(m.join(parts, ["epoch", "rank"]), enc).repartitionById(n, "_base")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") <= 3

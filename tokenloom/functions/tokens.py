@@ -46,12 +46,18 @@ def token_prefix(text: Column, max_tokens: int) -> Column:
 
     Without a special string starting in the first ``k`` characters every
     one of them is at least one token, so ``k`` characters suffice. Otherwise
-    a token covers at most 13 characters (``<|endoftext|>``).
+    a token covers at most 13 characters (``<|endoftext|>``), and only those
+    of special strings cover more than one: ``k`` characters and 12 more for
+    each special string that may start in the first ``13 k`` suffice.
     """
-    k = int(max_tokens)
+    k, most = int(max_tokens), MAX_CHARS_PER_TOKEN
+
+    def marked(t: Column) -> Column:
+        return let(F.substring(t, 1, most * k), lambda p: F.substring(p, F.lit(1), F.lit(k) + F.lit(most - 1) * (
+            F.length(p) - F.length(F.replace(p, F.lit("<|"), F.lit("<"))))))
+
     return let(text, lambda t: F.when(F.instr(F.substring(t, 1, k + 1), "<|") == 0,
-                                      F.substring(t, 1, k))
-               .otherwise(F.substring(t, 1, MAX_CHARS_PER_TOKEN * k)))
+                                      F.substring(t, 1, k)).otherwise(marked(t)))
 
 
 def encode_text(text: Column, max_tokens: int | None = None) -> Column:

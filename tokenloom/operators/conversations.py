@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chat import messages_from_turns
-from ..plans.ranking import grouped_running_total, with_successor
+from ..plans.ranges import with_successor
+from ..plans.ranking import grouped_running_total
 
 KNOWN_ROLES = ("user", "system", "assistant", "tool")
 # Fewest tokens that any rendered user/system/assistant/tool message takes:
@@ -64,7 +65,7 @@ def preference_pairs(turns: DataFrame, id_col: str = "conv_id",
     Conversations with an assistant turn are cut after their last assistant
     turn; ``rejected`` swaps that turn's text for the one of the next such
     conversation in id order (the last wraps to the first). The successor is
-    found by a window per range of ids, never by a window over all
+    found in a table sorted in ranges of ids, never by a window over all
     conversations. Each conversation is collected once. The turns of a null id
     are one conversation, which is the first in id order.
     """

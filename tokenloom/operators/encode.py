@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ..fixed import DPO_MAX_LENGTH, PRETRAIN_MAX_LENGTH, SFT_MAX_LENGTH
 from ..functions.chat import render_chat
+from ..functions.segments import marker_segments, segment_labels, segment_mask
 from ..functions.spans import span_labels, span_mask
 from ..functions.tokens import (coerce_text, encode_text, pad_right, pretrain_labels,
-                                shift_inputs, shift_targets, wrap_bos_eos)
+                                shift_inputs, shift_targets, token_prefix, truncate, wrap_bos_eos)
 from ..functions.util import let
 from ..fixed import ASSISTANT_END_IDS, ASSISTANT_END_TEXT, ASSISTANT_START_IDS, ASSISTANT_START_TEXT
 from .vocab import marker_ids, tokenize_column
@@ -58,10 +59,15 @@ def encode_sft(df: DataFrame, id_col: str = "sample_id", messages_col: str = "me
     """Render (with tools) -> ids -> span labels."""
     L = int(max_length)
     tools = F.col(tools_col) if tools_col else None
-    start, end = _markers(tokenizer_factory)
-    df, toks = _tokens(df, render_chat(F.col(messages_col), tools), L, "prompt", tokenizer_factory)
-    pair = let(pad_right(toks, L), lambda a: F.struct(
-        a.alias("input_ids"), span_labels(a, L, start, end).alias("labels")))
+    prompt = render_chat(F.col(messages_col), tools)
+    if tokenizer_factory is None:  # runs from the text, expanded once
+        pair = let(token_prefix(prompt, L), lambda t: let(pad_right(truncate(encode_text(t), L), L), lambda a: F.struct(
+            a.alias("input_ids"), segment_labels(marker_segments(t, L), a).alias("labels"))))
+    else:
+        start, end = _markers(tokenizer_factory)
+        df, toks = _tokens(df, prompt, L, "prompt", tokenizer_factory)
+        pair = let(pad_right(toks, L), lambda a: F.struct(
+            a.alias("input_ids"), span_labels(a, L, start, end).alias("labels")))
     return df.select(F.col(id_col), pair.alias("_s")).select(id_col, "_s.input_ids", "_s.labels")
 
 
@@ -70,14 +76,25 @@ def encode_dpo(df: DataFrame, id_col: str = "pair_id", chosen_col: str = "chosen
                tokenizer_factory=None) -> DataFrame:
     """Both sides rendered without tools, masked, shifted to ``L - 1``."""
     L = int(max_length)
-    start, end = _markers(tokenizer_factory)
-    df, tc = _tokens(df, render_chat(F.col(chosen_col)), L, "chosen", tokenizer_factory)
-    df, tr = _tokens(df, render_chat(F.col(rejected_col)), L, "rejected", tokenizer_factory)
 
-    def side(toks: F.Column, name: str) -> F.Column:
-        return let(pad_right(toks, L), lambda a: let(span_mask(a, L, start, end), lambda m: F.struct(
+    def shifted(ids: F.Column, mask: F.Column, name: str) -> F.Column:
+        return let(ids, lambda a: F.struct(
             shift_inputs(a, L).alias(f"x_{name}"), shift_targets(a, L).alias(f"y_{name}"),
-            shift_targets(m, L).alias(f"mask_{name}"))))
+            shift_targets(mask, L).alias(f"mask_{name}")))
 
-    return (df.select(F.col(id_col), side(tc, "chosen").alias("_c"), side(tr, "rejected").alias("_r"))
+    def from_text(messages: str, name: str) -> F.Column:
+        return let(token_prefix(render_chat(F.col(messages)), L), lambda t: shifted(
+            pad_right(truncate(encode_text(t), L), L), segment_mask(marker_segments(t, L)), name))
+
+    def from_ids(toks: F.Column, name: str) -> F.Column:
+        return let(pad_right(toks, L), lambda a: shifted(a, span_mask(a, L, start, end), name))
+
+    if tokenizer_factory is None:
+        chosen, rejected = from_text(chosen_col, "chosen"), from_text(rejected_col, "rejected")
+    else:
+        start, end = _markers(tokenizer_factory)
+        df, tc = _tokens(df, render_chat(F.col(chosen_col)), L, "chosen", tokenizer_factory)
+        df, tr = _tokens(df, render_chat(F.col(rejected_col)), L, "rejected", tokenizer_factory)
+        chosen, rejected = from_ids(tc, "chosen"), from_ids(tr, "rejected")
+    return (df.select(F.col(id_col), chosen.alias("_c"), rejected.alias("_r"))
             .select(id_col, "_c.*", "_r.*"))

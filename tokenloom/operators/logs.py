@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ranking import grouped_rank
+from ..plans.ranking import grouped_rank, join_on
 from ..plans.schedule import is_log_step, step_lr
 
 
@@ -37,7 +37,7 @@ def number_steps(log: DataFrame, run_col: str = "run", ts_col: str = "ts",
                           out_col="_pos", sub_buckets=sub_buckets)
     iters = log.groupBy(run_col).agg(F.count(F.lit(1)).cast("bigint").alias("iters"),
                                      F.min(ts_col).alias("run_start"))
-    return (ranked.join(iters, run_col)
+    return (join_on(ranked, iters, [run_col])  # a null run is a run, too
             .withColumn("step", (F.col("_pos") + 1).cast("bigint"))
             .drop("_pos", "_us"))
 

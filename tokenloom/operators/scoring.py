@@ -8,13 +8,16 @@ aggregate per pair, not a self-join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed import DPO_BETA, IGNORE_INDEX
-from ..functions.scoring import log_softmax_at, neg_log_sigmoid
+from ..functions.scoring import log_softmax_at, logit_state, merged_states, neg_log_sigmoid, state_logprob
 
 MIN_TOKENS = 1e-8
+TOKEN_BLOCK = 512  # positions of a sequence that lie together in a token table
 
 
 def with_token_logprob(tokens: DataFrame, logits_col: str = "logits", label_col: str = "label",
@@ -40,6 +43,74 @@ def shift_targets(tokens: DataFrame, seq_col: str = "seq_id", pos_col: str = "po
     return joined.withColumn("target", target.cast("int")).drop("_next_label", "_next_mask")
 
 
+def token_table(tokens: DataFrame, path: str, n_buckets: int | None = None, seq_col: str = "seq_id",
+                pos_col: str = "pos", label_col: str = "label", mask_col: str = "mask",
+                block: int = TOKEN_BLOCK) -> DataFrame:
+    """Model output written so that a token's neighbour is read by its task.
+
+    Rows are bucketed by sequence and block of ``block`` positions and sorted
+    by position; the narrow columns of a block's first row are also written to
+    the block before. Each task writes its own rows into the buckets, so no
+    exchange moves the logits, here or when ``stored_targets`` reads them. A
+    sequence of any length (a null id is one) lies in many buckets. ``path``
+    must be on shared storage; the returned table reads it.
+    """
+    spark = tokens.sparkSession
+    own = F.floor(F.col(pos_col) / F.lit(block)).cast("bigint")
+    here = F.struct(own.alias("block"), F.lit(False).alias("edge"))
+    before = F.struct((own - 1).alias("block"), F.lit(True).alias("edge"))
+    at_edge = F.coalesce(F.col(pos_col) % F.lit(block) == 0, F.lit(False))
+    placed = tokens.withColumn("_at", F.explode(F.when(at_edge, F.array(here, before)).otherwise(F.array(here))))
+    narrow = (seq_col, pos_col, label_col, mask_col)
+    rows = placed.select(*[F.col(c) if c in narrow else F.when(~F.col("_at.edge"), F.col(c)).alias(c)
+                           for c in tokens.columns],
+                         F.col("_at.block").alias("_block"), F.col("_at.edge").alias("_edge"))
+    name = f"token_table_{uuid.uuid4().hex}"
+    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (rows.write.bucketBy(n, seq_col, "_block").sortBy(seq_col, "_block", pos_col)
+     .option("path", path).saveAsTable(name))
+    stored = spark.table(name)
+    spark.sql(f"drop table {name}")  # only the name: files at a given path stay
+    return stored
+
+
+def stored_targets(table: DataFrame, seq_col: str = "seq_id", pos_col: str = "pos",
+                   label_col: str = "label", mask_col: str = "mask") -> DataFrame:
+    """B13 + H2 labels on a ``token_table``: what ``shift_targets`` adds, by a
+    window within a block and without any exchange."""
+    w = Window.partitionBy(seq_col, "_block").orderBy(pos_col)
+    following = F.lead(F.struct(F.col(pos_col).alias("pos"), F.col(label_col).alias("label"),
+                                F.col(mask_col).alias("mask"))).over(w)
+    scored = (F.col("_next.pos") == F.col(pos_col) + 1) & (F.col("_next.mask") == 1)
+    target = F.when(F.coalesce(scored, F.lit(False)), F.col("_next.label"))
+    return (table.withColumn("_next", following).where(~F.col("_edge"))
+            .withColumn("target", F.coalesce(target, F.lit(IGNORE_INDEX)).cast("int"))
+            .drop("_next", "_block", "_edge"))
+
+
+def slice_states(slices: DataFrame, key_cols: list[str], logits_col: str = "logits", label_col: str = "label",
+                 first_col: str = "first") -> DataFrame:
+    """H1 where a token's logits come as several rows, each a slice of the
+    vocabulary from id ``first`` on (a model that is split over devices, or a
+    vocabulary too large for a row): ``(keys, state)``, one row a token.
+
+    Each row is reduced to its state in the scan stage; three numbers a slice
+    are shuffled, combined on the map side. States can be stored and merged
+    with those of slices that come later (``merge_states``)."""
+    state = logit_state(F.col(logits_col), F.col(label_col), F.col(first_col))
+    return merge_states(slices.select(*key_cols, state.alias("state")), key_cols)
+
+
+def merge_states(states: DataFrame, key_cols: list[str]) -> DataFrame:
+    """One state a token from any number of them."""
+    found = states.groupBy(*key_cols).agg(F.collect_list("state").alias("_s"))
+    return found.select(*key_cols, merged_states(F.col("_s")).alias("state"))
+
+
+def with_state_logprob(states: DataFrame, out_col: str = "logp") -> DataFrame:
+    return states.withColumn(out_col, state_logprob(F.col("state"))).drop("state")
+
+
 def masked_cross_entropy(tokens: DataFrame, group_cols: list[str],
                          logits_col: str = "logits", target_col: str = "target") -> DataFrame:
     """H2: token-weighted mean of ``-logp`` over targets <> -100 per group.

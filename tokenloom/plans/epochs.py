@@ -1,9 +1,12 @@
 """Epoch, rank and step planning (E1, F1-F9, G4) as a manifest table.
 
-The manifest ``(epoch, rank, step, slot, sample_id)`` says which sample
-feeds which slot of which micro-batch. It is built from a seeded
+The manifest ``(epoch, rank, step, slot, pos, sample_id, copy)`` says which
+sample feeds which slot of which micro-batch. It is built from a seeded
 permutation rank (F1, distributed, see ``ranking``), wrap padding for
 rank sharding (F6), fixed-size batches (F4) and a resume filter (E1/F7).
+
+Ids may be null or repeated: ``copy`` numbers the samples of one id, so a slot
+names exactly one sample whatever the ids are.
 """
 
 from __future__ import annotations
@@ -14,15 +17,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import BASE_SEED
-from .ranking import global_rank, hex_prefix_bucket, rank_in_buckets
+from .ranges import group_positions, positions
+from .ranking import hex_prefix_bucket, join_on, rank_in_buckets
 
 MAX_BROADCAST_OFFSETS = 1_000_000  # rows of (epoch, bucket, offset)
+COPY = "copy"
+
+
+def permutation_key(sample_id: Column, epoch: Column, seed: int = BASE_SEED, copy: Column | None = None) -> Column:
+    """F1 key: md5 of ``'<seed + epoch>:<sample_id>'``, a null id being empty;
+    a further copy of an id has ``':<copy>'`` behind it."""
+    parts = [(F.lit(seed) + epoch).cast("string"), F.lit(":"), F.coalesce(sample_id.cast("string"), F.lit(""))]
+    if copy is not None:
+        parts.append(F.when(copy > 0, F.concat(F.lit(":"), copy.cast("string"))).otherwise(F.lit("")))
+    return F.md5(F.concat(*parts))
+
 
+def has_repeated_ids(df: DataFrame, id_col: str = "sample_id") -> bool:
+    """One narrow aggregate over the ids, stopped at the first repeated one."""
+    return bool(df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1).count())
 
-def permutation_key(sample_id: Column, epoch: Column, seed: int = BASE_SEED) -> Column:
-    """F1 key: md5 of ``'<seed + epoch>:<sample_id>'``."""
-    return F.md5(F.concat((F.lit(seed) + epoch).cast("string"), F.lit(":"),
-                          sample_id.cast("string")))
+
+def with_copies(df: DataFrame, id_col: str = "sample_id") -> DataFrame:
+    """Add ``copy``: 0 for a lone id, 0 .. c-1 for the rows of an id that c
+    rows have (a null id is one, too). Numbered in sorted ranges, so an id
+    that a third of the rows have is numbered by many tasks."""
+    if COPY in df.columns:
+        return df
+    if not has_repeated_ids(df, id_col):
+        return df.withColumn(COPY, F.lit(0).cast("bigint"))
+    return group_positions(df, [id_col], out_col=COPY)
 
 
 def epoch_permutation(samples: DataFrame, epochs: int, seed: int = BASE_SEED,
@@ -33,16 +57,20 @@ def epoch_permutation(samples: DataFrame, epochs: int, seed: int = BASE_SEED,
     ``pos`` is 0-based within each epoch. Deterministic and independent of
     partitioning: the order is ``(md5 key, sample_id)``. Offsets are a table
     of at most ``epochs x 16**hex_digits`` rows, so broadcasting it is bounded.
+    A column ``copy`` (see ``with_copies``) tells the samples of one id apart
+    and is passed on.
     """
     each_epoch = F.explode(F.sequence(F.lit(0), F.lit(int(epochs) - 1)))
+    named = [id_col, *([COPY] if COPY in samples.columns else [])]
     if not shuffle:
-        return natural_order(samples.select(id_col), id_col).withColumn("epoch", each_epoch)
-    keyed = samples.select(id_col).withColumn("epoch", each_epoch).withColumn("_key", permutation_key(F.col(id_col), F.col("epoch"), seed))
+        return natural_order(samples.select(*named), id_col).withColumn("epoch", each_epoch)
+    key = permutation_key(F.col(id_col), F.col("epoch"), seed, F.col(COPY) if COPY in named else None)
+    keyed = samples.select(*named).withColumn("epoch", each_epoch).withColumn("_key", key)
     # Explicit broadcast only under a proven bound (~16 MB); above it AQE
     # decides from the run-time size.
     bounded = int(epochs) * 16 ** int(hex_digits) <= MAX_BROADCAST_OFFSETS
     out = rank_in_buckets(keyed, ["epoch"], hex_prefix_bucket(F.col("_key"), hex_digits),
-                          [F.col("_key"), F.col(id_col)], out_col="pos",
+                          [F.col("_key"), *[F.col(c) for c in named]], out_col="pos",
                           broadcast_offsets=True if bounded else None)
     return out.drop("_key")
 
@@ -50,7 +78,8 @@ def epoch_permutation(samples: DataFrame, epochs: int, seed: int = BASE_SEED,
 def natural_order(ids: DataFrame, id_col: str = "sample_id") -> DataFrame:
     """position = rank of ``sample_id`` (same for every epoch). Each row
     has a position of its own, repeated and null ids (first) too."""
-    return global_rank(ids, id_col, out_col="pos")
+    unique = COPY in ids.columns
+    return positions(ids, [id_col, *([COPY] if unique else [])], unique=unique)
 
 
 def pad_to_world(perm: DataFrame, n: int, world: int) -> DataFrame:
@@ -80,14 +109,15 @@ def batch_columns(pos: Column, world: int, batch_size: int) -> list[Column]:
 def build_manifest(samples: DataFrame, epochs: int, world: int, batch_size: int,
                    seed: int = BASE_SEED, id_col: str = "sample_id",
                    n: int | None = None, shuffle: bool = True) -> DataFrame:
-    """``(epoch, rank, step, slot, pos, sample_id)`` for every epoch."""
+    """``(epoch, rank, step, slot, pos, sample_id, copy)`` for every epoch."""
+    samples = with_copies(samples.select(id_col, *[c for c in (COPY,) if c in samples.columns]), id_col)
     perm = epoch_permutation(samples, epochs, seed, id_col, shuffle=shuffle)
     if world > 1:  # only rank padding needs the row count
         n = samples.count() if n is None else n  # A4, once per plan
         perm = pad_to_world(perm, n, world)
     padded = perm
     return padded.select("epoch", *batch_columns(F.col("pos"), world, batch_size),
-                         "pos", id_col)
+                         "pos", id_col, COPY)
 
 
 def step_sizes(spark: SparkSession, n: int, epochs: int, world: int, batch_size: int) -> DataFrame:
@@ -142,8 +172,34 @@ def batches_per_rank(n: int, world: int, batch_size: int, skip: int = 0) -> int:
 
 
 def fetch_batches(manifest: DataFrame, encoded: DataFrame, id_col: str = "sample_id") -> DataFrame:
-    """Attach each planned slot's encoded sample (equi-join on id)."""
-    return manifest.join(encoded, id_col)
+    """Attach to each planned slot exactly one encoded sample.
+
+    The join is on the id (null ids are equal) and the copy number. Lone ids
+    join as they are; if ids repeat, the encoded rows of one id are numbered
+    as the plan's are, so each of them is delivered once an epoch. A plan
+    without copy numbers is refused then: it can't say which is meant.
+    """
+    if not has_repeated_ids(encoded, id_col):
+        return join_on(manifest.drop(COPY), encoded, [id_col])
+    if COPY not in manifest.columns:
+        raise ValueError(f"{id_col} repeats, but the plan has no column {COPY}")
+    return join_on(manifest, with_copies(encoded, id_col), [id_col, COPY]).drop(COPY)
+
+
+def delivery_parts(manifest: DataFrame, n_parts: int) -> tuple[DataFrame, int]:
+    """``(epoch, rank, _steps, _lo, _base)``: how the plan is cut into about
+    ``n_parts`` parts of consecutive steps, and their number. One row for each
+    epoch and rank, from the plan's narrow columns alone."""
+    spans = (manifest.groupBy("epoch", "rank").agg(F.min("step").alias("lo"), F.max("step").alias("hi"))
+             .orderBy("epoch", "rank").collect())
+    total = sum(r["hi"] - r["lo"] + 1 for r in spans)
+    steps = max(1, math.ceil(total / max(1, n_parts)))
+    rows, base = [], 0
+    for r in spans:
+        rows.append((r["epoch"], r["rank"], steps, r["lo"], base))
+        base += (r["hi"] - r["lo"]) // steps + 1
+    table = manifest.sparkSession.createDataFrame(rows, "epoch int, rank int, _steps bigint, _lo bigint, _base int")
+    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_OFFSETS else table, base
 
 
 def write_training_shards(manifest: DataFrame, encoded: DataFrame, path: str,
@@ -151,16 +207,20 @@ def write_training_shards(manifest: DataFrame, encoded: DataFrame, path: str,
                           max_records_per_file: int = 100_000) -> None:
     """A5: encoded samples in delivery order, one folder per (epoch, rank).
 
-    Range partitioning on ``(epoch, rank, step)`` keeps file order equal to
-    step order and splits a rank's epoch over many tasks and files (no
-    single task per rank); rows inside a file are sorted by step and slot.
-    Reading a folder in file-name order replays the batches.
+    A row's partition follows from the plan: some consecutive steps of one
+    epoch and rank make a part, numbered in order. So the encoded rows are
+    joined once and sent straight to their part (no sampling of bounds), a
+    rank's epoch is split over many tasks and files, and parts hold equal
+    numbers of batches. Rows inside a file are sorted by step and slot;
+    reading a folder in file-name order replays the batches.
     """
-    rows = fetch_batches(manifest, encoded, id_col)
-    keys = ["epoch", "rank", "step"]
     # Default: the session's shuffle partitions (sized for the cluster).
-    ranged = rows.repartitionByRange(n_parts, *keys) if n_parts else rows.repartitionByRange(*keys)
-    (ranged
+    n_parts = n_parts or int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts, n = delivery_parts(manifest, n_parts)
+    part = F.col("_base") + F.floor((F.col("step") - F.col("_lo")) / F.col("_steps")).cast("int")
+    placed = manifest.join(parts, ["epoch", "rank"]).withColumn("_part", part).drop("_steps", "_lo", "_base")
+    rows = fetch_batches(placed, encoded, id_col)
+    (rows.repartitionById(max(1, n), "_part").drop("_part")
      .sortWithinPartitions("epoch", "rank", "step", "slot")
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("epoch", "rank").parquet(path))

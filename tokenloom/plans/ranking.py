@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
-BOUND_SAMPLE = 16  # sampled rows per bucket for its bounds
 
 
 def hex_prefix_bucket(key: Column, digits: int = 4) -> Column:
@@ -48,84 +47,10 @@ def rank_in_buckets(df: DataFrame, partition_cols: list[str], bucket: Column,
             .drop("_bucket", "_offset"))
 
 
-def bucket_from_bounds(value: Column, bounds: list) -> Column:
-    """Number of sorted ``bounds`` strictly below ``value``, for any orderable
-    type; null goes to bucket 0, as nulls sort first. A balanced tree of
-    comparisons: a row costs the logarithm of the number of bounds."""
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(value > F.lit(bounds[mid]), tree(mid + 1, high)).otherwise(tree(low, mid))
-
-    return tree(0, len(bounds))
-
-
 def buckets_for(n_rows: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> int:
     return max(1, math.ceil(n_rows / rows_per_bucket))
 
 
-def sample_bounds(df: DataFrame, order_col: str, n_buckets: int) -> list:
-    """About ``n_buckets - 1`` distinct, sorted values that cut the rows into
-    even ranges, in the column's own type. They come from
-    ``BOUND_SAMPLE * n_buckets`` rows picked by hash, which is all that reaches
-    the driver; another pick changes the balance, never a rank."""
-    keys = df.select(F.col(order_col).alias("_k")).where(F.col("_k").isNotNull())
-    picked = (keys.orderBy(F.xxhash64("_k", F.monotonically_increasing_id())).limit(BOUND_SAMPLE * n_buckets)
-              .orderBy("_k").collect())
-    return list(dict.fromkeys(picked[len(picked) * i // n_buckets]["_k"] for i in range(1, n_buckets)
-                              )) if picked else []
-
-
-def global_rank(df: DataFrame, order_col: str, tiebreak: list[str] | None = None,
-                out_col: str = "pos", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                with_count: bool = False):
-    """0-based rank over ``order_col`` (any orderable type, nulls first).
-
-    Rows are cut into ranges of the key, at least one per core and more as
-    the data grows, so the numbering window never runs in a single task.
-    ``with_count`` also returns the row count.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n_rows = df.count()
-    bounds = sample_bounds(df, order_col, max(2, cores, buckets_for(n_rows, rows_per_bucket)))
-    order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
-    if len(bounds) <= 1 and n_rows > 1 and df.select(order_col).distinct().limit(2).count() <= 1:
-        if tiebreak:  # one distinct value: the tiebreak columns define the order
-            return global_rank(df, tiebreak[0], tiebreak[1:], out_col, rows_per_bucket, with_count)
-        # complete tie: every numbering is a valid order
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(cores, 1)))
-    else:
-        bucket = bucket_from_bounds(F.col(order_col), bounds)
-    out = rank_in_buckets(df, [], bucket, order, out_col=out_col)
-    return (out, n_rows) if with_count else out
-
-
-def with_successor(df: DataFrame, order_col: str, value_cols: list[str], prefix: str = "next_") -> DataFrame:
-    """Add the values of the next row in ``order_col`` order (unique, a
-    null first); the last row is followed by the first.
-
-    Rows are cut into ranges; the head of each range is also sent to the range
-    before, so one window per range finds every successor in one shuffle. Only
-    the bounds and heads (a row a range) reach the driver.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    bounds = sample_bounds(df, order_col, max(2, cores, buckets_for(df.count())))
-    own = bucket_from_bounds(F.col(order_col), bounds)
-    heads = sorted((b, h[0]) for b, h in df.groupBy(own.alias("_b")).agg(F.min(F.struct(order_col))).collect())
-    if not heads:
-        return df.withColumns({prefix + c: F.col(c) for c in value_cols})
-    before = F.create_map(*[F.lit(x) for i, (b, _) in enumerate(heads) for x in (b, heads[i - 1][0])])
-    is_head = F.col(order_col).isin([h for _, h in heads if h is not None])
-    if heads[0][1] is None:
-        is_head = F.col(order_col).isNull() | is_head
-    placed = df.withColumn("_own", own).select("*", F.posexplode(
-        F.when(is_head, F.array("_own", before[F.col("_own")])).otherwise(F.array("_own"))).alias("_edge", "_b"))
-    w = Window.partitionBy("_b").orderBy("_edge", order_col)
-    return (placed.withColumns({prefix + c: F.lead(c).over(w) for c in value_cols})
-            .where(F.col("_edge") == 0).drop("_own", "_edge", "_b"))
-
-
 def join_on(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys are equal; the columns of ``left`` and the
     other columns of ``right``."""

@@ -19,6 +19,7 @@ from .operators import report as RP
 from .operators import scoring as SC
 from .plans import epochs as P
 from .plans import schedule as S
+from .plans.ranking import join_on
 from .sources import tables as T
 
 # Parameters shared with oracle_sql.py.
@@ -177,6 +178,19 @@ def batch_fetch(spark: SparkSession, base: str) -> DataFrame:
                  F.sum("sample_id").cast("bigint").alias("id_sum")))
 
 
+@register
+def batch_fetch_repeated(spark: SparkSession, base: str) -> DataFrame:
+    """G4 with ids that are null or repeated: every slot gets one sample, and
+    each sample of an id is delivered once an epoch."""
+    key = F.when(F.col("doc_id") % 5 != 0, F.floor(F.col("doc_id") / 3).cast("bigint"))
+    docs = T.table(spark, base, "documents").select(key.alias("sample_id"), "doc_id", "n_chars")
+    m = P.build_manifest(docs.select("sample_id"), PLAN_EPOCHS, 1, PLAN_BATCH)
+    name = F.coalesce(F.col("sample_id").cast("string"), F.lit("none")).alias("sample")
+    return (P.fetch_batches(m, docs).groupBy("epoch", name)
+            .agg(F.count(F.lit(1)).alias("n_slots"), F.countDistinct("pos").alias("n_positions"),
+                 F.countDistinct("doc_id").alias("n_samples"), F.sum("n_chars").cast("bigint").alias("n_chars")))
+
+
 @register
 def step_calendar(spark: SparkSession, base: str) -> DataFrame:
     """Per step samples, lr, log/save/update flags, update number."""
@@ -211,10 +225,31 @@ def token_logprob(spark: SparkSession, base: str) -> DataFrame:
         "seq_id", "pos", F.round("logp", 6).alias("logp"), F.round("ref_logp", 6).alias("ref_logp"))
 
 
+VOCABULARY_SLICES = 8
+
+
+@register
+def sliced_logprob(spark: SparkSession, base: str) -> DataFrame:
+    """H1 from rows that hold an eighth of the vocabulary each."""
+    t = T.token_scores(spark, base)
+    width = F.ceil(F.size("logits") / VOCABULARY_SLICES).cast("int")
+    cut = F.explode(F.transform(F.sequence(F.lit(0), F.lit(VOCABULARY_SLICES - 1)), lambda k: F.struct(
+        (k * width).alias("first"), F.slice("logits", k * width + 1, width).alias("part"),
+        F.slice("ref_logits", k * width + 1, width).alias("ref_part"))))
+    rows = t.select("seq_id", "pos", "label", cut.alias("s")).select("seq_id", "pos", "label", "s.*")
+    keys = ["seq_id", "pos"]
+    policy = SC.with_state_logprob(SC.slice_states(rows, keys, "part"), "logp")
+    reference = SC.with_state_logprob(SC.slice_states(rows, keys, "ref_part"), "ref_logp")
+    return SC.align_scores(policy, reference, keys).select(
+        "seq_id", "pos", F.round("logp", 6).alias("logp"), F.round("ref_logp", 6).alias("ref_logp"))
+
+
 @register
 def masked_cross_entropy(spark: SparkSession, base: str) -> DataFrame:
-    """B13 + H2 + E5: next-token cross-entropy per batch of 4 sequences."""
-    t = SC.shift_targets(T.token_scores(spark, base))
+    """B13 + H2 + E5: next-token cross-entropy per batch of 4 sequences, from
+    model output kept as a token table."""
+    from .session import shared_path
+    t = SC.stored_targets(SC.token_table(T.token_scores(spark, base), shared_path(spark, "token-table")))
     t = t.withColumn("batch_id", F.floor(F.col("seq_id") / CE_BATCH).cast("bigint"))
     out = SC.masked_cross_entropy(t, ["batch_id"])
     return out.select("batch_id", "n_tokens", F.round("loss", 6).alias("loss"))
@@ -544,4 +579,4 @@ def train_log_roundtrip(spark: SparkSession, base: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_records"), F.round(F.sum("loss"), 4).alias("loss_sum"),
         F.round(F.sum(F.col("loss") - F.col("aux_loss")), 4).alias("task_sum"))
     state = LG.latest_progress(spark.read.parquet(f"{home}/state"))
-    return back.join(state.select("run", F.col("step").alias("last_step"), "world_size"), "run")
+    return join_on(back, state.select("run", F.col("step").alias("last_step"), "world_size"), ["run"])
