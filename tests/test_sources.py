@@ -148,3 +148,40 @@ def test_malformed_record_stops_the_stream(spark, tmp_path):
     q = start_append(stream_chat_records(spark, str(src)).select("id"), str(tmp_path / "out"), str(tmp_path / "ck"))
     with pytest.raises(Exception, match="malformed record"):
         q.awaitTermination()
+
+
+def _ids(df):
+    return sorted(r.sample_id for r in df.collect())
+
+
+def test_ids_by_digest_leave_content_in_place(spark, tmp_path, monkeypatch):
+    src = tmp_path / "lone.jsonl"
+    _write(src, [{"text": f"text {i}"} for i in range(50)] + [{"text": None}, {"text": ""}])
+    df = J.checked(J.read_pretrain(spark, str(src)))
+    out = J.with_sample_id(df, "text")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert len(set(_ids(out))) == 52 and all(i.endswith("-0") for i in _ids(out))
+    _write(src, [{"text": f"text {i}"} for i in range(50)] + [{"text": "twice"}] * 2 + [{"text": None}] * 3)
+    df = J.checked(J.read_pretrain(spark, str(src)))
+    out = J.with_sample_id(df, "text")
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    lone = plan[plan.index("Union"):plan.index("BroadcastExchange")]
+    assert "LeftAnti" in lone and "Exchange" not in lone  # lone records stay where they are
+    want = _ids(out)
+    assert len(set(want)) == 55 and sum(i.endswith("-1") for i in want) == 2 and sum(i.endswith("-2") for i in want) == 1
+    monkeypatch.setattr(J, "MAX_BROADCAST_DIGESTS", 0)
+    assert _ids(J.with_sample_id(df, "text")) == want
+    monkeypatch.setattr(J, "COPIES_A_PIECE", 2)
+    assert _ids(J.with_sample_id(df, "text")) == want
+    # columns of their own: copies are numbered one by one, and keep them
+    own = J.with_sample_id(df.withColumn("at", F.monotonically_increasing_id()), "text")
+    assert _ids(own) == want and own.select("at").distinct().count() == 55
+
+
+def test_copies_keep_their_content(spark, tmp_path):
+    src = tmp_path / "chat.jsonl"
+    turn = {"role": "user", "content": "hi"}
+    _write(src, [{"conversations": [turn]}] * 3 + [{"conversations": [turn, turn]}])
+    back = J.with_sample_id(J.checked(J.read_sft(spark, str(src))), "messages", "tools")
+    rows = back.select("sample_id", F.size("messages").alias("n")).collect()
+    assert sorted(r.n for r in rows) == [1, 1, 1, 2] and len({r.sample_id for r in rows}) == 4

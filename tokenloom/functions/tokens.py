@@ -99,6 +99,21 @@ def pretrain_labels(ids: Column) -> Column:
     return F.transform(ids, lambda t: F.when(t == F.lit(PAD_ID), F.lit(IGNORE_INDEX)).otherwise(t))
 
 
+def pretrain_pair(tokens: Column, length: int) -> Column:
+    """B6-B8 at once: ``struct(input_ids, labels)`` of ``length`` from at most
+    ``length - 2`` tokens. Without an id 0 among the tokens (the pad id, which
+    labels mask) both are put together from whole arrays."""
+    def body(t: Column) -> Column:
+        def framed(fill: int) -> Column:
+            n = F.lit(int(length) - 2) - F.size(t)
+            return F.concat(F.array(F.lit(BOS_ID)), t, F.array(F.lit(EOS_ID)), F.array_repeat(F.lit(fill), n))
+
+        labels = F.when(F.array_contains(t, PAD_ID), pretrain_labels(framed(PAD_ID))).otherwise(framed(IGNORE_INDEX))
+        return F.struct(framed(PAD_ID).alias("input_ids"), labels.alias("labels"))
+
+    return let(tokens, body)
+
+
 def shift_inputs(ids: Column, length: int) -> Column:
     """``ids[:-1]`` of a fixed-length array."""
     return F.slice(ids, 1, int(length) - 1)
@@ -115,12 +130,13 @@ def strip_specials(ids: Column) -> Column:
     return F.filter(ids, lambda t: ~F.array_contains(specials, t))
 
 
-_SPECIAL_MATCH = rf"<\|(?:{_ALT})\|>"
 
 
 def token_count(text: Column) -> Column:
-    """Exact token count of a whole text without building the id array:
-    UTF-8 bytes, minus the bytes of special strings, plus one per special."""
-    n_special = F.regexp_count(text, F.lit(_SPECIAL_MATCH))
-    special_bytes = F.octet_length(text) - F.octet_length(F.regexp_replace(text, _SPECIAL_MATCH, ""))
-    return (F.octet_length(text) - special_bytes + n_special).cast("bigint")
+    """Exact token count of a whole text without building the id array: UTF-8
+    bytes, less what special strings (they can't overlap) have beyond one."""
+    n = F.octet_length(text)
+    for special in SPECIAL_TOKENS:
+        spare = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(special), F.lit("")))
+        n = n - (spare / F.lit(len(special)) * F.lit(len(special) - 1)).cast("int")
+    return n.cast("bigint")

@@ -14,8 +14,8 @@ from ..fixed import DPO_MAX_LENGTH, PRETRAIN_MAX_LENGTH, SFT_MAX_LENGTH
 from ..functions.chat import render_chat
 from ..functions.segments import marker_segments, segment_labels, segment_mask
 from ..functions.spans import span_labels, span_mask
-from ..functions.tokens import (coerce_text, encode_text, pad_right, pretrain_labels,
-                                shift_inputs, shift_targets, token_prefix, truncate, wrap_bos_eos)
+from ..functions.tokens import (coerce_text, encode_text, pad_right, pretrain_pair, shift_inputs, shift_targets,
+                                token_prefix, truncate)
 from ..functions.util import let
 from ..fixed import ASSISTANT_END_IDS, ASSISTANT_END_TEXT, ASSISTANT_START_IDS, ASSISTANT_START_TEXT
 from .vocab import marker_ids, tokenize_column
@@ -43,9 +43,7 @@ def encode_pretrain(df: DataFrame, text_col: str = "text", id_col: str = "sample
     """``(id, input_ids, labels)``, both of length ``max_length``."""
     L = int(max_length)
     df, toks = _tokens(df, coerce_text(F.col(text_col)), L - 2, "text", tokenizer_factory)
-    ids = pad_right(wrap_bos_eos(toks), L)
-    pair = let(ids, lambda a: F.struct(a.alias("input_ids"), pretrain_labels(a).alias("labels")))
-    return df.select(F.col(id_col), pair.alias("_s")).select(id_col, "_s.input_ids", "_s.labels")
+    return df.select(F.col(id_col), pretrain_pair(toks, L).alias("_s")).select(id_col, "_s.input_ids", "_s.labels")
 
 
 def prompt_ids(prompt: F.Column, max_length: int) -> F.Column:

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import MESSAGES_TYPE, TOOL_CALL_TYPE, choose_tools
+from ..session import shared_path
+
+MAX_BROADCAST_DIGESTS = 1_000_000  # repeated contents; 32 characters and a count each
+COPIES_A_PIECE = 65_536
 
 PRETRAIN_SCHEMA = "text STRING, _corrupt_record STRING"
 
@@ -37,22 +41,65 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return df.withColumn("_split", split)
 
 
+def content_digest(*content_cols: str) -> F.Column:
+    """128-bit digest of a record's content."""
+    return F.md5(F.to_json(F.struct(*content_cols), {"ignoreNullFields": "false"}))
+
+
+def repeated_digests(keyed: DataFrame, digest_col: str = "_h") -> tuple[DataFrame, int]:
+    """``(digest, n)`` of the contents that more than one record has, and the
+    number of them; only digests and counts are shuffled. The table is written
+    to the shared folder, so it is counted once."""
+    path = shared_path(keyed.sparkSession, "repeated-digests")
+    counts = keyed.groupBy(digest_col).agg(F.count(F.lit(1)).alias("n"))
+    counts.where(F.col("n") > 1).write.parquet(path)
+    found = keyed.sparkSession.read.parquet(path)
+    return found, found.count()
+
+
+def _copies_by_count(repeated: DataFrame) -> DataFrame:
+    """``_dup`` 0 .. n-1 for each content. Copies are alike, so a map task sends
+    one of them with their number, and they are made anew from the sum, in
+    pieces of ``COPIES_A_PIECE`` that are spread over tasks."""
+    others = [c for c in repeated.columns if c != "_h"]
+    counted = repeated.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
+    piece = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPIES_A_PIECE).cast("bigint")))
+    last = F.least(F.col("_lo") + COPIES_A_PIECE, F.col("_n")) - 1
+    pieces = counted.withColumn("_lo", piece).repartition("_h", "_lo")
+    return pieces.withColumn("_dup", F.explode(F.sequence(F.col("_lo"), last))).drop("_lo", "_n")
+
+
 def with_sample_id(df: DataFrame, *content_cols: str, split_col: str = "_split",
                    buckets: int = 1024) -> DataFrame:
     """Stable id when the input has none: the content's 128-bit digest, then a
     number among exact copies. Copies are interchangeable, so the set of ids
     is stable.
 
-    Copies are numbered inside ``(hash, split bucket)`` and shifted by the
-    counts of earlier buckets, so even a text copied into a third of all
-    rows is numbered by many tasks; a bucket holds at most one file split.
+    Records whose content occurs once, as nearly all do, get their id in place:
+    a first pass counts digests, and the repeated ones (a broadcast table, up
+    to ``MAX_BROADCAST_DIGESTS``; else a join) tell which records have copies.
+    Of those, each map task sends one with its number of copies. If records
+    have columns of their own beside the content, copies are no longer alike:
+    they are numbered inside ``(digest, split bucket)`` and shifted by the
+    counts of earlier buckets, so even a text copied into a third of all rows
+    is numbered by many tasks.
     """
-    from ..plans.ranking import rank_in_buckets
-    h = F.md5(F.to_json(F.struct(*content_cols), {"ignoreNullFields": "false"}))
-    bucket = (F.pmod(F.col(split_col), F.lit(buckets)) if split_col in df.columns else F.lit(0))
-    keyed = df.withColumn("_h", h)
-    ranked = rank_in_buckets(keyed, ["_h"], bucket, [F.lit(1)], out_col="_dup")
-    return ranked.withColumn("sample_id", F.concat_ws("-", "_h", "_dup")).drop("_h", "_dup")
+    keyed = df.withColumn("_h", content_digest(*content_cols))
+    repeated, n = repeated_digests(keyed)
+    if n == 0:
+        return keyed.withColumn("sample_id", F.concat(F.col("_h"), F.lit("-0"))).drop("_h")
+    known = repeated.select("_h")
+    known = F.broadcast(known) if n <= MAX_BROADCAST_DIGESTS else known
+    lone = keyed.join(known, "_h", "left_anti").withColumn("_dup", F.lit(0).cast("bigint"))
+    copies = keyed.join(known, "_h", "left_semi")
+    if set(df.columns) <= {*content_cols, "_split", "_corrupt_record"}:
+        numbered = _copies_by_count(copies)
+    else:
+        from ..plans.ranking import rank_in_buckets
+        bucket = (F.pmod(F.col(split_col), F.lit(buckets)) if split_col in df.columns else F.lit(0))
+        numbered = rank_in_buckets(copies, ["_h"], bucket, [F.lit(1)], out_col="_dup")
+    both = lone.unionByName(numbered)
+    return both.withColumn("sample_id", F.concat_ws("-", "_h", "_dup")).drop("_h", "_dup")
 
 
 def read_pretrain(spark: SparkSession, path: str) -> DataFrame:
