@@ -253,6 +253,53 @@ from p join s on p.sample_id = s.sample_id
 group by 1, 2"""
 
 
+def _mixed(x: str, key: str) -> str:
+    t = f"(({x}) * 2654435 + {key}) % 2147483647"
+    t = f"(xor({t}, ({t}) >> 15) * 48271 + 11) % 2147483647"
+    return f"xor({t}, ({t}) >> 13)"
+
+
+def _feistel() -> str:
+    """(epoch, pos, ordinal) of all positions: one half-round a step of the
+    recursion, begun anew while the result lies beyond the samples."""
+    key = _mixed("i + 1", f"((42 + epoch) * 69621 % 2147483647)")
+    return f"""
+size as (select n, a, cast(ceil(n / cast(a as double)) as bigint) as b
+         from (select count(*) as n, cast(ceil(sqrt(count(*))) as bigint) as a from documents)),
+walk as (
+  select cast(e.epoch as integer) as epoch, p.pos, cast(0 as bigint) as i, p.pos // b as l, p.pos % b as r, n, a, b
+  from size cross join (select unnest(range({PLAN_EPOCHS})) as epoch) e
+       cross join (select unnest(range((select count(*) from documents))) as pos) p
+  union all
+  select epoch, pos, case when i = 6 then 0 else i + 1 end,
+         case when i < 6 and i % 2 = 0 then (l + {_mixed('r', key)}) % a else l end,
+         case when i < 6 and i % 2 = 1 then (r + {_mixed('l', key)}) % b else r end, n, a, b
+  from walk where i < 6 or l * b + r >= n),
+perm as (
+  select w.epoch, w.pos, d.sample_id from walk w
+  join (select doc_id as sample_id, row_number() over (order by doc_id) - 1 as ordinal from documents) d
+    on d.ordinal = w.l * w.b + w.r
+  where w.i = 6 and w.l * w.b + w.r < w.n)"""
+
+
+_PLACE = (f"cast(pos % {SHARD_WORLD} as integer) as rank, "
+          f"cast((pos // {SHARD_WORLD}) // {SHARD_BATCH} + 1 as bigint) as step, "
+          f"cast((pos // {SHARD_WORLD}) % {SHARD_BATCH} as integer) as slot, cast(pos as bigint) as pos")
+
+
+def rank_steps() -> str:
+    return f"""
+with recursive {_feistel()},
+padded as (select p.epoch, q.pos, p.sample_id from perm p
+           join (select unnest(range(cast(ceil(n / {SHARD_WORLD}.0) * {SHARD_WORLD} as bigint))) as pos, n from size) q
+             on p.pos = q.pos % q.n)
+select * from (select epoch, {_PLACE}, sample_id from padded) where rank = 1 and step between 5 and 9"""
+
+
+def sample_positions() -> str:
+    return f"with recursive {_feistel()} select sample_id, epoch, {_PLACE} from perm"
+
+
 def batch_fetch_repeated() -> str:
     return f"""
 with d as (select case when doc_id % 5 <> 0 then cast(doc_id // 3 as varchar) else 'none' end as sample, n_chars
@@ -590,6 +637,8 @@ def all_sql() -> dict[str, str]:
         "resume_plan": resume_plan(),
         "resume_batch_counts": resume_batch_counts(),
         "batch_fetch": batch_fetch(),
+        "rank_steps": rank_steps(),
+        "sample_positions": sample_positions(),
         "batch_fetch_repeated": batch_fetch_repeated(),
         "sliced_logprob": token_logprob(),
         "step_calendar": step_calendar(),

@@ -298,3 +298,60 @@ def test_delivery_samples_no_bounds_and_joins_once(spark):
     rows = P.fetch_batches(m.join(parts, ["epoch", "rank"]), enc).repartitionById(n, "_base")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") <= 3
+
+
+def test_feistel_is_a_permutation_with_an_inverse(spark):
+    from tokenloom.plans import feistel as FE
+    for n in (1, 2, 3, 10, 97, 1000, 4097):
+        df = (spark.range(n).select("id", F.explode(F.array(F.lit(0), F.lit(7))).alias("e"))
+              .withColumn("o", FE.ordinal_at(F.col("id"), F.col("e"), n))
+              .withColumn("back", FE.position_of(F.col("o"), F.col("e"), n)))
+        for r in df.groupBy("e").agg(F.countDistinct("o").alias("d"), F.min("o").alias("lo"), F.max("o").alias("hi"),
+                                     F.sum((F.col("back") == F.col("id")).cast("int")).alias("same")).collect():
+            assert (r.d, r.lo, r.hi, r.same) == (n, 0, n - 1, n)
+    big = 10 ** 17 + 3  # beyond what a double holds
+    rows = (spark.range(20).withColumn("p", F.lit(big - 20) + F.col("id"))
+            .withColumn("o", FE.ordinal_at(F.col("p"), F.lit(3), big))
+            .withColumn("back", FE.position_of(F.col("o"), F.lit(3), big)).collect())
+    assert all(r.back == r.p and 0 <= r.o < big for r in rows) and len({r.o for r in rows}) == 20
+
+
+def test_feistel_epochs_and_seeds_differ(spark):
+    from tokenloom.plans import feistel as FE
+    n = 500
+    orders = {(e, s): [r.o for r in spark.range(n).select(FE.ordinal_at(F.col("id"), F.lit(e), n, s).alias("o")).collect()]
+              for e in (0, 1) for s in (42, 99)}
+    assert len({tuple(o) for o in orders.values()}) == 4
+    for o in orders.values():  # no runs of neighbours are left
+        assert sum(abs(x - y) == 1 for x, y in zip(o, o[1:])) < 10
+
+
+def test_steps_of_all_ranks_are_the_padded_epoch(spark):
+    from tokenloom.plans import feistel as FE
+    for n, world, batch in ((10, 4, 2), (1, 3, 2), (24, 3, 8), (0, 2, 2)):
+        got = {}
+        for rank in range(world):
+            for r in FE.rank_slots(spark, n, [0, 1], world, batch, rank, 1, 99).collect():
+                assert r.rank == rank and r.pos == ((r.step - 1) * batch + r.slot) * world + rank
+                got[r.epoch, r.pos] = r.ordinal
+        total = math.ceil(n / world) * world if n else 0
+        assert sorted(got) == [(e, p) for e in (0, 1) for p in range(total)]
+        for e in (0, 1):
+            assert sorted(got[e, p] for p in range(n)) == list(range(n))
+            assert all(got[e, p] == got[e, p % n] for p in range(total))
+        later = FE.rank_slots(spark, n, [1], world, batch, 0, 2, 2).collect()
+        assert {(r.epoch, r.pos): r.ordinal for r in later} == {
+            k: v for k, v in got.items() if k[0] == 1 and k[1] % world == 0 and k[1] // world // batch == 1}
+
+
+def test_random_access_neither_sorts_nor_numbers(spark):
+    from tokenloom.plans import feistel as FE
+    samples = FE.with_ordinals(spark.createDataFrame([(k,) for k in ("b", "a", None, "b")], "sample_id string"))
+    assert sorted((r.ordinal, r.sample_id or "") for r in samples.collect()) == [(0, ""), (1, "a"), (2, "b"), (3, "b")]
+    slots = FE.rank_slots(spark, 4, [0], 2, 2, 0, 1, 1)
+    rows = FE.fetch_steps(slots, samples, 2)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == 2 and "Sort" not in plan and "Window" not in plan and "Exchange hash" not in plan
+    back = FE.with_positions(samples, [0], 4, 2, 2)
+    assert sorted(r.pos for r in back.collect()) == [0, 1, 2, 3]
+    assert "Exchange" not in back.where("epoch = 0")._jdf.queryExecution().optimizedPlan().toString()

@@ -18,6 +18,7 @@ from .operators import prompts as PR
 from .operators import report as RP
 from .operators import scoring as SC
 from .plans import epochs as P
+from .plans import feistel as FE
 from .plans import schedule as S
 from .plans.ranking import join_on
 from .sources import tables as T
@@ -191,6 +192,28 @@ def batch_fetch_repeated(spark: SparkSession, base: str) -> DataFrame:
                  F.countDistinct("doc_id").alias("n_samples"), F.sum("n_chars").cast("bigint").alias("n_chars")))
 
 
+ACCESS_RANK, ACCESS_STEPS = 1, (5, 9)
+
+
+@register
+def rank_steps(spark: SparkSession, base: str) -> DataFrame:
+    """F1 + E1 + F6 by random access: what one rank reads in steps 5 to 9 of
+    each epoch, without ordering the epoch."""
+    docs = FE.with_ordinals(_docs(spark, base))
+    n, epochs = docs.count(), list(range(PLAN_EPOCHS))
+    slots = FE.rank_slots(spark, n, epochs, SHARD_WORLD, SHARD_BATCH, ACCESS_RANK, *ACCESS_STEPS)
+    most = len(epochs) * SHARD_BATCH * (ACCESS_STEPS[1] - ACCESS_STEPS[0] + 1)
+    return FE.fetch_steps(slots, docs, most).select("epoch", "rank", "step", "slot", "pos", "sample_id")
+
+
+@register
+def sample_positions(spark: SparkSession, base: str) -> DataFrame:
+    """F1 + F7 by random access: where every document stands in each epoch."""
+    docs = FE.with_ordinals(_docs(spark, base))
+    placed = FE.with_positions(docs, list(range(PLAN_EPOCHS)), docs.count(), SHARD_WORLD, SHARD_BATCH)
+    return placed.select("sample_id", "epoch", "rank", "step", "slot", "pos")
+
+
 @register
 def step_calendar(spark: SparkSession, base: str) -> DataFrame:
     """Per step samples, lr, log/save/update flags, update number."""
