@@ -421,6 +421,30 @@ select conv_id, ut as turn, cast(n as bigint) as n_messages,
 from p"""
 
 
+def reply_rounds() -> str:
+    gen = lit("<|im_start|>assistant\n")
+    return f"""
+with rows as (select conv_id, turn as was, 0 as k, role, text from conversations
+              union all
+              select conv_id, turn, x.k, 'assistant', text
+              from conversations cross join (select unnest([1, 2]) as k) x where role = 'user'),
+p0 as (select *, row_number() over (partition by conv_id order by was, k) - 1 as turn from rows),
+u as (select conv_id, turn as ut from p0 where role = 'user'),
+w as (select u.conv_id, u.ut, c.turn, c.role, c.text, c.turn = u.ut - least(u.ut, {HISTORY}) as is_first
+      from u join p0 c on c.conv_id = u.conv_id and c.turn between u.ut - {HISTORY} and u.ut),
+g as (select conv_id, ut, count(*) as n, bool_or(is_first and role = 'system') as sys_first,
+             string_agg({rendered_turn(first='is_first')}, '' order by turn) as body
+      from w group by 1, 2),
+p as (select conv_id, ut, n, (case when sys_first then '' else {DEFAULT_HEAD} end) || body || {gen} as s from g)
+select p0.conv_id, cast(p0.turn as bigint) as turn, p0.role, md5(p0.text) as content_md5,
+       cast(coalesce(p.n, 0) as bigint) as n_messages, coalesce(md5(p.s), '') as prompt_md5
+from p0 left join p on p.conv_id = p0.conv_id and p.ut = p0.turn"""
+
+
+def vocab_reply() -> str:
+    return "select doc_id, md5(text) as reply_md5, cast(strlen(text) as bigint) as n_bytes from documents"
+
+
 def pretrain_prompts() -> str:
     ids = f"list_slice(list_concat([1], {byte_ids('text')}), 1, {MAXLEN})"
     return f"""
@@ -620,6 +644,8 @@ def all_sql() -> dict[str, str]:
         "history_prompts": history_prompts(),
         "pretrain_prompts": pretrain_prompts(),
         "bulk_reply": bulk_reply(),
+        "reply_rounds": reply_rounds(),
+        "vocab_reply": vocab_reply(),
         "train_log_sample": train_log_sample(),
         "train_eta": train_eta(),
         "latest_progress": latest_progress(),

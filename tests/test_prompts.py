@@ -111,3 +111,30 @@ def test_long_reply_is_whole_and_other_ids_fail(spark):
     bad = spark.range(1).select(PR.decode_bytes(F.array(F.lit(300), F.lit(6399))).alias("t"))
     with pytest.raises(Exception, match="byte tokenizer"):
         bad.collect()
+
+
+def test_rounds_of_replies_are_numbered_without_gaps(spark):
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}-{t}") for c in (1, None) for t in range(0, 40, 1)]
+    rows += [(2, 5, "user", "gap"), (2, 90, "user", "after the gap"), (3, 0, "system", "no user")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string")
+    for k in (1, 2):
+        users = turns.where("role = 'user'")
+        turns = PR.insert_replies(turns, users.select("conv_id", "turn", F.concat(F.lit(f"r{k} "), "content").alias("reply")))
+        by_conv = {}
+        for r in turns.orderBy("conv_id", "turn").collect():
+            by_conv.setdefault(r.conv_id, []).append((r.turn, r.role, r.content))
+        assert all([t for t, _, _ in v] == list(range(len(v))) for v in by_conv.values())
+        for v in by_conv.values():  # each reply stands behind its own turn
+            assert all(v[i + 1][2] == f"r{k} {c}" for i, (_, role, c) in enumerate(v) if role == "user")
+    assert len(by_conv[1]) == len(by_conv[None]) == 80 and len(by_conv[2]) == 6 and len(by_conv[3]) == 1
+    h = {(r.conv_id, r.turn): [m.content for m in r.messages] for r in PR.history_messages(turns, 3).collect()}
+    assert h[2, 3] == ["gap", "r2 gap", "r1 gap", "after the gap"]
+
+
+def test_a_hot_conversation_is_numbered(spark):
+    turns = spark.range(5000).select(F.lit(7).cast("long").alias("conv_id"), (F.col("id") * 3).alias("turn"),
+                                     F.lit("user").alias("role"), F.col("id").cast("string").alias("content"))
+    replies = turns.where(F.col("turn") % 2 == 0).select("conv_id", "turn", F.lit("ok").alias("reply"))
+    out = PR.insert_replies(turns, replies)
+    stats = out.agg(F.count("*"), F.countDistinct("turn"), F.min("turn"), F.max("turn")).first()
+    assert tuple(stats) == (7500, 7500, 0, 7499)

@@ -48,3 +48,32 @@ def test_budget_holds_for_a_word_vocabulary(spark):
     cut = encode_sft(conv.chat_records(turns, max_tokens=96), id_col="conv_id", tools_col=None, max_length=96,
                      tokenizer_factory=WordTokenizer)
     assert _rows(whole, "conv_id") == _rows(cut, "conv_id")
+
+
+def test_public_vocabulary_equals_the_library_at_all_lengths(spark):
+    import pytest
+    pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    from tokenloom.operators.vocab import HFTokenizer, detokenize_column, tokenize_column
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public.path(name)
+        own = Tokenizer.from_file(path)
+        texts = [None, "", " ", "x", "é漢😀\n\t", "don't  stop", *["word " * n for n in (1, 7, 300, 9000)]]
+        df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+        for most in (None, 1, 5, 400):
+            got = tokenize_column(df, "t", lambda: HFTokenizer(path), "ids", most)
+            back = detokenize_column(got, "ids", lambda: HFTokenizer(path), "back").collect()
+            for r in back:
+                ids = own.encode(texts[r.k] or "", add_special_tokens=False).ids[:most]
+                assert r.ids == ids and r.back == own.decode(ids, skip_special_tokens=True)
+
+
+def test_replies_in_the_users_vocabulary(spark):
+    from tokenloom.operators import prompts as PR
+    from tokenloom.operators.vocab import tokenize_column
+    df = spark.createDataFrame([(1, "héllo"), (2, ""), (3, None)], "k int, t string")
+    prompts = tokenize_column(df, "t", ByteTokenizer, "prompt_ids")
+    out = PR.decode_replies(PR.generate(prompts, PR.repeat_predictor_factory), ByteTokenizer)
+    assert {r.k: r.reply for r in out.collect()} == {1: "héllo", 2: "", 3: ""}

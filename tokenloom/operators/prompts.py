@@ -22,7 +22,9 @@ from ..fixed import BYTE_OFFSET, IM_START, MODEL_MAX_LENGTH
 from ..functions.chat import messages_from_turns, render_chat
 from ..functions.tokens import encode_text, strip_specials
 from ..functions.util import worker_instance
+from ..plans.ranges import group_positions
 from ..plans.ranking import grouped_rank
+from .vocab import detokenize_column
 
 
 def history_messages(turns: DataFrame, history: int, id_col: str = "conv_id") -> DataFrame:
@@ -123,6 +125,38 @@ def append_replies(turns: DataFrame, replies: DataFrame, id_col: str = "conv_id"
     return old.unionByName(new)
 
 
+def insert_replies(turns: DataFrame, replies: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    """J5 for conversations that go on: each reply stands right behind the
+    turn that it answers, and turns are numbered 0 .. n-1 anew, so the result
+    is a turns table as before and takes part in the next round.
+
+    A turn's new number is its position among the old turns and the replies,
+    from prefix sums over sorted ranges (``plans.ranges``): a conversation
+    that holds a third of all turns is numbered by many tasks. Equal turn
+    numbers are ordered by role and content; replies to equal turns too.
+    """
+    old = turns.select(id_col, "turn", F.lit(0).alias("_kind"), "role", "content")
+    new = replies.select(id_col, "turn", F.lit(1).alias("_kind"), F.lit("assistant").alias("role"),
+                         F.col("reply").alias("content"))
+    digest = F.md5(F.coalesce(F.col("content"), F.lit("")))  # a narrow key of the ranges' bounds
+    placed = group_positions(old.unionByName(new).withColumn("_digest", digest), [id_col],
+                             ["turn", "_kind", "role", "_digest"], out_col="_at")
+    return placed.select(id_col, F.col("_at").alias("turn"), "role", "content")
+
+
+def decode_replies(generated: DataFrame, tokenizer_factory: Callable, prompt_col: str = "prompt_ids",
+                   ids_col: str = "output_ids", out_col: str = "reply") -> DataFrame:
+    """J4 with the user's vocabulary: the ids behind the prompt, cut off
+    natively, become text in Arrow batches; its special ids are left out."""
+    new = F.slice(F.col(ids_col), F.size(prompt_col) + 1, F.greatest(F.size(ids_col), F.lit(1)))
+    return detokenize_column(generated.withColumn("_new", new), "_new", tokenizer_factory, out_col).drop("_new")
+
+
+def repeat_predictor_factory():
+    """Stand-in model for any vocabulary: repeats the prompt's ids."""
+    return lambda batch: [[*ids, *ids] for ids in batch]
+
+
 def echo_predictor_factory():
     """Stand-in model for tests and the bulk query: repeats the last user
     message of the prompt, framed by specials and followed by pads."""

@@ -6,7 +6,9 @@ user's factory. Only the text -> ids step is Python: truncation, padding,
 labels and masks stay native expressions on the returned id column.
 
 A tokenizer is any object with ``encode_batch(list[str]) -> list[list[int]]``
-that maps the special strings inside a text to their ids.
+that maps the special strings inside a text to their ids. To turn replies
+into text (J4) it also has ``decode_batch(list[list[int]]) -> list[str]``,
+which leaves special ids out.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from typing import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from ..fixed import BYTE_OFFSET, SPECIAL_TOKENS
 from ..functions.util import worker_instance
@@ -39,6 +41,19 @@ def tokenize_column(df: DataFrame, text_col: str, tokenizer_factory: Callable,
     return df.mapInArrow(run, schema)
 
 
+def detokenize_column(df: DataFrame, ids_col: str, tokenizer_factory: Callable, out_col: str) -> DataFrame:
+    """Add ``out_col`` = text of the ids in ``ids_col``; null ids are none."""
+    schema = StructType(list(df.schema.fields)).add(out_col, StringType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok = worker_instance(tokenizer_factory)
+        for b in batches:
+            ids = [x or [] for x in b.column(ids_col).to_pylist()]
+            yield b.append_column(out_col, pa.array(tok.decode_batch(ids) if ids else [], type=pa.string()))
+
+    return df.mapInArrow(run, schema)
+
+
 def marker_ids(tokenizer_factory: Callable, text: str) -> list[int]:
     """Driver-side ids of a marker string (B9), computed once."""
     return list(tokenizer_factory().encode_batch([text])[0])
@@ -62,6 +77,9 @@ class ByteTokenizer:
             out.append(ids)
         return out
 
+    def decode_batch(self, ids: list[list[int]]) -> list[str]:
+        return [bytes(i - BYTE_OFFSET for i in x if i >= BYTE_OFFSET).decode("utf-8", "replace") for x in ids]
+
 
 class HFTokenizer:
     """Adapter for a ``tokenizers`` JSON vocabulary file (optional package)."""
@@ -72,3 +90,6 @@ class HFTokenizer:
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tok.encode_batch(texts, add_special_tokens=False)]
+
+    def decode_batch(self, ids: list[list[int]]) -> list[str]:
+        return self._tok.decode_batch(ids, skip_special_tokens=True)

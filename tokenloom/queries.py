@@ -343,6 +343,61 @@ def bulk_reply(spark: SparkSession, base: str) -> DataFrame:
                            F.octet_length("content").cast("bigint").alias("n_bytes"))
 
 
+def _answered(turns: DataFrame) -> DataFrame:
+    """One round: every user turn's prompt with history, through the stand-in
+    model, and its reply put behind it."""
+    h = PR.history_messages(turns, HISTORY)
+    prompts = h.select("conv_id", "turn",
+                       PR.prompt_ids(PR.generation_prompt(F.col("messages"))).alias("prompt_ids"))
+    out = PR.generate(prompts, PR.echo_predictor_factory)
+    replies = out.select("conv_id", "turn", PR.reply_text(F.col("prompt_ids"), F.col("output_ids")).alias("reply"))
+    return PR.insert_replies(turns, replies)
+
+
+@register
+def reply_rounds(spark: SparkSession, base: str) -> DataFrame:
+    """J5 + I1 over rounds: two rounds of replies, then the third round's
+    prompts (null where a turn isn't the user's)."""
+    turns = T.turns(spark, base)
+    for _ in range(2):
+        turns = _answered(turns)
+    h = PR.history_messages(turns, HISTORY).select(
+        "conv_id", "turn", F.size("messages").cast("bigint").alias("n_messages"),
+        F.md5(PR.generation_prompt(F.col("messages"))).alias("prompt_md5"))
+    rows = turns.select("conv_id", "turn", "role", F.md5("content").alias("content_md5"))
+    return join_on(rows, h, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "role", "content_md5", F.coalesce("n_messages", F.lit(0)).alias("n_messages"),
+        F.coalesce("prompt_md5", F.lit("")).alias("prompt_md5"))
+
+
+#: Path of a ``tokenizers`` vocabulary file; None: a public byte-level one.
+VOCABULARY: str | None = None
+
+
+def _vocabulary() -> str:
+    if VOCABULARY:
+        return VOCABULARY
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def vocab_reply(spark: SparkSession, base: str) -> DataFrame:
+    """B2 + J3 + J4 with a real vocabulary: whole documents to its ids, through
+    a stand-in model that repeats them, and the new ids back to text."""
+    from .operators.vocab import HFTokenizer, tokenize_column
+    path = _vocabulary()
+
+    def vocabulary():
+        return HFTokenizer(path)
+
+    docs = T.table(spark, base, "documents").select("doc_id", "text")
+    prompts = tokenize_column(docs, "text", vocabulary, "prompt_ids").drop("text")
+    replies = PR.decode_replies(PR.generate(prompts, PR.repeat_predictor_factory), vocabulary)
+    return replies.select("doc_id", F.md5("reply").alias("reply_md5"),
+                          F.octet_length("reply").cast("bigint").alias("n_bytes"))
+
+
 LOG_LR = 5e-4
 
 
