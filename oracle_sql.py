@@ -19,6 +19,7 @@ PLAN_BATCH = 16
 SHARD_WORLD = 3
 SHARD_BATCH = 8
 LOG_INTERVAL = 10
+BATCH_TOKENS = 16_384
 
 
 def byte_ids(expr: str) -> str:
@@ -441,6 +442,26 @@ select p0.conv_id, cast(p0.turn as bigint) as turn, p0.role, md5(p0.text) as con
 from p0 left join p on p.conv_id = p0.conv_id and p.ut = p0.turn"""
 
 
+def generation_batches() -> str:
+    return f"""
+with d as (select doc_id, least(strlen(text) + 1, {MAXLEN}) as n from documents),
+w as (select *, greatest(1, 1 << greatest(0, cast(floor(log2(n)) as integer) - 3)) as step from d),
+c as (select *, cast(ceil(n / cast(step as double)) as bigint) * step as batch_width from w),
+r as (select *, (row_number() over (partition by batch_width order by n, doc_id) - 1)
+                // greatest(1, {BATCH_TOKENS} // batch_width) as batch_no from c),
+b as (select batch_width, batch_no, count(*) as rows, sum(n) as tokens, max(n) * count(*) as padded from r group by 1, 2)
+select cast(batch_width as bigint) as batch_width, count(*) as n_batches, cast(sum(rows) as bigint) as n_prompts,
+       cast(sum(tokens) as bigint) as n_tokens, cast(sum(padded) as bigint) as n_padded,
+       cast(max(padded) as bigint) as largest, round(1 - sum(tokens) / sum(padded), 6) as pad_share
+from b group by 1"""
+
+
+def generation_resumed() -> str:
+    return """
+select doc_id, cast(2 * (strlen(substr(text, 1, 200)) + 1) as bigint) as n_ids, md5(substr(text, 1, 200)) as reply_md5
+from documents"""
+
+
 def vocab_reply() -> str:
     return "select doc_id, md5(text) as reply_md5, cast(strlen(text) as bigint) as n_bytes from documents"
 
@@ -646,6 +667,8 @@ def all_sql() -> dict[str, str]:
         "bulk_reply": bulk_reply(),
         "reply_rounds": reply_rounds(),
         "vocab_reply": vocab_reply(),
+        "generation_batches": generation_batches(),
+        "generation_resumed": generation_resumed(),
         "train_log_sample": train_log_sample(),
         "train_eta": train_eta(),
         "latest_progress": latest_progress(),

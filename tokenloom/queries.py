@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions.chat import render_chat
 from .functions.util import md5_ids
+from .operators import batches as BT
 from .operators import conversations as conv
 from .operators import encode as enc
 from .operators import logs as LG
@@ -370,6 +371,32 @@ def reply_rounds(spark: SparkSession, base: str) -> DataFrame:
         F.coalesce("prompt_md5", F.lit("")).alias("prompt_md5"))
 
 
+BATCH_TOKENS = 16_384
+
+
+@register
+def generation_batches(spark: SparkSession, base: str) -> DataFrame:
+    """J2 + J3: the documents' prompts in batches of bounded padded size."""
+    docs = T.table(spark, base, "documents")
+    prompts = docs.select("doc_id", PR.prompt_ids(PR.pretrain_prompt(F.col("text"))).alias("prompt_ids"))
+    out = BT.batch_report(BT.pack(prompts, ["doc_id"], BATCH_TOKENS))
+    return out.select("*", F.round(1 - F.col("n_tokens") / F.col("n_padded"), 6).alias("pad_share"))
+
+
+@register
+def generation_resumed(spark: SparkSession, base: str) -> DataFrame:
+    """J3 over two runs: the first writes some replies, the second adds those
+    that are missing; a reply is made once for every prompt."""
+    from .session import shared_path
+    docs = T.table(spark, base, "documents")
+    prompts = docs.select("doc_id", PR.prompt_ids(PR.pretrain_prompt(F.substring("text", 1, 200))).alias("prompt_ids"))
+    path = shared_path(spark, "generated")
+    for part in (prompts.where(F.col("doc_id") % 3 == 0), prompts):
+        out = BT.generate_to(part, ["doc_id"], path, PR.repeat_predictor_factory, BATCH_TOKENS, rounds=2)
+    return out.select("doc_id", F.size("output_ids").cast("bigint").alias("n_ids"),
+                      F.md5(PR.reply_text(F.col("prompt_ids"), F.col("output_ids"))).alias("reply_md5"))
+
+
 #: Path of a ``tokenizers`` vocabulary file; None: a public byte-level one.
 VOCABULARY: str | None = None
 
