@@ -33,6 +33,9 @@ _LOWER_CASE = re.compile(rf"{_CONTRACTED}|[{_L}]+|[0-9]|[^\s{_L}0-9]+")
 
 def byte_level_words(piece: str) -> list[str] | None:
     """Words of a piece, or None if the library has to find them."""
+    letters = piece[1:] if piece[:1] == " " else piece
+    if letters.isascii() and letters.isalpha():
+        return [piece]
     if not _PLAIN.match(piece) or "<|" in piece:
         return None
     return _BYTE_LEVEL.findall(piece)

@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 from .common import batched, id_runs, text_or_empty
-from .memo import PieceMemo, byte_level_words, load_tokenizer, safe_pieces
+from .memo import UNSAFE_AFTER_SPACE, PieceMemo, byte_level_words, load_tokenizer, safe_pieces
 
 # Fixed values of the zstandard and the seekable format.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -49,6 +50,7 @@ INDEX_MARK = b"docindex"
 FRAME_TOKENS = 1 << 16
 END_ID = 0
 LEVEL = 3
+REMEMBERED = 1_000_000  # pieces, and words, whose ids a Python worker keeps; about 0.2 GB
 
 
 class FrameWriter:
@@ -164,15 +166,63 @@ def _id_bytes(ids: list[int]) -> bytes:
 
 
 class ByteBpe:
-    """Ids of a byte-level vocabulary, as the library gives for whole texts."""
+    """Ids of a byte-level vocabulary, as the library gives for whole texts.
+
+    Texts are split at spaces, and equal pieces are found, by Arrow; only the
+    distinct pieces of a batch are looked at in Python. Their ids lie in one
+    array, from which numpy gathers those of all texts. Texts with a piece that
+    may not be cut off (white space runs) are put together piece by piece.
+    """
 
     def __init__(self, path: str):
         tokenizer = load_tokenizer(path)
         how = (tokenizer, byte_level_words, _id_bytes, b"".join)
-        self.first = PieceMemo(*how)
-        self.rest = PieceMemo(*how, prefix=" ", words=self.first.words)
+        self.first = PieceMemo(*how, limit=REMEMBERED)
+        self.rest = PieceMemo(*how, prefix=" ", limit=REMEMBERED, words=self.first.words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        pieces = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        at = pieces.offsets.to_numpy().astype(np.int64)
+        coded = pieces.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        distinct = coded.dictionary.to_pylist()
+        unsafe = np.array([not p or p[0] < "!" or (p[0] > "~" and UNSAFE_AFTER_SPACE.match(p) is not None)
+                           for p in distinct], bool)
+        bad = unsafe[codes]
+        bad[at[:-1]] = False  # no space before a first piece
+        whole = np.add.reduceat(bad, at[:-1]) == 0
+        out: list[bytes] = [b""] * len(texts)
+        odd = np.flatnonzero(~whole).tolist()
+        for i, ids in zip(odd, self._by_pieces([texts[i] for i in odd])):
+            out[i] = ids
+
+        # Firsts are entries of their own behind the distinct pieces.
+        firsts = [distinct[k] for k in codes[at[:-1]].tolist()]
+        self.first.learn([p for p, fine in zip(firsts, whole.tolist()) if fine])
+        used = np.zeros(len(distinct), bool)
+        inner = np.repeat(whole, np.diff(at))
+        inner[at[:-1]] = False
+        used[codes[inner]] = True
+        self.rest.learn([p for p, u in zip(distinct, used.tolist()) if u])
+        entries = [self.rest[p] if u else b"" for p, u in zip(distinct, used.tolist())]
+        entries += [self.first[p] if fine else b"" for p, fine in zip(firsts, whole.tolist())]
+        codes[at[:-1]] = len(distinct) + np.arange(len(texts))
+        kept = np.repeat(whole, np.diff(at))
+
+        ids = np.frombuffer(b"".join(entries), "<u4")
+        size = np.fromiter((len(e) // 4 for e in entries), np.int64, len(entries))
+        begin = np.cumsum(size) - size
+        length = np.where(kept, size[codes], 0)
+        end = np.cumsum(length)
+        gathered = ids[np.repeat(begin[codes] - (end - length), length) + np.arange(int(end[-1]))]
+        upto = np.concatenate([[0], end[at[1:] - 1]])
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = gathered[upto[i]:upto[i + 1]].tobytes()
+        return out
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
         cut = [safe_pieces(t) for t in texts]
         self.first.learn([c[0] for c in cut])
         rest: set[str] = set()
@@ -223,7 +273,7 @@ def write_token_files(docs: DataFrame, target: str, tokenizer_path: str, end_id:
                 w = state[3]
                 done.append((state[0], f"{target}/{state[1]}", len(w.ends), w.total, w.size))
 
-        for group in batched(rows_in(), lambda r: len(r[2]), 2 << 20):
+        for group in batched(rows_in(), lambda r: len(r[2]), 4 << 20):
             for (run, doc_id, _), ids in zip(group, encoder.encode([r[2] for r in group])):
                 if state is None or state[0] != run:
                     close()
