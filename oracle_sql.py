@@ -442,6 +442,26 @@ select p0.conv_id, cast(p0.turn as bigint) as turn, p0.role, md5(p0.text) as con
 from p0 left join p on p.conv_id = p0.conv_id and p.ut = p0.turn"""
 
 
+def length_state() -> str:
+    return f"""
+with t as (select lang, {_token_count('text')} as n from documents)
+select lang, count(*) as n_docs, cast(sum(n) as bigint) as total_tokens, round(avg(n), 6) as avg_tokens,
+       cast(max(n) as bigint) as max_tokens, cast(sum(case when n > {L_PRETRAIN - 2} then 1 else 0 end) as bigint) as n_truncated,
+       round(sum({L_PRETRAIN} - least(n, {L_PRETRAIN - 2}) - 2) / (count(*) * {L_PRETRAIN}.0), 6) as pad_share,
+       cast(quantile_disc(n, 0.5) as bigint) as q50_tokens, cast(quantile_disc(n, 0.9) as bigint) as q90_tokens,
+       cast(quantile_disc(n, 0.99) as bigint) as q99_tokens
+from t group by 1"""
+
+
+def stream_rejects() -> str:
+    return f"""
+with good as (select * from ({pretrain_encode()}) where sample_id % 50 <> 7),
+bad as (select doc_id, '{{"sample_id": ' || doc_id as line from documents where doc_id % 50 = 7)
+select 'sample' as kind, cast(sample_id as varchar) as name, ids_md5 as md5 from good
+union all select 'reject', cast(doc_id as varchar), md5(line) from bad
+union all select 'progress', (select count(*) from good) || '/' || (select count(*) from bad), ''"""
+
+
 def generation_batches() -> str:
     return f"""
 with d as (select doc_id, least(strlen(text) + 1, {MAXLEN}) as n from documents),
@@ -667,6 +687,8 @@ def all_sql() -> dict[str, str]:
         "bulk_reply": bulk_reply(),
         "reply_rounds": reply_rounds(),
         "vocab_reply": vocab_reply(),
+        "length_state": length_state(),
+        "stream_rejects": stream_rejects(),
         "generation_batches": generation_batches(),
         "generation_resumed": generation_resumed(),
         "train_log_sample": train_log_sample(),

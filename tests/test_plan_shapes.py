@@ -9,7 +9,7 @@ from conftest import SF001
 from tokenloom import queries as Q
 
 # These execute while being built.
-SKIP = {"stream_encode", "training_shards", "jsonl_pretrain", "jsonl_sft", "jsonl_dpo", "train_log_roundtrip"}
+SKIP = {"stream_encode", "stream_rejects", "training_shards", "jsonl_pretrain", "jsonl_sft", "jsonl_dpo", "train_log_roundtrip"}
 
 
 def _plan(df):

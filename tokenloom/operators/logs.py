@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ranking import grouped_rank, join_on
+from ..plans.ranking import grouped_rank
 from ..plans.schedule import is_log_step, step_lr
 
 
@@ -32,14 +32,14 @@ def epoch_micros(df: DataFrame, ts_col: str) -> F.Column:
 def number_steps(log: DataFrame, run_col: str = "run", ts_col: str = "ts",
                  tiebreak: list[str] | None = None, sub_buckets: int | None = None) -> DataFrame:
     """1-based ``step`` per run in ``(ts, tiebreak)`` order, plus ``iters``."""
-    keyed = log.withColumn("_us", epoch_micros(log, ts_col))
-    ranked = grouped_rank(keyed, [run_col], "_us", tiebreak=tiebreak or [],
+    keyed = log.withColumns({"_us": epoch_micros(log, ts_col), "_run": F.struct(run_col)})  # equal for null runs, too
+    ranked = grouped_rank(keyed, ["_run"], "_us", tiebreak=tiebreak or [],
                           out_col="_pos", sub_buckets=sub_buckets)
-    iters = log.groupBy(run_col).agg(F.count(F.lit(1)).cast("bigint").alias("iters"),
-                                     F.min(ts_col).alias("run_start"))
-    return (join_on(ranked, iters, [run_col])  # a null run is a run, too
+    iters = keyed.groupBy("_run").agg(F.count(F.lit(1)).cast("bigint").alias("iters"),
+                                      F.min(ts_col).alias("run_start"))
+    return (ranked.join(iters, "_run")
             .withColumn("step", (F.col("_pos") + 1).cast("bigint"))
-            .drop("_pos", "_us"))
+            .drop("_pos", "_us", "_run"))
 
 
 def logged_steps(steps: DataFrame, log_interval: int, lr: float, epochs: int = 1,

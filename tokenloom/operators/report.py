@@ -70,12 +70,12 @@ def sft_length_report(turns: DataFrame, max_length: int, id_col: str = "conv_id"
     keeps no supervised token (encoded from budget-pruned records)."""
     from ..operators.conversations import chat_records
     from ..operators.encode import encode_sft
-    from ..plans.ranking import join_on
     L = int(max_length)
-    counts = conversation_token_counts(turns, id_col)
-    enc = encode_sft(chat_records(turns, id_col, max_tokens=L), id_col=id_col, tools_col=None, max_length=L)
-    sup = enc.select(id_col, F.size(F.filter("labels", lambda t: t != F.lit(-100))).alias("n_sup"))
-    return _sft_summary(join_on(counts, sup, [id_col]), L)  # a null id is a conversation, too
+    turns = turns.withColumn("_id", F.struct(id_col))  # equal for null ids, too
+    counts = conversation_token_counts(turns, "_id")
+    enc = encode_sft(chat_records(turns, "_id", max_tokens=L), id_col="_id", tools_col=None, max_length=L)
+    sup = enc.select("_id", F.size(F.filter("labels", lambda t: t != F.lit(-100))).alias("n_sup"))
+    return _sft_summary(counts.join(sup, "_id"), L)
 
 
 def _sft_summary(t: DataFrame, L: int) -> DataFrame:

@@ -13,6 +13,7 @@ from .functions.chat import render_chat
 from .functions.util import md5_ids
 from .operators import batches as BT
 from .operators import conversations as conv
+from .operators import counters as CN
 from .operators import encode as enc
 from .operators import logs as LG
 from .operators import prompts as PR
@@ -500,6 +501,43 @@ def stream_encode(spark: SparkSession, base: str) -> DataFrame:
                       _count_not(F.col("labels"), -100).alias("n_label_tokens"))
 
 
+@register
+def length_state(spark: SparkSession, base: str) -> DataFrame:
+    """K3 from stored counters: two inputs counted one after the other, the
+    second twice, and reported from the merged state."""
+    from .session import shared_path
+    docs, path = T.table(spark, base, "documents"), shared_path(spark, "length-counters")
+    for source in (0, 1, 1):
+        CN.store_counters(CN.length_counters(docs.where(F.col("doc_id") % 2 == source), ["lang"]), path, str(source))
+    out = CN.report_from_counters(CN.stored_counters(spark, path, ["lang"]), ["lang"], L_PRETRAIN,
+                                  quantiles=(0.5, 0.9, 0.99))
+    return out.select("lang", "n_docs", "total_tokens", F.round("avg_tokens", 6).alias("avg_tokens"), "max_tokens",
+                      "n_truncated", F.round("pad_share", 6).alias("pad_share"), "q50_tokens", "q90_tokens", "q99_tokens")
+
+
+@register
+def stream_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """K4 + A7: documents as JSON lines, some of them cut off, through a stream
+    that encodes the whole ones, keeps the others and writes its progress."""
+    from .session import shared_path
+    from .streaming import batch_stream as BS
+    from .streaming.encode_stream import stream_files
+    docs, home = T.table(spark, base, "documents"), shared_path(spark, "stream-batches")
+    line = F.when(F.col("doc_id") % 50 == 7, F.concat(F.lit('{"sample_id": '), F.col("doc_id").cast("string"))).otherwise(
+        F.to_json(F.struct(F.col("doc_id").alias("sample_id"), "text")))
+    docs.select(line.alias("value")).write.text(f"{home}/in")
+    raw = stream_files(spark, f"{home}/in", f"sample_id LONG, text STRING, {BS.CORRUPT} STRING", max_files_per_trigger=64)
+    BS.start_batches(raw, home, f"{home}/checkpoint", lambda df: enc.encode_pretrain(df, max_length=L_PRETRAIN)
+                     ).awaitTermination()
+    good = BS.finished(spark, home).select(
+        F.lit("sample").alias("kind"), F.col("sample_id").cast("string").alias("name"), md5_ids(F.col("input_ids")).alias("md5"))
+    bad = BS.finished(spark, home, "rejects").select(
+        F.lit("reject").alias("kind"), F.regexp_extract("line", "[0-9]+", 0).alias("name"), F.md5("line").alias("md5"))
+    done = BS.progress(spark, home).agg(F.sum("n_samples").alias("s"), F.sum("n_rejects").alias("r"))
+    counts = done.select(F.lit("progress").alias("kind"), F.concat_ws("/", "s", "r").alias("name"), F.lit("").alias("md5"))
+    return good.unionByName(bad).unionByName(counts)
+
+
 @register
 def sft_length_report(spark: SparkSession, base: str) -> DataFrame:
     """K3 for the SFT samples at the SFT length."""
