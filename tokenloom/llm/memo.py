@@ -75,7 +75,11 @@ class PieceMemo(dict):
         self.model, self.letters = tokenizer.model, _byte_letters()
 
     def _word(self, word: str):
-        letters = word if word.isascii() and word.isalpha() else "".join([self.letters[b] for b in word.encode()])
+        plain = word[1:] if word[:1] == " " else word
+        if plain.isascii() and plain.isalpha():
+            letters = word if plain is word else self.letters[32] + plain
+        else:
+            letters = "".join([self.letters[b] for b in word.encode()])
         found = self.convert([t.id for t in self.model.tokenize(letters)])
         if len(word) <= self.longest:
             self.words[word] = found

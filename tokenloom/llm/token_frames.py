@@ -161,8 +161,11 @@ def open_file(path: str):
     return FrameReader(source, source.size())
 
 
+_PACKED = [struct.Struct(f"<{n}I") for n in range(64)]
+
+
 def _id_bytes(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes() if array("I").itemsize == 4 else np.array(ids, "<u4").tobytes()
+    return _PACKED[len(ids)].pack(*ids) if len(ids) < len(_PACKED) else np.array(ids, "<u4").tobytes()
 
 
 class ByteBpe:
@@ -212,7 +215,7 @@ class ByteBpe:
         kept = np.repeat(whole, np.diff(at))
 
         ids = np.frombuffer(b"".join(entries), "<u4")
-        size = np.fromiter((len(e) // 4 for e in entries), np.int64, len(entries))
+        size = np.array([len(e) for e in entries], np.int64) // 4
         begin = np.cumsum(size) - size
         length = np.where(kept, size[codes], 0)
         end = np.cumsum(length)
