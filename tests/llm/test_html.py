@@ -53,6 +53,56 @@ def test_several_articles(outer):
     assert H.main_text(page).split("\n") == ["Both"] * ("h1" in outer) + texts[0] + texts[1]
 
 
+# Page layouts: wrappers of the article by surroundings, with the blocks that must come out.
+BLOCKS = [f"Block {i} {WORDS}" for i in range(8)]
+INNER = {
+    "bare": "".join(f"<p>{x}</p>" for x in BLOCKS),
+    "heading ids": f"<h2 id=related-work>Related work</h2><section id=search-algorithms>{''.join(f'<p>{x}</p>' for x in BLOCKS)}</section>",
+    "class names": "".join(f"<p class='share-price lead'>{x}</p>" for x in BLOCKS),
+    "inline notices": "".join(f"<p>{x} <span class=notice>skip <span>it</span> all</span>{i}</p>" for i, x in enumerate(BLOCKS)),
+    "adverts between": "<div class='google-ad'>Buy</div>".join(f"<p>{x}</p>" for x in BLOCKS),
+    "unclosed": "".join(f"<p>{x}" for x in BLOCKS),
+}
+OUTER = {
+    "article": "<body>{m}<article>{t}</article>{e}",
+    "unclosed head": "<html><head><meta charset=utf8><title>t</title><script>x</script><body>{m}<div class=post>{t}</div>{e}",
+    "no body tag": "<html><head><title>t</title>{m}<div class=post>{t}</div>{e}",
+    "page-wide form": "<body><form id=aspnetForm><input type=hidden>{m}<div id=wrap><div id=main>{t}</div></div>{e}</form>",
+    "form and article": "<body><form action=x>{m}<article>{t}</article>{e}</form>",
+    "layout class": "<body>{m}<div class=content-sidebar-wrap><main>{t}</main><div class=sidebar><p>Popular now</p></div></div>{e}",
+    "layout class, divs": "<body>{m}<div class=content-sidebar-wrap><div class=c>{t}</div><div class=sidebar><p>Popular now</p></div></div>{e}",
+    "table": "<body>{m}<table><tr><td class=left-nav><a>Home</a><td>{t}</table>{e}",
+}
+END = ("<section class=reader-comments><h3>Comments</h3><article class='comment even'><p>I have read this with care, and I "
+       "don't agree with a single word of it, as I said before.</p></article></section><footer>Legal</footer>")
+
+
+@pytest.mark.parametrize("outer", OUTER)
+@pytest.mark.parametrize("inner", INNER)
+def test_layouts(outer, inner):
+    page = OUTER[outer].format(m=MENU, t=INNER[inner], e=END)
+    want = ["Related work"] * (inner == "heading ids") + [f"{x} {i}" if inner == "inline notices" else x
+                                                          for i, x in enumerate(BLOCKS)]
+    assert H.main_text(page).split("\n") == want
+
+
+def test_dropped_inline_elements():
+    assert H.main_text("<p>One two <span class=notice>x</span> three.") == "One two three."
+    assert H.main_text("<p>One<span class=share>a <span>b</span> LEAK</span> two.<p>Three.") == "One two.\nThree."
+    assert H.main_text("<p>One <span class=ad>never closed</p><p>Two.") == "One\nTwo."
+    assert H.main_text("<p>It is <a hidden>no <a>link</a></a> here.</p>") == "It is here."
+
+
+@pytest.mark.parametrize("page", [
+    "<form><p>Your name</p><input></form><article><p>A short text.</p></article>",
+    "<div class=sidebar><p>A long list of things that have nothing to do with it.</p></div><main><p>A short text.</p></main>",
+    "<div id=cookie-notice><p>We use cookies, and say so at a length that no article has.</p></div><p>A short text.</p>",
+    "<div hidden><article><p>An older and longer version of this text.</p></article></div><p>A short text.</p>",
+])
+def test_boilerplate_longer_than_the_text(page):
+    assert H.main_text(page) == "A short text."
+
+
 def test_small_feeds_make_no_difference(monkeypatch):
     whole = H.main_text(PAGE)
     monkeypatch.setattr(H, "FEED", 7)

@@ -11,9 +11,15 @@ are mostly links. All its lines are returned but those in menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments,
 and lines outside the first region that are mostly links.
 
+Words in a class mark such elements in containers; elsewhere, and in ids, only
+names made of such words and words about layout do, and headings are never
+marked. A form, a sidebar or the like that holds half of the page's text, on a
+page without an article outside it, is a layout and isn't dropped. Dropped
+elements within a line don't end it.
+
 Cases: null and empty html, and pages without text, give the empty text;
-truncated pages and unclosed elements are read to their end; extra columns
-aren't returned.
+truncated pages and unclosed elements are read to their end; repeated rows are
+returned each; extra columns aren't returned.
 """
 
 from __future__ import annotations
@@ -41,49 +47,75 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol "
                    "p pre section summary table tbody td tfoot th thead tr ul caption".split())
 TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
-NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTAINERS = frozenset("div section ul ol dl li table header fieldset details center".split())
+NEVER_DROPPED = frozenset(("html", "body", "main"))
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
                   "toolbar status".split())
-#: Words in a class or id that mark what isn't the article.
-HINTS = frozenset("""ad ads adv advert advertisement adverts advertising adbox adsense sponsor sponsored promo promoted
-promotion banner cookie cookies consent gdpr notice notification notifications alert sidebar aside menu nav navbar
-navigation topnav breadcrumb breadcrumbs footer foot header masthead topbar comment comments commentlist disqus reply
-replies respond share sharing social related recommended newsletter subscribe subscription signup signin login popup
-modal overlay paywall widget widgets toolbar pagination pager skip skiplink search form""".split())
+#: Words in a class or id that mark what never is the article.
+STRONG_HINTS = frozenset("""ad ads adv advert advertisement adverts advertising adbox adsense sponsor sponsored promo
+promoted promotion cookie cookies consent gdpr notice notification notifications alert breadcrumb breadcrumbs footer
+foot comment comments commentlist disqus reply replies respond newsletter subscribe subscription signup signin login
+pagination pager skip skiplink""".split())
+#: Words that mark it, too, unless the element holds most of the page's text.
+HINTS = STRONG_HINTS | frozenset("""banner sidebar aside menu nav navbar navigation topnav header masthead topbar share
+sharing social related recommended popup modal overlay paywall widget widgets toolbar search form""".split())
+#: Words that may stand beside them in a name that isn't a topic.
+LAYOUT = frozenset("""area articles banner bar block body bottom box btn button buttons center col column container
+content desktop bottom fixed global google group holder icon icons inline inner item items left legal link links list
+main mobile module outer page pane panel policy popular post posts primary reader readers right row secondary section
+site slot small stories sub tertiary text thread top unit user visitor wrap wrapper zone""".split())
 _NOT_THEM = frozenset(("has", "with", "no", "without", "is", "non"))
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+WEAK, STRONG = 1, 2
+
+
+def name_mark(name: str, any_word: bool) -> int:
+    """What a class or id says. ``any_word``: one word that marks boilerplate
+    suffices; otherwise the others must be about layout, so that an id made
+    from a heading (``search-algorithms``) marks nothing."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    hints = [w for i, w in enumerate(words) if w in HINTS and (i == 0 or words[i - 1] not in _NOT_THEM)]
+    if not hints or not any_word and any([w not in HINTS and w not in LAYOUT and not w.isdigit() and len(w) > 1
+                                          for w in words]):
+        return 0
+    return STRONG if any([w in STRONG_HINTS for w in hints]) else WEAK
 
 
-def is_boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element, by its kind, role, class or id, isn't content."""
-    if tag in BOILERPLATE:
-        return True
+def boilerplate_mark(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """Whether an element, by its kind, role, class or id, isn't content:
+    ``STRONG``, ``WEAK`` (unless it holds most of the page) or 0."""
     if tag in NEVER_DROPPED:
-        return False
+        return 0
+    found = 0 if tag not in BOILERPLATE else WEAK if tag == "form" else STRONG
     for name, value in attrs:
-        if not value:
-            if name == "hidden":
-                return True
-            continue
-        if name == "role" and value.strip().lower() in ROLES:
-            return True
-        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
-            return True
+        value = (value or "").strip()
+        if name == "hidden" and value.lower() != "until-found":
+            return STRONG
+        if name == "aria-hidden" and value.lower() == "true":
+            return STRONG
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-        if name in ("class", "id"):
-            for part in value.split():
-                words = [w.lower() for w in _WORD.findall(part)]
-                if any(w in HINTS and (i == 0 or words[i - 1] not in _NOT_THEM) for i, w in enumerate(words)):
-                    return True
-    return False
+            return STRONG
+        if name == "role" and value.lower() in ROLES and tag != "article":
+            found = max(found, WEAK if value.lower() == "form" else STRONG)
+        if tag in HEADINGS:
+            continue
+        if tag == "article":  # each of the readers' comments may be one
+            if name == "class" and any([part.lower() in ("comment", "comment-body", "reply") for part in value.split()]):
+                return STRONG
+        elif name == "class":
+            found = max([found, *[name_mark(part, tag in CONTAINERS) for part in value.split()]])
+        elif name == "id" and tag in CONTAINERS:
+            found = max(found, name_mark(value, False))
+    return found
 
 
 class Line:
     __slots__ = ("text", "tags", "linked", "path", "dropped")
 
-    def __init__(self, text, tags, linked, path, dropped):
-        self.text, self.tags, self.linked, self.path, self.dropped = text, tags, linked, path, dropped
+    def __init__(self, text, tags, linked, path):
+        self.text, self.tags, self.linked, self.path, self.dropped = text, tags, linked, path, False
 
 
 class PageLines(HTMLParser):
@@ -92,57 +124,74 @@ class PageLines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.names: list[str] = ["#page"]  # of all elements that held lines
-        self.open: list[tuple[str, int, bool]] = [("#page", 0, False)]  # tag, element, drops its text
+        self.names: list[str] = ["#page"]  # of all block elements, in page order
+        self.parents: list[int] = [0]
+        self.marks: list[int] = [0]
+        self.open: list[tuple[str, int]] = [("#page", 0)]  # tag, element
         self.parts, self.tags, self.linked, self.in_link, self.skipping = [], 0, 0, 0, 0
+        self.muted: list | None = None  # dropped inline element: tag, nested ones, open block elements
 
     def _end_line(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append(Line(text, self.tags, self.linked, tuple([e for _, e, _ in self.open]),
-                                       self.open[-1][2]))
+                self.lines.append(Line(text, self.tags, self.linked, tuple([e for _, e in self.open])))
             self.parts = []
             self.tags = self.linked = 0
 
+    def _close(self, at: int) -> None:
+        self.skipping -= sum([t in SKIPPED for t, _ in self.open[at:]])
+        del self.open[at:]
+        if self.muted and at < self.muted[2]:
+            self.muted = None
+
+    def _close_head(self) -> None:
+        at = next((i for i, (t, _) in enumerate(self.open) if t == "head"), None)
+        if at is not None:
+            self._close(at)
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        if tag not in IN_HEAD and tag != "head" and self.open[-1][0] == "head":
+            self._close_head()  # its end tag may be left out
         if tag in VOID:
             if tag == "hr":
                 self._end_line()
-            else:
-                self.parts.append(" ") if tag == "br" else None
+            elif tag == "br" and not self.muted:
+                self.parts.append(" ")
             return
         if tag in SKIPPED:
             self.skipping += 1
-            self.open.append((tag, self.open[-1][1], self.open[-1][2]))
+            self.open.append((tag, self.open[-1][1]))
             return
-        block = tag in BLOCKS
-        drops = self.open[-1][2] or (tag == "header" and not self._inside("article", "main")) \
-            or is_boilerplate(tag, attrs)
-        if not block and drops == self.open[-1][2]:
+        if tag not in BLOCKS:
             self.in_link += tag == "a"
+            if self.muted:
+                self.muted[1] += tag == self.muted[0]
+            elif boilerplate_mark(tag, attrs):
+                self.muted = [tag, 1, len(self.open)]
             return
-        if block:
-            self._end_line()
-            if tag not in ("html", "body"):
-                self._close_open(tag)
+        self._end_line()
+        if tag in ("html", "body"):
+            self._close_head()
         else:
-            self._end_line()
+            self._close_open(tag)
+        mark = boilerplate_mark(tag, attrs)
+        if tag == "header" and not any([t in ("article", "main") for t, _ in self.open]):
+            mark = max(mark, WEAK)
         self.names.append(tag)
-        self.open.append((tag, len(self.names) - 1, drops))
-
-    def _inside(self, *tags: str) -> bool:
-        return any([t in tags for t, _, _ in self.open])
+        self.parents.append(self.open[-1][1])
+        self.marks.append(mark)
+        self.open.append((tag, len(self.names) - 1))
 
     def _close_open(self, tag: str) -> None:
         """Elements whose end tag may be left out."""
         if self.open[-1][0] == "p":
-            self.open.pop()
+            self._close(len(self.open) - 1)
         ends = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
                 "td": ("td", "th"), "th": ("td", "th")}.get(tag, ())
         while self.open[-1][0] in ends:
-            self.open.pop()
+            self._close(len(self.open) - 1)
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -150,20 +199,21 @@ class PageLines(HTMLParser):
             return
         if tag == "a":
             self.in_link = max(0, self.in_link - 1)
-        held = [i for i, (t, _, _) in enumerate(self.open) if t == tag]
-        if not held:
-            return
-        at = held[-1]
-        if tag in SKIPPED:
-            self.skipping = max(0, self.skipping - sum([t in SKIPPED for t, _, _ in self.open[at:]]))
-            del self.open[at:]
+        if self.muted and tag == self.muted[0]:
+            self.muted[1] -= 1
+            if not self.muted[1]:
+                self.muted = None
+        at = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i][0] == tag), None)
+        if at is None:
             return
-        self._end_line()
-        self.skipping = max(0, self.skipping - sum([t in SKIPPED for t, _, _ in self.open[at:]]))
-        del self.open[at:]
+        if tag not in SKIPPED:
+            self._end_line()
+        self._close(at)
 
     def handle_data(self, data):
-        if not self.skipping:
+        if self.open[-1][0] == "head" and data.strip():
+            self._close_head()
+        if not self.skipping and not self.muted:
             self.parts.append(data)
             if self.in_link:
                 self.linked += len(data.strip())
@@ -171,6 +221,41 @@ class PageLines(HTMLParser):
     def close(self):
         super().close()
         self._end_line()
+        self._drop_lines()
+
+    def _drop_lines(self) -> None:
+        """Lines within marked elements are dropped. A weak mark is void if the
+        page has no article outside marked elements and the marked one holds
+        half of the text, links aside."""
+        marks, parents = self.marks, self.parents
+        strong, weak = [m == STRONG for m in marks], [0] * len(marks)  # weak: the innermost weakly marked element
+        for e in range(1, len(marks)):
+            strong[e] = strong[e] or strong[parents[e]]
+            weak[e] = e if marks[e] == WEAK else weak[parents[e]]
+        total, clean = 0, False
+        held: dict[int, int] = {}
+        for x in self.lines:
+            e = x.path[-1]
+            if strong[e] or mostly_links(x):
+                continue
+            total += len(x.text)
+            if weak[e]:
+                held[weak[e]] = held.get(weak[e], 0) + len(x.text)
+            else:
+                clean = clean or any([self.names[i] in ("article", "main") for i in x.path])
+        void = set()
+        if not clean:
+            for e in sorted(held, reverse=True):  # from the inside
+                if 2 * held[e] >= total:
+                    while e:  # and all around it
+                        void.add(e)
+                        e = weak[parents[e]]
+                    break
+        kept = [not s for s in strong]
+        for e in range(1, len(marks)):
+            kept[e] = kept[e] and kept[parents[e]] and (marks[e] != WEAK or e in void)
+        for x in self.lines:
+            x.dropped = not kept[x.path[-1]]
 
 
 def gaussian_smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
