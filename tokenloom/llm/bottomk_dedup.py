@@ -8,8 +8,11 @@
    first ``keys_needed`` values of both sketches. The order puts values that
    are rare in the corpus first: counts of all shingles in a hashed table of
    fixed size give the rarity. Inverted lists of these values generate pairs.
-3. The smallest values of the two sketches' union estimate the similarity and
-   filter pairs; exact Jaccard similarities over the full sets verify them.
+3. Places in the lists' order bound what two sets can have in common, before a
+   pair is made. A sketch of at most ``SKETCH`` values is the full set: such
+   pairs are decided at once. For larger sets the smallest values of the two
+   sketches' union estimate the similarity and filter pairs; exact Jaccard
+   similarities over the full sets verify them.
 
 No list gives all its pairs. First each node is verified against one member
 of its lists (the one that it shares most lists with); later rounds try the
@@ -36,24 +39,26 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
 from .common import mix64, text_or_empty
 
-SKETCH = 128
-ESTIMATE = 64  # values of a sketch that are kept for estimates
-ESTIMATE_SLACK = 0.3  # six standard deviations at ESTIMATE values
+SKETCH = 256
+ESTIMATE_SLACK = 0.13  # 5.2 standard deviations at SKETCH values
+BATCH_BYTES = 4 << 20  # of texts whose sets are made at a time
 RARITY_BITS = 22
 SLOTS = 64  # nodes are dealt to so many slots, which lead one after the other
 #: The rest of the pairs is tried at once when there are so many for each row
 #: of the lists at most.
 PAIRS_A_ROW = 2
 #: Most rows of a table (16 bytes each) that is broadcast.
-MAX_BROADCAST_ROWS = 300_000
+MAX_BROADCAST_ROWS = 100_000
 
 
 # -- sets ---------------------------------------------------------------------
@@ -83,14 +88,19 @@ def shingle_set(text: bytes, size: int, hashes: dict) -> np.ndarray:
 
 
 def set_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    """Some hundred rows and their texts' sets at a time; the text is the last
-    column."""
+    """Some hundred rows and their texts' sets at a time, fewer if the texts
+    are long; the text is the last column."""
     hashes = WordHashes()
     for b in batches:
-        for at in range(0, b.num_rows, 256):
-            part = b.slice(at, 256)
-            yield part, [shingle_set(t, size, hashes) for t in part.column(part.num_columns - 1)
-                         .cast(pa.binary()).to_pylist()]
+        texts = b.column(b.num_columns - 1).cast(pa.binary())
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < b.num_rows:
+            reach = int(np.searchsorted(ends, ends[at] - sizes[at] + BATCH_BYTES, "right"))
+            n = min(256, max(1, reach - at))
+            yield b.slice(at, n), [shingle_set(t.as_py(), size, hashes) for t in texts.slice(at, n)]
+            at += n
 
 
 def cell_of(values: np.ndarray) -> np.ndarray:
@@ -171,9 +181,8 @@ def value_rarity(docs: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def sketch_rows(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+def sketch_rows(docs: DataFrame, size: int, similarity: float, rarity: Broadcast) -> DataFrame:
     """(doc_id, text_hash, digest, n, sketch, keys) of every row."""
-    rarity = docs.sparkSession.sparkContext.broadcast(value_rarity(docs, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
@@ -182,7 +191,7 @@ def sketch_rows(docs: DataFrame, size: int, similarity: float) -> DataFrame:
                 [part.column(0), part.column(1),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                  pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s[:ESTIMATE] for s in sets], longs),
+                 pa.array([s[:SKETCH] for s in sets], longs),
                  pa.array([choose_keys(s, rarity.value, similarity) for s in sets], longs)],
                 names=["doc_id", "text_hash", "digest", "n", "sketch", "keys"])
 
@@ -242,29 +251,54 @@ def connect(edges: DataFrame, scratch: Scratch) -> DataFrame:
 def estimate(a: Column, b: Column) -> Column:
     """Similarity by the smallest values of the sketches' union: the part of
     them that both sketches have."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, ESTIMATE)
+    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.greatest(F.size(union), F.lit(1))
 
 
+def sizes_allow(n_a: Column, n_b: Column, similarity: float) -> Column:
+    """Whether sets of these sizes can be linked."""
+    return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * round(100 * similarity)
+
+
+def least_common(n_a: Column, n_b: Column, similarity: float) -> Column:
+    """How many values the sketches of two linked sets have in common at least;
+    1 if one of them is a whole set and the other isn't.
+
+    With whole sets as sketches that is exact; two larger sets have a
+    hypergeometric part of their sketches in common, here less 5.2 standard
+    deviations.
+    """
+    both = F.ceil((n_a + n_b) * (similarity / (1 + similarity)) - 1e-9)
+    most = F.greatest(n_a, n_b)
+    part = F.least(both / most, F.lit(1.0))
+    rest = F.greatest(F.lit(0.0), 1 - F.lit(float(SKETCH)) / most)  # drawn without replacement
+    sampled = F.floor(part * SKETCH - F.sqrt(part * (1 - part) * SKETCH * rest) * 5.2)
+    return (F.when((n_a <= SKETCH) & (n_b <= SKETCH), both)
+            .when((n_a > SKETCH) & (n_b > SKETCH), sampled).otherwise(1))
+
+
 def least_shared(n_a: Column, n_b: Column, similarity: float) -> Column:
     """How many lists two linked sets of these sizes share at least.
 
-    They have ``both`` values in common, so in any order of values the t-th
-    common one is among the first ``t + n - both`` of each set. With whole
-    sets as sketches that is exact; two larger ones have a hypergeometric part
-    of their sketches in common, here less 5.2 standard deviations.
+    In any order of the sketches' values the t-th common one is among the
+    first ``t + size - common`` of each sketch.
     """
-    both = F.ceil((n_a + n_b) * (similarity / (1 + similarity)) - 1e-9)
+    common = least_common(n_a, n_b, similarity)
 
     def exact(n: Column) -> Column:
-        return both - F.ceil(n * similarity - 1e-9) + 1
+        return common - F.ceil(n * similarity - 1e-9) + 1
 
-    part = F.least(both / F.greatest(n_a, n_b), F.lit(1.0))
-    rest = F.greatest(F.lit(0.0), 1 - F.lit(float(SKETCH)) / F.greatest(n_a, n_b))  # drawn without replacement
-    common = part * SKETCH - F.sqrt(part * (1 - part) * SKETCH * rest) * 5.2
-    sampled = F.floor(common - (SKETCH - keys_needed(SKETCH + 1, similarity)))
     return (F.when((n_a <= SKETCH) & (n_b <= SKETCH), F.least(exact(n_a), exact(n_b)))
-            .when((n_a > SKETCH) & (n_b > SKETCH), sampled).otherwise(1))
+            .when((n_a > SKETCH) & (n_b > SKETCH), common - (SKETCH - keys_needed(SKETCH + 1, similarity)))
+            .otherwise(1))
+
+
+def places_allow(at_a: Column, n_a: Column, at_b: Column, n_b: Column, similarity: float) -> Column:
+    """Whether two sets with a common value at these places of their sketches,
+    in the lists' order, can be linked: what they have in common before it is
+    at most the shorter beginning, and after it the shorter rest."""
+    rest = F.least(F.least(n_a, F.lit(SKETCH)) - at_a, F.least(n_b, F.lit(SKETCH)) - at_b)
+    return F.least(at_a, at_b) + rest >= least_common(n_a, n_b, similarity)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, most: int, size: int) -> DataFrame:
@@ -290,36 +324,45 @@ def full_sets(docs: DataFrame, wanted: DataFrame, most: int, size: int) -> DataF
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: float, repeats: bool,
              scratch: Scratch) -> DataFrame:
-    """Those pairs (a, b, shared) whose full sets are similar enough. Sizes,
-    the number of shared lists (null: not counted) and the sketches filter
-    them before, so that few sets are needed. ``repeats``: whether a node's
-    row may be there several times."""
+    """Those of the pairs (a, b) whose full sets are similar enough. A sketch
+    of at most ``SKETCH`` values is a full set; sketches of larger sets filter
+    the pairs for which full sets are made. ``repeats``: whether a node's row
+    may be there several times."""
     part = round(100 * similarity)
+
+    def similar(both: Column, n_a: Column, n_b: Column) -> Column:
+        return both * 100 >= (n_a + n_b - both) * part
+
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    sized = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * part)
-    sized = sized & (F.coalesce("shared", F.lit(SKETCH)) >= least_shared(F.col("n_a"), F.col("n_b"), similarity))
-    near = estimate(F.col("s_a"), F.col("s_b")) >= similarity - ESTIMATE_SLACK
-    hopeful = scratch.keep(left.join(pairs, "a").join(right, "b").where(sized & near).select("a", "b"))
+    whole = F.greatest("n_a", "n_b") <= SKETCH
+    near = (F.when(whole, similar(F.size(F.array_intersect("s_a", "s_b")), F.col("n_a"), F.col("n_b")))
+            .otherwise(estimate(F.col("s_a"), F.col("s_b")) >= similarity - ESTIMATE_SLACK))
+    passed = scratch.keep(left.join(pairs, "a").join(right, "b")
+                          .where(sizes_allow(F.col("n_a"), F.col("n_b"), similarity) & near)
+                          .select("a", "b", whole.alias("whole")))
+    done, hopeful = passed.where("whole").select("a", "b"), passed.where("not whole").select("a", "b")
     found = hopeful.count()
     if not found:
-        return hopeful
-    either = hopeful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return done
+    either = hopeful.select("a").unionAll(hopeful.select("b")).toDF("node").distinct()
     sets = full_sets(docs, nodes.select("node", "doc_id", "digest").join(either, "node"), 2 * found, size)
     sets = scratch.keep(sets.dropDuplicates(["node"]) if repeats else sets)
     first = sets.select(F.col("node").alias("a"), F.col("values").alias("v_a")).join(hopeful, "a")
     heads = hopeful.select("b").distinct()
     second = sets.select(F.col("node").alias("b"), F.col("values").alias("v_b")).join(heads, "b")
-    both = F.size(F.array_intersect("v_a", "v_b"))
-    return scratch.keep(first.join(second, "b").withColumn("both", both)
-                        .where(F.col("both") * 100 >= (F.size("v_a") + F.size("v_b") - F.col("both")) * part)
-                        .select("a", "b"))
+    return done.unionAll(scratch.keep(
+        first.join(second, "b").where(similar(F.size(F.array_intersect("v_a", "v_b")), F.size("v_a"), F.size("v_b")))
+        .select("a", "b")))
 
 
 def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
     """(doc_id, text_hash, n, row, root) of every row; a component's rows have
     one root, and a row without shingles is a component of its own."""
-    rows = scratch.keep(sketch_rows(docs, shingle, similarity).withColumn("row", F.monotonically_increasing_id()))
+    rarity = docs.sparkSession.sparkContext.broadcast(value_rarity(docs, shingle))
+    rows = scratch.keep(sketch_rows(docs, shingle, similarity, rarity)
+                        .withColumn("row", F.monotonically_increasing_id()))
+    rarity.unpersist()  # the rows are written; sent again should they be read anew
     filled = rows.where("n > 0")
     # One node for each distinct set, named after one of its rows.
     nodes_of = scratch.keep(filled.groupBy("digest").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies")))
@@ -330,7 +373,7 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
 
     # Inverted lists of two nodes or more. The node that is in most lists leads
     # a list: an original shares more of its values than its edited copies.
-    lists = nodes.select("node", F.explode("keys").alias("key"))
+    lists = nodes.select("node", "n", F.posexplode("keys").alias("place", "key"))
     shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
     members = scratch.keep(lists.join(shared, "key"))
     degree = members.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
@@ -346,15 +389,15 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
     # Each node against the leader that it shares most lists with.
     best = (members.join(leaders, "key").where("node <> leader").groupBy("node", "leader").count()
             .groupBy("node").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("b")))
-    links = verified(best.select(F.col("node").alias("a"), "b", F.lit(None).cast("long").alias("shared")), *check)
+    links = verified(best.select(F.col("node").alias("a"), "b"), *check)
     stars = connect(links, scratch)
     rows_in_lists = members.count()
     # Later, nodes lead in all their lists at once, some slots a round.
-    slotted = members.select("key", "node", F.pmod(F.xxhash64("node"), F.lit(SLOTS)).alias("slot"))
+    slotted = members.select("key", "node", "n", "place", F.pmod(F.xxhash64("node"), F.lit(SLOTS)).alias("slot"))
     low = 0
     for high in (1, 5, 21, SLOTS):
         labelled = (slotted.where(F.col("slot") >= low).join(stars, "node", "left")
-                    .select("key", "node", "slot", F.coalesce("root", "node").alias("root")))
+                    .select("key", "node", "n", "place", "slot", F.coalesce("root", "node").alias("root")))
         mixed = scratch.keep(labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
                                                          F.count(F.lit(1)).alias("open"))
                              .where("least <> most"))
@@ -364,11 +407,19 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
         if left <= PAIRS_A_ROW * rows_in_lists:
             high = SLOTS  # all that is left is in proportion to the lists
         within = labelled.join(mixed.select("key"), "key")
-        heads = within.where(F.col("slot") < high).select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
+        heads = within.where(F.col("slot") < high).select("key", *[F.col(c).alias(c + "_b") for c in
+                                                                   ("node", "n", "place", "root")])
+        sizes = F.col("n"), F.col("n_b")
         pairs = (within.join(heads, "key")
-                 .where((F.col("root") != F.col("root_b")) & ((F.col("slot") >= high) | (F.col("node") > F.col("b"))))
-                 .groupBy(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-                 .agg(F.count(F.lit(1)).alias("shared")))
+                 .where((F.col("root") != F.col("root_b"))
+                        & ((F.col("slot") >= high) | (F.col("node") > F.col("node_b")))
+                        & sizes_allow(*sizes, similarity)
+                        & places_allow(F.col("place"), sizes[0], F.col("place_b"), sizes[1], similarity))
+                 .groupBy(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b"))
+                 .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least(*sizes)).alias("less"),
+                      F.max(F.greatest(*sizes)).alias("more"))
+                 .where(F.col("shared") >= least_shared(F.col("less"), F.col("more"), similarity))
+                 .select("a", "b"))
         more = verified(pairs, *check)
         if more.count():
             stars = connect(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), scratch)
