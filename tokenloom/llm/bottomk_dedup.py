@@ -322,6 +322,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, most: int, size: int) -> DataF
             .select("node", "values"))
 
 
+def both_ends(pairs: DataFrame) -> DataFrame:
+    """(node) of each node of the pairs."""
+    return pairs.select("a").unionAll(pairs.select("b")).toDF("node").distinct()
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: float, repeats: bool,
              scratch: Scratch) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough. A sketch
@@ -333,20 +338,23 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, sim
     def similar(both: Column, n_a: Column, n_b: Column) -> Column:
         return both * 100 >= (n_a + n_b - both) * part
 
-    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    pairs = scratch.keep(pairs)
+    either = scratch.keep(both_ends(pairs))
+    if either.isEmpty():
+        return pairs
+    # Only the sketches of these nodes leave the scan.
+    some = scratch.keep(nodes.join(small_or_not(either), "node", "left_semi"))
+    left = some.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    right = some.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     whole = F.greatest("n_a", "n_b") <= SKETCH
     near = (F.when(whole, similar(F.size(F.array_intersect("s_a", "s_b")), F.col("n_a"), F.col("n_b")))
             .otherwise(estimate(F.col("s_a"), F.col("s_b")) >= similarity - ESTIMATE_SLACK))
-    passed = scratch.keep(left.join(pairs, "a").join(right, "b")
-                          .where(sizes_allow(F.col("n_a"), F.col("n_b"), similarity) & near)
-                          .select("a", "b", whole.alias("whole")))
+    passed = scratch.keep(left.join(pairs, "a").join(right, "b").where(near).select("a", "b", whole.alias("whole")))
     done, hopeful = passed.where("whole").select("a", "b"), passed.where("not whole").select("a", "b")
     found = hopeful.count()
     if not found:
         return done
-    either = hopeful.select("a").unionAll(hopeful.select("b")).toDF("node").distinct()
-    sets = full_sets(docs, nodes.select("node", "doc_id", "digest").join(either, "node"), 2 * found, size)
+    sets = full_sets(docs, some.select("node", "doc_id", "digest").join(both_ends(hopeful), "node"), 2 * found, size)
     sets = scratch.keep(sets.dropDuplicates(["node"]) if repeats else sets)
     first = sets.select(F.col("node").alias("a"), F.col("values").alias("v_a")).join(hopeful, "a")
     heads = hopeful.select("b").distinct()
@@ -369,7 +377,7 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
     copies = (filled.select("digest", "row").join(nodes_of.where("copies > 1"), "digest").where("row <> node")
               .select("row"))
     nodes = (filled.join(small_or_not(scratch.keep(copies)), "row", "left_anti")
-             .select(F.col("row").alias("node"), "doc_id", "digest", "n", "sketch", "keys"))
+             .select(F.col("row").alias("node"), "n", "keys"))
 
     # Inverted lists of two nodes or more. The node that is in most lists leads
     # a list: an original shares more of its values than its edited copies.
@@ -378,18 +386,35 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
     members = scratch.keep(lists.join(shared, "key"))
     degree = members.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     leaders = (members.join(degree, "node").groupBy("key")
-               .agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("leader")))
-    listed = scratch.keep(members.select("node").distinct())
-    chosen = scratch.keep(nodes.join(small_or_not(listed), "node", "left_semi")
-                          .select("node", "doc_id", "digest", "n", "sketch"))
+               .agg(F.max_by(F.struct("node", "n", "place"), F.struct("degree", -F.col("node"))).alias("led"))
+               .select("key", *[F.col(f"led.{c}").alias(c + "_b") for c in ("node", "n", "place")]))
     repeats = not (filled.join(small_or_not(nodes_of.where("copies > 1").select("digest")), "digest", "left_semi")
                    .groupBy("digest", "doc_id").count().where("count > 1").isEmpty())
-    check = (chosen, docs, shingle, similarity, repeats, scratch)
+    sketches = rows.select(F.col("row").alias("node"), "doc_id", "digest", "n", "sketch")
+    check = (sketches, docs, shingle, similarity, repeats, scratch)
 
-    # Each node against the leader that it shares most lists with.
-    best = (members.join(leaders, "key").where("node <> leader").groupBy("node", "leader").count()
-            .groupBy("node").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("b")))
-    links = verified(best.select(F.col("node").alias("a"), "b"), *check)
+    def may_be_linked() -> Column:
+        """Of rows of the lists and others of the same list (``_b``)."""
+        sizes = F.col("n"), F.col("n_b")
+        return (sizes_allow(*sizes, similarity)
+                & places_allow(F.col("place"), sizes[0], F.col("place_b"), sizes[1], similarity))
+
+    def counted(joined: DataFrame) -> DataFrame:
+        """(a, b, shared) of the pairs that share as many lists as linked sets
+        must."""
+        return (joined.groupBy(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b"))
+                .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("n", "n_b")).alias("less"),
+                     F.max(F.greatest("n", "n_b")).alias("more"))
+                .where(F.col("shared") >= least_shared(F.col("less"), F.col("more"), similarity))
+                .select("a", "b", "shared"))
+
+    # Each node against the leader that it shares most lists with. A leader may
+    # follow another one, in the pair (node, leader) or (leader, node).
+    led = counted(members.join(leaders, "key").where((F.col("node") != F.col("node_b")) & may_be_linked()))
+    best = (led.unionAll(led.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
+            .join(leaders.select(F.col("node_b").alias("b")).distinct(), "b", "left_semi")
+            .groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b")))
+    links = verified(best, *check)
     stars = connect(links, scratch)
     rows_in_lists = members.count()
     # Later, nodes lead in all their lists at once, some slots a round.
@@ -409,18 +434,10 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
         within = labelled.join(mixed.select("key"), "key")
         heads = within.where(F.col("slot") < high).select("key", *[F.col(c).alias(c + "_b") for c in
                                                                    ("node", "n", "place", "root")])
-        sizes = F.col("n"), F.col("n_b")
-        pairs = (within.join(heads, "key")
-                 .where((F.col("root") != F.col("root_b"))
-                        & ((F.col("slot") >= high) | (F.col("node") > F.col("node_b")))
-                        & sizes_allow(*sizes, similarity)
-                        & places_allow(F.col("place"), sizes[0], F.col("place_b"), sizes[1], similarity))
-                 .groupBy(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b"))
-                 .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least(*sizes)).alias("less"),
-                      F.max(F.greatest(*sizes)).alias("more"))
-                 .where(F.col("shared") >= least_shared(F.col("less"), F.col("more"), similarity))
-                 .select("a", "b"))
-        more = verified(pairs, *check)
+        pairs = counted(within.join(heads, "key")
+                        .where((F.col("root") != F.col("root_b"))
+                               & ((F.col("slot") >= high) | (F.col("node") > F.col("node_b"))) & may_be_linked()))
+        more = verified(pairs.select("a", "b"), *check)
         if more.count():
             stars = connect(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), scratch)
         low = high
