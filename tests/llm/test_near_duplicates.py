@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 from cases import PROSE, ROWS, docs_frame, empty_docs
+from pyspark.sql import functions as F
 from tokenloom.llm import bottomk_dedup as K
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -66,6 +67,43 @@ def test_against_brute_force(spark, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_places_never_rule_out_a_link(spark):
+    """Any order of values: at the first places of two sets at the threshold
+    are as many common values as asked for."""
+    r, rows = random.Random(5), []
+    for trial in range(400):
+        n_a = r.randrange(5, K.SKETCH + 1)
+        n_b = r.randrange(-(-4 * n_a // 5), n_a + 1)
+        both = -(-4 * (n_a + n_b) // 9)
+        a = list(range(n_a))
+        b = r.sample(a, both) + list(range(n_a, n_a + n_b - both)) if both <= n_b else a[:n_b]
+        order = list(range(2 * K.SKETCH))
+        r.shuffle(order)
+        rank = {v: k for k, v in enumerate(order)}
+        at_a = {v: k for k, v in enumerate(sorted(a, key=rank.get)[:K.keys_needed(n_a, 0.8)])}
+        at_b = {v: k for k, v in enumerate(sorted(b, key=rank.get)[:K.keys_needed(len(b), 0.8)])}
+        rows += [(trial, n_a, len(b), at_a[v], at_b[v]) for v in set(at_a) & set(at_b)]
+    df = spark.createDataFrame(rows, "t int, n_a int, n_b int, at_a int, at_b int")
+    sizes = F.col("n_a"), F.col("n_b")
+    all_shared = K.least_shared(*sizes, 0.8)
+    few = F.least(F.lit(K.SHARED), all_shared)
+    fits = (K.places_allow(F.col("at_a"), sizes[0], F.col("at_b"), sizes[1], 0.8) & K.sizes_allow(*sizes, 0.8))
+    first = (K.first_places(F.col("at_a"), sizes[0], *sizes, few, 0.8)
+             & K.first_places(F.col("at_b"), sizes[1], *sizes, few, 0.8))
+    got = (df.groupBy("t").agg(F.min(fits.cast("int")).alias("fits"), F.sum(first.cast("int")).alias("first"),
+                               F.count("*").alias("shared"), F.first(few).alias("few"), F.first(all_shared).alias("all"))
+           .collect())
+    assert len(got) == 400
+    assert all(x.fits == 1 and x.first >= x.few and x.shared >= x.all for x in got)
+
+
+@pytest.mark.parametrize("words", [150, 300])
+def test_sets_about_the_sketch_against_brute_force(spark, words):
+    rows = group(words, n_groups=3, size=24, words=words)
+    got = K.near_duplicates(docs_frame(spark, rows), 2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 2)
+
+
 def test_sets_and_keys():
     h = K.WordHashes()
     assert len(K.shingle_set(b"", 2, h)) == len(K.shingle_set(b" \t\n", 2, h)) == 0

@@ -51,6 +51,7 @@ from .common import mix64, text_or_empty
 
 SKETCH = 256
 ESTIMATE_SLACK = 0.13  # 5.2 standard deviations at SKETCH values
+SHARED = 3  # lists that a pair must share, if linked sets must share so many
 BATCH_BYTES = 4 << 20  # of texts whose sets are made at a time
 RARITY_BITS = 22
 SLOTS = 64  # nodes are dealt to so many slots, which lead one after the other
@@ -293,6 +294,12 @@ def least_shared(n_a: Column, n_b: Column, similarity: float) -> Column:
             .otherwise(1))
 
 
+def first_places(at: Column, n: Column, n_a: Column, n_b: Column, shared: Column, similarity: float) -> Column:
+    """Whether a place in a set of n values is among those where the first
+    ``shared`` common values of two linked sets must be."""
+    return at < F.least(n, F.lit(SKETCH)) - least_common(n_a, n_b, similarity) + shared
+
+
 def places_allow(at_a: Column, n_a: Column, at_b: Column, n_b: Column, similarity: float) -> Column:
     """Whether two sets with a common value at these places of their sketches,
     in the lists' order, can be linked: what they have in common before it is
@@ -399,18 +406,25 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
         return (sizes_allow(*sizes, similarity)
                 & places_allow(F.col("place"), sizes[0], F.col("place_b"), sizes[1], similarity))
 
-    def counted(joined: DataFrame) -> DataFrame:
+    def needed() -> Column:
+        return F.least(F.lit(SHARED), least_shared(F.col("n"), F.col("n_b"), similarity))
+
+    def at_first_places() -> Column:
+        sizes = F.col("n"), F.col("n_b")
+        return (first_places(F.col("place"), sizes[0], *sizes, needed(), similarity)
+                & first_places(F.col("place_b"), sizes[1], *sizes, needed(), similarity))
+
+    def counted(joined: DataFrame, least: Column) -> DataFrame:
         """(a, b, shared) of the pairs that share as many lists as linked sets
         must."""
-        return (joined.groupBy(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b"))
-                .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("n", "n_b")).alias("less"),
-                     F.max(F.greatest("n", "n_b")).alias("more"))
-                .where(F.col("shared") >= least_shared(F.col("less"), F.col("more"), similarity))
-                .select("a", "b", "shared"))
+        return (joined.withColumn("least", least)
+                .groupBy(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b"))
+                .agg(F.count(F.lit(1)).alias("shared"), F.first("least").alias("least"))
+                .where(F.col("shared") >= F.col("least")).select("a", "b", "shared"))
 
     # Each node against the leader that it shares most lists with. A leader may
     # follow another one, in the pair (node, leader) or (leader, node).
-    led = counted(members.join(leaders, "key").where((F.col("node") != F.col("node_b")) & may_be_linked()))
+    led = counted(members.join(leaders, "key").where((F.col("node") != F.col("node_b")) & may_be_linked()), F.lit(1))
     best = (led.unionAll(led.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
             .join(leaders.select(F.col("node_b").alias("b")).distinct(), "b", "left_semi")
             .groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b")))
@@ -420,7 +434,7 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
     # Later, nodes lead in all their lists at once, some slots a round.
     slotted = members.select("key", "node", "n", "place", F.pmod(F.xxhash64("node"), F.lit(SLOTS)).alias("slot"))
     low = 0
-    for high in (1, 5, 21, SLOTS):
+    for high in (4, SLOTS):
         labelled = (slotted.where(F.col("slot") >= low).join(stars, "node", "left")
                     .select("key", "node", "n", "place", "slot", F.coalesce("root", "node").alias("root")))
         mixed = scratch.keep(labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
@@ -436,7 +450,8 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
                                                                    ("node", "n", "place", "root")])
         pairs = counted(within.join(heads, "key")
                         .where((F.col("root") != F.col("root_b"))
-                               & ((F.col("slot") >= high) | (F.col("node") > F.col("node_b"))) & may_be_linked()))
+                               & ((F.col("slot") >= high) | (F.col("node") > F.col("node_b")))
+                               & may_be_linked() & at_first_places()), needed())
         more = verified(pairs.select("a", "b"), *check)
         if more.count():
             stars = connect(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), scratch)
