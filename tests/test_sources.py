@@ -185,3 +185,17 @@ def test_copies_keep_their_content(spark, tmp_path):
     back = J.with_sample_id(J.checked(J.read_sft(spark, str(src))), "messages", "tools")
     rows = back.select("sample_id", F.size("messages").alias("n")).collect()
     assert sorted(r.n for r in rows) == [1, 1, 1, 2] and len({r.sample_id for r in rows}) == 4
+
+
+def test_stream_of_a_table_in_one_file_or_many(spark, tmp_path):
+    from tokenloom import queries as Q
+    docs = spark.createDataFrame([(i, f"doc {i} " + "é" * i) for i in range(20)] + [(None, None)], "doc_id long, text string")
+    base, single = tmp_path / "many", tmp_path / "one"
+    docs.repartition(5).write.parquet(str(base / "documents.parquet"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "part"))
+    os.makedirs(single)
+    next((tmp_path / "part").glob("part-*")).rename(single / "documents.parquet")
+    exp = sorted(map(str, Q.pretrain_encode(spark, str(base)).collect()))
+    assert len(exp) == 21
+    for place in (base, single):
+        assert sorted(map(str, Q.stream_encode(spark, str(place)).collect())) == exp

@@ -484,12 +484,12 @@ def length_report_by_quality(spark: SparkSession, base: str) -> DataFrame:
 
 @register
 def stream_encode(spark: SparkSession, base: str) -> DataFrame:
-    """K4: C1 as a Structured Streaming job over the documents file; the
+    """K4: C1 as a Structured Streaming job over the documents table; the
     appended Parquet output is read back (must equal pretrain_encode)."""
     from .session import shared_path
-    from .streaming.encode_stream import start_append, stream_files
+    from .streaming.encode_stream import start_append, stream_table
     schema = T.table(spark, base, "documents").schema
-    src = stream_files(spark, base, schema, fmt="parquet", glob="documents.parquet", max_files_per_trigger=64)
+    src = stream_table(spark, f"{base.rstrip('/')}/documents.parquet", schema, max_files_per_trigger=64)
     encoded = enc.encode_pretrain(src.select(F.col("doc_id").alias("sample_id"), "text"),
                                   max_length=L_PRETRAIN)
     sink, ckpt = shared_path(spark, "stream-sink"), shared_path(spark, "stream-ckpt")

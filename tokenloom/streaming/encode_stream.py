@@ -25,6 +25,14 @@ def stream_files(spark: SparkSession, path: str, schema, fmt: str = "json",
     return df.repartition(spread) if spread else df
 
 
+def stream_table(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table as a stream, be it one file or a folder of files. The
+    source takes a plain path for a folder; a pattern may match either."""
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return stream_files(spark, f"{folder}/{{{name}}}", schema, fmt="parquet",
+                        max_files_per_trigger=max_files_per_trigger)
+
+
 def start_append(df: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
                  processing_time: str | None = None) -> StreamingQuery:
     w = df.writeStream.format("parquet").option("path", sink) \
