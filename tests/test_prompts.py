@@ -138,3 +138,17 @@ def test_a_hot_conversation_is_numbered(spark):
     out = PR.insert_replies(turns, replies)
     stats = out.agg(F.count("*"), F.countDistinct("turn"), F.min("turn"), F.max("turn")).first()
     assert tuple(stats) == (7500, 7500, 0, 7499)
+
+
+def test_predictor_gets_bounded_batches(spark):
+    from tokenloom.functions.util import SLICE_SIZE
+
+    def factory():
+        def predict(batch):
+            assert sum(map(len, batch)) <= SLICE_SIZE
+            return [[*x, 5] for x in batch]
+        return predict
+
+    df = spark.range(2000).coalesce(1).select("id", F.array_repeat(F.col("id").cast("int"), 500).alias("prompt_ids"))
+    rows = PR.generate(df, factory).select("id", F.size("output_ids").alias("n"), F.element_at("output_ids", 500).alias("x")).collect()
+    assert [(r.id, r.n, r.x) for r in rows] == [(i, 501, i) for i in range(2000)]

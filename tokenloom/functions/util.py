@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +31,28 @@ def empty_int_array() -> Column:
     return F.array().cast("array<int>")
 
 
+#: Ids, or bytes of text, that a Python step turns into objects at a time.
+SLICE_SIZE = 1 << 18
+
+
+def bounded_slices(batch: pa.RecordBatch, col: str, most: int = SLICE_SIZE) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts (in bytes) or arrays of ``col`` add up
+    to ``most`` at most; a row that is larger is a slice of its own.
+
+    Spark bounds the rows of an Arrow batch, not what Python makes of them:
+    objects take many times the space of the columns.
+    """
+    values = batch.column(batch.schema.get_field_index(col))
+    length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    ends = np.cumsum(length(values).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 _INSTANCES: dict = {}
 
 

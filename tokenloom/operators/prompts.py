@@ -7,21 +7,22 @@ at most ``2 x history`` rows and a very long conversation is spread over
 many tasks.
 
 J3 is the only Python step: a user-supplied predictor runs in
-``mapInPandas`` on Arrow batches and is built once per Python worker.
+``mapInArrow`` on slices of Arrow batches, bounded by their prompts' ids, and
+is built once per Python worker.
 """
 
 from __future__ import annotations
 
 from typing import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import BYTE_OFFSET, IM_START, MODEL_MAX_LENGTH
 from ..functions.chat import messages_from_turns, render_chat
 from ..functions.tokens import encode_text, strip_specials
-from ..functions.util import worker_instance
+from ..functions.util import bounded_slices, worker_instance
 from ..plans.ranges import group_positions
 from ..plans.ranking import grouped_rank
 from .vocab import detokenize_column
@@ -78,7 +79,7 @@ def prompt_ids(prompt: Column, max_length: int = MODEL_MAX_LENGTH) -> Column:
 
 def generate(prompts: DataFrame, predictor_factory: Callable, ids_col: str = "prompt_ids",
              out_col: str = "output_ids") -> DataFrame:
-    """Run the user's predictor over Arrow batches.
+    """Run the user's predictor over slices of Arrow batches.
 
     ``predictor_factory()`` returns a callable ``list[list[int]] ->
     list[list[int]]`` giving, per prompt, prompt ids followed by new ids.
@@ -86,13 +87,14 @@ def generate(prompts: DataFrame, predictor_factory: Callable, ids_col: str = "pr
     from pyspark.sql.types import ArrayType, IntegerType, StructType
     schema = StructType(list(prompts.schema.fields)).add(out_col, ArrayType(IntegerType()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = worker_instance(predictor_factory)
-        for pdf in batches:
-            pdf[out_col] = predict([list(x) for x in pdf[ids_col]])
-            yield pdf
+        for whole in batches:
+            for b in bounded_slices(whole, ids_col):
+                out = predict([list(x) for x in b.column(ids_col).to_pylist()])
+                yield b.append_column(out_col, pa.array(out, type=pa.list_(pa.int32())))
 
-    return prompts.mapInPandas(run, schema)
+    return prompts.mapInArrow(run, schema)
 
 
 def decode_bytes(ids: Column) -> Column:
