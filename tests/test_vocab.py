@@ -77,3 +77,39 @@ def test_replies_in_the_users_vocabulary(spark):
     prompts = tokenize_column(df, "t", ByteTokenizer, "prompt_ids")
     out = PR.decode_replies(PR.generate(prompts, PR.repeat_predictor_factory), ByteTokenizer)
     assert {r.k: r.reply for r in out.collect()} == {1: "héllo", 2: "", 3: ""}
+
+
+def test_python_steps_get_bounded_slices(spark):
+    from pyspark.sql import functions as F
+
+    from tokenloom.functions.util import SLICE_SIZE
+    from tokenloom.operators import prompts as PR
+    from tokenloom.operators.vocab import detokenize_column, tokenize_column
+
+    class Watched(ByteTokenizer):
+        """Fails if it gets more than a slice at a time, but for one row."""
+
+        def encode_batch(self, texts):
+            assert len(texts) == 1 or sum(len(t.encode()) for t in texts) <= SLICE_SIZE
+            return super().encode_batch(texts)
+
+        def decode_batch(self, ids):
+            assert len(ids) == 1 or sum(map(len, ids)) <= SLICE_SIZE
+            return super().decode_batch(ids)
+
+    def watched_predictor():
+        def predict(batch):
+            assert len(batch) == 1 or sum(map(len, batch)) <= SLICE_SIZE
+            return [[*x, 4] for x in batch]
+        return predict
+
+    most = SLICE_SIZE
+    n = F.when(F.col("k") == 5, most + 10).when(F.col("k") == 9, most).when(F.col("k") % 7 == 3, 0).otherwise(900)
+    df = (spark.range(1000).coalesce(1).withColumnRenamed("id", "k")
+          .withColumn("t", F.when(F.col("k") % 50 != 20, F.repeat(F.lit("x"), n.cast("int")))))
+    out = PR.generate(tokenize_column(df, "t", Watched, "prompt_ids"), watched_predictor)
+    rows = detokenize_column(out, "output_ids", Watched, "back").select(
+        "k", F.size("prompt_ids").alias("n"), F.col("back") == F.concat(F.coalesce("t", F.lit("")), F.lit("\x01")),
+        F.coalesce(F.length("t"), F.lit(0)).alias("m")).collect()
+    assert [r.k for r in rows] == list(range(1000)) and all(r[2] and r.n == r.m for r in rows)
+    assert tokenize_column(df.where("k < 0"), "t", Watched).count() == 0

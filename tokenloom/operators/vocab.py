@@ -1,8 +1,8 @@
 """B2/B3 with a user-supplied vocabulary (plug point).
 
 The byte tokenizer is native. A real vocabulary runs as Arrow batches in
-``mapInArrow``; the tokenizer is built once per Python worker from the
-user's factory. Only the text -> ids step is Python: truncation, padding,
+``mapInArrow``, cut into slices of bounded size; the tokenizer is built once
+per Python worker from the user's factory. Only the text -> ids step is Python: truncation, padding,
 labels and masks stay native expressions on the returned id column.
 
 A tokenizer is any object with ``encode_batch(list[str]) -> list[list[int]]``
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from ..fixed import BYTE_OFFSET, SPECIAL_TOKENS
-from ..functions.util import worker_instance
+from ..functions.util import bounded_slices, worker_instance
 
 
 def tokenize_column(df: DataFrame, text_col: str, tokenizer_factory: Callable,
@@ -31,12 +31,12 @@ def tokenize_column(df: DataFrame, text_col: str, tokenizer_factory: Callable,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = worker_instance(tokenizer_factory)
-        for b in batches:
-            texts = ["" if t is None else t for t in b.column(text_col).to_pylist()]
-            ids = tok.encode_batch(texts) if texts else []
-            if limit is not None:
-                ids = [x[:limit] for x in ids]
-            yield b.append_column(out_col, pa.array(ids, type=pa.list_(pa.int32())))
+        for whole in batches:
+            for b in bounded_slices(whole, text_col):
+                ids = tok.encode_batch(["" if t is None else t for t in b.column(text_col).to_pylist()])
+                if limit is not None:
+                    ids = [x[:limit] for x in ids]
+                yield b.append_column(out_col, pa.array(ids, type=pa.list_(pa.int32())))
 
     return df.mapInArrow(run, schema)
 
@@ -47,9 +47,10 @@ def detokenize_column(df: DataFrame, ids_col: str, tokenizer_factory: Callable,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = worker_instance(tokenizer_factory)
-        for b in batches:
-            ids = [x or [] for x in b.column(ids_col).to_pylist()]
-            yield b.append_column(out_col, pa.array(tok.decode_batch(ids) if ids else [], type=pa.string()))
+        for whole in batches:
+            for b in bounded_slices(whole, ids_col):
+                ids = [x or [] for x in b.column(ids_col).to_pylist()]
+                yield b.append_column(out_col, pa.array(tok.decode_batch(ids), type=pa.string()))
 
     return df.mapInArrow(run, schema)
 
