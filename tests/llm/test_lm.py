@@ -1,5 +1,6 @@
 import collections
 import math
+import time
 import zlib
 
 import numpy as np
@@ -35,6 +36,39 @@ def test_trie(tmp_path):
     assert none.look_up([1], [2], [3])[1].tolist() == [0]
 
 
+def test_packed_bits():
+    r = np.random.default_rng(3)
+    for width in (0, 1, 7, 8, 21, 33, 56):
+        for n in (0, 1, 63, 64, 65, 300):
+            v = r.integers(0, 1 << 62, n).astype(np.uint64)
+            got = E.unpack_bits(E.pack_bits(v, width), np.arange(n), width)
+            assert (got == v & np.uint64((1 << width) - 1)).all()
+    words = np.append(r.integers(0, 1 << 63, 200).astype(np.uint64) * np.uint64(2), np.uint64(2**64 - 1))
+    for k in range(64):
+        some = words[np.bitwise_count(words) > k]
+        places = [[i for i in range(64) if x >> i & 1][k] for x in some.tolist()]
+        assert E.select_bit(some, np.full(len(some), k, np.uint64)).tolist() == places
+
+
+def test_shuffle_files_go(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = disk.getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    rows = docs_frame(spark, [(i, f"a{i % 7} b{i % 5} c", 1) for i in range(40)])
+    L.learn_and_score(rows, chunk_tokens=64, shard_entries=32)  # its steps are written, its sums aren't made
+    for _ in range(50):
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+
+
 def test_packed_arrays():
     for a, delta in ((np.array([], np.int64), False), (np.array([3, 5, 900]), True), (np.array([-1, 7]), False),
                      (np.array([1, 2**40]), False)):

@@ -17,6 +17,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def write_table(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet; its shuffle files go when it is written, not
+    when the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (``lower`` would also change other letters)."""
     return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())

@@ -7,33 +7,54 @@ import json
 
 import numpy as np
 
-_POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 #: Place of the k-th set bit of a byte.
 _SELECT = np.zeros((256, 8), np.uint8)
 for _b in range(256):
     for _k, _i in enumerate([i for i in range(8) if _b >> i & 1]):
         _SELECT[_b, _k] = _i
+_ONES, _HIGH = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_STEP = 1 << 15  # places that are looked up at a time
 
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
-    """``width`` low bits of each value, one after the other."""
-    parts = [np.zeros(0, np.uint8)]
-    for i in range(0, len(values) if width else 0, 1 << 16):  # whole bytes
-        bits = (values[i:i + (1 << 16), None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-        parts.append(np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"))
-    return np.concatenate([*parts, np.zeros(8, np.uint8)])
+    """``width`` low bits of each value, one after the other, in whole words of
+    64 bits and one more. 64 values fill ``width`` words."""
+    n = len(values) if width else 0
+    words = np.zeros((-(-n // 64), width), np.uint64)
+    rows = np.zeros((len(words), 64), np.uint64)
+    if n:
+        rows.ravel()[:n] = np.asarray(values, np.uint64) & np.uint64((1 << width) - 1)
+    columns = np.ascontiguousarray(rows.T)
+    for j in range(64 if n else 0):
+        word, shift = divmod(j * width, 64)
+        words[:, word] |= columns[j] << np.uint64(shift)
+        if shift + width > 64:
+            words[:, word + 1] |= columns[j] >> np.uint64(64 - shift)
+    return np.append(words.ravel()[:-(-n * width // 64)], np.uint64(0)).view(np.uint8)
 
 
 def unpack_bits(data: np.ndarray, index: np.ndarray, width: int) -> np.ndarray:
     """The values of ``pack_bits`` at the places ``index`` (width <= 56)."""
     if not width:
         return np.zeros(len(index), np.uint64)
+    words = data.view(np.uint64)
     bit = index.astype(np.int64) * width
-    byte = bit >> 3
-    out = np.zeros(len(index), np.uint64)
-    for j in range(8):
-        out |= data[byte + j].astype(np.uint64) << np.uint64(8 * j)
-    return (out >> (bit & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
+    at, shift = bit >> 6, (bit & 63).astype(np.uint64)
+    # A shift by 64 isn't defined; by 1 and then 63 it is.
+    out = words[at] >> shift | words[at + 1] << np.uint64(1) << (np.uint64(63) - shift)
+    return out & np.uint64((1 << width) - 1)
+
+
+def select_bit(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th set bit (from 0) of each word of 64 bits."""
+    count = words - (words >> np.uint64(1) & np.uint64(0x5555555555555555))
+    count = ((count & np.uint64(0x3333333333333333))
+             + (count >> np.uint64(2) & np.uint64(0x3333333333333333)))
+    upto = (count + (count >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _ONES  # bits up to each byte's end
+    before = ((k * _ONES | _HIGH) - upto & _HIGH) >> np.uint64(7)  # bytes that end before the bit
+    shift = (before * _ONES >> np.uint64(56)) << np.uint64(3)
+    left = k - (upto << np.uint64(8) >> shift & np.uint64(255))
+    return shift + _SELECT[words >> shift & np.uint64(255), left]
 
 
 class EliasFano:
@@ -52,29 +73,20 @@ class EliasFano:
         high = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         flags = np.zeros((int(high[-1]) if n else 0) + 1, np.uint8)
         flags[high] = 1
-        bits = np.packbits(flags, bitorder="little")
-        ranks = np.concatenate([[0], np.cumsum(_POPCOUNT[bits], dtype=np.int64)])[::8].astype(np.uint32)
-        return cls({"low": pack_bits(values, low_bits), "high": bits, "ranks": ranks}, n, low_bits)
+        bits = np.packbits(np.append(flags, np.zeros(-len(flags) % 64, np.uint8)), bitorder="little")
+        ranks = np.concatenate([[0], np.cumsum(np.bitwise_count(bits.view(np.uint64)), dtype=np.int64)])
+        return cls({"low": pack_bits(values, low_bits), "high": bits, "ranks": ranks.astype(np.uint32)}, n, low_bits)
 
     def at(self, index: np.ndarray) -> np.ndarray:
         """Values at those places."""
         index = np.asarray(index, np.int64)
-        bits, ranks = self.parts["high"], self.parts["ranks"]
-        block = np.searchsorted(ranks, index, side="right") - 1
-        left = index - ranks[block].astype(np.int64)
-        byte = block * 8
-        place = np.zeros(len(index), np.int64)
-        open_ = np.ones(len(index), bool)
-        for _ in range(8):  # the byte that holds the wanted bit
-            b = bits[np.minimum(byte, len(bits) - 1)]
-            have = _POPCOUNT[b]
-            here = open_ & (left < have)
-            place[here] = byte[here] * 8 + _SELECT[b[here], left[here]]
-            open_ &= ~here
-            if not open_.any():
-                break
-            left = np.where(open_, left - have, left)
-            byte = np.where(open_, byte + 1, byte)
+        if len(index) > _STEP:
+            return np.concatenate([self.at(index[i:i + _STEP]) for i in range(0, len(index), _STEP)])
+        words, ranks = self.parts["high"].view(np.uint64), self.parts["ranks"]
+        # As unsigned 32-bit numbers, or all ranks would be converted.
+        block = np.searchsorted(ranks, index.astype(np.uint32), side="right") - 1
+        left = (index - ranks[block]).astype(np.uint64)
+        place = (block << 6) + select_bit(words[block], left).astype(np.int64)
         high = (place - index).astype(np.uint64) << np.uint64(self.low_bits)
         return high | unpack_bits(self.parts["low"], index, self.low_bits)
 
@@ -139,13 +151,16 @@ class Trie:
                    {"backoffs": np.asarray(backoff, np.uint16)[first2],
                     "probabilities": np.asarray(probability, np.uint16)})
 
-    def _child(self, level: str, start, end, value) -> np.ndarray:
-        """Place of ``value`` in the range, or -1."""
+    def _child(self, level: str, start, end, value, run=None) -> np.ndarray:
+        """Place of ``value`` in the range, or -1; ``run``: which of the ranges
+        is each value's, if there are fewer ranges."""
         seq = self.s[level]
         base = np.zeros(len(start), np.uint64)
         after = start > 0
         if after.any():
             base[after] = seq.at(start[after] - 1) + np.uint64(1)
+        if run is not None:
+            base, start, end = base[run], start[run], end[run]
         target = base + value.astype(np.uint64)
         at = seq.successor(target, start, end)
         found = at < end
@@ -176,14 +191,16 @@ class Trie:
         # Each run of equal contexts is searched for once.
         new = np.ones(len(u), bool)
         new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
-        node = self.pair(u[new], v[new])[np.cumsum(new) - 1]
-        backoff, found = np.zeros(len(node), np.uint16), np.zeros(len(node), np.uint16)
-        known = node >= 0
+        node, run = self.pair(u[new], v[new]), np.cumsum(new) - 1
+        backoff, found = np.zeros(len(u), np.uint16), np.zeros(len(u), np.uint16)
+        known = (node >= 0)[run]
         if known.any():
-            node, w = node[known], np.asarray(w, np.int64)[known]
-            backoff[known] = self.a["backoffs"][node]
+            w, run = np.asarray(w, np.int64)[known], (np.cumsum(node >= 0) - 1)[run[known]]
+            node = node[node >= 0]
+            backoff[known] = self.a["backoffs"][node][run]
             p = self.s["pointers2"]
-            at = self._child("triples", p.at(node).astype(np.int64), p.at(node + 1).astype(np.int64), w)
+            start, end = p.at(node).astype(np.int64), p.at(node + 1).astype(np.int64)
+            at = self._child("triples", start, end, w, run)
             hit = np.zeros(len(at), np.uint16)
             hit[at >= 0] = self.a["probabilities"][at[at >= 0]]
             found[known] = hit

@@ -20,7 +20,8 @@ most. Shards add up the training counts and reply. A shard of triples writes
 an Elias-Fano trie (``elias_fano.Trie``) with quantised probabilities and
 back-offs, memory-maps it and answers by successor search in the context's
 range; a context that holds much of a shard is dealt by its third word, too.
-Shards and chunks are bounded, and their number grows with the corpus.
+Shards and chunks are bounded, and their number grows with the corpus. The
+shuffle files of a step go as soon as its replies are written.
 
 Cases: a null text counts as empty: its one token is the end. A null doc_id
 is learned from and never held out. Rows may repeat; each is learned from and
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import fold_column, mix64, text_or_empty
+from .common import fold_column, mix64, text_or_empty, write_table
 from .elias_fano import Trie
 
 CHUNK_TOKENS = 1 << 20
@@ -329,7 +330,7 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
         if writer.made:
             yield batch(writer.made, _MADE)
 
-    rows.mapInArrow(write_chunks, _MADE).write.parquet(f"{home}/manifest")
+    write_table(rows.mapInArrow(write_chunks, _MADE), f"{home}/manifest")
     manifest = spark.read.parquet(f"{home}/manifest")
     n_chunks, tokens, learned, texts = manifest.agg(
         F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "learned", "texts")]).first()
@@ -348,8 +349,8 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
                 counts = np.bincount(c.w, c.learned, minlength=len(c.code)).astype(np.int64)
                 yield from requests(name, shard_of_words(c.code), [c.code, counts])
 
-    (manifest.select("chunk").repartition(tasks).mapInArrow(ask_words, _REQUEST)
-     .groupBy("shard").applyInArrow(count_shard(True), _REPLY).write.parquet(f"{home}/words"))
+    write_table(manifest.select("chunk").repartition(tasks).mapInArrow(ask_words, _REQUEST)
+                .groupBy("shard").applyInArrow(count_shard(True), _REPLY), f"{home}/words")
     replies = spark.read.schema(_REPLY).parquet(f"{home}/words")
     known = {r["shard"]: unpack(unframe(bytes(r["payload"]))[0]) for r in replies.where("chunk = ''").collect()}
     sizes = np.zeros(shards, np.int64)  # one number a shard
@@ -438,8 +439,8 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
         c = Counted(Folder(files), name, got)
         yield from requests(name, c.pair_shard, [c.pairs[c.asked], c.learned[c.asked]])
 
-    (replies.where("chunk <> ''").groupBy("chunk").applyInArrow(ask_pairs, _REQUEST)
-     .groupBy("shard").applyInArrow(count_shard(False), _REPLY).where("chunk <> ''").write.parquet(f"{home}/pairs"))
+    write_table(replies.where("chunk <> ''").groupBy("chunk").applyInArrow(ask_pairs, _REQUEST)
+                .groupBy("shard").applyInArrow(count_shard(False), _REPLY).where("chunk <> ''"), f"{home}/pairs")
 
     # Triples.
     def ask_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,11 +460,18 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
         if not chunks:
             return
         uv, w, n, context, p2 = (np.concatenate(x) for x in zip(*entries))
-        order = np.lexsort((w, uv))
-        uv, w, n, context, p2 = (x[order] for x in (uv, w, n, context, p2))
         del entries
+        # By (uv, w): contexts are numbered, so that one key orders both.
+        head = np.ones(len(uv), bool)
+        head[1:] = uv[1:] != uv[:-1]
+        rank = np.unique(uv[head], return_inverse=True)[1][np.cumsum(head) - 1]
+        key = rank.astype(np.int64) << np.int64(32) | w
+        order = np.argsort(key, kind="stable")  # sorted runs, one a chunk
+        key = key[order]
         new = np.ones(len(uv), bool)
-        new[1:] = (uv[1:] != uv[:-1]) | (w[1:] != w[:-1])
+        new[1:] = key[1:] != key[:-1]
+        del head, rank, key
+        uv, w, n, context, p2 = (x[order] for x in (uv, w, n, context, p2))
         asked = np.flatnonzero(new)  # the distinct entries, sorted
         total = np.add.reduceat(n, asked) if len(asked) else n
         first, total = asked[total > 0], total[total > 0]
@@ -482,8 +490,8 @@ def learn_and_score(docs: DataFrame, fold: int = 5, held_out: int = 1, chunk_tok
         for chunk, part in zip(chunks, np.split(code, np.cumsum(sizes)[:-1])):
             yield batch([(chunk, number, pack(part))], _REPLY)
 
-    (spark.read.schema(_REPLY).parquet(f"{home}/pairs").groupBy("chunk").applyInArrow(ask_triples, _REQUEST)
-     .groupBy("shard").applyInArrow(trie_shard, _REPLY).write.parquet(f"{home}/triples"))
+    write_table(spark.read.schema(_REPLY).parquet(f"{home}/pairs").groupBy("chunk").applyInArrow(ask_triples, _REQUEST)
+                .groupBy("shard").applyInArrow(trie_shard, _REPLY), f"{home}/triples")
 
     # Sums.
     partial = "row long, doc_id long, null boolean, held_out boolean, n_tokens long, n_known long, base double, score double"
