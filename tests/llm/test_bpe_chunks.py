@@ -1,6 +1,8 @@
+import gc
 import hashlib
 import random
 
+import pyarrow as pa
 from cases import LONG, ROWS, docs_frame, empty_docs
 from tokenizers import Tokenizer
 from tokenloom.llm import bpe_chunks as B
@@ -35,6 +37,27 @@ def test_forgetting_changes_nothing():
     check(texts[:10], encoder)
 
 
+def test_parts_are_left_alone_by_the_collector():
+    encoder = B.ChunkEncoder(PATH)
+    check([LONG], encoder)
+    gc.collect()
+    assert len(encoder.words) > 500 and not any(map(gc.is_tracked, encoder.words.values()))
+
+
+def test_a_task_leaves_nothing_in_its_worker(spark):
+    docs = docs_frame(spark).coalesce(1)
+    B.encoding_digests(docs, PATH).collect()
+
+    def held(batches):
+        for _ in batches:
+            found = B._ENCODERS.get(PATH)
+            yield pa.RecordBatch.from_pydict({"n": [len(found.words) + len(found.chunks) if found else 0]})
+
+    assert sum(r.n for r in docs.mapInArrow(held, "n long").collect()) == 0
+    cut = list(B.slices(pa.RecordBatch.from_pydict({"t": ["ab", "", "c", "d" * 9, "e", ""]}), 4))
+    assert [b.column(0).to_pylist() for b in cut] == [["ab", "", "c"], ["d" * 9], ["e", ""]]
+
+
 def test_frame(spark):
     tokenizer = Tokenizer.from_file(PATH)
     docs = docs_frame(spark).withColumnRenamed("score", "N_Tokens")

@@ -1,7 +1,7 @@
 """BPE encoding and decoding with reuse of content-defined chunks.
 
 A rolling hash cuts each text into chunks of some hundred bytes. A chunk that
-documents share is encoded once as long as a worker remembers it. The ids
+documents share is encoded once as long as a task remembers it. The ids
 near a chunk's ends depend on its neighbours, so each chunk keeps its ids
 between its first and last space only (white space always ends a token of
 this vocabulary), and every join is repaired by re-encoding the text from the
@@ -16,21 +16,24 @@ an output column; those are replaced.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batched, text_or_empty
+from .common import text_or_empty
 from .fingerprints import chunk_ends
 from .memo import PieceMemo, load_tokenizer, lower_case_words
 
 CHUNKING = {"least": 128, "normal": 256, "most": 2048, "strict_bits": 9, "loose_bits": 6}
-CHUNK_LIMIT = 30_000  # chunks that a worker remembers
+CHUNK_LIMIT = 30_000  # chunks that a task remembers
+SLICE_BYTES = 1 << 20  # of texts that are Python objects at a time
 
 
 class Encoded(NamedTuple):
@@ -41,7 +44,10 @@ class Encoded(NamedTuple):
     text: str
 
 
-EMPTY = Encoded(0, "", "")
+#: Parts of a text are plain tuples of the same fields: they are many, and
+#: Python's collector of cycles looks at named ones again and again.
+Part = tuple[int, str, str]
+EMPTY: Part = (0, "", "")
 
 
 class Chunk:
@@ -61,9 +67,12 @@ class Chunk:
             self.middle = text[first + 1:last].split(" ") if last > first else EMPTY
 
 
-def join(parts: list[Encoded]) -> Encoded:
-    parts = [p for p in parts if p.n]
-    return Encoded(sum([p.n for p in parts]), " ".join([p.ids for p in parts]), " ".join([p.text for p in parts]))
+def join(parts: list[Part]) -> Part:
+    parts = [p for p in parts if p[0]]
+    if len(parts) == 1:
+        return parts[0]
+    return (sum([n for n, _, _ in parts]), " ".join([ids for _, ids, _ in parts]),
+            " ".join([text for _, _, text in parts]))
 
 
 def text_chunks(text: str) -> list[bytes]:
@@ -86,11 +95,22 @@ class ChunkEncoder:
         if tokenizer.decoder is not None:
             raise ValueError("the vocabulary must decode by joining tokens with spaces")
         names = [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
-        self.words = PieceMemo(tokenizer, lower_case_words, lambda ids: Encoded(
-            len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids])), join, limit=150_000)
+        decimal = [str(i) for i in range(len(names))]
+
+        def part(ids: list[int]) -> Part:
+            if len(ids) == 1:
+                return 1, decimal[ids[0]], names[ids[0]]
+            return len(ids), " ".join([decimal[i] for i in ids]), " ".join([names[i] for i in ids])
+
+        self.words = PieceMemo(tokenizer, lower_case_words, part, join, limit=150_000)
         self.chunks: dict[bytes, Chunk] = {}
         self.chunk_limit, self.reused, self.seen = chunk_limit, 0, 0
 
+    def forget(self) -> None:
+        """Drop all that is remembered; the vocabulary stays."""
+        self.words.forget()
+        self.chunks = {}
+
     def _chunk(self, data: bytes, new: list[Chunk]) -> Chunk:
         self.seen += 1
         found = self.chunks.get(data)
@@ -129,7 +149,7 @@ class ChunkEncoder:
         for chunk in new:
             if type(chunk.middle) is list:
                 chunk.middle = join(list(map(word, chunk.middle)))
-        return [join([word(p) if type(p) is str else p.middle for p in plan]) for plan in plans]
+        return [Encoded(*join([word(p) if type(p) is str else p.middle for p in plan])) for plan in plans]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -142,6 +162,18 @@ def chunk_encoder(path: str) -> ChunkEncoder:
     return _ENCODERS[path]
 
 
+def slices(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts (the last column) have about ``most`` bytes together; a
+    longer one is a slice of its own."""
+    sizes = pc.binary_length(b.column(b.num_columns - 1)).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < b.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + most, "right")))
+        yield b.slice(at, end - at)
+        at = end
+
+
 def _encode(docs: DataFrame, tokenizer_path: str, fields: list[tuple[str, pa.DataType, str]],
             row_of: Callable[[Encoded], tuple], text_col: str) -> DataFrame:
     """Replace ``text_col`` by the fields that ``row_of`` makes."""
@@ -153,15 +185,19 @@ def _encode(docs: DataFrame, tokenizer_path: str, fields: list[tuple[str, pa.Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_encoder(tokenizer_path)
-        for b in batches:
-            texts = b.column(len(kept)).to_pylist()
-            at = 0
-            for group in batched(texts, len, 1 << 20):
-                made = list(zip(*[row_of(e) for e in encoder.encode(group)]))
-                columns = [b.column(i).slice(at, len(group)) for i in range(len(kept))]
-                columns += [pa.array(c, t) for c, (_, t, _) in zip(made, fields)]
-                yield pa.RecordBatch.from_arrays(columns, names=kept + [f[0] for f in fields])
-                at += len(group)
+        gc.disable()  # what is remembered has no cycles, and looking for them takes long
+        try:
+            for b in batches:
+                for part in slices(b, SLICE_BYTES):
+                    made = list(zip(*[row_of(e) for e in encoder.encode(part.column(len(kept)).to_pylist())]))
+                    columns = [part.column(i) for i in range(len(kept))]
+                    columns += [pa.array(c, t) for c, (_, t, _) in zip(made, fields)]
+                    yield pa.RecordBatch.from_arrays(columns, names=kept + [f[0] for f in fields])
+        finally:
+            encoder.forget()  # the worker stays, for other work too
+            gc.enable()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, ddl)
 

@@ -43,10 +43,15 @@ def byte_level_words(piece: str) -> list[str] | None:
 
 def lower_case_words(piece: str) -> list[str] | None:
     """The same for the vocabulary that lower-cases and drops white space."""
-    if not _PLAIN.match(piece) or "<|" in piece:
-        return None
     lowered = piece.lower()
-    return _LOWER_CASE.findall(lowered) if _PLAIN.match(lowered) else None
+    if piece.isascii():  # so is the lowered one
+        if piece.isalpha():
+            return [lowered]
+        if not _PLAIN.match(piece) or "<|" in piece:
+            return None
+    elif not _PLAIN.match(piece) or "<|" in piece or not _PLAIN.match(lowered):
+        return None
+    return _LOWER_CASE.findall(lowered)
 
 
 def _byte_letters() -> list[str]:
@@ -75,9 +80,10 @@ class PieceMemo(dict):
         self.model, self.letters = tokenizer.model, _byte_letters()
 
     def _word(self, word: str):
-        plain = word[1:] if word[:1] == " " else word
-        if plain.isascii() and plain.isalpha():
-            letters = word if plain is word else self.letters[32] + plain
+        if word.isascii() and word.isalpha():
+            letters = word
+        elif word[0] == " " and word.isascii() and word[1:].isalpha():
+            letters = self.letters[32] + word[1:]
         else:
             letters = "".join([self.letters[b] for b in word.encode()])
         found = self.convert([t.id for t in self.model.tokenize(letters)])
@@ -85,11 +91,17 @@ class PieceMemo(dict):
             self.words[word] = found
         return found
 
+    def forget(self) -> None:
+        """Drop all that is remembered."""
+        self.clear()
+        self.words.clear()
+        self.long = []
+
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode those pieces that aren't known."""
         for p in self.long:
             self.pop(p, None)
-        needed = set(pieces)
+        needed = pieces if isinstance(pieces, set) else set(pieces)
         missing = [p for p in needed if p not in self]
         if len(self) + len(missing) > self.limit:
             kept = {p: self[p] for p in needed if p in self}
@@ -97,16 +109,18 @@ class PieceMemo(dict):
             self.update(kept)
         if len(self.words) > self.limit:
             self.words.clear()
-        self.long = [p for p in missing if len(p) > self.longest]
-        rare, words = [], self.words
+        longest, prefix, words_of, word = self.longest, self.prefix, self.words_of, self._word
+        self.long = [p for p in missing if len(p) > longest]
+        rare, known = [], self.words.get
         for p in missing:
-            cut = self.words_of(self.prefix + p)
+            cut = words_of(prefix + p)
             if cut is None:
                 rare.append(p)
             elif len(cut) == 1:
-                self[p] = words.get(cut[0]) or self._word(cut[0])
+                cut = cut[0]
+                self[p] = known(cut) or word(cut)
             else:
-                self[p] = self.combine([words.get(w) or self._word(w) for w in cut])
+                self[p] = self.combine([known(w) or word(w) for w in cut])
         for i in range(0, len(rare), 2048):
             part = rare[i:i + 2048]
             encoded = self.tokenizer.encode_batch_fast([self.prefix + p for p in part], add_special_tokens=False)
