@@ -2,6 +2,7 @@ import io
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import ROWS, docs_frame, empty_docs
 from tokenizers import Tokenizer
@@ -22,6 +23,15 @@ def test_pieces_give_the_library_s_ids():
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_that_are_not_cut_off():
+    pieces = ["", "a", "\t", "~x", "\x7f", "é", "\xa0x", "\u2003", "漢", "!", "\u200bq", "\x01", "z"]
+    wanted = [not p or p[0] < "!" or (p[0] > "~" and T.UNSAFE_AFTER_SPACE.match(p) is not None) for p in pieces]
+    column = pa.array(pieces, pa.large_string())
+    assert T.ByteBpe._unsafe(column, pieces).tolist() == wanted
+    assert T.ByteBpe._unsafe(column[3:], pieces[3:]).tolist() == wanted[3:]
+    assert T.ByteBpe._unsafe(column[:1], [""]).tolist() == [True]
+
+
 def test_file_reads_only_what_is_asked():
     docs = [(i if i != 3 else None, np.arange(i * 7, dtype="<u4").tobytes()) for i in range(60)]
     out = io.BytesIO()

@@ -26,6 +26,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -165,6 +166,7 @@ _PACKED = [struct.Struct(f"<{n}I") for n in range(64)]
 
 
 def _id_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit."""
     return _PACKED[len(ids)].pack(*ids) if len(ids) < len(_PACKED) else np.array(ids, "<u4").tobytes()
 
 
@@ -173,7 +175,7 @@ class ByteBpe:
 
     Texts are split at spaces, and equal pieces are found, by Arrow; only the
     distinct pieces of a batch are looked at in Python. Their ids lie in one
-    array, from which numpy gathers those of all texts. Texts with a piece that
+    column, from which Arrow gathers those of all texts. Texts with a piece that
     may not be cut off (white space runs) are put together piece by piece.
     """
 
@@ -189,10 +191,9 @@ class ByteBpe:
         pieces = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         at = pieces.offsets.to_numpy().astype(np.int64)
         coded = pieces.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy().astype(np.int64)
+        codes = coded.indices.to_numpy()
         distinct = coded.dictionary.to_pylist()
-        unsafe = np.array([not p or p[0] < "!" or (p[0] > "~" and UNSAFE_AFTER_SPACE.match(p) is not None)
-                           for p in distinct], bool)
+        unsafe = self._unsafe(coded.dictionary, distinct)
         bad = unsafe[codes]
         bad[at[:-1]] = False  # no space before a first piece
         whole = np.add.reduceat(bad, at[:-1]) == 0
@@ -205,26 +206,38 @@ class ByteBpe:
         firsts = [distinct[k] for k in codes[at[:-1]].tolist()]
         self.first.learn([p for p, fine in zip(firsts, whole.tolist()) if fine])
         used = np.zeros(len(distinct), bool)
-        inner = np.repeat(whole, np.diff(at))
+        kept = np.repeat(whole, np.diff(at))
+        inner = kept.copy()
         inner[at[:-1]] = False
         used[codes[inner]] = True
-        self.rest.learn([p for p, u in zip(distinct, used.tolist()) if u])
-        entries = [self.rest[p] if u else b"" for p, u in zip(distinct, used.tolist())]
+        needed = list(compress(distinct, used.tolist()))
+        self.rest.learn(needed)
+        entries = list(map(self.rest.__getitem__, needed))
         entries += [self.first[p] if fine else b"" for p, fine in zip(firsts, whole.tolist())]
-        codes[at[:-1]] = len(distinct) + np.arange(len(texts))
-        kept = np.repeat(whole, np.diff(at))
-
-        ids = np.frombuffer(b"".join(entries), "<u4")
-        size = np.array([len(e) for e in entries], np.int64) // 4
-        begin = np.cumsum(size) - size
-        length = np.where(kept, size[codes], 0)
-        end = np.cumsum(length)
-        gathered = ids[np.repeat(begin[codes] - (end - length), length) + np.arange(int(end[-1]))]
-        upto = np.concatenate([[0], end[at[1:] - 1]])
+        place = np.cumsum(used, dtype=np.int32) - np.int32(1)
+        where = place[codes]
+        where[at[:-1]] = np.arange(len(needed), len(entries))
+        upto = at if whole.all() else np.concatenate([[0], np.cumsum(kept)])[at]
+        gathered = pa.array(entries, pa.large_binary()).take(pa.array(where if upto is at else where[kept]))
+        ends = np.frombuffer(gathered.buffers()[1], np.int64, len(gathered) + 1)[upto].tolist()
+        data = memoryview(gathered.buffers()[2] or b"")
         for i in np.flatnonzero(whole).tolist():
-            out[i] = gathered[upto[i]:upto[i + 1]].tobytes()
+            out[i] = data[ends[i]:ends[i + 1]].tobytes()
         return out
 
+    @staticmethod
+    def _unsafe(column: pa.Array, pieces: list[str]) -> np.ndarray:
+        """Which of the pieces may not be cut off at the space before them;
+        most begin with a printable ASCII character and are safe."""
+        starts = np.frombuffer(column.buffers()[1], np.int64, len(pieces) + 1, 8 * column.offset)
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+        head = np.append(data, np.uint8(0))[np.minimum(starts[:-1], len(data))]
+        unsafe = (starts[1:] == starts[:-1]) | (head < ord("!"))
+        for i in np.flatnonzero(~unsafe & (head > ord("~"))).tolist():
+            p = pieces[i]
+            unsafe[i] = p[0] < "!" or (p[0] > "~" and UNSAFE_AFTER_SPACE.match(p) is not None)
+        return unsafe
+
     def _by_pieces(self, texts: list[str]) -> list[bytes]:
         cut = [safe_pieces(t) for t in texts]
         self.first.learn([c[0] for c in cut])
