@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import mix64, text_or_empty
+from .common import mix64, text_or_empty, write_table
 
 SKETCH = 256
 ESTIMATE_SLACK = 0.13  # 5.2 standard deviations at SKETCH values
@@ -205,7 +205,8 @@ def sketch_rows(docs: DataFrame, size: int, similarity: float, rarity: Broadcast
 # -- tables in the shared folder ------------------------------------------------
 
 class Scratch:
-    """Tables below one folder of the shared storage; they cut lineage."""
+    """Tables below one folder of the shared storage; they cut lineage, and
+    their shuffle files go when they are written."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folder, self.made = spark, shared_path(spark, "near-dedup"), 0
@@ -213,7 +214,7 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         self.made += 1
         path = f"{self.folder}/{self.made}"
-        df.write.parquet(path)
+        write_table(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
