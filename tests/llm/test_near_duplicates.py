@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -181,3 +182,21 @@ def test_keep_one_of_each_component(spark):
 def test_empty(spark):
     assert K.near_duplicates(empty_docs(spark), 2).count() == 0
     assert K.keep_one(empty_docs(spark)).count() == 0
+
+
+def test_a_kept_table_leaves_no_shuffle(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = disk.getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    kept = K.Scratch(spark).keep(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert kept.agg(F.sum("count")).first()[0] == 1000
