@@ -82,3 +82,12 @@ def test_empty_table_and_wanted(spark):
     manifest = T.write_token_files(docs_frame(spark), shared_path(spark, "t"), PATH, frame_tokens=64, parts=3)
     some = T.read_token_files(manifest, "doc_id long, n long", lambda s, n, d, ids: (d, n), wanted={12, -4}).collect()
     assert sorted(r.doc_id for r in some) == [-4, 12]
+
+
+def test_memory_of_pieces_is_bounded():
+    encoder = T.ByteBpe(PATH)
+    for g in range(5):
+        words = [f"q{i}" for i in range(g * 100_000, (g + 1) * 100_000)]
+        encoder.encode([" ".join(words[i:i + 1000]) for i in range(0, len(words), 1000)])
+    assert len(encoder.first) <= len(encoder.rest) <= 400_000 and len(encoder.first.words) <= 500_000
+    assert encoder.encode(["q1 q2"]) == T.ByteBpe(PATH).encode(["q1 q2"])

@@ -51,7 +51,7 @@ INDEX_MARK = b"docindex"
 FRAME_TOKENS = 1 << 16
 END_ID = 0
 LEVEL = 3
-REMEMBERED = 1_000_000  # pieces, and words, whose ids a Python worker keeps; about 0.2 GB
+REMEMBERED = 400_000  # pieces, and words, whose ids a Python worker keeps; about 0.1 GB
 
 
 class FrameWriter:
@@ -299,6 +299,7 @@ def write_token_files(docs: DataFrame, target: str, tokenizer_path: str, end_id:
                     state = (run, name, out, FrameWriter(out, frame_tokens))
                 state[3].add(doc_id, ids + end)
         close()
+        pa.default_memory_pool().release_unused()  # the worker stays, for other work too
         if done:
             types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)],
