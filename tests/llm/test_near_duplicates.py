@@ -200,3 +200,25 @@ def test_a_kept_table_leaves_no_shuffle(spark):
         time.sleep(0.2)
     assert not shuffled() - before
     assert kept.agg(F.sum("count")).first()[0] == 1000
+
+
+def test_lists_hold_the_rarest_values_by_exact_counts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(K, "CHUNK_VALUES", 3000)
+    monkeypatch.setattr(K, "SHARD_VALUES", 500)
+    r = np.random.default_rng(5)
+    common = r.integers(-2**62, 2**62, 1200)
+    sketches = []
+    for i in range(300):
+        own = r.integers(-2**62, 2**62, int(r.integers(0, 20)))
+        some = r.choice(common, int(r.integers(1, K.SKETCH - 20)), replace=False)
+        sketches.append(np.unique(np.concatenate([own, some])))
+    path = str(tmp_path / "nodes")
+    spark.createDataFrame([(i, len(s), s.tolist()) for i, s in enumerate(sketches)],
+                          "node long, n long, sketch array<long>").repartition(3).write.parquet(path)
+    found = K.list_rows(spark.read.parquet(path), 0.8, f"file://{tmp_path}/chunks").collect()
+    count = dict(zip(*[x.tolist() for x in np.unique(np.concatenate(sketches), return_counts=True)]))
+    wanted = set()
+    for i, s in enumerate(sketches):
+        order = sorted(s.tolist(), key=lambda v: (count[v], v))[:K.keys_needed(len(s), 0.8)]
+        wanted.update((i, len(s), p, v) for p, v in enumerate(order) if count[v] > 1)
+    assert len(found) == len(wanted) and {tuple(x) for x in found} == wanted

@@ -6,8 +6,9 @@
 2. Two sets with a Jaccard similarity of 0.8 or more differ in few of the
    retained values, so under any common order of values they share one of the
    first ``keys_needed`` values of both sketches. The order puts values that
-   are rare in the corpus first: counts of all shingles in a hashed table of
-   fixed size give the rarity. Inverted lists of these values generate pairs.
+   are rare in the corpus first, by exact counts: chunks of sketches ask shards,
+   to which values are dealt by hash, once for each distinct value. Inverted
+   lists of these values generate pairs; a value of one node alone has no list.
 3. Places in the lists' order bound what two sets can have in common, before a
    pair is made. A sketch of at most ``SKETCH`` values is the full set: such
    pairs are decided at once. For larger sets the smallest values of the two
@@ -41,19 +42,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
 from .common import mix64, text_or_empty, write_table
+from .lm_scoring import (_REPLY, _REQUEST, Folder, count_shard, frame, pack, replies_in_order, requests, unframe,
+                         unpack)
 
 SKETCH = 256
 ESTIMATE_SLACK = 0.13  # 5.2 standard deviations at SKETCH values
 SHARED = 3  # lists that a pair must share, if linked sets must share so many
 BATCH_BYTES = 4 << 20  # of texts whose sets are made at a time
 RARITY_BITS = 22
+CHUNK_VALUES = 1 << 20  # retained values that ask for their counts at a time
+SHARD_VALUES = 1 << 20  # about so many are counted at a time
 SLOTS = 64  # nodes are dealt to so many slots, which lead one after the other
 #: The rest of the pairs is tried at once when there are so many for each row
 #: of the lists at most.
@@ -147,59 +150,82 @@ def choose_keys(values: np.ndarray, rarity: np.ndarray, similarity: float) -> np
     return sketch[order[:keys_needed(len(values), similarity)]]
 
 
-def value_rarity(docs: DataFrame, size: int) -> np.ndarray:
-    """Logarithmic counts of all retained values in 2**RARITY_BITS hashed
-    cells. Each task sends one compressed table; cells are added up by ranges."""
-    ranges, cells = 64, 1 << RARITY_BITS
-    width = cells // ranges
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.int32)
-        for _, sets in set_batches(batches, size):
-            np.add.at(total, cell_of(np.concatenate([s[:SKETCH] for s in sets])), 1)
-        pack = zstandard.ZstdCompressor(level=1).compress
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(ranges), pa.int32()),
-             pa.array([pack(total[i * width:(i + 1) * width].tobytes()) for i in range(ranges)], pa.binary())],
-            names=["part", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, part = np.zeros(width, np.int64), 0
-        unpack = zstandard.ZstdDecompressor().decompress
-        for b in batches:
-            part = b.column(0)[0].as_py()
-            for c in b.column(1).to_pylist():
-                total += np.frombuffer(unpack(c), np.int32)
-        level = (4 * np.log2(total + 1.0)).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([level.tobytes()])],
-                                         names=["part", "levels"])
-
-    rows = (docs.select(text_or_empty().alias("text")).mapInArrow(count, "part int, counts binary")
-            .groupBy("part").applyInArrow(add, "part int, levels binary").collect())  # 2**RARITY_BITS bytes
-    out = np.zeros(cells, np.uint8)
-    for r in rows:
-        out[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(bytes(r["levels"]), np.uint8)
-    return out
-
-
-def sketch_rows(docs: DataFrame, size: int, similarity: float, rarity: Broadcast) -> DataFrame:
-    """(doc_id, text_hash, digest, n, sketch, keys) of every row."""
+def sketch_rows(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, text_hash, digest, n, sketch) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        longs = pa.list_(pa.int64())
         for part, sets in set_batches(batches, size):
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                  pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s[:SKETCH] for s in sets], longs),
-                 pa.array([choose_keys(s, rarity.value, similarity) for s in sets], longs)],
-                names=["doc_id", "text_hash", "digest", "n", "sketch", "keys"])
+                 pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "digest", "n", "sketch"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"),
                         text_or_empty().alias("text"))
-            .mapInArrow(run, "doc_id long, text_hash long, digest binary, n long, sketch array<long>, "
-                             "keys array<long>"))
+            .mapInArrow(run, "doc_id long, text_hash long, digest binary, n long, sketch array<long>"))
+
+
+def list_rows(nodes: DataFrame, similarity: float, folder: str) -> DataFrame:
+    """(node, n, place, key) of the values that each node (node, n, sketch) has
+    for the inverted lists: its rarest ones, without those that no other node
+    has. ``place`` is the value's place in the order of the whole sketch.
+
+    The sketches are cut into chunks, kept as files below ``folder`` (stored
+    nodes are asked for: a task that is run again writes the same chunks)."""
+    values = nodes.agg(F.sum(F.least("n", F.lit(SKETCH)))).first()[0] or 0
+    shards = max(1, -(-values // SHARD_VALUES))
+
+    def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct values, each one's shard, the values' places, counts."""
+        keys, place, counts = np.unique(values.view(np.uint64), return_inverse=True, return_counts=True)
+        return keys, (mix64(keys) % np.uint64(shards)).astype(np.int64), place, counts
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def chunk() -> Iterator[pa.RecordBatch]:
+            node, n = (np.concatenate([h.column(i).to_numpy() for h in held]) for i in (0, 1))
+            values = np.concatenate([h.column(2).flatten().to_numpy() for h in held])
+            Folder(folder).write(str(node[0]), frame([pack(node), pack(n), pack(values)]))
+            keys, shard, _, counts = distinct(values)
+            yield from requests(str(node[0]), shard, [keys, counts])
+            held.clear()
+
+        size = 0
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                held.append(b.slice(at, 1024))
+                size += len(held[-1].column(2).flatten())
+                if size >= CHUNK_VALUES:
+                    yield from chunk()
+                    size = 0
+        if held:
+            yield from chunk()
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, got = "", {}
+        for b in batches:
+            name = b.column(0)[0].as_py()
+            got.update((s, unframe(p)[0]) for s, p in zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
+        node, n, values = map(unpack, unframe(Folder(folder).read(name)))
+        _, shard, place, _ = distinct(values)
+        counts = replies_in_order(got, shard)[place]
+        sizes = np.minimum(n, SKETCH)
+        owner = np.repeat(np.arange(len(n)), sizes)
+        order = np.lexsort((values, counts, owner))  # owners stay where they are
+        at = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        needed = np.array([keys_needed(x, similarity) for x in n.tolist()], np.int64)
+        chosen = np.flatnonzero((at < needed[owner]) & (counts[order] > 1))
+        who = owner[chosen]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node[who]), pa.array(n[who]), pa.array(at[chosen].astype(np.int32)),
+             pa.array(values[order[chosen]])], names=["node", "n", "place", "key"])
+
+    replies = (nodes.select("node", "n", "sketch").mapInArrow(ask, _REQUEST)
+               .groupBy("shard").applyInArrow(count_shard(False), _REPLY).where("chunk <> ''"))
+    return replies.groupBy("chunk").applyInArrow(choose, "node long, n long, place int, key long")
 
 
 # -- tables in the shared folder ------------------------------------------------
@@ -375,21 +401,18 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, sim
 def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
     """(doc_id, text_hash, n, row, root) of every row; a component's rows have
     one root, and a row without shingles is a component of its own."""
-    rarity = docs.sparkSession.sparkContext.broadcast(value_rarity(docs, shingle))
-    rows = scratch.keep(sketch_rows(docs, shingle, similarity, rarity)
-                        .withColumn("row", F.monotonically_increasing_id()))
-    rarity.unpersist()  # the rows are written; sent again should they be read anew
+    rows = scratch.keep(sketch_rows(docs, shingle).withColumn("row", F.monotonically_increasing_id()))
     filled = rows.where("n > 0")
     # One node for each distinct set, named after one of its rows.
     nodes_of = scratch.keep(filled.groupBy("digest").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies")))
     copies = (filled.select("digest", "row").join(nodes_of.where("copies > 1"), "digest").where("row <> node")
               .select("row"))
     nodes = (filled.join(small_or_not(scratch.keep(copies)), "row", "left_anti")
-             .select(F.col("row").alias("node"), "n", "keys"))
+             .select(F.col("row").alias("node"), "n", "sketch"))
 
     # Inverted lists of two nodes or more. The node that is in most lists leads
     # a list: an original shares more of its values than its edited copies.
-    lists = nodes.select("node", "n", F.posexplode("keys").alias("place", "key"))
+    lists = scratch.keep(list_rows(nodes, similarity, f"{scratch.folder}/chunks"))
     shared = lists.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
     members = scratch.keep(lists.join(shared, "key"))
     degree = members.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
