@@ -7,6 +7,7 @@ import pytest
 from cases import PROSE, ROWS, docs_frame, empty_docs
 from pyspark.sql import functions as F
 from tokenloom.llm import bottomk_dedup as K
+from tokenloom.llm import crowds
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -222,3 +223,92 @@ def test_lists_hold_the_rarest_values_by_exact_counts(spark, monkeypatch, tmp_pa
         order = sorted(s.tolist(), key=lambda v: (count[v], v))[:K.keys_needed(len(s), 0.8)]
         wanted.update((i, len(s), p, v) for p, v in enumerate(order) if count[v] > 1)
     assert len(found) == len(wanted) and {tuple(x) for x in found} == wanted
+
+
+def edited(seed, copies, words, edits, first_id=0):
+    """Copies of one text with some words replaced in each."""
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = [r.choice(vocabulary) for _ in range(words)]
+    rows = []
+    for c in range(copies):
+        doc = list(base)
+        for _ in range(edits):
+            doc[r.randrange(words)] = r.choice(vocabulary)
+        rows.append((first_id + c, " ".join(doc), 1))
+    return rows
+
+
+def test_pairs_of_a_large_group_are_not_rows(spark, monkeypatch):
+    tried = []
+    verified = K.verified
+
+    def count(pairs, *rest):
+        tried.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(K, "verified", count)
+    rows = edited(1, 160, 400, 18)
+    got = K.near_duplicates(docs_frame(spark, rows), 2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 2)
+    assert sum(tried) < 4 * len(rows)  # of 12,720 pairs
+
+
+@pytest.mark.parametrize("words,edits", [(60, 2), (150, 6), (400, 16)])
+def test_crowds_in_several_blocks_against_brute_force(spark, monkeypatch, words, edits):
+    monkeypatch.setattr(K, "CROWD", 3)
+    monkeypatch.setattr(K, "BLOCK_VALUES", 9000)
+    rows = edited(words, 90, words, edits) + edited(words + 1, 30, words, edits, 1000)
+    rows += [(i + 2000, t, k) for i, t, k in group(words, n_groups=4, size=12, words=words)] + rows[:5]
+    rows += [(None, rows[7][1] + " end", 1)]
+    got = K.near_duplicates(docs_frame(spark, rows), 2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 2)
+
+
+def test_blocks_join_what_links_join():
+    r = np.random.default_rng(2)
+    sets = []
+    for g in range(6):
+        base = r.integers(-2**62, 2**62, 120 if g % 2 else 500)
+        for _ in range(12):
+            own = base.copy()
+            at = r.choice(len(base), int(len(base) * r.choice([0.05, 0.1, 0.15])), replace=False)
+            own[at] = r.integers(-2**62, 2**62, len(at))
+            sets.append(np.unique(own))
+    keys = [s[:K.SKETCH][:K.keys_needed(len(s), 0.8)] for s in sets]  # any order of the values: that of the sketch
+    roots = [i - i % 12 if i % 12 < 2 else i for i in range(len(sets))]  # some are in one component already
+
+    def block(some):
+        return crowds.Block(crowds.Block.packed(
+            np.array(some), np.array(roots)[some], np.concatenate([keys[i] for i in some]),
+            np.concatenate([np.arange(len(keys[i])) for i in some]), np.array([len(keys[i]) for i in some]),
+            np.concatenate([sets[i] for i in some]), np.array([len(sets[i]) for i in some])))
+
+    def parts(edges):
+        root = list(roots)
+        for a, b in edges:
+            root = [min(root[a], root[b]) if x in (root[a], root[b]) else x for x in root]
+        return root
+
+    def alike(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
+
+    every = range(len(sets))
+    links = [(i, j) for i in every for j in range(i) if alike(i, j)]
+    assert len({*parts(links)}) < len({*roots})
+    blocks = [block(list(every[k::3])) for k in range(3)]
+    found = [x for i in range(3) for j in range(i, 3)
+             for x in crowds.linked(blocks[i], blocks[j], 0.8, K.SKETCH, K.SHARED, K.bounds)]
+    assert all(alike(*x) for x in found) and len(found) < len(links)
+    assert parts(found) == parts(links)
+
+
+def test_bounds_are_those_of_the_columns(spark):
+    sizes = [1, 2, 5, 100, 205, 255, 256, 257, 300, 320, 1000, 1249]
+    df = spark.createDataFrame([(a, b) for a in sizes for b in sizes], "a long, b long")
+    for r in df.select("a", "b", K.least_common(F.col("a"), F.col("b"), 0.8).alias("common"),
+                       K.least_shared(F.col("a"), F.col("b"), 0.8).alias("shared")).collect():
+        if 0.8 <= r.a / r.b <= 1.25:
+            common, shared = K.bounds(r.a, np.array([r.b]), 0.8)
+            assert (common[0], shared[0]) == (r.common, r.shared)

@@ -16,11 +16,13 @@
    similarities over the full sets verify them.
 
 No list gives all its pairs. First each node is verified against one member
-of its lists (the one that it shares most lists with); later rounds try the
-pairs of further members, but only those that aren't in one component yet and
-share as many lists as linked sets of their sizes must, so a large group of
-copies costs some pairs a member, while every pair that could join two
-components is tried. There is no cap on lists, pairs or groups.
+of its lists (the one that it shares most lists with); then all pairs of members
+are tried that aren't in one component yet and share as many lists as linked
+sets of their sizes must, so a large group of copies costs some pairs a member,
+while every pair that could join two components is tried. Pairs of short lists
+are rows; nodes that share a list of more than ``CROWD`` are compared by blocks
+of arrays (``crowds``), as groups of edited copies that aren't linked have pairs
+by the square of their size. There is no cap on lists, pairs or groups.
 
 For two sets of at most ``SKETCH`` values the lists find every link; if one or
 both are larger, a pair at the threshold is missed with a probability of about
@@ -47,6 +49,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 from .common import mix64, text_or_empty, write_table
+from .crowds import BLOCK_VALUES, NODE_VALUES, block_links, write_blocks
 from .lm_scoring import (_REPLY, _REQUEST, Folder, count_shard, frame, pack, replies_in_order, requests, unframe,
                          unpack)
 
@@ -57,10 +60,7 @@ BATCH_BYTES = 4 << 20  # of texts whose sets are made at a time
 RARITY_BITS = 22
 CHUNK_VALUES = 1 << 20  # retained values that ask for their counts at a time
 SHARD_VALUES = 1 << 20  # about so many are counted at a time
-SLOTS = 64  # nodes are dealt to so many slots, which lead one after the other
-#: The rest of the pairs is tried at once when there are so many for each row
-#: of the lists at most.
-PAIRS_A_ROW = 2
+CROWD = 32  # lists with more nodes are long: their pairs are tried by blocks
 #: Most rows of a table (16 bytes each) that is broadcast.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -321,6 +321,20 @@ def least_shared(n_a: Column, n_b: Column, similarity: float) -> Column:
             .otherwise(1))
 
 
+def bounds(n: int, others: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """``least_common`` and ``least_shared`` of a set of n values and each of
+    others."""
+    both = np.ceil((n + others) * (similarity / (1 + similarity)) - 1e-9)
+    most = np.maximum(n, others)
+    small = others <= SKETCH
+    if n <= SKETCH:
+        return np.where(small, both, 1), np.where(small, both - np.ceil(most * similarity - 1e-9) + 1, 1)
+    part = np.minimum(both / most, 1.0)
+    rest = np.maximum(0.0, 1 - SKETCH / most)
+    common = np.floor(part * SKETCH - np.sqrt(part * (1 - part) * SKETCH * rest) * 5.2)
+    return np.where(small, 1, common), np.where(small, 1, common - (SKETCH - keys_needed(SKETCH + 1, similarity)))
+
+
 def first_places(at: Column, n: Column, n_a: Column, n_b: Column, shared: Column, similarity: float) -> Column:
     """Whether a place in a set of n values is among those where the first
     ``shared`` common values of two linked sets must be."""
@@ -398,6 +412,42 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, sim
         .select("a", "b")))
 
 
+def crowd_links(within: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, similarity: float, repeats: bool,
+                scratch: Scratch) -> DataFrame:
+    """Links (a, b) between nodes of different roots that share a long list, so
+    many that they join all components that such links join. ``within``: (key,
+    node, n, place, root, least, open) of the lists of several roots, with the
+    smallest root of a list and how many nodes it has.
+
+    A crowd are the nodes that long lists connect. Its nodes are dealt to
+    blocks; crowds of less than a block share one.
+    """
+    long = within.where(F.col("open") > CROWD)
+    edges = long.select(F.col("root").alias("a"), F.col("least").alias("b"))
+    crowd_of = connect(edges, scratch).select(F.col("node").alias("root"), F.col("root").alias("crowd"))
+    crowds = scratch.keep(long.select("node", "root", "n").distinct().join(small_or_not(crowd_of), "root"))
+    sizes = scratch.keep(crowds.groupBy("crowd").agg((F.sum(F.col("n") + NODE_VALUES) / BLOCK_VALUES).alias("blocks")))
+    bins = math.ceil(sizes.where("blocks <= 1").agg(F.sum("blocks")).first()[0] or 1)
+    alone = F.col("blocks") > 1
+    dealt = scratch.keep(
+        crowds.join(small_or_not(sizes), "crowd")
+        .select("node", "root",
+                F.when(alone, F.concat(F.lit("crowd"), "crowd"))
+                .otherwise(F.concat(F.lit("bin"), F.pmod(F.xxhash64("crowd"), F.lit(bins)))).alias("unit"),
+                F.when(alone, F.pmod(F.xxhash64("node"), F.ceil("blocks"))).otherwise(F.lit(0)).alias("block")))
+    lists = (within.join(small_or_not(dealt.select("node")), "node", "left_semi").groupBy("node")
+             .agg(F.collect_list(F.struct("key", "place")).alias("lists")))
+    wanted = nodes.select("node", "doc_id", "digest").join(small_or_not(dealt.select("node")), "node", "left_semi")
+    sets = full_sets(docs, wanted, dealt.count(), size)
+    if repeats:
+        sets = scratch.keep(sets).dropDuplicates(["node"])
+    folder = f"{scratch.folder}/blocks"
+    written = scratch.keep(write_blocks(dealt.join(lists, "node").join(sets, "node"), folder))
+    tasks = written.groupBy("unit").count().agg(F.sum(F.expr("count * (count + 1) / 2"))).first()[0]
+    most = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return scratch.keep(block_links(written, folder, similarity, SKETCH, SHARED, bounds, max(1, min(int(tasks), most))))
+
+
 def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
     """(doc_id, text_hash, n, row, root) of every row; a component's rows have
     one root, and a row without shingles is a component of its own."""
@@ -454,34 +504,25 @@ def components(docs: DataFrame, shingle: int, similarity: float, scratch: Scratc
             .groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b")))
     links = verified(best, *check)
     stars = connect(links, scratch)
-    rows_in_lists = members.count()
-    # Later, nodes lead in all their lists at once, some slots a round.
-    slotted = members.select("key", "node", "n", "place", F.pmod(F.xxhash64("node"), F.lit(SLOTS)).alias("slot"))
-    low = 0
-    for high in (4, SLOTS):
-        labelled = (slotted.where(F.col("slot") >= low).join(stars, "node", "left")
-                    .select("key", "node", "n", "place", "slot", F.coalesce("root", "node").alias("root")))
-        mixed = scratch.keep(labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
-                                                         F.count(F.lit(1)).alias("open"))
-                             .where("least <> most"))
-        left = mixed.agg(F.sum(F.col("open") * F.col("open"))).first()[0]
-        if not left:
-            break
-        if left <= PAIRS_A_ROW * rows_in_lists:
-            high = SLOTS  # all that is left is in proportion to the lists
-        within = labelled.join(mixed.select("key"), "key")
-        heads = within.where(F.col("slot") < high).select("key", *[F.col(c).alias(c + "_b") for c in
-                                                                   ("node", "n", "place", "root")])
-        pairs = counted(within.join(heads, "key")
-                        .where((F.col("root") != F.col("root_b"))
-                               & ((F.col("slot") >= high) | (F.col("node") > F.col("node_b")))
+    # Later, the pairs of nodes that aren't in one component yet: those of short
+    # lists as rows, those of nodes that share a long list by blocks of arrays.
+    labelled = (members.join(stars, "node", "left")
+                .select("key", "node", "n", "place", F.coalesce("root", "node").alias("root")))
+    mixed = scratch.keep(labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
+                                                     F.count(F.lit(1)).alias("open"))
+                         .where("least <> most").select("key", "least", "open"))
+    if not mixed.isEmpty():
+        within = scratch.keep(labelled.join(mixed, "key"))
+        short = within.where(F.col("open") <= CROWD)
+        others = short.select("key", *[F.col(c).alias(c + "_b") for c in ("node", "n", "place", "root")])
+        pairs = counted(short.join(others, "key")
+                        .where((F.col("root") != F.col("root_b")) & (F.col("node") > F.col("node_b"))
                                & may_be_linked() & at_first_places()), needed())
         more = verified(pairs.select("a", "b"), *check)
-        if more.count():
+        if not mixed.where(F.col("open") > CROWD).isEmpty():
+            more = scratch.keep(more.unionAll(crowd_links(within, *check)))
+        if not more.isEmpty():
             stars = connect(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), scratch)
-        low = high
-        if low == SLOTS:
-            break
 
     grouped = nodes_of.join(stars, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     return scratch.keep(rows.select("doc_id", "text_hash", "digest", "n", "row").join(grouped, "digest", "left")
